@@ -104,3 +104,68 @@ SELECT 'view_share_cart' AS funnel_name, dy, guid,
             WHEN regexp_matches(p, 'pageView.*share') THEN 2
             WHEN regexp_matches(p, 'pageView') THEN 1 ELSE 0 END AS INTEGER) AS comp_step
 FROM paths"""
+
+# --- detail layer -----------------------------------------------------------
+
+CLEAN = """clean AS (
+  SELECT * FROM applog
+  WHERE (account IS NOT NULL OR deviceid IS NOT NULL)
+    AND eventid IS NOT NULL AND trim(eventid) <> ''
+    AND sessionid IS NOT NULL AND trim(sessionid) <> ''
+    AND latitude > -90 AND latitude < 90 AND longitude > -180 AND longitude < 180)"""
+
+SCORES = """scores AS (
+  SELECT dy, deviceid, account, CAST(count(DISTINCT sessionid) * 100 AS DOUBLE) AS score,
+         CAST(max("timestamp") AS DOUBLE) AS "timestamp"
+  FROM clean GROUP BY dy, deviceid, account)"""
+
+BEST = """best AS (
+  SELECT dy, deviceid, account FROM (
+    SELECT *, row_number() OVER (PARTITION BY dy, deviceid ORDER BY score DESC, "timestamp" DESC, account DESC) AS rn
+    FROM scores WHERE account IS NOT NULL AND trim(account) <> '') t
+  WHERE rn = 1)"""
+
+Q["w01_clean_events"] = ctes(EV, APPLOG, CLEAN) + """
+SELECT event_id, account, deviceid, eventid, sessionid, latitude, longitude, "timestamp", dy FROM clean"""
+
+Q["w02_sessionize"] = ctes(EV, APPLOG, CLEAN) + """,
+s1 AS (SELECT event_id, sessionid, "timestamp",
+         lag("timestamp") OVER (PARTITION BY sessionid ORDER BY "timestamp", event_id) AS prev FROM clean),
+s2 AS (SELECT *, CASE WHEN prev IS NULL OR "timestamp" - prev >= 1800000 THEN 1 ELSE 0 END AS st FROM s1)
+SELECT event_id, sessionid, "timestamp",
+  sessionid || '-' || CAST(sum(st) OVER (PARTITION BY sessionid ORDER BY "timestamp", event_id
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS VARCHAR) AS newsession
+FROM s2"""
+
+Q["w06_new_users"] = ctes(EV, APPLOG) + """,
+first_seen AS (SELECT account, min(dy) AS first_dy FROM applog
+               WHERE account IS NOT NULL AND trim(account) <> '' GROUP BY account)
+SELECT a.event_id, a.account, a.dy,
+  CAST(CASE WHEN a.account IS NULL OR trim(a.account) = '' OR f.first_dy >= a.dy THEN 1 ELSE 0 END AS INTEGER) AS newuser
+FROM applog a LEFT JOIN first_seen f ON a.account = f.account"""
+
+Q["w07_device_account_scores"] = ctes(EV, APPLOG, CLEAN, SCORES) + "SELECT * FROM scores"
+
+Q["w08_rollover_scores"] = ctes(EV, APPLOG, CLEAN, SCORES) + """,
+prev AS (SELECT dy + 1 AS dy, deviceid, account, "timestamp" AS p_ts, score AS p_score FROM scores),
+cur AS (SELECT * FROM scores WHERE account IS NOT NULL AND trim(account) <> ''),
+curb AS (SELECT * FROM scores WHERE account IS NULL OR trim(account) = ''),
+rolled AS (
+  SELECT COALESCE(c.dy, p.dy) AS dy, COALESCE(c.deviceid, p.deviceid) AS deviceid,
+         COALESCE(c.account, p.account) AS account, COALESCE(c."timestamp", p.p_ts) AS "timestamp",
+         CASE WHEN p.deviceid IS NOT NULL AND c.deviceid IS NOT NULL THEN p.p_score + c.score
+              WHEN p.deviceid IS NOT NULL THEN p.p_score * 0.5 ELSE c.score END AS score
+  FROM prev p FULL JOIN cur c ON p.dy = c.dy AND p.deviceid = c.deviceid AND p.account = c.account)
+SELECT * FROM rolled
+UNION ALL
+SELECT dy, deviceid, account, "timestamp", score FROM curb
+WHERE NOT EXISTS (SELECT 1 FROM prev p WHERE p.dy = curb.dy AND p.deviceid = curb.deviceid)"""
+
+Q["w09_best_account"] = ctes(EV, APPLOG, CLEAN, SCORES, BEST) + "SELECT * FROM best"
+
+Q["w10_assign_guid"] = ctes(EV, APPLOG, CLEAN, SCORES, BEST) + """,
+b2 AS (SELECT dy + 1 AS dy, deviceid, account AS bind FROM best)
+SELECT c.event_id, c.deviceid, c.account,
+  COALESCE(CASE WHEN trim(c.account) <> '' THEN c.account END,
+           CASE WHEN trim(b.bind) <> '' THEN b.bind END, c.deviceid) AS guid, c.dy
+FROM clean c LEFT JOIN b2 b ON c.dy = b.dy AND c.deviceid = b.deviceid"""

@@ -54,3 +54,60 @@ def _funnel_steps(max_page: int = 60):
 def q_funnel_depth(spark, sf_dir):
     return S.funnel_depth(_detail(spark, sf_dir), _funnel_steps(), "view_share_cart",
                           group_cols=("dy", "guid"))
+
+
+# --- detail layer -----------------------------------------------------------
+
+from plover.operators import detail as D  # noqa: E402
+from plover.sources.applog import app_log  # noqa: E402
+
+
+def _log(spark, sf_dir):
+    return app_log(table(spark, sf_dir, "events"))
+
+
+def _clean(spark, sf_dir):
+    return D.clean_events(_log(spark, sf_dir))
+
+
+@register("w01_clean_events")
+def q_clean(spark, sf_dir):
+    return _clean(spark, sf_dir).select("event_id", "account", "deviceid", "eventid", "sessionid",
+                                        "latitude", "longitude", "timestamp", "dy")
+
+
+@register("w02_sessionize")
+def q_sessionize(spark, sf_dir):
+    return (D.sessionize(_clean(spark, sf_dir), tiebreak="event_id")
+            .select("event_id", "sessionid", "timestamp", "newsession"))
+
+
+@register("w06_new_users")
+def q_new_users(spark, sf_dir):
+    return D.flag_new_users_by_day(_log(spark, sf_dir)).select("event_id", "account", "dy", "newuser")
+
+
+def _scores(spark, sf_dir):
+    return D.device_account_scores(_clean(spark, sf_dir), by=["dy"])
+
+
+@register("w07_device_account_scores")
+def q_scores(spark, sf_dir):
+    return _scores(spark, sf_dir)
+
+
+@register("w08_rollover_scores")
+def q_rollover(spark, sf_dir):
+    return D.rollover_scores(_scores(spark, sf_dir), _clean(spark, sf_dir), day="dy")
+
+
+@register("w09_best_account")
+def q_best(spark, sf_dir):
+    return D.best_account(_scores(spark, sf_dir), by=["dy"])
+
+
+@register("w10_assign_guid")
+def q_guid(spark, sf_dir):
+    best = D.best_account(_scores(spark, sf_dir), by=["dy"])
+    return (D.assign_guid(_clean(spark, sf_dir), best, day="dy")
+            .select("event_id", "deviceid", "account", "guid", "dy"))
