@@ -169,3 +169,61 @@ SELECT c.event_id, c.deviceid, c.account,
   COALESCE(CASE WHEN trim(c.account) <> '' THEN c.account END,
            CASE WHEN trim(b.bind) <> '' THEN b.bind END, c.deviceid) AS guid, c.dy
 FROM clean c LEFT JOIN b2 b ON c.dy = b.dy AND c.deviceid = b.deviceid"""
+
+# --- activity state ---------------------------------------------------------
+
+SNAPS = """act AS (SELECT DISTINCT guid, dy FROM detail),
+isl0 AS (SELECT guid, dy, dy - CAST(row_number() OVER (PARTITION BY guid ORDER BY dy) AS INTEGER) AS grp FROM act),
+isl AS (SELECT guid, grp, min(dy) AS s, max(dy) AS t FROM isl0 GROUP BY guid, grp),
+firsts AS (SELECT guid, min(dy) AS first_dt FROM act GROUP BY guid),
+lastd AS (SELECT max(dy) AS last_dy FROM act),
+snap0 AS (
+  SELECT f.first_dt, i.guid, i.s, i.t,
+    CAST(unnest(generate_series(CAST(i.s AS TIMESTAMP), CAST(l.last_dy AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS dy
+  FROM isl i JOIN firsts f ON i.guid = f.guid CROSS JOIN lastd l),
+snaps AS (
+  SELECT first_dt, guid, s AS range_start,
+    CASE WHEN t < dy THEN t ELSE DATE '9999-12-31' END AS range_end, dy
+  FROM snap0)"""
+
+CLIPPED = """clipped AS (
+  SELECT dy, guid,
+    CASE WHEN datediff('day', range_start, dy) >= 30 THEN dy - 30 ELSE range_start END AS rng_start,
+    CASE WHEN range_end = DATE '9999-12-31' THEN dy ELSE range_end END AS rng_end
+  FROM snaps WHERE datediff('day', range_end, dy) <= 30),
+detail27 AS (
+  SELECT dy, guid, 0 AS "interval", datediff('day', rng_start, rng_end) AS times FROM clipped
+  UNION ALL
+  SELECT dy, guid, datediff('day', rng_end, nxt) AS "interval", 1 AS times FROM (
+    SELECT dy, guid, rng_end, lead(rng_start) OVER (PARTITION BY dy, guid ORDER BY rng_end) AS nxt FROM clipped) o
+  WHERE nxt IS NOT NULL)"""
+
+OPENRUNS = """runs AS (
+  SELECT dy, guid, datediff('day', range_start, dy) + 1 AS n FROM snaps
+  WHERE range_end = DATE '9999-12-31' AND datediff('day', range_start, dy) + 1 >= 1),
+members AS (SELECT dy AS dt, CAST(unnest(generate_series(1, n)) AS INTEGER) AS days, guid FROM runs)"""
+
+Q["w26_rollover_ranges"] = ctes(EV, APPLOG, DETAIL, SNAPS) + "SELECT * FROM snaps"
+
+Q["w27_visit_interval_detail"] = ctes(EV, APPLOG, DETAIL, SNAPS, CLIPPED) + """
+SELECT dy, guid, CAST("interval" AS INTEGER) AS "interval", CAST(times AS INTEGER) AS times FROM detail27"""
+
+Q["w28_visit_intervals"] = ctes(EV, APPLOG, DETAIL, SNAPS, CLIPPED) + """
+SELECT dy, guid, CAST("interval" AS INTEGER) AS "interval", CAST(sum(times) AS BIGINT) AS times
+FROM detail27 GROUP BY dy, guid, "interval\""""
+
+Q["w29_active_days"] = ctes(EV, APPLOG, DETAIL, SNAPS, OPENRUNS) + """
+SELECT dt, days, count(*) AS user_cnt FROM members GROUP BY dt, days"""
+
+Q["w29_active_days_members"] = ctes(EV, APPLOG, DETAIL, SNAPS, OPENRUNS) + "SELECT * FROM members"
+
+Q["w32_update_bitmap"] = ctes(EV, APPLOG, DETAIL) + """,
+act AS (SELECT DISTINCT guid, dy FROM detail),
+firsts AS (SELECT guid, min(dy) AS f FROM act GROUP BY guid),
+lastd AS (SELECT max(dy) AS last_dy FROM act),
+spine AS (
+  SELECT guid, CAST(unnest(generate_series(CAST(f AS TIMESTAMP), CAST(l.last_dy AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS dy
+  FROM firsts CROSS JOIN lastd l)
+SELECT s.guid, CAST(COALESCE(sum(CAST(1 AS BIGINT) << CAST(datediff('day', a.dy, s.dy) AS INTEGER)), 0) AS BIGINT) AS bitmap, s.dy
+FROM spine s LEFT JOIN act a ON a.guid = s.guid AND a.dy <= s.dy AND a.dy > s.dy - 31
+GROUP BY s.guid, s.dy"""

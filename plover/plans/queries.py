@@ -111,3 +111,60 @@ def q_guid(spark, sf_dir):
     best = D.best_account(_scores(spark, sf_dir), by=["dy"])
     return (D.assign_guid(_clean(spark, sf_dir), best, day="dy")
             .select("event_id", "deviceid", "account", "guid", "dy"))
+
+
+# --- activity state ---------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from plover.operators import activity as A  # noqa: E402
+
+
+def _active(spark, sf_dir):
+    return A.active_users(_detail(spark, sf_dir))
+
+
+def _last_day(active) -> _dt.date:
+    # one scalar, the newest day present; it bounds the day spine
+    return active.agg(F.max("dy")).first()[0]
+
+
+def _range_snaps(spark, sf_dir):
+    act = _active(spark, sf_dir)
+    return A.range_snapshots(act, last_day=_last_day(act))
+
+
+@register("w26_rollover_ranges")
+def q_rollover_ranges(spark, sf_dir):
+    act = _active(spark, sf_dir)
+    last = _last_day(act)
+    prev = A.range_snapshots(act, last_day=last - _dt.timedelta(days=1))
+    return A.rollover_ranges(prev, act, day="dy")
+
+
+@register("w27_visit_interval_detail")
+def q_visit_detail(spark, sf_dir):
+    return A.visit_interval_detail(_range_snaps(spark, sf_dir), day="dy")
+
+
+@register("w28_visit_intervals")
+def q_visit_intervals(spark, sf_dir):
+    return A.visit_intervals(_range_snaps(spark, sf_dir), day="dy")
+
+
+@register("w29_active_days")
+def q_active_days(spark, sf_dir):
+    return A.active_days(_range_snaps(spark, sf_dir), day="dy")
+
+
+@register("w29_active_days_members")
+def q_active_days_members(spark, sf_dir):
+    return A.active_days_members(_range_snaps(spark, sf_dir), day="dy")
+
+
+@register("w32_update_bitmap")
+def q_bitmap(spark, sf_dir):
+    act = _active(spark, sf_dir)
+    last = _last_day(act)
+    prev = A.bitmap_snapshots(act, last_day=last - _dt.timedelta(days=1))
+    return A.update_bitmap(prev, act, day="dy")
