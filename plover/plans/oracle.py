@@ -227,3 +227,50 @@ spine AS (
 SELECT s.guid, CAST(COALESCE(sum(CAST(1 AS BIGINT) << CAST(datediff('day', a.dy, s.dy) AS INTEGER)), 0) AS BIGINT) AS bitmap, s.dy
 FROM spine s LEFT JOIN act a ON a.guid = s.guid AND a.dy <= s.dy AND a.dy > s.dy - 31
 GROUP BY s.guid, s.dy"""
+
+# --- attribution ------------------------------------------------------------
+
+ATT = """att AS (
+  SELECT user_id AS guid, event_type AS event, "timestamp", event_id FROM ev
+  WHERE event_type IN ('click', 'view', 'signup', 'purchase')),
+segd AS (
+  SELECT *,
+    COALESCE(sum(CASE WHEN event = 'purchase' THEN 1 ELSE 0 END) OVER (
+      PARTITION BY guid ORDER BY "timestamp", event, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS conversion,
+    sum(CASE WHEN event = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY guid) AS n_targets
+  FROM att),
+touch AS (SELECT guid, CAST(conversion AS BIGINT) AS conversion, event, "timestamp", event_id FROM segd
+          WHERE event <> 'purchase' AND conversion < n_targets)"""
+
+Q["w20_event_paths"] = ctes(EV) + """,
+att AS (SELECT user_id AS guid, event_type AS event, "timestamp", event_id FROM ev
+        WHERE event_type IN ('click', 'view', 'signup', 'purchase')
+          AND user_id IN (SELECT user_id FROM ev WHERE event_type = 'purchase'))
+SELECT guid, row_number() OVER (PARTITION BY guid ORDER BY "timestamp", event, event_id) AS step, event, "timestamp"
+FROM att"""
+
+Q["w21_first_touch_overall"] = ctes(EV) + """,
+att AS (SELECT user_id AS guid, event_type AS event, "timestamp", event_id FROM ev
+        WHERE event_type IN ('click', 'view', 'signup', 'purchase'))
+SELECT guid, first(CASE WHEN event <> 'purchase' THEN event END
+                   ORDER BY CASE WHEN event <> 'purchase' THEN 0 ELSE 1 END, "timestamp", event, event_id) AS event
+FROM att GROUP BY guid HAVING max(CASE WHEN event = 'purchase' THEN 1 ELSE 0 END) = 1"""
+
+Q["w22_first_touch"] = ctes(EV, ATT) + """
+SELECT guid, conversion, first(event ORDER BY "timestamp", event, event_id) AS event FROM touch GROUP BY guid, conversion"""
+
+Q["w23_last_touch"] = ctes(EV, ATT) + """
+SELECT guid, conversion, last(event ORDER BY "timestamp", event, event_id) AS event FROM touch GROUP BY guid, conversion"""
+
+Q["w24_linear_attribution"] = ctes(EV, ATT) + """
+SELECT guid, conversion, event, CAST(100 // count(*) OVER (PARTITION BY guid, conversion) AS INTEGER) AS weight
+FROM (SELECT DISTINCT guid, conversion, event FROM touch) t"""
+
+Q["w25_decay_attribution"] = ctes(EV, ATT) + """,
+firsts AS (SELECT guid, conversion, event,
+             min(struct_pack(t := "timestamp", e := event, i := event_id)) AS fk FROM touch GROUP BY guid, conversion, event),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY guid, conversion ORDER BY fk) - 1 AS i FROM firsts)
+SELECT guid, conversion, event,
+  round(pow(0.9, i) / sum(pow(0.9, i)) OVER (PARTITION BY guid, conversion), 6) AS weight
+FROM ranked"""

@@ -168,3 +168,52 @@ def q_bitmap(spark, sf_dir):
     last = _last_day(act)
     prev = A.bitmap_snapshots(act, last_day=last - _dt.timedelta(days=1))
     return A.update_bitmap(prev, act, day="dy")
+
+
+# --- attribution ------------------------------------------------------------
+
+from plover.operators import attribution as AT  # noqa: E402
+
+TOUCHES = ("click", "view", "signup")
+TARGET = "purchase"
+
+
+def _touch_events(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    from plover.functions.columns import epoch_ms
+    return ev.select(F.col("user_id").alias("guid"), F.col("event_type").alias("event"),
+                     epoch_ms("ts").alias("timestamp"), "event_id")
+
+
+_AKW = dict(tiebreak="event_id")
+
+
+@register("w20_event_paths")
+def q_paths(spark, sf_dir):
+    return AT.event_paths(_touch_events(spark, sf_dir), TOUCHES, TARGET, **_AKW)
+
+
+@register("w21_first_touch_overall")
+def q_first_overall(spark, sf_dir):
+    return AT.first_touch_overall(_touch_events(spark, sf_dir), TOUCHES, TARGET, **_AKW)
+
+
+@register("w22_first_touch")
+def q_first_touch(spark, sf_dir):
+    return AT.first_touch(_touch_events(spark, sf_dir), TOUCHES, TARGET, **_AKW)
+
+
+@register("w23_last_touch")
+def q_last_touch(spark, sf_dir):
+    return AT.last_touch(_touch_events(spark, sf_dir), TOUCHES, TARGET, **_AKW)
+
+
+@register("w24_linear_attribution")
+def q_linear(spark, sf_dir):
+    return AT.linear_attribution(_touch_events(spark, sf_dir), TOUCHES, TARGET, **_AKW)
+
+
+@register("w25_decay_attribution")
+def q_decay(spark, sf_dir):
+    d = AT.decay_attribution(_touch_events(spark, sf_dir), TOUCHES, TARGET, **_AKW)
+    return d.withColumn("weight", F.round("weight", 6))
