@@ -274,3 +274,43 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY guid, conversion ORDER BY f
 SELECT guid, conversion, event,
   round(pow(0.9, i) / sum(pow(0.9, i)) OVER (PARTITION BY guid, conversion), 6) AS weight
 FROM ranked"""
+
+# --- series and report ------------------------------------------------------
+
+SERIES = """evd AS (SELECT user_id, event_type, value, event_id, ts, CAST(ts AS DATE) AS dy FROM events),
+bounds AS (SELECT user_id, min(dy) AS a, max(dy) AS b FROM evd GROUP BY user_id),
+spine AS (SELECT user_id, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS dy
+          FROM bounds),
+lastp AS (SELECT user_id, dy, arg_max(value, (ts, event_id)) AS value FROM evd WHERE event_type = 'purchase'
+          GROUP BY user_id, dy),
+series AS (SELECT s.user_id, s.dy, l.value FROM spine s LEFT JOIN lastp l ON s.user_id = l.user_id AND s.dy = l.dy)"""
+
+Q["w30_forward_fill"] = ctes(SERIES) + """
+SELECT user_id, dy, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY dy
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+FROM series"""
+
+Q["w31_fill_by_range_join"] = ctes(SERIES) + """,
+known AS (SELECT user_id, dy, value, lead(dy, 1, dy) OVER (PARTITION BY user_id ORDER BY dy) AS nxt
+          FROM series WHERE value IS NOT NULL)
+SELECT s.user_id, s.dy, k.value FROM series s JOIN known k
+  ON s.user_id = k.user_id AND s.value IS NULL AND s.dy BETWEEN k.dy AND k.nxt
+UNION ALL
+SELECT user_id, dy, value FROM series WHERE value IS NOT NULL"""
+
+Q["w33_sales_report"] = """WITH sales AS (
+  SELECT c.c_nationkey AS shop, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS sale
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+prov AS (SELECT n.n_nationkey AS shop, r.r_name AS province FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+x AS (SELECT s.shop, max(p.province) AS province, s.month, sum(s.sale) AS sale_cnt
+      FROM sales s JOIN prov p ON s.shop = p.shop GROUP BY s.shop, s.month),
+y AS (SELECT shop, province, month, sale_cnt,
+        sum(sale_cnt) OVER (PARTITION BY shop ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+          AS shop_account_cnt FROM x),
+z AS (SELECT p.province, s.month, sum(s.sale) AS province_sale FROM sales s JOIN prov p ON s.shop = p.shop
+      GROUP BY s.month, p.province)
+SELECT y.shop, y.month, y.province, CAST(y.sale_cnt AS DECIMAL(18,2)) AS sale_cnt,
+       CAST(z.province_sale AS DECIMAL(18,2)) AS province_sale,
+       CAST(y.shop_account_cnt AS DECIMAL(18,2)) AS shop_account_cnt
+FROM z JOIN y ON z.province = y.province AND z.month = y.month"""

@@ -217,3 +217,45 @@ def q_linear(spark, sf_dir):
 def q_decay(spark, sf_dir):
     d = AT.decay_attribution(_touch_events(spark, sf_dir), TOUCHES, TARGET, **_AKW)
     return d.withColumn("weight", F.round("weight", 6))
+
+
+# --- series and report ------------------------------------------------------
+
+from plover.operators import report as RP  # noqa: E402
+from plover.operators import series as SR  # noqa: E402
+
+
+def _daily_series(spark, sf_dir):
+    """Per user and day between the user's first and last event: the value
+    of the day's last purchase, null on days without one."""
+    ev = table(spark, sf_dir, "events").select("user_id", "event_type", "value", "event_id", "ts",
+                                               F.to_date("ts").alias("dy"))
+    spine = (ev.groupBy("user_id").agg(F.min("dy").alias("a"), F.max("dy").alias("b"))
+             .select("user_id", F.explode(F.sequence("a", "b")).alias("dy")))
+    last = (ev.filter(F.col("event_type") == "purchase").groupBy("user_id", "dy")
+            .agg(F.max_by("value", F.struct("ts", "event_id")).alias("value")))
+    return spine.join(last, ["user_id", "dy"], "left")
+
+
+@register("w30_forward_fill")
+def q_ffill(spark, sf_dir):
+    return SR.forward_fill(_daily_series(spark, sf_dir), "dy", "value", by=["user_id"])
+
+
+@register("w31_fill_by_range_join")
+def q_range_fill(spark, sf_dir):
+    return SR.fill_by_range_join(_daily_series(spark, sf_dir), "dy", "value", by=["user_id"])
+
+
+@register("w33_sales_report")
+def q_sales_report(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    sales = orders.join(table(spark, sf_dir, "customer"), orders.o_custkey == F.col("c_custkey")).select(
+        F.col("c_nationkey").alias("shop"), F.trunc("o_orderdate", "month").alias("month"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("sale"))
+    region = (table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
+                                                   F.col("n_regionkey") == F.col("r_regionkey"))
+              .select(F.col("n_nationkey").alias("shop"), F.col("r_name").alias("province")))
+    r = RP.sales_report(sales, region)
+    return r.select("shop", "month", "province",
+                    *[F.col(c).cast("decimal(18,2)").alias(c) for c in ("sale_cnt", "province_sale", "shop_account_cnt")])
