@@ -314,3 +314,54 @@ SELECT y.shop, y.month, y.province, CAST(y.sale_cnt AS DECIMAL(18,2)) AS sale_cn
        CAST(z.province_sale AS DECIMAL(18,2)) AS province_sale,
        CAST(y.shop_account_cnt AS DECIMAL(18,2)) AS shop_account_cnt
 FROM z JOIN y ON z.province = y.province AND z.month = y.month"""
+
+# --- identity graph ---------------------------------------------------------
+
+
+def _graph_ctes(name: str, where: str) -> str:
+    """vertices / edges / components of the adapter log rows matching ``where``
+    (components by a recursive reachability closure, min label)."""
+    return f"""{name}_rows AS (SELECT * FROM applog WHERE {where}),
+{name}_v AS (
+  SELECT DISTINCT id FROM (
+    SELECT account AS id FROM {name}_rows WHERE account IS NOT NULL AND trim(account) <> ''
+    UNION ALL SELECT deviceid FROM {name}_rows WHERE deviceid IS NOT NULL AND trim(deviceid) <> '') t),
+{name}_e AS (
+  SELECT account AS src, deviceid AS dst FROM {name}_rows
+  WHERE account IS NOT NULL AND trim(account) <> '' AND deviceid IS NOT NULL AND trim(deviceid) <> ''
+  GROUP BY account, deviceid HAVING count(*) > 2)"""
+
+
+def _cc(name: str, v: str, e: str) -> str:
+    return f"""{name}_und AS (SELECT src AS a, dst AS b FROM {e} UNION SELECT dst, src FROM {e}),
+{name}_reach AS (SELECT * FROM (
+  WITH RECURSIVE r(id, lbl) AS (
+    SELECT id, id FROM {v}
+    UNION
+    SELECT u.b, r.lbl FROM r JOIN {name}_und u ON r.id = u.a)
+  SELECT id, min(lbl) AS component FROM r GROUP BY id) q)"""
+
+
+_ALL = _graph_ctes("g", "true")
+_OLD = _graph_ctes("o", "dy < DATE '2024-01-16'")
+_NEW = _graph_ctes("n", "dy >= DATE '2024-01-16'")
+
+Q["w11_identity_edges"] = ctes(EV, APPLOG, _ALL) + "SELECT * FROM g_e"
+
+Q["w12_connected_components"] = ctes(EV, APPLOG, _ALL, _cc("g", "g_v", "g_e")) + "SELECT * FROM g_reach"
+
+Q["w13_incremental_components"] = ctes(
+    EV, APPLOG, _OLD, _cc("o", "o_v", "o_e"), _NEW,
+    """i_v AS (SELECT id FROM n_v UNION SELECT id FROM o_reach),
+i_e AS (SELECT src, dst FROM n_e UNION ALL SELECT id, component FROM o_reach)""",
+    _cc("i", "i_v", "i_e")) + "SELECT * FROM i_reach"
+
+Q["w14_carry_over_guid"] = ctes(EV, APPLOG, _OLD, _cc("o", "o_v", "o_e"), _NEW, _cc("n", "n_v", "n_e")) + """,
+per AS (SELECT n.component, min(o.component) AS carry FROM n_reach n LEFT JOIN o_reach o ON n.id = o.id
+        GROUP BY n.component)
+SELECT n.id, COALESCE(p.carry, n.component) AS guid FROM n_reach n JOIN per p ON n.component = p.component"""
+
+Q["w15_label_rows"] = ctes(EV, APPLOG, _ALL, _cc("g", "g_v", "g_e")) + """
+SELECT a.event_id, r.component AS guid FROM applog a
+LEFT JOIN g_reach r ON r.id = COALESCE(CASE WHEN trim(a.account) <> '' THEN a.account END,
+                                        CASE WHEN trim(a.deviceid) <> '' THEN a.deviceid END)"""

@@ -259,3 +259,54 @@ def q_sales_report(spark, sf_dir):
     r = RP.sales_report(sales, region)
     return r.select("shop", "month", "province",
                     *[F.col(c).cast("decimal(18,2)").alias(c) for c in ("sale_cnt", "province_sale", "shop_account_cnt")])
+
+
+# --- identity graph ---------------------------------------------------------
+
+from plover.operators import graph as G  # noqa: E402
+
+ID_COLS = ("account", "deviceid")
+SPLIT_DAY = "2024-01-16"  # yesterday/today boundary of the incremental jobs
+
+
+def _graph(log):
+    return G.identity_vertices(log, ID_COLS), G.identity_edges(log, ID_COLS, "pairs", 2)
+
+
+@register("w11_identity_edges")
+def q_edges(spark, sf_dir):
+    return _graph(_log(spark, sf_dir))[1]
+
+
+@register("w12_connected_components")
+def q_components(spark, sf_dir):
+    return G.connected_components(*_graph(_log(spark, sf_dir)))
+
+
+def _halves(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    cut = F.lit(SPLIT_DAY).cast("date")
+    return log.filter(F.col("dy") < cut), log.filter(F.col("dy") >= cut)
+
+
+@register("w13_incremental_components")
+def q_incremental(spark, sf_dir):
+    old, new = _halves(spark, sf_dir)
+    prev = G.connected_components(*_graph(old)).select("id", F.col("component").alias("guid"))
+    v, e = _graph(new)
+    return G.incremental_components(v, e, prev)
+
+
+@register("w14_carry_over_guid")
+def q_carry(spark, sf_dir):
+    old, new = _halves(spark, sf_dir)
+    prev = G.connected_components(*_graph(old)).select("id", F.col("component").alias("guid"))
+    today = G.connected_components(*_graph(new)).select("id", F.col("component").alias("guid"))
+    return G.carry_over_guid(today, prev)
+
+
+@register("w15_label_rows")
+def q_label(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    comp = G.connected_components(*_graph(log))
+    return G.label_rows(log, comp, ID_COLS).select("event_id", "guid")
