@@ -365,3 +365,59 @@ Q["w15_label_rows"] = ctes(EV, APPLOG, _ALL, _cc("g", "g_v", "g_e")) + """
 SELECT a.event_id, r.component AS guid FROM applog a
 LEFT JOIN g_reach r ON r.id = COALESCE(CASE WHEN trim(a.account) <> '' THEN a.account END,
                                         CASE WHEN trim(a.deviceid) <> '' THEN a.deviceid END)"""
+
+# --- geography --------------------------------------------------------------
+
+GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+
+
+def geohash_sql(lat: str, lon: str, precision: int = 6) -> str:
+    nbits = 5 * precision
+    lon_bits, lat_bits = (nbits + 1) // 2, nbits // 2
+    lo = f"least(CAST(floor(({lon} + 180.0) / 360.0 * {float(1 << lon_bits)}) AS BIGINT), {(1 << lon_bits) - 1})"
+    la = f"least(CAST(floor(({lat} + 90.0) / 180.0 * {float(1 << lat_bits)}) AS BIGINT), {(1 << lat_bits) - 1})"
+    chars = []
+    for i in range(precision):
+        terms = []
+        for j in range(5):
+            p = 5 * i + j
+            src, width = (lo, lon_bits) if p % 2 == 0 else (la, lat_bits)
+            terms.append(f"(((({src}) >> {width - 1 - p // 2}) & 1) << {4 - j})")
+        chars.append(f"substr('{GEOHASH_ALPHABET}', CAST(({' | '.join(terms)}) + 1 AS INTEGER), 1)")
+    return " || ".join(chars)
+
+
+GEODICT = f"""geo_pts AS (
+  SELECT CAST(((c_custkey * 53 + c_custkey % 100) % 380) - 190 AS DOUBLE) AS lon,
+         CAST(((c_custkey * 37 + c_custkey % 100) % 200) - 100 AS DOUBLE) AS lat,
+         r_name AS province, n_name AS city, c_mktsegment AS district
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+geodict AS (
+  SELECT geo, min(struct_pack(p := province, c := city, d := district)) AS a FROM (
+    SELECT {geohash_sql('lat', 'lon')} AS geo, province, city, district FROM geo_pts
+    WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) t GROUP BY geo),
+geoenr AS (
+  SELECT c.*, g.a.p AS province, g.a.c AS city, g.a.d AS district
+  FROM clean c LEFT JOIN geodict g ON g.geo = {geohash_sql('c.latitude', 'c.longitude')})"""
+
+IPRANGES = f"""ipr AS (
+  SELECT CAST(n_nationkey AS BIGINT) * {4294967296 // 25} AS s,
+         CASE WHEN n_nationkey = 24 THEN 4294967295 ELSE (CAST(n_nationkey AS BIGINT) + 1) * {4294967296 // 25} - 1 END AS e,
+         CASE WHEN n_nationkey % 5 = 0 THEN '0' ELSE 'CN' END AS country, r_name AS province, n_name AS city
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+ipenr AS (
+  SELECT g.event_id, g.ip_long, g.district, g.dy, g.sessionid, g."timestamp", g.account, g.deviceid,
+    CASE WHEN g.province IS NULL THEN r.province ELSE g.province END AS province,
+    CASE WHEN g.province IS NULL THEN r.city ELSE g.city END AS city
+  FROM geoenr g LEFT JOIN ipr r ON r.country <> '0' AND g.ip_long BETWEEN r.s AND r.e)"""
+
+IPTEXT = """CAST(ip_long >> 24 AS VARCHAR) || '.' || CAST((ip_long >> 16) & 255 AS VARCHAR) || '.' ||
+  CAST((ip_long >> 8) & 255 AS VARCHAR) || '.' || CAST(ip_long & 255 AS VARCHAR)"""
+
+Q["w03_geo_dictionary"] = ctes(GEODICT.split(",\ngeoenr AS")[0]) + \
+    "SELECT geo, a.p AS province, a.c AS city, a.d AS district FROM geodict"
+
+Q["w04_geo_enrich"] = ctes(EV, APPLOG, CLEAN, GEODICT) + "SELECT event_id, province, city, district FROM geoenr"
+
+Q["w05_ip_region_enrich"] = ctes(EV, APPLOG, CLEAN, GEODICT, IPRANGES) + f"""
+SELECT event_id, {IPTEXT} AS ip, province, city, district FROM ipenr"""

@@ -310,3 +310,57 @@ def q_label(spark, sf_dir):
     log = _log(spark, sf_dir)
     comp = G.connected_components(*_graph(log))
     return G.label_rows(log, comp, ID_COLS).select("event_id", "guid")
+
+
+# --- geography --------------------------------------------------------------
+
+from plover.operators import geo as GEO  # noqa: E402
+
+IP_SPAN = 4294967296 // 25
+
+
+def geo_lines(spark, sf_dir):
+    """Geo dictionary text lines derived from customer ⋈ nation ⋈ region:
+    ``c <custkey> <lon> <lat> <region>:<nation>:<segment>``."""
+    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    k = F.col("c_custkey")
+    lat = ((k * 37 + k % 100) % 200) - 100
+    lon = ((k * 53 + k % 100) % 380) - 190
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    return j.select(F.concat_ws(" ", F.lit("c"), k.cast("string"), lon.cast("string"), lat.cast("string"),
+                                F.concat_ws(":", "r_name", "n_name", "c_mktsegment")).alias("value"))
+
+
+def ip_lines(spark, sf_dir):
+    """IP range text lines derived from nation ⋈ region: 25 equal ranges of
+    the IPv4 space, ``start end country|area|province|city|isp``; every
+    fifth nation has country '0' (no answer)."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    k = F.col("n_nationkey").cast("long")
+    start = k * IP_SPAN
+    end = F.when(k == 24, F.lit(4294967295)).otherwise((k + 1) * IP_SPAN - 1)
+    region = F.concat_ws("|", F.when(k % 5 == 0, "0").otherwise("CN"), F.lit("0"), F.col("r_name"),
+                         F.col("n_name"), F.concat(F.lit("isp"), (k % 3).cast("string")))
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.concat_ws(" ", start.cast("string"), end.cast("string"), region).alias("value"))
+
+
+@register("w03_geo_dictionary")
+def q_geo_dict(spark, sf_dir):
+    return GEO.build_geo_dictionary(geo_lines(spark, sf_dir))
+
+
+def _geo_enriched(spark, sf_dir):
+    return GEO.geo_enrich(_clean(spark, sf_dir), GEO.build_geo_dictionary(geo_lines(spark, sf_dir)))
+
+
+@register("w04_geo_enrich")
+def q_geo_enrich(spark, sf_dir):
+    return _geo_enriched(spark, sf_dir).select("event_id", "province", "city", "district")
+
+
+@register("w05_ip_region_enrich")
+def q_ip_enrich(spark, sf_dir):
+    ranges = GEO.parse_ip_regions(ip_lines(spark, sf_dir))
+    return GEO.ip_region_enrich(_geo_enriched(spark, sf_dir), ranges).select(
+        "event_id", "ip", "province", "city", "district")
