@@ -421,3 +421,23 @@ Q["w04_geo_enrich"] = ctes(EV, APPLOG, CLEAN, GEODICT) + "SELECT event_id, provi
 
 Q["w05_ip_region_enrich"] = ctes(EV, APPLOG, CLEAN, GEODICT, IPRANGES) + f"""
 SELECT event_id, {IPTEXT} AS ip, province, city, district FROM ipenr"""
+
+# --- detail ETL pipeline ----------------------------------------------------
+
+Q["w16_detail_etl"] = ctes(EV, APPLOG, CLEAN, GEODICT, IPRANGES, SCORES, BEST) + """,
+s1 AS (SELECT event_id, sessionid, "timestamp",
+         lag("timestamp") OVER (PARTITION BY sessionid ORDER BY "timestamp", event_id) AS prev FROM clean),
+s2 AS (SELECT *, CASE WHEN prev IS NULL OR "timestamp" - prev >= 1800000 THEN 1 ELSE 0 END AS st FROM s1),
+sess AS (SELECT event_id, sessionid || '-' || CAST(sum(st) OVER (PARTITION BY sessionid ORDER BY "timestamp", event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS VARCHAR) AS newsession FROM s2),
+first_seen AS (SELECT account, min(dy) AS first_dy FROM clean
+               WHERE account IS NOT NULL AND trim(account) <> '' GROUP BY account),
+b2 AS (SELECT dy + 1 AS dy, deviceid, account AS bind FROM best)
+SELECT i.event_id, s.newsession, i.province, i.city, i.district,
+  CAST(CASE WHEN i.account IS NULL OR trim(i.account) = '' OR f.first_dy >= i.dy THEN 1 ELSE 0 END AS INTEGER) AS newuser,
+  COALESCE(CASE WHEN trim(i.account) <> '' THEN i.account END,
+           CASE WHEN trim(b.bind) <> '' THEN b.bind END, i.deviceid) AS guid,
+  i.dy
+FROM ipenr i JOIN sess s ON i.event_id = s.event_id
+LEFT JOIN first_seen f ON i.account = f.account
+LEFT JOIN b2 b ON i.dy = b.dy AND i.deviceid = b.deviceid"""

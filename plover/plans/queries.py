@@ -364,3 +364,20 @@ def q_ip_enrich(spark, sf_dir):
     ranges = GEO.parse_ip_regions(ip_lines(spark, sf_dir))
     return GEO.ip_region_enrich(_geo_enriched(spark, sf_dir), ranges).select(
         "event_id", "ip", "province", "city", "district")
+
+
+# --- detail ETL pipeline ----------------------------------------------------
+
+from plover.plans import etl as ETL  # noqa: E402
+from plover.session import scratch_path  # noqa: E402
+
+
+@register("w16_detail_etl")
+def q_detail_etl(spark, sf_dir):
+    geo_dict = GEO.build_geo_dictionary(geo_lines(spark, sf_dir))
+    ranges = GEO.parse_ip_regions(ip_lines(spark, sf_dir))
+    out = scratch_path(spark, "detail")
+    ETL.run_detail_etl(_log(spark, sf_dir), geo_dict, ranges, out, tiebreak="event_id")
+    back = spark.read.parquet(out)
+    return back.select("event_id", "newsession", "province", "city", "district", "newuser", "guid",
+                       F.col("dy").cast("date").alias("dy"))
