@@ -441,3 +441,51 @@ SELECT i.event_id, s.newsession, i.province, i.city, i.district,
 FROM ipenr i JOIN sess s ON i.event_id = s.event_id
 LEFT JOIN first_seen f ON i.account = f.account
 LEFT JOIN b2 b ON i.dy = b.dy AND i.deviceid = b.deviceid"""
+
+# --- profile models -----------------------------------------------------------
+
+Q["w34_knn_classify"] = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+pairs AS (SELECT a.vec_id, b.vec_id AS neighbour, b.label, list_distance(a.f, b.f) AS d
+          FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, label, neighbour FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS rn FROM pairs) t
+WHERE rn = 1"""
+
+_CHURN = """feats AS (
+  SELECT o_custkey AS c_custkey, CAST(count(*) AS DOUBLE) AS n_orders, sum(o_totalprice) AS total_price,
+    avg(o_totalprice) AS avg_price, max(o_totalprice) AS max_price,
+    CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS DOUBLE) AS n_urgent,
+    CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) AS n_open
+  FROM orders GROUP BY o_custkey),
+churn AS (SELECT f.* FROM feats f JOIN customer c ON f.c_custkey = c.c_custkey)"""
+
+Q["w35_minmax_scale"] = "WITH " + _CHURN + "\nSELECT c_custkey, " + ", ".join(
+    f"round(CASE WHEN max({c}) OVER () = min({c}) OVER () THEN 0.5 "
+    f"ELSE ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END, 6) AS {c}"
+    for c in ["n_orders", "total_price", "avg_price", "max_price", "n_urgent", "n_open"]) + " FROM churn"
+
+_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in
+                  ["哪里", "的", "，", "。", "！", "：", ":", ",", ".", "_", "-", "=", "+", "-", "*", "/"])
+
+Q["w36_tfidf_terms"] = f"""WITH toks AS (
+  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE length(term) >= 2 AND term NOT IN ({_STOP})
+       GROUP BY doc_id, term),
+dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+m AS (SELECT count(*) AS m FROM documents)
+SELECT tf.doc_id, tf.term, tf.tf, dfs.df, round(ln((m.m + 1.0) / (dfs.df + 1)), 6) AS idf,
+       round(tf.tf * ln((m.m + 1.0) / (dfs.df + 1)), 6) AS tf_idf
+FROM tf JOIN dfs ON tf.term = dfs.term CROSS JOIN m"""
+
+Q["w37_encode_profile"] = """WITH per AS (
+  SELECT o_custkey AS c_custkey, count(*) AS n,
+         max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent
+  FROM orders GROUP BY o_custkey)
+SELECT c.c_custkey,
+  CAST(CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2
+       WHEN 'HOUSEHOLD' THEN 3 WHEN 'MACHINERY' THEN 4 END AS DOUBLE) AS job,
+  CAST(least(greatest(floor(c.c_acctbal / 2000.0), 0), 4) AS DOUBLE) AS income,
+  CAST(least(greatest(floor(COALESCE(p.n, 0) / 10.0), 0), 2) AS DOUBLE) AS age,
+  CAST(c.c_nationkey % 2 AS DOUBLE) AS sex,
+  CAST(COALESCE(p.urgent, 0) AS DOUBLE) AS label
+FROM customer c LEFT JOIN per p ON c.c_custkey = p.c_custkey"""

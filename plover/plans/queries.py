@@ -381,3 +381,104 @@ def q_detail_etl(spark, sf_dir):
     back = spark.read.parquet(out)
     return back.select("event_id", "newsession", "province", "city", "district", "newuser", "guid",
                        F.col("dy").cast("date").alias("dy"))
+
+
+# --- profile models -----------------------------------------------------------
+
+from plover.operators import models as M  # noqa: E402
+
+
+@register("w34_knn_classify")
+def q_knn(spark, sf_dir):
+    """Leave-one-out 1-NN over the whole embeddings table: every vector's
+    label predicted from its nearest other vector."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label",
+                                                  F.col("embedding").alias("features"))
+    r = M.knn_classify(e, e, k=1, exclude_self=True)
+    return r.select(F.col("id").alias("vec_id"), "label", "neighbour")
+
+
+CHURN_FEATURES = ["n_orders", "total_price", "avg_price", "max_price", "n_urgent", "n_open"]
+
+
+def _churn_frame(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    feats = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).cast("double").alias("n_orders"),
+        F.sum("o_totalprice").alias("total_price"),
+        F.avg("o_totalprice").alias("avg_price"),
+        F.max("o_totalprice").alias("max_price"),
+        F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)).cast("double").alias("n_urgent"),
+        F.sum(F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)).cast("double").alias("n_open"))
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_acctbal") < 0, 1.0).otherwise(0.0).alias("label"))
+    return feats.join(c, "c_custkey")
+
+
+@register("w35_minmax_scale")
+def q_minmax(spark, sf_dir):
+    s = M.min_max_scale(_churn_frame(spark, sf_dir).drop("label"), CHURN_FEATURES)
+    return s.select("c_custkey", *[F.round(c, 6).alias(c) for c in CHURN_FEATURES])
+
+
+@register("w35_churn_predict")
+def q_churn(spark, sf_dir):
+    df = _churn_frame(spark, sf_dir)
+    train, _ = M.split_by_key(df, "c_custkey")
+    model = M.fit_churn(train, CHURN_FEATURES)
+    return M.predict(model, df, keep=["c_custkey", "label"])
+
+
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+@register("w36_tfidf_terms")
+def q_tfidf_terms(spark, sf_dir):
+    t = M.term_stats(_docs(spark, sf_dir))
+    return t.select("doc_id", "term", "tf", "df", F.round("idf", 6).alias("idf"), F.round("tf_idf", 6).alias("tf_idf"))
+
+
+@register("w36_text_nb_predict")
+def q_text_nb(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    docs = _docs(spark, sf_dir).join(lab, "doc_id")
+    vec, _ = M.tfidf(docs)
+    train, _ = M.split_by_key(vec, "doc_id")
+    model = M.fit_text_nb(train)
+    return model.transform(vec).select("doc_id", "label", "prediction")
+
+
+# Fixed coding of the market segment (stands in for the profile's job).
+SEGMENT_CODE = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
+PROFILE_FEATURES = ["job", "income", "age", "sex"]
+
+
+def _profile(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    per = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max(F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)).alias("_urgent"))
+    c = table(spark, sf_dir, "customer")
+    j = c.join(per, "c_custkey", "left")
+    return j.select("c_custkey",
+                    M.code("c_mktsegment", SEGMENT_CODE).alias("job"),
+                    M.bucket("c_acctbal", 2000.0, 5).alias("income"),
+                    M.bucket(F.coalesce(F.col("_n"), F.lit(0)), 10.0, 3).alias("age"),
+                    (F.col("c_nationkey") % 2).cast("double").alias("sex"),
+                    F.coalesce(F.col("_urgent"), F.lit(0)).cast("double").alias("label"))
+
+
+@register("w37_encode_profile")
+def q_encode_profile(spark, sf_dir):
+    return _profile(spark, sf_dir)
+
+
+@register("w37_profile_nb_predict")
+def q_profile_nb(spark, sf_dir):
+    df = _profile(spark, sf_dir)
+    train, _ = M.split_by_key(df, "c_custkey")
+    path = scratch_path(spark, "profile-nb")
+    M.fit_profile_nb(train, PROFILE_FEATURES, path=path)
+    model = M.load_profile_nb(path)
+    return M.predict_profile(model, df, PROFILE_FEATURES, keep=["c_custkey", "label"])
