@@ -13,54 +13,81 @@ from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plover.functions.columns import squared_euclid
 
 # --- W34 nearest neighbours --------------------------------------------------
 
 
 def knn_classify(queries: DataFrame, labelled: DataFrame, k: int = 1, metric: str = "distance",
                  id_col: str = "id", label_col: str = "label", features: str = "features",
-                 tile_rows: int = 2048, exclude_self: bool = False) -> DataFrame:
+                 tile_rows: int = 2048, block_rows: int = 2048, exclude_self: bool = False) -> DataFrame:
     """Exact k-nearest-neighbour label of every query row (W34).
 
-    ``features`` is an array<double> column on both sides. The labelled
-    side is cut into tiles of about ``tile_rows`` rows (hash of the id),
-    each packed into one row; every query meets each tile once through an
-    equi-join on the tile id, and the distances to the tile's rows are
-    computed inside that row with array functions (JVM, no Python), keeping
-    only the tile's k best. So no query × labelled pair is ever a row, and
-    no task holds more than one tile. The k best over all tiles are chosen
-    by a windowed top-k per query; the label is the majority among them,
-    ties to the smaller label. ``metric``: 'distance' (squared Euclidean,
-    smaller is nearer) or 'similarity' (1 / (1 + Euclidean), larger is
-    nearer) – both rank neighbours the same way, only the reported score
-    differs (SURVEY Q36). ``exclude_self`` drops the pair of a row with
-    itself (leave-one-out when both sides are the same table).
+    ``features`` is a numeric array column on both sides. Exact search has
+    to compare every query with every labelled row, so the work is blocked:
+    queries are hashed into blocks of about ``block_rows`` and labelled rows
+    into tiles of about ``tile_rows``; each query row is listed once per
+    tile and each labelled row once per block, and the two sides are
+    co-grouped on (block, tile). One group holds one block and one tile; its
+    distance matrix is computed in numpy and only each query's k best
+    leave the group, so no query × labelled pair is ever a row and the data
+    replicated is rows × (number of tiles or blocks), not rows × rows. The
+    k best over all tiles are picked by a windowed top-k per query, and the
+    label is the majority among them, ties to the smaller label.
+
+    ``metric``: 'distance' (squared Euclidean, smaller is nearer) or
+    'similarity' (1 / (1 + Euclidean), larger is nearer); both rank the
+    same way, only the reported score differs (SURVEY Q36). Equal distances
+    go to the smaller neighbour id. ``exclude_self`` drops a row's pair with
+    itself (leave-one-out when both sides are one table).
     """
-    n = labelled.count()
-    tiles = max(1, math.ceil(n / tile_rows))
-    lab = labelled.select(F.col(id_col).alias("_lid"), F.col(label_col).alias("_lab"),
-                          F.col(features).cast("array<double>").alias("_lf"),
-                          F.pmod(F.xxhash64(F.col(id_col)), F.lit(tiles)).alias("_tile"))
-    packed = lab.groupBy("_tile").agg(F.collect_list(F.struct("_lid", "_lab", "_lf")).alias("_rows"))
-    q = queries.select(F.col(id_col).alias("_qid"), F.col(features).cast("array<double>").alias("_qf"),
+    import numpy as np
+    import pandas as pd
+
+    n_lab, n_q = labelled.count(), queries.count()
+    tiles = max(1, math.ceil(n_lab / tile_rows))
+    blocks = max(1, math.ceil(n_q / block_rows))
+    lab_type = labelled.schema[label_col].dataType.simpleString()
+    lab = labelled.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).alias("_lab"),
+                          F.col(features).cast("array<double>").alias("_f"),
+                          F.pmod(F.xxhash64(F.col(id_col)), F.lit(tiles)).alias("_tile"),
+                          F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_blk"))
+    q = queries.select(F.col(id_col).cast("long").alias("_id"), F.col(features).cast("array<double>").alias("_f"),
+                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).alias("_blk"),
                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))).alias("_tile"))
-    j = q.join(packed, "_tile")
-    cand = F.transform("_rows", lambda r: F.struct(squared_euclid(r["_lf"], F.col("_qf")).alias("d"),
-                                                   r["_lid"].alias("nid"), r["_lab"].alias("lab")))
-    if exclude_self:
-        cand = F.filter(cand, lambda c: c["nid"] != F.col("_qid"))
-    best = j.select("_qid", F.explode(F.slice(F.array_sort(cand), 1, k)).alias("c"))
-    w = Window.partitionBy("_qid").orderBy(F.col("c.d"), F.col("c.nid"))
-    top = best.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= k)
-    score = (F.col("c.d") if metric == "distance"
-             else F.lit(1.0) / (F.lit(1.0) + F.sqrt(F.col("c.d"))))
+    kk, drop_self = k, exclude_self
+
+    def tile_top_k(qp: pd.DataFrame, lp: pd.DataFrame) -> pd.DataFrame:
+        cols = ["qid", "nid", "lab", "d"]
+        if qp.empty or lp.empty:
+            return pd.DataFrame({c: [] for c in cols})
+        qf = np.stack(qp["_f"].to_numpy())
+        lf = np.stack(lp["_f"].to_numpy())
+        qid, lid = qp["_id"].to_numpy(), lp["_id"].to_numpy()
+        out = []
+        step = max(1, 2_000_000 // max(1, lf.size))  # bound the (step × tile × dim) work array
+        for s in range(0, len(qf), step):
+            diff = qf[s:s + step, None, :] - lf[None, :, :]
+            d = np.einsum("ijk,ijk->ij", diff, diff)
+            if drop_self:
+                d[qid[s:s + step, None] == lid[None, :]] = np.inf
+            for r in range(d.shape[0]):
+                order = np.lexsort((lid, d[r]))[:kk]
+                order = order[np.isfinite(d[r][order])]
+                out.append(pd.DataFrame({"qid": qid[s + r], "nid": lid[order],
+                                         "lab": lp["_lab"].to_numpy()[order], "d": d[r][order]}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: [] for c in cols})
+
+    cand = (q.groupBy("_blk", "_tile").cogroup(lab.groupBy("_blk", "_tile"))
+            .applyInPandas(tile_top_k, schema=f"qid long, nid long, lab {lab_type}, d double"))
+    w = Window.partitionBy("qid").orderBy("d", "nid")
+    top = cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= k)
+    score = F.col("d") if metric == "distance" else F.lit(1.0) / (F.lit(1.0) + F.sqrt(F.col("d")))
     if k == 1:
-        return top.select(F.col("_qid").alias(id_col), F.col("c.lab").alias(label_col),
-                          F.col("c.nid").alias("neighbour"), score.alias("score"))
-    votes = top.groupBy("_qid", F.col("c.lab").alias("_lab")).agg(F.count(F.lit(1)).alias("_v"))
-    win = votes.groupBy("_qid").agg(F.max_by("_lab", F.struct(F.col("_v"), -F.col("_lab"))).alias(label_col))
-    return win.select(F.col("_qid").alias(id_col), label_col)
+        return top.select(F.col("qid").alias(id_col), F.col("lab").alias(label_col),
+                          F.col("nid").alias("neighbour"), score.alias("score"))
+    votes = top.groupBy("qid", "lab").agg(F.count(F.lit(1)).alias("_v"))
+    win = votes.groupBy("qid").agg(F.max_by("lab", F.struct(F.col("_v"), -F.col("lab"))).alias(label_col))
+    return win.select(F.col("qid").alias(id_col), label_col)
 
 
 # --- W35 churn model ----------------------------------------------------------

@@ -22,11 +22,11 @@ def _vec(spark, data, key):
                      F.array("f1", "f2", "f3", "f4", "f5").alias("features"))
 
 
-@pytest.mark.parametrize("tile_rows", [2048, 5])
+@pytest.mark.parametrize("tile_rows", [2048, 5, 2])
 def test_knn_golden(spark, tile_rows):
     lab = _vec(spark, SIMPLE, "label").withColumn("id", F.monotonically_increasing_id())
     q = _vec(spark, TEST, "id")
-    out = rows(M.knn_classify(q, lab, k=1, tile_rows=tile_rows), "id", "label", "score")
+    out = rows(M.knn_classify(q, lab, k=1, tile_rows=tile_rows, block_rows=tile_rows), "id", "label", "score")
     assert [(i, lbl) for i, lbl, _ in out] == [(1, 0.0), (2, 0.0), (3, 1.0), (4, 1.0), (5, 1.0)]
     assert [s for _, _, s in out] == [10.0, 33.0, 10.0, 13.0, 13.0]
     sim = rows(M.knn_classify(q, lab, k=1, metric="similarity", tile_rows=tile_rows), "id", "score")
