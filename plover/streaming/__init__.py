@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference defines no stream (no readStream / writeStream, watermark,
+trigger or Kafka source). Its day-by-day state – score rollover, identity
+carry-over, activity ranges, bitmaps – is batch state(d) = f(state(d−1),
+log(d)), implemented in ``plover.operators`` with a ``day`` key so that
+any number of days is rolled in one job.
+"""
