@@ -26,36 +26,35 @@ def clean_events(log: DataFrame) -> DataFrame:
 
 def sessionize(log: DataFrame, key: str = "sessionid", ts: str = "timestamp",
                gap_ms: int = 30 * 60 * 1000, tiebreak: str | None = None,
-               bucket_ms: int = 3600 * 1000, out: str = "newsession") -> DataFrame:
+               bucket_ms: int | None = None, out: str = "newsession") -> DataFrame:
     """Split each incoming session at inactivity gaps of at least ``gap_ms``
-    (W02); every event gets ``out`` = key‖'-'‖n, n counting from 1.
-
-    Skew-safe two-level scan: rows are windowed by (key, time bucket), so a
-    key with a huge share of the rows is spread over its buckets instead of
-    one task. What crosses a bucket border – the last timestamp and the
-    number of session starts of the earlier buckets – comes from a summary
-    with one row per (key, bucket), windowed per key. The big side keeps
-    the (key, bucket) hash partitioning through both windows, the summary
-    aggregates and the two joins, so it is shuffled once.
+    (W02); every event gets ``out`` = key‖'-'‖n, n counting sessions from 1.
+
+    Time is cut into buckets no wider than the gap. Two events of one
+    bucket are less than a gap apart, so a session can only start at the
+    first event of a bucket, and it does when the previous non-empty bucket
+    of the key ended at least a gap earlier. The session number is
+    therefore a property of the (key, bucket): one partial aggregate
+    (first and last timestamp per bucket), a window per key over its
+    buckets – one row per bucket, not per event – and a join back on
+    (key, bucket). No event-level sort is needed and a key holding a large
+    share of the rows is spread over its buckets. ``tiebreak`` is accepted
+    for symmetry with the other scans; equal timestamps always share a
+    session.
     """
-    order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
-    df = log.withColumn("_b", F.floor(F.col(ts) / F.lit(bucket_ms)))
-    w = Window.partitionBy(key, "_b").orderBy(*order)
+    b_ms = bucket_ms or gap_ms
+    if b_ms > gap_ms:
+        raise ValueError("bucket_ms must not exceed gap_ms")
+    df = log.withColumn("_b", F.floor(F.col(ts) / F.lit(b_ms)).cast("long"))
     wk = Window.partitionBy(key).orderBy("_b")
-    df = df.withColumn("_prev", F.lag(ts).over(w))
-    last_in_bucket = (df.groupBy(key, "_b").agg(F.max(ts).alias("_last"))
-                      .select(key, "_b", F.lag("_last").over(wk).alias("_prev_last")))
-    df = df.join(last_in_bucket, [key, "_b"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_prev_last"))
-    df = df.withColumn("_start", F.when(prev.isNull() | (F.col(ts) - prev >= gap_ms), 1).otherwise(0))
-    df = df.withColumn("_local", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    offsets = (df.groupBy(key, "_b").agg(F.sum("_start").alias("_n"))
-               .select(key, "_b", F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
-                                             F.lit(0)).alias("_off")))
-    df = df.join(offsets, [key, "_b"], "left")
-    seq = (F.col("_local") + F.col("_off")).cast("long")
-    return (df.withColumn(out, F.concat_ws("-", F.col(key), seq.cast("string")))
-              .drop("_b", "_prev", "_prev_last", "_start", "_local", "_off"))
+    summ = df.groupBy(key, "_b").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    prev_last = F.lag("_last").over(wk)
+    summ = summ.withColumn("_start", F.when(prev_last.isNull() | (F.col("_first") - prev_last >= gap_ms), 1)
+                           .otherwise(0))
+    summ = summ.select(key, "_b", F.sum("_start").over(wk.rowsBetween(Window.unboundedPreceding, 0))
+                       .cast("long").alias("_seq"))
+    j = df.join(summ, [key, "_b"], "left")
+    return j.withColumn(out, F.concat_ws("-", F.col(key), F.col("_seq").cast("string"))).drop("_b", "_seq")
 
 
 def flag_new_users(log: DataFrame, history: DataFrame, account: str = "account",

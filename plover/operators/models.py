@@ -125,9 +125,10 @@ def min_max_scale(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
     return df.select(*[x for x in df.columns if x not in feature_cols], *out)
 
 
-def split_by_key(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42):
-    """Deterministic train/test split on a hash of ``key``."""
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1000))
+def split_by_key(df: DataFrame, key: str, test_fraction: float = 0.2):
+    """Deterministic train/test split on a hash of ``key``: the
+    first 8 hex digits of md5(key) modulo 1000, so any engine can repeat it."""
+    h = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % 1000
     cut = int(round(test_fraction * 1000))
     return df.filter(h >= cut), df.filter(h < cut)
 
@@ -164,7 +165,15 @@ def term_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """TF-IDF before hashing, per (document, term): tf, df, idf =
     ln((m + 1) / (df + 1)) as MLlib's IDF computes it. Term counts are
     partial aggregates; m is one global count."""
-    toks = docs.select(id_col, F.explode(tokenize(text_col, stop_words)).alias("term"))
+    # Hash-distribute whole documents first: tokenizing is the CPU cost, and
+    # hash partitioning on the id already satisfies the (id, term) grouping,
+    # so the term counts need no second shuffle. Explode, then filter with
+    # plain predicates (codegen) rather than a per-element lambda.
+    spark = docs.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    d = docs.select(id_col, text_col).repartition(n, id_col)
+    toks = d.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("term"))
+    toks = toks.filter((F.length("term") >= 2) & ~F.col("term").isin(list(stop_words)))
     tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     m = docs.count()

@@ -478,14 +478,41 @@ SELECT tf.doc_id, tf.term, tf.tf, dfs.df, round(ln((m.m + 1.0) / (dfs.df + 1)),
 FROM tf JOIN dfs ON tf.term = dfs.term CROSS JOIN m"""
 
 Q["w37_encode_profile"] = """WITH per AS (
-  SELECT o_custkey AS c_custkey, count(*) AS n,
-         max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent
-  FROM orders GROUP BY o_custkey)
+  SELECT o_custkey AS c_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
 SELECT c.c_custkey,
   CAST(CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2
        WHEN 'HOUSEHOLD' THEN 3 WHEN 'MACHINERY' THEN 4 END AS DOUBLE) AS job,
   CAST(least(greatest(floor(c.c_acctbal / 2000.0), 0), 4) AS DOUBLE) AS income,
   CAST(least(greatest(floor(COALESCE(p.n, 0) / 10.0), 0), 2) AS DOUBLE) AS age,
   CAST(c.c_nationkey % 2 AS DOUBLE) AS sex,
-  CAST(COALESCE(p.urgent, 0) AS DOUBLE) AS label
+  CAST(CASE WHEN c.c_acctbal > 4500 THEN 1 ELSE 0 END AS DOUBLE) AS label
 FROM customer c LEFT JOIN per p ON c.c_custkey = p.c_custkey"""
+
+Q["w37_profile_nb_predict"] = """WITH per AS (
+  SELECT o_custkey AS c_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
+prof AS (
+  SELECT c.c_custkey,
+    CAST(CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2
+         WHEN 'HOUSEHOLD' THEN 3 WHEN 'MACHINERY' THEN 4 END AS DOUBLE) AS job,
+    CAST(least(greatest(floor(c.c_acctbal / 2000.0), 0), 4) AS DOUBLE) AS income,
+    CAST(least(greatest(floor(COALESCE(p.n, 0) / 10.0), 0), 2) AS DOUBLE) AS age,
+    CAST(c.c_nationkey % 2 AS DOUBLE) AS sex,
+    CAST(CASE WHEN c.c_acctbal > 4500 THEN 1 ELSE 0 END AS DOUBLE) AS label
+  FROM customer c LEFT JOIN per p ON c.c_custkey = p.c_custkey),
+train AS (SELECT * FROM prof
+          WHERE CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8)) AS BIGINT) % 1000 >= 200),
+cls AS (SELECT label, count(*) AS n, sum(job) AS s1, sum(income) AS s2, sum(age) AS s3, sum(sex) AS s4
+        FROM train GROUP BY label),
+tot AS (SELECT count(*) AS k, sum(n) AS docs FROM cls),
+params AS (
+  SELECT label, ln(n + 0.01) - ln(docs + k * 0.01) AS pi,
+    ln(s1 + 0.01) - ln(s1 + s2 + s3 + s4 + 4 * 0.01) AS t1, ln(s2 + 0.01) - ln(s1 + s2 + s3 + s4 + 4 * 0.01) AS t2,
+    ln(s3 + 0.01) - ln(s1 + s2 + s3 + s4 + 4 * 0.01) AS t3, ln(s4 + 0.01) - ln(s1 + s2 + s3 + s4 + 4 * 0.01) AS t4
+  FROM cls CROSS JOIN tot),
+scored AS (
+  SELECT p.c_custkey, p.label, m.label AS cls,
+         p.job * m.t1 + p.income * m.t2 + p.age * m.t3 + p.sex * m.t4 + m.pi AS score
+  FROM prof p CROSS JOIN params m)
+SELECT c_custkey, label, cls AS cheat FROM (
+  SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY score DESC, cls) AS rn FROM scored) t
+WHERE rn = 1"""

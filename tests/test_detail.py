@@ -74,3 +74,29 @@ def test_sessionize_gap_and_buckets(spark):
     df = spark.createDataFrame([(i, "s", t) for i, t in enumerate(ts)], "id int, sessionid string, timestamp long")
     out = D.sessionize(df, tiebreak="id", bucket_ms=20 * m)
     assert rows(out, "id", "newsession") == [(0, "s-1"), (1, "s-1"), (2, "s-2"), (3, "s-2"), (4, "s-3")]
+
+
+def test_sessionize_matches_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    m = 60 * 1000
+    data = []
+    for key, n in (("hot", 400), ("a", 30), ("b", 5)):
+        t = 0
+        for i in range(n):
+            t += rnd.choice([0, 1, 5, 29, 30, 31, 45, 120]) * m + rnd.randint(0, 999)
+            data.append((f"{key}{i}", key, t))
+    expect = {}
+    by_key = {}
+    for eid, k, t in data:
+        by_key.setdefault(k, []).append((t, eid))
+    for k, evs in by_key.items():
+        seq, prev = 0, None
+        for t, eid in sorted(evs):
+            if prev is None or t - prev >= 30 * m:
+                seq += 1
+            expect[eid] = f"{k}-{seq}"
+            prev = t
+    df = spark.createDataFrame(data, "id string, sessionid string, timestamp long")
+    got = dict(rows(D.sessionize(df), "id", "newsession"))
+    assert got == expect
