@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,7 +9,6 @@ from pyspark.sql import functions as F
 # The standard geohash base-32 alphabet.
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
-_EPOCH_NTZ = _dt.datetime(1970, 1, 1)
 
 
 def _c(x) -> Column:
@@ -33,14 +31,17 @@ def blank_to_null(c) -> Column:
     return F.when(not_blank(c), c)
 
 
-def epoch_ms(ts) -> Column:
-    """Epoch milliseconds of a timestamp column.
+def epoch_ms(ts, zoned: bool = False) -> Column:
+    """Epoch milliseconds of a timestamp column (floor).
 
-    ``TIMESTAMP_NTZ`` values are taken as UTC wall-clock without consulting
-    the session time zone; ``TIMESTAMP`` values are absolute already.
+    ``TIMESTAMP_NTZ`` values (the default) are taken as UTC wall-clock
+    without consulting the session time zone; with ``zoned=True`` the column
+    is a ``TIMESTAMP`` (an absolute instant).
     """
     ts = _c(ts)
-    return F.timestamp_diff("MILLISECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"),
+    if zoned:
+        return F.floor(F.unix_micros(ts) / 1000).cast("long")
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                             ts.cast("timestamp_ntz"))
 
 
