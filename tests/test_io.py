@@ -27,3 +27,26 @@ def test_partition_overwrite_is_idempotent(spark):
     assert rows(spark.read.parquet(path), "x") == [(1,), (2,)]
     one = io.read_table(spark, path, day="2024-01-02")
     assert rows(one, "x") == [(2,)]
+
+
+def test_catalog_partitioned_table(spark):
+    from pyspark.sql import types as T
+
+    from plover.sources import catalog
+
+    loc = scratch_path(spark, "catalog-table")
+    schema = T.StructType([T.StructField("guid", T.StringType()), T.StructField("bitmap", T.LongType()),
+                           T.StructField("dy", T.DateType())])
+    catalog.create_partitioned_table(spark, "plover_test_bitmap", schema, ["dy"], location=loc)
+    try:
+        df = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 3, "2024-01-02")], "guid string, bitmap long, dy string") \
+            .withColumn("dy", F.col("dy").cast("date"))
+        catalog.insert_partitions(df, "plover_test_bitmap")
+        catalog.insert_partitions(df.filter("guid = 'b'").withColumn("bitmap", F.lit(7).cast("long")),
+                                  "plover_test_bitmap")
+        assert rows(spark.table("plover_test_bitmap"), "guid", "bitmap") == [("a", 1), ("b", 7)]
+        catalog.create_table_as(df, "plover_test_bitmap")  # exists: left as is
+        assert spark.table("plover_test_bitmap").count() == 2
+        assert "default" in catalog.databases(spark)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS plover_test_bitmap")
