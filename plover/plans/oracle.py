@@ -516,3 +516,5 @@ scored AS (
 SELECT c_custkey, label, cls AS cheat FROM (
   SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY score DESC, cls) AS rn FROM scored) t
 WHERE rn = 1"""
+
+Q["w32_update_bitmap_text"] = Q["w32_update_bitmap"]

@@ -170,6 +170,14 @@ def q_bitmap(spark, sf_dir):
     return A.update_bitmap(prev, act, day="dy")
 
 
+@register("w32_update_bitmap_text")
+def q_bitmap_text(spark, sf_dir):
+    act = _active(spark, sf_dir)
+    last = _last_day(act)
+    prev = A.bitmap_snapshots(act, last_day=last - _dt.timedelta(days=1))
+    return A.update_bitmap_text(prev, act, day="dy")
+
+
 # --- attribution ------------------------------------------------------------
 
 from plover.operators import attribution as AT  # noqa: E402

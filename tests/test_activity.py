@@ -80,3 +80,11 @@ def test_update_bitmap_golden(spark):
     assert got == {"u1": 11, "u2": 10, "new": 1, "u3": 3}
     text = dict(rows(A.update_bitmap_text(prev, today), "guid", "bitmap"))
     assert text == got
+
+
+def test_bitmap_snapshots_from_scratch(spark):
+    act = spark.createDataFrame([("u", D(2024, 1, 1)), ("u", D(2024, 1, 3)), ("late", D(2024, 1, 9))],
+                                "guid string, dy date")
+    got = rows(A.bitmap_snapshots(act, last_day=D(2024, 1, 4)), "guid", "dy", "bitmap")
+    assert got == [("u", D(2024, 1, 1), 1), ("u", D(2024, 1, 2), 2), ("u", D(2024, 1, 3), 5),
+                   ("u", D(2024, 1, 4), 10)]
