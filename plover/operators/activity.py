@@ -77,7 +77,8 @@ def range_snapshots(active: DataFrame, first_day=None, last_day=None) -> DataFra
     isl = isl.join(first, "guid")
     lo = F.col("s") if first_day is None else F.greatest(F.col("s"), F.lit(first_day).cast("date"))
     e = F.explode(F.sequence(lo, F.lit(last_day).cast("date")))
-    snap = isl.filter(F.col("s") <= F.lit(last_day).cast("date")).select("guid", "first_dt", "s", "t", e.alias("dy"))
+    # sequence() counts down when start > stop: keep only islands that start by last_day
+    snap = isl.filter(lo <= F.lit(last_day).cast("date")).select("guid", "first_dt", "s", "t", e.alias("dy"))
     return snap.select("first_dt", "guid", F.col("s").alias("range_start"),
                        F.when(F.col("t") < F.col("dy"), F.col("t")).otherwise(_open()).alias("range_end"), "dy")
 
