@@ -64,10 +64,16 @@ def _canon(e: DataFrame) -> DataFrame:
             .filter(F.col("u") != F.col("v")).distinct())
 
 
+def _orient(e: DataFrame) -> DataFrame:
+    return (e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+            .filter(F.col("u") != F.col("v")))
+
+
 def _large_star(e: DataFrame) -> DataFrame:
+    # duplicates are harmless to the next step's minima; the round ends with a distinct
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return _canon(both.join(m, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")))
+    return _orient(both.join(m, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -78,6 +84,19 @@ def _small_star(e: DataFrame) -> DataFrame:
                   .unionByName(j.select(F.col("m").alias("u"), F.col("v").alias("v"))))
 
 
+def _is_min_star_forest(e: DataFrame) -> bool:
+    """True when the canonical edges (u < v) form stars centred on their
+    smallest vertex – the fixed point of the large-star / small-star
+    alternation: no vertex is both a centre and a leaf and no leaf has two
+    centres. One aggregate over the vertices (one shuffle)."""
+    roles = (e.select(F.col("u").alias("x"), F.lit(0).alias("leaf"))
+             .unionByName(e.select(F.col("v").alias("x"), F.lit(1).alias("leaf"))))
+    bad = (roles.groupBy("x").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"),
+                                  F.sum("leaf").alias("n_centres"))
+           .filter((F.col("lo") != F.col("hi")) | (F.col("n_centres") > 1)))
+    return bad.limit(1).count() == 0
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """Label every vertex with the smallest id of its component (W12):
     id, component. Isolated vertices label themselves."""
@@ -85,12 +104,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     ensure_checkpoint_dir(spark)
     e = _canon(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))).checkpoint()
     for _ in range(max_rounds):
-        nxt = _small_star(_large_star(e)).checkpoint()
-        diff = (e.withColumn("_a", F.lit(1)).join(nxt.withColumn("_b", F.lit(1)), ["u", "v"], "full")
-                .filter(F.col("_a").isNull() | F.col("_b").isNull()).limit(1).count())
-        e = nxt
-        if diff == 0:
+        if _is_min_star_forest(e):
             break
+        e = _small_star(_large_star(e)).checkpoint()
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     # converged: every component is a star around its minimum

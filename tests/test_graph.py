@@ -43,3 +43,33 @@ def test_carry_over(spark):
     today = spark.createDataFrame([("x", "x"), ("y", "x"), ("z", "z")], "id string, guid string")
     prev = spark.createDataFrame([("y", "old2"), ("x", "old1")], "id string, guid string")
     assert rows(G.carry_over_guid(today, prev)) == [("x", "old1"), ("y", "old1"), ("z", "z")]
+
+
+def test_components_match_union_find(spark):
+    import random
+    rnd = random.Random(3)
+    n = 300
+    ids = [f"n{i:04d}" for i in range(n)]
+    edges = [(rnd.choice(ids), rnd.choice(ids)) for _ in range(220)]
+    # a hub touching many vertices, as a shared device would
+    edges += [("n0150", ids[i]) for i in range(0, n, 7)]
+    parent = {x: x for x in ids}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    comp_min = {}
+    for x in ids:
+        r = find(x)
+        comp_min[r] = min(comp_min.get(r, x), x)
+    expect = {x: comp_min[find(x)] for x in ids}
+    v = spark.createDataFrame([(x,) for x in ids], "id string")
+    e = spark.createDataFrame(edges, "src string, dst string")
+    assert dict(rows(G.connected_components(v, e))) == expect
