@@ -74,11 +74,15 @@ def flag_new_users(log: DataFrame, history: DataFrame, account: str = "account",
 
 
 def flag_new_users_by_day(log: DataFrame, account: str = "account", day: str = "dy",
-                          out: str = "newuser") -> DataFrame:
+                          out: str = "newuser", seen: DataFrame | None = None) -> DataFrame:
     """W06 for every day of ``log`` at once: history of day d = the accounts
     seen before d, i.e. newuser = 1 unless the account was first seen on an
-    earlier day. One aggregate (first day per account) and one join."""
-    first = (log.filter(not_blank(account)).groupBy(F.col(account).alias("_acc"))
+    earlier day. One aggregate (first day per account) and one join.
+    ``seen`` (default ``log``) is where first days are taken from – pass the
+    cheapest frame with the same (account, day) rows, so that a long
+    upstream chain is not recomputed for the aggregate."""
+    src = log if seen is None else seen
+    first = (src.filter(not_blank(account)).groupBy(F.col(account).alias("_acc"))
              .agg(F.min(day).alias("_first")))
     j = log.join(first, log[account] == first["_acc"], "left")
     newuser = F.when(is_blank(account) | (F.col("_first") >= F.col(day)), 1).otherwise(0)

@@ -23,7 +23,8 @@ def detail_etl(log: DataFrame, geo_dict: DataFrame, ip_ranges: DataFrame, gap_ms
     clean = D.clean_events(log)
     s = D.sessionize(clean, tiebreak=tiebreak, gap_ms=gap_ms)
     g = GEO.ip_region_enrich(GEO.geo_enrich(s, geo_dict), ip_ranges)
-    flagged = D.flag_new_users(g, history) if history is not None else D.flag_new_users_by_day(g, day=day)
+    flagged = (D.flag_new_users(g, history) if history is not None
+               else D.flag_new_users_by_day(g, day=day, seen=clean))
     if prev_best is None:
         prev_best = D.best_account(D.device_account_scores(clean, by=[day]), by=[day])
         return D.assign_guid(flagged, prev_best, day=day)

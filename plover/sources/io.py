@@ -59,8 +59,12 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] = (
                      fmt: str = "parquet") -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition
     overwrite), so re-running one day replaces that day instead of
-    appending a second copy (SURVEY Q44)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    appending a second copy (SURVEY Q44).
+
+    The rebalance hint lets AQE shape the write: rows of a day are grouped
+    into few tasks sized to the advisory partition size, and a day too big
+    for one task is split, so neither tiny files nor one giant task."""
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).format(fmt).save(path))
 
 
