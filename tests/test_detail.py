@@ -1,7 +1,5 @@
 """Detail layer on the shipped fixtures (goldens from FIXTURES.md §2)."""
 
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from conftest import rows
 from plover.operators import detail as D

@@ -1,7 +1,6 @@
 """Series fill and sales report on the shipped fixtures (FIXTURES.md §2)."""
 
 import datetime as dt
-from decimal import Decimal
 
 from conftest import rows
 from plover.operators import report as RP
