@@ -54,7 +54,8 @@ def sessionize(log: DataFrame, key: str = "sessionid", ts: str = "timestamp",
     summ = summ.select(key, "_b", F.sum("_start").over(wk.rowsBetween(Window.unboundedPreceding, 0))
                        .cast("long").alias("_seq"))
     j = df.join(summ, [key, "_b"], "left")
-    return j.withColumn(out, F.concat_ws("-", F.col(key), F.col("_seq").cast("string"))).drop("_b", "_seq")
+    # a null incoming key gives a null session id (it matches no summary row)
+    return j.withColumn(out, F.concat(F.col(key), F.lit("-"), F.col("_seq").cast("string"))).drop("_b", "_seq")
 
 
 def flag_new_users(log: DataFrame, history: DataFrame, account: str = "account",

@@ -54,7 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = fallback or os.environ.get("PLOVER_CHECKPOINT_DIR") or "/tmp/plover-checkpoints"
+        d = fallback or os.environ.get("PLOVER_CHECKPOINT_DIR")
+        if not d:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir is not set: configure a folder on shared storage "
+                                 "(a machine-local folder does not survive executor loss)")
+            d = "/tmp/plover-checkpoints"  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

@@ -98,3 +98,8 @@ def test_sessionize_matches_brute_force(spark):
     df = spark.createDataFrame(data, "id string, sessionid string, timestamp long")
     got = dict(rows(D.sessionize(df), "id", "newsession"))
     assert got == expect
+
+
+def test_sessionize_null_key(spark):
+    df = spark.createDataFrame([(1, None, 10), (2, "s", 10)], "id int, sessionid string, timestamp long")
+    assert rows(D.sessionize(df), "id", "newsession") == [(1, None), (2, "s-1")]
