@@ -24,8 +24,9 @@ def knn_classify(queries: DataFrame, labelled: DataFrame, k: int = 1, metric: st
 
     ``features`` is a numeric array column on both sides. Exact search has
     to compare every query with every labelled row, so the work is blocked:
-    queries are hashed into blocks of about ``block_rows`` and labelled rows
-    into tiles of about ``tile_rows``; each query row is listed once per
+    queries are hashed into blocks of at most about ``block_rows`` and
+    labelled rows into tiles of at most about ``tile_rows`` (more, smaller
+    ones when that is needed to give every core a group); each query row is listed once per
     tile and each labelled row once per block, and the two sides are
     co-grouped on (block, tile). One group holds one block and one tile; its
     distance matrix is computed in numpy and only each query's k best
@@ -44,8 +45,10 @@ def knn_classify(queries: DataFrame, labelled: DataFrame, k: int = 1, metric: st
     import pandas as pd
 
     n_lab, n_q = labelled.count(), queries.count()
-    tiles = max(1, math.ceil(n_lab / tile_rows))
-    blocks = max(1, math.ceil(n_q / block_rows))
+    # enough (block, tile) groups to occupy every core, never above the row caps
+    per_side = math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism))
+    tiles = max(1, math.ceil(n_lab / tile_rows), min(per_side, n_lab))
+    blocks = max(1, math.ceil(n_q / block_rows), min(per_side, n_q))
     lab_type = labelled.schema[label_col].dataType.simpleString()
     lab = labelled.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).alias("_lab"),
                           F.col(features).cast("array<double>").alias("_f"),
