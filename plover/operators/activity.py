@@ -135,7 +135,8 @@ def active_days(ranges: DataFrame, as_of=None, day: str | None = None) -> DataFr
     per_n = hist.select(*keys, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("days"), "_c")
     out = per_n.groupBy(*keys, "days").agg(F.sum("_c").cast("long").alias("user_cnt"))
     dt = F.col(day) if day else F.lit(as_of).cast("date")
-    return out.select(dt.alias("dt"), "days", "user_cnt")
+    # ordered by day count as the reference prints it; the table is tiny
+    return out.select(dt.alias("dt"), "days", "user_cnt").orderBy("dt", "days")
 
 
 def active_days_members(ranges: DataFrame, as_of=None, day: str | None = None) -> DataFrame:

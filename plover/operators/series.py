@@ -44,7 +44,7 @@ def forward_fill(series: DataFrame, date: str, value: str, by: Sequence[str] = (
 
 
 def fill_by_range_join(series: DataFrame, date: str, value: str, by: Sequence[str] = (),
-                       bucket_days: int = 31) -> DataFrame:
+                       bucket_days: int = 31, ordered: bool = False) -> DataFrame:
     """Unknown dates take the value of the known interval [date, next known
     date] that contains them; known rows are kept (W31). As in the
     reference, dates after the last known value stay unfilled and are not
@@ -53,6 +53,7 @@ def fill_by_range_join(series: DataFrame, date: str, value: str, by: Sequence[st
     The non-equi join is made an equi-join on (key, bucket): each interval
     is listed once per date bucket it touches, so each unknown row meets
     only the intervals of its own bucket, never all intervals of its key.
+    ``ordered`` sorts the result by (by…, date) as the reference prints it.
     """
     by = list(by)
     known = series.filter(F.col(value).isNotNull())
@@ -64,4 +65,6 @@ def fill_by_range_join(series: DataFrame, date: str, value: str, by: Sequence[st
     filled = (unknown.join(iv, [*by, "_bk"])
               .filter(F.col(date).between(F.col("_s"), F.col("_e")))
               .select(*by, date, F.col("_v").alias(value)))
-    return filled.unionByName(known.select(*by, date, value))
+    out = filled.unionByName(known.select(*by, date, value))
+    # the reference orders by date; a global (range-partitioned) sort only on request
+    return out.orderBy(*by, date) if ordered else out

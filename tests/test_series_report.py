@@ -35,7 +35,9 @@ def test_forward_fill_golden(spark):
 
 
 def test_range_join_fill_golden(spark):
-    got = rows(SR.fill_by_range_join(_series(spark), "price_date", "price", bucket_days=3), "price_date", "price")
+    out = SR.fill_by_range_join(_series(spark), "price_date", "price", bucket_days=3, ordered=True)
+    assert [r["price_date"] for r in out.collect()] == [d for d, _ in _expected()]
+    got = rows(out, "price_date", "price")
     assert got == _expected()
 
 
