@@ -6,13 +6,25 @@ matching DuckDB SQL is in ``plover.plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plover.functions.columns import epoch_ms
+from plover.operators import activity as A
+from plover.operators import attribution as AT
+from plover.operators import detail as D
+from plover.operators import geo as GEO
+from plover.operators import graph as G
+from plover.operators import models as M
+from plover.operators import report as RP
+from plover.operators import series as SR
 from plover.operators import sessions as S
-from plover.sources.applog import detail_log
+from plover.plans import etl as ETL
+from plover.session import scratch_path
+from plover.sources.applog import app_log, detail_log
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -58,9 +70,6 @@ def q_funnel_depth(spark, sf_dir):
 
 # --- detail layer -----------------------------------------------------------
 
-from plover.operators import detail as D  # noqa: E402
-from plover.sources.applog import app_log  # noqa: E402
-
 
 def _log(spark, sf_dir):
     return app_log(table(spark, sf_dir, "events"))
@@ -115,10 +124,6 @@ def q_guid(spark, sf_dir):
 
 # --- activity state ---------------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from plover.operators import activity as A  # noqa: E402
-
 
 def _active(spark, sf_dir):
     return A.active_users(_detail(spark, sf_dir))
@@ -180,7 +185,6 @@ def q_bitmap_text(spark, sf_dir):
 
 # --- attribution ------------------------------------------------------------
 
-from plover.operators import attribution as AT  # noqa: E402
 
 TOUCHES = ("click", "view", "signup")
 TARGET = "purchase"
@@ -188,7 +192,6 @@ TARGET = "purchase"
 
 def _touch_events(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    from plover.functions.columns import epoch_ms
     return ev.select(F.col("user_id").alias("guid"), F.col("event_type").alias("event"),
                      epoch_ms("ts").alias("timestamp"), "event_id")
 
@@ -229,9 +232,6 @@ def q_decay(spark, sf_dir):
 
 # --- series and report ------------------------------------------------------
 
-from plover.operators import report as RP  # noqa: E402
-from plover.operators import series as SR  # noqa: E402
-
 
 def _daily_series(spark, sf_dir):
     """Per user and day between the user's first and last event: the value
@@ -271,7 +271,6 @@ def q_sales_report(spark, sf_dir):
 
 # --- identity graph ---------------------------------------------------------
 
-from plover.operators import graph as G  # noqa: E402
 
 ID_COLS = ("account", "deviceid")
 SPLIT_DAY = "2024-01-16"  # yesterday/today boundary of the incremental jobs
@@ -322,7 +321,6 @@ def q_label(spark, sf_dir):
 
 # --- geography --------------------------------------------------------------
 
-from plover.operators import geo as GEO  # noqa: E402
 
 IP_SPAN = 4294967296 // 25
 
@@ -376,9 +374,6 @@ def q_ip_enrich(spark, sf_dir):
 
 # --- detail ETL pipeline ----------------------------------------------------
 
-from plover.plans import etl as ETL  # noqa: E402
-from plover.session import scratch_path  # noqa: E402
-
 
 @register("w16_detail_etl")
 def q_detail_etl(spark, sf_dir):
@@ -393,8 +388,6 @@ def q_detail_etl(spark, sf_dir):
 
 # --- profile models -----------------------------------------------------------
 
-from plover.operators import models as M  # noqa: E402
-
 
 @register("w34_knn_classify")
 def q_knn(spark, sf_dir):
