@@ -48,3 +48,43 @@ def run_service_day(spark: SparkSession, detail_path: str, out_root: str, dy: st
     prev_bits = _state(spark, out_root, BITMAP, prev_day, "guid string, bitmap long")
     bits = A.update_bitmap(prev_bits, today)
     write_partitions(bits.withColumn("dy", F.lit(dy).cast("date")), f"{out_root}/{BITMAP}")
+
+
+SCORES, LABELS = "score", "graph_labels"
+
+
+def run_scores_day(spark: SparkSession, log_path: str, out_root: str, dy: str, first_day: bool = False) -> None:
+    """Device–account score table of ``dy`` (W07 on the first day, else
+    W08 from yesterday's partition); W09's best account of a day is
+    ``best_account`` over that partition."""
+    from plover.operators import detail as D
+
+    day = _dt.date.fromisoformat(dy)
+    log = read_table(spark, log_path, day=dy)
+    if first_day:
+        scores = D.device_account_scores(log)
+    else:
+        prev = _state(spark, out_root, SCORES, day - _dt.timedelta(days=1), schemas.SCORES)
+        scores = D.rollover_scores(prev, log)
+    write_partitions(scores.select("deviceid", "account", "timestamp", "score")
+                     .withColumn("dy", F.lit(dy).cast("date")), f"{out_root}/{SCORES}")
+
+
+def run_identity_day(spark: SparkSession, log_path: str, out_root: str, dy: str, first_day: bool = False,
+                     id_cols=("account", "deviceid"), min_support: int = 2) -> None:
+    """Identifier → guid labels of ``dy``: components of today's identity
+    graph (W11, W12); from the second day on, yesterday's labels join the
+    graph as edges (W13) and each component keeps the smallest of
+    yesterday's guids found among its members (W14)."""
+    from plover.operators import graph as G
+
+    day = _dt.date.fromisoformat(dy)
+    log = read_table(spark, log_path, day=dy)
+    v, e = G.identity_vertices(log, id_cols), G.identity_edges(log, id_cols, "pairs", min_support)
+    if first_day:
+        labels = G.connected_components(v, e).select("id", F.col("component").alias("guid"))
+    else:
+        prev = _state(spark, out_root, LABELS, day - _dt.timedelta(days=1), "id string, guid string")
+        comp = G.incremental_components(v, e, prev).select("id", F.col("component").alias("guid"))
+        labels = G.carry_over_guid(comp, prev)
+    write_partitions(labels.withColumn("dy", F.lit(dy).cast("date")), f"{out_root}/{LABELS}")

@@ -41,3 +41,37 @@ def test_service_days_roll_and_rerun(spark):
     per_day = rows(sessions.groupBy("dy").count(), "dy", "count")
     assert len(per_day) == 4
     assert sessions.count() == sessions.select("guid", "sessionId", "dy").distinct().count()
+
+
+def test_identity_and_score_days(spark):
+    from plover.operators import detail as D
+
+    log = Q._log(spark, SF).filter(F.col("dy") <= F.lit("2024-01-03").cast("date"))
+    log_path = scratch_path(spark, "daily-log")
+    from plover.sources.io import write_partitions
+    write_partitions(D.clean_events(log), log_path)
+    root = scratch_path(spark, "daily-id")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    for i, d in enumerate(days):
+        daily.run_identity_day(spark, log_path, root, d, first_day=(i == 0), min_support=0)
+        daily.run_scores_day(spark, log_path, root, d, first_day=(i == 0))
+    daily.run_scores_day(spark, log_path, root, days[2])  # re-run
+    labels = spark.read.parquet(f"{root}/{daily.LABELS}")
+    # one guid per identifier and day
+    assert labels.count() == labels.select("id", "dy").distinct().count()
+    # guids only merge downwards: an identifier's guid never grows from one day to the next
+    a, b = labels.alias("a"), labels.alias("b")
+    j = a.join(b, (F.col("a.id") == F.col("b.id")) & (F.col("b.dy") == F.date_add(F.col("a.dy"), 1)))
+    assert j.count() > 0
+    assert j.filter(F.col("b.guid") > F.col("a.guid")).count() == 0
+    scores = spark.read.parquet(f"{root}/{daily.SCORES}")
+    assert scores.count() == scores.select("deviceid", "account", "dy").distinct().count()
+    day3 = scores.filter(F.col("dy") == F.lit("2024-01-03").cast("date")).drop("dy")
+    prev = scores.filter(F.col("dy") == F.lit("2024-01-02").cast("date")).drop("dy")
+    today = spark.read.parquet(log_path).filter(F.col("dy") == F.lit("2024-01-03").cast("date"))
+    want = D.rollover_scores(prev, today)
+    cols = ("deviceid", "account", "timestamp", "score")
+    def collect(df):
+        return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+    assert collect(day3) == collect(want)
