@@ -228,3 +228,49 @@ def predict_profile(model: NaiveBayesModel, df: DataFrame, feature_cols: Sequenc
                     keep: Sequence[str] = ()) -> DataFrame:
     v = VectorAssembler(inputCols=list(feature_cols), outputCol="features").transform(df)
     return model.transform(v).select(*keep, "cheat")
+
+
+def naive_bayes_terms(weights: DataFrame, train: DataFrame, smoothing: float = 1.0,
+                      id_col: str = "doc_id", label_col: str = "label") -> DataFrame:
+    """Multinomial naive Bayes on (document, term, weight) rows, as joins
+    and aggregates (W36 without hashing the terms).
+
+    ``weights``: id, term, w (e.g. TF-IDF) for every document to score;
+    ``train``: id, label of the training documents. With λ = ``smoothing``,
+    V the vocabulary of ``weights`` and S(c, t) the summed weight of term t
+    in class c: π_c = ln(n_c + λ) − ln(N + Kλ), θ(c, t) = ln(S(c, t) + λ) −
+    ln(Σ_t S(c, t) + Vλ), and each document's class maximises
+    π_c + Σ_t w_t θ(c, t) (ties to the smaller label), as MLlib's
+    multinomial model does on its feature vectors. The sum over unseen
+    terms is folded into a per-document total, so only (document, seen
+    term) pairs are joined; classes are a handful of labels.
+    """
+    lam = float(smoothing)
+    w = weights.select(F.col(id_col).alias("_d"), "term", F.col("w").cast("double").alias("w"))
+    tr = train.select(F.col(id_col).alias("_d"), F.col(label_col).alias("c"))
+    n_c = tr.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    s_ct = w.join(tr, "_d").groupBy("c", "term").agg(F.sum("w").alias("s"))
+    t_c = s_ct.groupBy("c").agg(F.sum("s").alias("t"))
+    vocab = w.select("term").distinct().count()
+    stats = n_c.join(t_c, "c", "left").collect()          # one row per class
+    n_total, k = sum(r["n"] for r in stats), len(stats)
+    classes = sorted(r["c"] for r in stats)
+    prior = {r["c"]: math.log(r["n"] + lam) - math.log(n_total + k * lam) for r in stats}
+    log_den = {r["c"]: math.log((r["t"] or 0.0) + vocab * lam) for r in stats}
+
+    def per_class(mapping):
+        expr = None
+        for c in classes:
+            expr = (F.when(F.col("c") == F.lit(c), F.lit(mapping[c])) if expr is None
+                    else expr.when(F.col("c") == F.lit(c), F.lit(mapping[c])))
+        return expr
+
+    seen = (w.join(s_ct, "term")
+            .groupBy("_d", "c").agg(F.sum(F.col("w") * (F.log(F.col("s") + lam) - math.log(lam))).alias("_seen")))
+    totals = w.groupBy("_d").agg(F.sum("w").alias("_wd"))
+    grid = totals.select("_d", "_wd", F.explode(F.array(*[F.lit(c) for c in classes])).alias("c"))
+    scored = (grid.join(seen, ["_d", "c"], "left")
+              .select("_d", "c", (per_class(prior) + (F.lit(math.log(lam)) - per_class(log_den)) * F.col("_wd")
+                                  + F.coalesce(F.col("_seen"), F.lit(0.0))).alias("_score")))
+    best = scored.groupBy("_d").agg(F.max_by("c", F.struct(F.col("_score"), -F.col("c"))).alias("prediction"))
+    return best.select(F.col("_d").alias(id_col), "prediction")

@@ -518,3 +518,30 @@ SELECT c_custkey, label, cls AS cheat FROM (
 WHERE rn = 1"""
 
 Q["w32_update_bitmap_text"] = Q["w32_update_bitmap"]
+
+Q["w36_text_nb_terms"] = f"""WITH lab AS (SELECT doc_id, CAST(quality AS DOUBLE) AS label FROM labels),
+docs AS (SELECT d.doc_id, d.text FROM documents d JOIN lab USING (doc_id)),
+toks AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM docs),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE length(term) >= 2 AND term NOT IN ({_STOP})
+       GROUP BY doc_id, term),
+dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+m AS (SELECT count(*) AS m FROM docs),
+w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((m.m + 1.0) / (dfs.df + 1)) AS w
+      FROM tf JOIN dfs ON tf.term = dfs.term CROSS JOIN m),
+train AS (SELECT * FROM lab
+          WHERE CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 1000 >= 200),
+cls AS (SELECT label AS c, count(*) AS n FROM train GROUP BY label),
+s AS (SELECT t.label AS c, w.term, sum(w.w) AS s FROM w JOIN train t ON w.doc_id = t.doc_id GROUP BY t.label, w.term),
+tc AS (SELECT c, sum(s) AS t FROM s GROUP BY c),
+v AS (SELECT count(DISTINCT term) AS v FROM w),
+k AS (SELECT count(*) AS k, sum(n) AS total FROM cls),
+theta_den AS (SELECT cls.c, ln(COALESCE(tc.t, 0) + v.v * 1.0) AS den,
+                     ln(cls.n + 1.0) - ln(k.total + k.k * 1.0) AS pi
+              FROM cls LEFT JOIN tc ON cls.c = tc.c CROSS JOIN v CROSS JOIN k),
+scored AS (
+  SELECT w.doc_id, d.c, d.pi + sum(w.w * (ln(COALESCE(s.s, 0) + 1.0) - d.den)) AS score
+  FROM w CROSS JOIN theta_den d LEFT JOIN s ON s.c = d.c AND s.term = w.term
+  GROUP BY w.doc_id, d.c, d.pi),
+best AS (SELECT doc_id, c AS prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c) AS rn FROM scored) t WHERE rn = 1)
+SELECT lab.doc_id, lab.label, best.prediction FROM lab LEFT JOIN best ON lab.doc_id = best.doc_id"""

@@ -450,6 +450,18 @@ def q_text_nb(spark, sf_dir):
     return model.transform(vec).select("doc_id", "label", "prediction")
 
 
+@register("w36_text_nb_terms")
+def q_text_nb_terms(spark, sf_dir):
+    """Naive Bayes on term-level TF-IDF weights of the labelled documents,
+    trained on the md5 split, predicting every labelled document."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    weights = M.term_stats(_docs(spark, sf_dir).join(lab.select("doc_id"), "doc_id")) \
+        .select("doc_id", "term", F.col("tf_idf").alias("w"))
+    train, _ = M.split_by_key(lab, "doc_id")
+    pred = M.naive_bayes_terms(weights, train)
+    return lab.join(pred, "doc_id", "left").select("doc_id", "label", "prediction")
+
+
 # Fixed coding of the market segment (stands in for the profile's job).
 SEGMENT_CODE = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
 PROFILE_FEATURES = ["job", "income", "age", "sex"]

@@ -101,3 +101,22 @@ def test_profile_nb_save_load(spark, tmp_path):
     a = rows(M.predict_profile(model, test, feats, keep=["name"]))
     b = rows(M.predict_profile(M.load_profile_nb(str(tmp_path / "nb")), test, feats, keep=["name"]))
     assert a == b and len(a) == 3 and all(c in (0.0, 1.0) for _, c in a)
+
+
+def test_naive_bayes_terms_matches_mllib(spark):
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizer
+
+    texts = [(0, "good great fine", 0.0), (1, "great value good", 0.0), (2, "bad poor awful", 1.0),
+             (3, "poor fine bad", 1.0), (4, "good bad", 0.0), (5, "awful value", 1.0), (6, "fine fine good", 0.0),
+             (7, "great poor", 1.0)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, label double")
+    words = docs.withColumn("words", F.split("text", " "))
+    vec = CountVectorizer(inputCol="words", outputCol="tf_vec").fit(words).transform(words)
+    train = vec.filter("doc_id < 6")
+    model = NaiveBayes(featuresCol="tf_vec", labelCol="label", smoothing=1.0, modelType="multinomial").fit(train)
+    want = dict(rows(model.transform(vec), "doc_id", "prediction"))
+    weights = (words.select("doc_id", F.explode("words").alias("term"))
+               .groupBy("doc_id", "term").agg(F.count(F.lit(1)).cast("double").alias("w")))
+    got = dict(rows(M.naive_bayes_terms(weights, train.select("doc_id", "label"), smoothing=1.0)))
+    assert got == want
