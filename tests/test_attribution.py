@@ -1,4 +1,4 @@
-"""Attribution on the shipped factor.csv fixture (goldens from FIXTURES.md §2)."""
+"""Attribution on the shipped attribution fixture (goldens from FIXTURES.md §2)."""
 
 import pytest
 

@@ -1,4 +1,4 @@
-"""Identity graph on the shipped graphxdemo fixture (chain mode) and small cases."""
+"""Identity graph on the shipped identity-chain fixture (chain mode) and small cases."""
 
 from conftest import rows
 from plover.operators import graph as G
