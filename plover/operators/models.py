@@ -245,11 +245,16 @@ def naive_bayes_terms(weights: DataFrame, train: DataFrame, smoothing: float = 1
     terms is folded into a per-document total, so only (document, seen
     term) pairs are joined; classes are a handful of labels.
     """
+    from plover.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(weights.sparkSession)
     lam = float(smoothing)
-    w = weights.select(F.col(id_col).alias("_d"), "term", F.col("w").cast("double").alias("w"))
+    # the weights and the class-term sums feed several small actions and the
+    # scoring plan: materialize each once instead of recomputing them
+    w = weights.select(F.col(id_col).alias("_d"), "term", F.col("w").cast("double").alias("w")).checkpoint()
     tr = train.select(F.col(id_col).alias("_d"), F.col(label_col).alias("c"))
     n_c = tr.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    s_ct = w.join(tr, "_d").groupBy("c", "term").agg(F.sum("w").alias("s"))
+    s_ct = w.join(tr, "_d").groupBy("c", "term").agg(F.sum("w").alias("s")).checkpoint()
     t_c = s_ct.groupBy("c").agg(F.sum("s").alias("t"))
     vocab = w.select("term").distinct().count()
     stats = n_c.join(t_c, "c", "left").collect()          # one row per class
