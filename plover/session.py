@@ -22,6 +22,21 @@ DEFAULT_CONF = {
 }
 
 
+# Cluster sizing, applied only off local mode and only where the deployment
+# has not set a value. Shuffles start wide (AQE can merge partitions, never
+# split them except for skew) and are coalesced to ~256 MB per task; scans
+# read 256 MB splits; skewed join partitions above 1 GB and 5× the median
+# are split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "plover") -> SparkSession:
     """Build (or reuse) a session with the defaults above.
@@ -41,6 +56,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local"):
+        for k, v in CLUSTER_CONF.items():
+            if spark.conf.get(k, None) in (None, "") or k == "spark.sql.shuffle.partitions" and \
+                    spark.conf.get(k) == "200" and not shuffle_partitions:
+                spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
