@@ -58,8 +58,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.master.startswith("local"):
         for k, v in CLUSTER_CONF.items():
-            if spark.conf.get(k, None) in (None, "") or k == "spark.sql.shuffle.partitions" and \
-                    spark.conf.get(k) == "200" and not shuffle_partitions:
+            if spark.conf.get(k, None) is None:  # never override the deployment
                 spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
