@@ -545,3 +545,5 @@ scored AS (
 best AS (SELECT doc_id, c AS prediction FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c) AS rn FROM scored) t WHERE rn = 1)
 SELECT lab.doc_id, lab.label, best.prediction FROM lab LEFT JOIN best ON lab.doc_id = best.doc_id"""
+
+Q["w17_session_aggregate_windowed"] = Q["w17_session_aggregate"]

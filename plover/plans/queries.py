@@ -49,6 +49,12 @@ def q_session_aggregate(spark, sf_dir):
     return S.session_aggregate(_detail(spark, sf_dir))
 
 
+@register("w17_session_aggregate_windowed")
+def q_session_aggregate_windowed(spark, sf_dir):
+    """The reference's full-frame window form of W17 (cross-check)."""
+    return S.session_aggregate_windowed(_detail(spark, sf_dir))
+
+
 @register("w18_traffic_cube")
 def q_traffic_cube(spark, sf_dir):
     return S.traffic_cube(S.session_aggregate(_detail(spark, sf_dir)))
