@@ -52,3 +52,41 @@ def test_decay(factor):
     assert got == {("g01", 0, "e1"): 0.526316, ("g01", 0, "e3"): 0.473684, ("g01", 1, "e3"): 1.0,
                    ("g02", 0, "e3"): 0.526316, ("g02", 0, "e1"): 0.473684, ("g02", 3, "e1"): 1.0,
                    ("g03", 0, "e3"): 0.369004, ("g03", 0, "e1"): 0.332103, ("g03", 0, "e5"): 0.298893}
+
+
+def test_attribution_matches_brute_force(spark):
+    import random
+    rnd = random.Random(21)
+    events = ["e1", "e3", "e5", "e6", "e9"]
+    data, eid = [], 0
+    for g in range(60):
+        t = 0
+        for _ in range(rnd.randint(1, 25)):
+            t += rnd.choice([0, 1, 2])          # equal timestamps happen
+            eid += 1
+            data.append((f"g{g:02d}", rnd.choice(events), t, eid))
+    df = spark.createDataFrame(data, "guid string, event string, timestamp long, eid long")
+    kw = dict(tiebreak="eid", bucket_size=3)
+
+    first, last, linear, decay = {}, {}, {}, {}
+    for g in sorted({d[0] for d in data}):
+        path = sorted((t, e, i) for gg, e, t, i in data if gg == g and e in TOUCH + (TARGET,))
+        targets_before, seg = 0, []
+        for t, e, i in path:
+            if e == TARGET:
+                if seg:
+                    first[(g, targets_before)] = seg[0]
+                    last[(g, targets_before)] = seg[-1]
+                    distinct = list(dict.fromkeys(seg))
+                    tot = sum(0.9 ** k for k in range(len(distinct)))
+                    for k, ev in enumerate(distinct):
+                        linear[(g, targets_before, ev)] = 100 // len(distinct)
+                        decay[(g, targets_before, ev)] = round(0.9 ** k / tot, 9)
+                targets_before += 1
+                seg = []
+            else:
+                seg.append(e)
+    assert {(g, c): e for g, c, e in rows(AT.first_touch(df, TOUCH, TARGET, **kw))} == first
+    assert {(g, c): e for g, c, e in rows(AT.last_touch(df, TOUCH, TARGET, **kw))} == last
+    assert {(g, c, e): w for g, c, e, w in rows(AT.linear_attribution(df, TOUCH, TARGET, **kw))} == linear
+    assert {(g, c, e): round(w, 9) for g, c, e, w in rows(AT.decay_attribution(df, TOUCH, TARGET, **kw))} == decay
