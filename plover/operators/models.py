@@ -57,6 +57,13 @@ def knn_classify(queries: DataFrame, labelled: DataFrame, k: int = 1, metric: st
     q = queries.select(F.col(id_col).cast("long").alias("_id"), F.col(features).cast("array<double>").alias("_f"),
                        F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).alias("_blk"),
                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))).alias("_tile"))
+    # one partition per (block, tile) group up to the shuffle width, fixed by
+    # an explicit repartition so AQE does not merge the CPU-heavy groups
+    spark = queries.sparkSession
+    width = min(blocks * tiles, max(spark.sparkContext.defaultParallelism,
+                                    int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    q = q.repartition(width, "_blk", "_tile")
+    lab = lab.repartition(width, "_blk", "_tile")
     kk, drop_self = k, exclude_self
 
     def tile_top_k(qp: pd.DataFrame, lp: pd.DataFrame) -> pd.DataFrame:
