@@ -22,7 +22,6 @@ import base64
 import os
 import re
 import unicodedata
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +72,12 @@ def tokenizer(path: str, pattern: str):
         t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), byte_level])
         alone = Tokenizer.from_str(t.to_str())  # for pieces that are cut already
         alone.pre_tokenizer = byte_level
-        _CACHE[key] = (t, alone, np.array([len(x) for x in tokens], np.int64), {})
+        _CACHE[key] = (t, alone, np.array([len(x) for x in tokens], np.int64), _Seen())
     return _CACHE[key]
 
 
 LATIN = 0x24F  # last character of the Latin blocks, whose classes are the same in all Unicode versions
-SEEN_PIECES = 400_000  # pieces a worker remembers; beyond that it starts anew
+SEEN_PIECES = 1_000_000  # pieces a worker remembers; beyond that it starts anew
 
 
 def _ranges(keep) -> str:
@@ -92,6 +91,10 @@ def latin_pattern(pattern: str):
     inner = {r"\p{L}": _ranges(lambda c: unicodedata.category(c)[0] == "L"),
              r"\p{N}": _ranges(lambda c: unicodedata.category(c)[0] == "N"),
              r"\s": _ranges(lambda c: c in "\t\n\x0b\x0c\r \x85\xa0")}
+    first, letters, rest = pattern.partition(r"| ?\p{L}+|")
+    if letters and re.fullmatch(r"'\w+(?:\|'\w+)*", first):
+        # alternatives that begin with different characters commute; the usual one goes first
+        pattern = rf" ?\p{{L}}+|{first}|{rest}"
     out, inside, i = [], False, 0
     while i < len(pattern):
         m = re.match(r"\\(?:[pP]\{\w+\}|.)", pattern[i:])
@@ -111,29 +114,49 @@ def latin_pattern(pattern: str):
     return re.compile("".join(out))
 
 
-def _ids(key: tuple, texts: list[str], latin) -> list[list[int]]:
+class _Seen(dict):
+    """Ids of the pieces seen, as int32 bytes; a piece that isn't there is
+    noted in ``new`` and counts as nothing for now."""
+
+    def __init__(self):
+        self.new, self.misses = set(), 0
+
+    def __missing__(self, piece):
+        self.new.add(piece)
+        self.misses += 1
+        return b""
+
+
+def _learn(alone, seen: _Seen) -> None:
+    new = list(seen.new)
+    e = alone.encode(new, is_pretokenized=True, add_special_tokens=False)
+    cut = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(new)))).tolist()
+    ids = np.array(e.ids, np.int32).tobytes()
+    seen.update(zip(new, [ids[lo:hi] for lo, hi in zip([0, *cut], cut)]))
+    seen.new.clear()
+
+
+def _ids(key: tuple, texts: list[str], latin) -> list[np.ndarray]:
     whole, alone, _, seen = tokenizer(*key)
-    out, rest = [], []
+    if len(seen) > SEEN_PIECES:
+        seen.clear()
+    find = seen.__getitem__
+    out, cut, rest = [b""] * len(texts), {}, []
     for k, text in enumerate(texts):
         if latin is None or _FOREIGN.search(text):
-            out.append(None)
             rest.append(k)
             continue
-        pieces = latin.findall(text)
-        new = list(set(pieces).difference(seen))
-        if new:
-            if len(seen) > SEEN_PIECES:
-                seen.clear()
-                new = list(set(pieces))
-            e = alone.encode(new, is_pretokenized=True, add_special_tokens=False)
-            cut = np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(new)))
-            ids = e.ids
-            for p, lo, hi in zip(new, [0, *cut[:-1].tolist()], cut.tolist()):
-                seen[p] = ids[lo:hi]
-        out.append(list(chain.from_iterable(map(seen.__getitem__, pieces))))
+        before, pieces = seen.misses, latin.findall(text)
+        out[k] = b"".join(map(find, pieces))
+        if seen.misses > before:
+            cut[k] = pieces
+    if seen.new:
+        _learn(alone, seen)
+        for k, pieces in cut.items():
+            out[k] = b"".join(map(find, pieces))
     for k, e in zip(rest, whole.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
-        out[k] = e.ids
-    return out
+        out[k] = np.array(e.ids, np.int32).tobytes()
+    return [np.frombuffer(x, np.int32) for x in out]
 
 
 _FOREIGN = re.compile(f"[^\\x00-\\u{LATIN:04x}]")
@@ -150,7 +173,7 @@ def _encode(path: str, pattern: str, offsets: bool):
             raw, offs = text_bytes(b.column("text"))
             for i, j in row_chunks(offs):
                 rows = b.slice(i, j - i)
-                ids = [np.array(x, np.int32) for x in _ids((path, pattern), _texts(rows.column("text")), latin)]
+                ids = _ids((path, pattern), _texts(rows.column("text")), latin)
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 at = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 names = [n for n in b.schema.names if n != "text"]
