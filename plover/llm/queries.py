@@ -147,8 +147,9 @@ def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     key=lambda x: x[0])
     border = [(m["id"], m["t"], firsts[k - 1][0]) for k, (_, m) in enumerate(firsts)]
     kind = d.schema["id"].dataType.simpleString()
+    # at most MOST_BUCKETS rows of 20 bytes, so they may go to every executor
     b = docs.sparkSession.createDataFrame(border, f"b_id {kind}, b_t long, before int")
-    d = d.join(b, d["id"].eqNullSafe(b["b_id"]) & (d["t"] == b["b_t"]), "left")
+    d = d.join(F.broadcast(b), d["id"].eqNullSafe(b["b_id"]) & (d["t"] == b["b_t"]), "left")
     d = d.select("id", "t", "text", F.explode(F.filter(F.array(
         F.struct(F.lit(False).alias("extra"), F.col("bucket").alias("bucket")),
         F.struct(F.lit(True).alias("extra"), F.col("before").alias("bucket"))),
