@@ -86,14 +86,3 @@ def ip_to_long(ip) -> Column:
 def long_to_ip(v) -> Column:
     v = _c(v).cast("long")
     return F.concat_ws(".", *[F.shiftright(v, s).bitwiseAND(255).cast("string") for s in (24, 16, 8, 0)])
-
-
-def squared_euclid(a, b) -> Column:
-    """Σ (a_i − b_i)² over two equal-length numeric arrays."""
-    diffs = F.zip_with(_c(a), _c(b), lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
-    return F.aggregate(diffs, F.lit(0.0), lambda acc, d: acc + d)
-
-
-def euclid_similarity(a, b) -> Column:
-    """1 / (1 + Euclidean distance)."""
-    return F.lit(1.0) / (F.lit(1.0) + F.sqrt(squared_euclid(a, b)))

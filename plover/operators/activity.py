@@ -163,23 +163,6 @@ def update_bitmap(prev: DataFrame, today: DataFrame, n_days: int = 31, day: str
     return j.select("guid", bm.alias("bitmap"), *keys)
 
 
-def update_bitmap_text(prev: DataFrame, today: DataFrame, n_days: int = 31, day: str | None = None) -> DataFrame:
-    """W32 in the reference's string form (bin / lpad / reverse / substr /
-    conv), kept as a cross-check of :func:`update_bitmap`."""
-    keys = [day] if day else []
-    p = prev.select(*keys, "guid", F.reverse(F.lpad(F.bin(F.col("bitmap")), n_days, "0")).alias("bitstr"))
-    if day:
-        p = p.withColumn(day, F.date_add(F.col(day), 1))
-    cur = today.select(*keys, "guid").distinct().withColumn("_a", F.lit(1))
-    j = p.join(cur, keys + ["guid"], "full")
-    s = (F.when(F.col("_a").isNotNull() & F.col("bitstr").isNotNull(),
-                F.concat(F.lit("1"), F.substring("bitstr", 1, n_days - 1)))
-         .when(F.col("_a").isNull() & F.col("bitstr").isNotNull(),
-               F.concat(F.lit("0"), F.substring("bitstr", 1, n_days - 1)))
-         .otherwise(F.rpad(F.lit("1"), n_days, "0")))
-    return j.select("guid", F.conv(F.reverse(s), 2, 10).cast("long").alias("bitmap"), *keys)
-
-
 def bitmap_snapshots(active: DataFrame, last_day, n_days: int = 31) -> DataFrame:
     """Activity bitmap of every day e from scratch: Σ 2^(e−a) over active
     days a in (e − n_days, e], for every user already seen by e."""

@@ -34,10 +34,9 @@ def event_paths(events: DataFrame, touches: Sequence[str], target: str, guid: st
     """Paths of guids that reached ``target`` (W20), one row per step:
     guid, step (1-based position), event, timestamp."""
     ev = events.filter(F.col(event).isin(list(touches) + [target]))
-    has_target = ev.filter(F.col(event) == target).select(guid).distinct()
-    ev = ev.join(has_target, guid, "left_semi")
-    return (running_count(ev, [guid], _order(ts, event, tiebreak), F.lit(1), time_bucket(ts, bucket_size), "step")
-            .select(guid, "step", event, ts))
+    steps = running_count(ev, [guid], _order(ts, event, tiebreak), F.lit(1), time_bucket(ts, bucket_size), "step",
+                          total="_targets", total_of=F.col(event) == target)
+    return steps.filter(F.col("_targets") > 0).select(guid, "step", event, ts)
 
 
 def segments(events: DataFrame, touches: Sequence[str], target: str, guid: str = "guid",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plover.functions.columns import is_blank, not_blank
+from plover.operators.joins import rekeyed, spread_key
 
 
 def clean_events(log: DataFrame) -> DataFrame:
@@ -64,14 +65,15 @@ def flag_new_users(log: DataFrame, history: DataFrame, account: str = "account",
     ``history`` (any DataFrame with the account column), else 0 (W06).
 
     Exact membership by a left join to the distinct historical accounts
-    (partial-aggregated distinct; AQE broadcasts it when it is small and
-    splits skewed partitions otherwise) – replaces the reference's
-    undersized bloom filter (SURVEY Q07).
+    (partial-aggregated distinct, shuffled anew so that AQE can split a hot
+    account; blank accounts are spread, since they match nothing) – in place
+    of an undersized bloom filter (SURVEY Q07).
     """
-    known = (history.select(F.col(account).alias("_acc")).filter(not_blank("_acc"))
-             .distinct().withColumn("_known", F.lit(1)))
-    j = log.join(known, log[account] == known["_acc"], "left")
-    return j.withColumn(out, F.when(F.col("_known").isNull(), 1).otherwise(0)).drop("_acc", "_known")
+    known = rekeyed(history.select(F.col(account).alias("_acc")).filter(not_blank("_acc")).distinct(), "_acc")
+    known = known.withColumn("_known", F.lit(1))
+    j = log.withColumn("_key", spread_key(F.col(account), not_blank(account)))
+    j = j.join(known, j["_key"] == known["_acc"], "left")
+    return j.withColumn(out, F.when(F.col("_known").isNull(), 1).otherwise(0)).drop("_key", "_acc", "_known")
 
 
 def flag_new_users_by_day(log: DataFrame, account: str = "account", day: str = "dy",
@@ -83,11 +85,12 @@ def flag_new_users_by_day(log: DataFrame, account: str = "account", day: str = "
     cheapest frame with the same (account, day) rows, so that a long
     upstream chain is not recomputed for the aggregate."""
     src = log if seen is None else seen
-    first = (src.filter(not_blank(account)).groupBy(F.col(account).alias("_acc"))
-             .agg(F.min(day).alias("_first")))
-    j = log.join(first, log[account] == first["_acc"], "left")
+    first = rekeyed(src.filter(not_blank(account)).groupBy(F.col(account).alias("_acc"))
+                    .agg(F.min(day).alias("_first")), "_acc")
+    j = log.withColumn("_key", spread_key(F.col(account), not_blank(account)))
+    j = j.join(first, j["_key"] == first["_acc"], "left")
     newuser = F.when(is_blank(account) | (F.col("_first") >= F.col(day)), 1).otherwise(0)
-    return j.withColumn(out, newuser).drop("_acc", "_first")
+    return j.withColumn(out, newuser).drop("_key", "_acc", "_first")
 
 
 def device_account_scores(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -133,6 +136,32 @@ def rollover_scores(prev: DataFrame, today_log: DataFrame, day: str | None = Non
     return rolled.unionByName(new_dev.select(*keys, "deviceid", "account", "timestamp", "score"))
 
 
+def rolled_scores(daily: DataFrame, last_day, day: str = "dy", decay: float = 0.5) -> DataFrame:
+    """The score table at the end of every day up to ``last_day``, as W08's
+    roll from day to day leaves it for the named pairs: deviceid, account,
+    timestamp, score, ``day``. ``daily``: W07 by day. A pair's days are one
+    bounded map (a row per calendar day at most), rolled in order."""
+    d = daily.filter(not_blank("account") & (F.col(day) <= F.lit(last_day).cast("date")))
+    per = d.groupBy("deviceid", "account").agg(
+        F.min(day).alias("_a"),
+        F.map_from_entries(F.collect_list(F.struct(F.col(day), F.struct("score", "timestamp")))).alias("_m"))
+    days = F.sequence("_a", F.lit(last_day).cast("date"))
+    start = F.struct(F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("timestamp"),
+                     F.expr("cast(array() as array<struct<d:date,score:double,timestamp:double>>)").alias("rows"))
+
+    def roll(acc, x):
+        hit = F.try_element_at("_m", x)
+        score = F.when(hit.isNotNull(), acc["score"] + hit["score"]).otherwise(acc["score"] * F.lit(decay))
+        ts = F.coalesce(hit["timestamp"], acc["timestamp"])
+        return F.struct(score.alias("score"), ts.alias("timestamp"), F.concat(acc["rows"], F.array(
+            F.struct(x.alias("d"), score.alias("score"), ts.alias("timestamp")))).alias("rows"))
+
+    rows = F.explode(F.aggregate(days, start, roll, lambda acc: acc["rows"])).alias("_r")
+    return per.select("deviceid", "account", rows).select(
+        "deviceid", "account", F.col("_r.timestamp").alias("timestamp"), F.col("_r.score").alias("score"),
+        F.col("_r.d").alias(day))
+
+
 def best_account(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Highest-score account per device, then latest timestamp, then the
     larger account on a full tie (W09). Blank accounts never win (Q50).
@@ -147,7 +176,7 @@ def assign_guid(log: DataFrame, best: DataFrame, day: str | None = None) -> Data
     """guid = the event's account, else the device's best account, else the
     device id (W10). With ``day`` set, ``best`` of day d serves day d+1."""
     keys = ([day] if day else [])
-    b = _advance(best.select(*keys, "deviceid", F.col("account").alias("_bind")), day)
+    b = rekeyed(_advance(best.select(*keys, "deviceid", F.col("account").alias("_bind")), day), *keys, "deviceid")
     j = log.join(b, keys + ["deviceid"], "left")
     guid = F.coalesce(F.when(not_blank("account"), F.col("account")),
                       F.when(not_blank("_bind"), F.col("_bind")), F.col("deviceid"))

@@ -3,11 +3,11 @@ IP-range fallback (W05)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plover.functions.columns import geohash, ip_to_long
-from plover.operators.joins import broadcast_if_small
+from plover.operators.joins import rekeyed
 
 
 def build_geo_dictionary(lines: DataFrame, precision: int = 6, col: str = "value") -> DataFrame:
@@ -27,15 +27,14 @@ def build_geo_dictionary(lines: DataFrame, precision: int = 6, col: str = "value
     return g.select("geo", "a.province", "a.city", "a.district")
 
 
-def geo_enrich(log: DataFrame, geo_dict: DataFrame, precision: int = 6,
-               max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def geo_enrich(log: DataFrame, geo_dict: DataFrame, precision: int = 6) -> DataFrame:
     """Add province/city/district by the geohash of (latitude, longitude)
-    (W04). The dictionary is broadcast only behind a row-count check;
-    beyond it the join shuffles on the cell."""
-    d = geo_dict.select("geo", F.col("province").alias("_gp"), F.col("city").alias("_gc"),
+    (W04). Spark broadcasts the dictionary if its bytes allow it; else both
+    sides shuffle on the cell and AQE can split a hot cell."""
+    d = rekeyed(geo_dict, "geo").select("geo", F.col("province").alias("_gp"), F.col("city").alias("_gc"),
                         F.col("district").alias("_gd"))
     j = (log.withColumn("_geo", geohash("latitude", "longitude", precision))
-         .join(broadcast_if_small(d, max_broadcast_rows), F.col("_geo") == d["geo"], "left"))
+         .join(d, F.col("_geo") == d["geo"], "left"))
     return (j.withColumn("province", F.col("_gp")).withColumn("city", F.col("_gc"))
             .withColumn("district", F.col("_gd")).drop("_geo", "geo", "_gp", "_gc", "_gd"))
 
@@ -51,25 +50,43 @@ def parse_ip_regions(lines: DataFrame, col: str = "value") -> DataFrame:
                         F.size(reg).alias("_nf")).filter(F.col("_nf") == 5).drop("_nf")
 
 
+def disjoint_ranges(ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
+    """_blk, _s, _e, _ip_p, _ip_c: the ranges cut at block borders and at each
+    other's ends, each piece with the answer of its narrowest range (then the
+    latest start, then the smallest names). Work is per block of
+    2^bucket_bits addresses."""
+    r = ranges.filter((F.col("country") != "0") & (F.col("ip_start") <= F.col("ip_end"))).select(
+        F.struct((F.col("ip_end") - F.col("ip_start")).alias("w"), (-F.col("ip_start")).alias("s"), "province", "city")
+        .alias("_best"), F.col("ip_start").alias("_a"), F.col("ip_end").alias("_z"))
+    r = r.withColumn("_blk", F.explode(F.sequence(F.shiftright("_a", bucket_bits), F.shiftright("_z", bucket_bits))))
+    first = F.shiftleft("_blk", bucket_bits)
+    r = r.select("_blk", "_best", F.greatest("_a", first).alias("_a"),
+                 F.least("_z", first + F.lit((1 << bucket_bits) - 1)).alias("_z"))
+    ends = r.select("_blk", F.explode(F.array("_a", F.col("_z") + 1)).alias("_s")).distinct()
+    piece = (ends.withColumn("_e", F.lead("_s").over(Window.partitionBy("_blk").orderBy("_s")) - 1)
+             .filter(F.col("_e").isNotNull()))
+    c = piece.join(r, "_blk").filter((F.col("_a") <= F.col("_s")) & (F.col("_z") >= F.col("_e")))
+    return (c.groupBy("_blk", "_s", "_e").agg(F.min("_best").alias("_b"))
+            .select("_blk", "_s", "_e", F.col("_b.province").alias("_ip_p"), F.col("_b.city").alias("_ip_c")))
+
+
 def ip_region_enrich(log: DataFrame, ip_ranges: DataFrame, bucket_bits: int = 16,
                      only_missing: bool = True) -> DataFrame:
     """Fill province and city from the IP range that contains the address
     for rows without a geo hit (W05); a range whose country is '0' is no
-    answer (SURVEY Q03). Ranges are assumed disjoint.
+    answer (SURVEY Q03). Where ranges overlap the narrowest answers, so a
+    row stays one row.
 
-    Range join at scale: each range is listed once per 2^bucket_bits block
-    it covers, and rows join on their block (equi-join) with the
-    ``between`` as a residual, so each row meets only the ranges of its
-    block instead of every range.
+    Rows join on their block of addresses with the ``between`` as a
+    residual, so each row meets only the pieces of its block. Rows that need
+    no answer get a block that no range has, one per input partition.
     """
-    r = ip_ranges.filter(F.col("country") != "0").select(
-        F.col("ip_start").alias("_s"), F.col("ip_end").alias("_e"),
-        F.col("province").alias("_ip_p"), F.col("city").alias("_ip_c"))
-    r = r.withColumn("_blk", F.explode(F.sequence(F.shiftright("_s", bucket_bits), F.shiftright("_e", bucket_bits))))
-    x = log.withColumn("_ip", ip_to_long(F.col("ip"))).withColumn("_blk", F.shiftright("_ip", bucket_bits))
-    j = x.join(r, (x["_blk"] == r["_blk"]) & x["_ip"].between(r["_s"], r["_e"]), "left")
+    r = rekeyed(disjoint_ranges(ip_ranges, bucket_bits), "_blk")
     miss = F.col("province").isNull() if only_missing else F.lit(True)
-    return (j.withColumn("_miss", miss)
-            .withColumn("province", F.when(F.col("_miss"), F.col("_ip_p")).otherwise(F.col("province")))
+    x = log.withColumn("_miss", miss).withColumn("_ip", F.when(F.col("_miss"), ip_to_long(F.col("ip"))))
+    x = x.withColumn("_blk", F.when(F.col("_ip").isNotNull(), F.shiftright("_ip", bucket_bits))
+                     .otherwise(-1 - F.spark_partition_id().cast("long")))
+    j = x.join(r, (x["_blk"] == r["_blk"]) & x["_ip"].between(r["_s"], r["_e"]), "left")
+    return (j.withColumn("province", F.when(F.col("_miss"), F.col("_ip_p")).otherwise(F.col("province")))
             .withColumn("city", F.when(F.col("_miss"), F.col("_ip_c")).otherwise(F.col("city")))
             .drop("_miss", "_ip", "_blk", "_s", "_e", "_ip_p", "_ip_c"))

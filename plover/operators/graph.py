@@ -5,8 +5,9 @@ row labelling (W15).
 Components use the large-star / small-star alternation (Kiveris et al.,
 "Connected Components in MapReduce and Beyond", SoCC 2014) on an edge
 DataFrame. Each step is a grouped ``min`` (partial aggregation, so a hub
-vertex with millions of neighbours is combined map-side) and a join to a
-one-row-per-vertex table (AQE splits a hub's partition). The edge set is
+vertex with millions of neighbours is combined map-side) and a join to the
+one-row-per-vertex minima, which are shuffled anew (``joins.rekeyed``) so
+that AQE can split a hub's edges. The edge set is
 reliably checkpointed into the shared checkpoint folder every round, which
 cuts lineage and survives executor loss; the loop ends when a round leaves
 the edge set unchanged. Vertex ids may be strings or longs; the label of a
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plover.functions.columns import not_blank
+from plover.operators.joins import rekeyed, spread_key
 from plover.session import ensure_checkpoint_dir
 
 
@@ -73,12 +75,13 @@ def _large_star(e: DataFrame) -> DataFrame:
     # duplicates are harmless to the next step's minima; the round ends with a distinct
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return _orient(both.join(m, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")))
+    return _orient(both.join(rekeyed(m, "u"), "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     # canonical edges have u < v: for node v, its smaller neighbours are the u's
     m = e.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("m"))
+    m = rekeyed(m, "node")
     j = e.join(m, e["v"] == m["node"])
     return _canon(j.select(F.col("u").alias("u"), F.col("m").alias("v"))
                   .unionByName(j.select(F.col("m").alias("u"), F.col("v").alias("v"))))
@@ -97,18 +100,15 @@ def _is_min_star_forest(e: DataFrame) -> bool:
     return bad.limit(1).count() == 0
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Label every vertex with the smallest id of its component (W12):
-    id, component. Isolated vertices label themselves."""
+    id, component. Isolated vertices label themselves. Rounds go on until
+    the edges are stars, however long the longest chain is."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     e = _canon(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))).checkpoint()
-    for _ in range(max_rounds):
-        if _is_min_star_forest(e):
-            break
+    while not _is_min_star_forest(e):
         e = _small_star(_large_star(e)).checkpoint()
-    else:
-        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     # converged: every component is a star around its minimum
     leaf = e.select(F.col("v").alias("id"), F.col("u").alias("component"))
     return (vertices.select("id").distinct().join(leaf, "id", "left")
@@ -129,7 +129,7 @@ def carry_over_guid(today: DataFrame, prev: DataFrame) -> DataFrame:
     ``today``: id, guid (today's component label); ``prev``: id, guid."""
     p = prev.select("id", F.col("guid").alias("_prev"))
     j = today.join(p, "id", "left")
-    per = j.groupBy("guid").agg(F.min("_prev").alias("_carry"))
+    per = rekeyed(j.groupBy("guid").agg(F.min("_prev").alias("_carry")), "guid")
     return (today.join(per, "guid", "left")
             .select("id", F.coalesce(F.col("_carry"), F.col("guid")).alias("guid")))
 
@@ -137,10 +137,6 @@ def carry_over_guid(today: DataFrame, prev: DataFrame) -> DataFrame:
 def label_rows(rows: DataFrame, components: DataFrame, id_cols: Sequence[str], out: str = "guid") -> DataFrame:
     """Attach the component of each row's first non-blank identifier (W15)."""
     first = F.get(_ids_array(id_cols), 0)
-    comp = components.select(F.col("id").alias("_first"), F.col("component").alias(out))
-    return rows.withColumn("_first", first).join(comp, "_first", "left").drop("_first")
-
-
-def vertex_id(c) -> F.Column:
-    """64-bit id of an identifier string for long-keyed graphs."""
-    return F.xxhash64(F.col(c) if isinstance(c, str) else c)
+    comp = rekeyed(components.select(F.col("id").cast("string").alias("_first"), F.col("component").alias(out)), "_first")
+    return (rows.withColumn("_first", spread_key(first, first.isNotNull()))
+            .join(comp, "_first", "left").drop("_first"))

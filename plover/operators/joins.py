@@ -1,23 +1,27 @@
-"""Join helpers with explicit size checks."""
+"""Join help for hot keys.
+
+AQE splits a hot partition of a join only if both sides come straight from
+a shuffle of their own and nothing above the join relies on its
+partitioning. A side that is an aggregate on the join key is partitioned
+already and gets no such shuffle; an aggregate on the same key above the
+join relies on it. ``rekeyed`` hides the partitioning in both cases.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dictionary is broadcast only when it has at most this many rows.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
 
-def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``small`` with a broadcast hint when a bounded count proves it has at
-    most ``max_rows`` rows; otherwise unchanged, so the join shuffles (and
-    AQE may still pick a broadcast from runtime sizes). The check reads at
-    most ``max_rows + 1`` rows."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+def rekeyed(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with the same rows and columns, but key columns that Spark does not
+    know to be partitioned: a join or aggregate on them shuffles again. For
+    the side with one row per key, this is the cheap side to shuffle."""
+    return df.withColumns({k: F.element_at(F.array(F.col(k)), 1) for k in keys})
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return big.join(broadcast_if_small(small, max_broadcast_rows), on, how)
+def spread_key(key: Column, usable: Column) -> Column:
+    """``key`` (text) where it can match; elsewhere a text that no key equals,
+    one per input partition, so rows without a key don't meet in one task."""
+    nowhere = F.concat(F.lit("\u0000"), F.spark_partition_id().cast("string"))
+    return F.when(usable, key).otherwise(nowhere)

@@ -13,107 +13,146 @@ from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plover.operators.joins import rekeyed
+
 
 # --- W34 nearest neighbours --------------------------------------------------
 
 
 def knn_classify(queries: DataFrame, labelled: DataFrame, k: int = 1, metric: str = "distance",
                  id_col: str = "id", label_col: str = "label", features: str = "features",
-                 tile_rows: int = 2048, block_rows: int = 2048, exclude_self: bool = False) -> DataFrame:
+                 block_bytes: int = 16 << 20, exclude_self: bool = False) -> DataFrame:
     """Exact k-nearest-neighbour label of every query row (W34).
 
-    ``features`` is a numeric array column on both sides. Exact search has
-    to compare every query with every labelled row, so the work is blocked:
-    queries are hashed into blocks of at most about ``block_rows`` and
-    labelled rows into tiles of at most about ``tile_rows`` (more, smaller
-    ones when that is needed to give every core a group); each query row is listed once per
-    tile and each labelled row once per block, and the two sides are
-    co-grouped on (block, tile). One group holds one block and one tile; its
-    distance matrix is computed in numpy and only each query's k best
-    leave the group, so no query × labelled pair is ever a row and the data
-    replicated is rows × (number of tiles or blocks), not rows × rows. The
-    k best over all tiles are picked by a windowed top-k per query, and the
-    label is the majority among them, ties to the smaller label.
+    ``features`` is a numeric array column on both sides. Every query has to
+    meet every labelled row, so both sides are cut into pieces of about
+    ``block_bytes``; each query is listed once per labelled piece and each
+    labelled row once per query piece, and one task computes one pair of
+    pieces: a matrix product, the best k and their ties, recomputed exactly.
+    For a fixed labelled side the shuffled rows grow with the queries alone.
+    The k best over all pieces are picked by a windowed top-k per query.
 
     ``metric``: 'distance' (squared Euclidean, smaller is nearer) or
     'similarity' (1 / (1 + Euclidean), larger is nearer); both rank the
     same way, only the reported score differs (SURVEY Q36). Equal distances
-    go to the smaller neighbour id. ``exclude_self`` drops a row's pair with
-    itself (leave-one-out when both sides are one table).
+    go to the smaller neighbour id, equal votes to the smaller label.
+    ``exclude_self`` drops a row's pair with itself. Ids and labels may be of
+    any ordered type. Every query has a row: one without a neighbour at a
+    finite distance (a vector with NaN, null or no values, or nothing to
+    compare with) has a null label.
     """
     import numpy as np
     import pandas as pd
 
-    n_lab, n_q = labelled.count(), queries.count()
-    # enough (block, tile) groups to occupy every core, never above the row caps
+    def sized(df):  # rows and the widest vector: two numbers
+        n, w = df.agg(F.count(F.lit(1)), F.max(F.size(features))).first()
+        return max(1, math.ceil(n * max(w or 1, 1) * 8 / block_bytes)), n
+
+    tiles, n_lab = sized(labelled)
+    blocks, n_q = sized(queries)
     per_side = math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism))
-    tiles = max(1, math.ceil(n_lab / tile_rows), min(per_side, n_lab))
-    blocks = max(1, math.ceil(n_q / block_rows), min(per_side, n_q))
+    tiles, blocks = max(tiles, min(per_side, n_lab)), max(blocks, min(per_side, n_q))  # occupy every core
+    id_type, n_type = (d.schema[id_col].dataType.simpleString() for d in (queries, labelled))
     lab_type = labelled.schema[label_col].dataType.simpleString()
-    lab = labelled.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).alias("_lab"),
-                          F.col(features).cast("array<double>").alias("_f"),
-                          F.pmod(F.xxhash64(F.col(id_col)), F.lit(tiles)).alias("_tile"),
+    vector = F.col(features).cast("array<double>")
+    lab = labelled.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_lab"), vector.alias("_f"),
+                          F.pmod(F.xxhash64(id_col), F.lit(tiles)).alias("_tile"),
                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_blk"))
-    q = queries.select(F.col(id_col).cast("long").alias("_id"), F.col(features).cast("array<double>").alias("_f"),
-                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).alias("_blk"),
+    q = queries.select(F.col(id_col).alias("_id"), vector.alias("_f"),
+                       F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("_blk"),
                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))).alias("_tile"))
-    # one partition per (block, tile) group up to the shuffle width, fixed by
-    # an explicit repartition so AQE does not merge the CPU-heavy groups
-    spark = queries.sparkSession
-    width = min(blocks * tiles, max(spark.sparkContext.defaultParallelism,
-                                    int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    q = q.repartition(width, "_blk", "_tile")
-    lab = lab.repartition(width, "_blk", "_tile")
-    kk, drop_self = k, exclude_self
-
-    def tile_top_k(qp: pd.DataFrame, lp: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qid", "nid", "lab", "d"]
+    # an explicit width keeps AQE from merging the CPU-heavy groups
+    q, lab = (d.repartition(blocks * tiles, "_blk", "_tile") for d in (q, lab))
+
+    def matrix(frames):
+        width = max((len(x) for x in frames if x is not None), default=0)
+        return np.array([x if x is not None and len(x) == width else [np.nan] * width for x in frames],
+                        np.float64).reshape(len(frames), width)
+
+    def best(qp: pd.DataFrame, lp: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"qid": qp["_id"][:0], "nid": lp["_id"][:0], "lab": lp["_lab"][:0], "d": np.zeros(0)})
         if qp.empty or lp.empty:
-            return pd.DataFrame({c: [] for c in cols})
-        qf = np.stack(qp["_f"].to_numpy())
-        lf = np.stack(lp["_f"].to_numpy())
-        qid, lid = qp["_id"].to_numpy(), lp["_id"].to_numpy()
+            return none
+        a, b = matrix(list(qp["_f"])), matrix(list(lp["_f"]))
+        if a.shape[1] != b.shape[1]:
+            return none
+        rank = lp["_id"].rank(method="first").to_numpy()
+        aa, bb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
         out = []
-        step = max(1, 2_000_000 // max(1, lf.size))  # bound the (step × tile × dim) work array
-        for s in range(0, len(qf), step):
-            diff = qf[s:s + step, None, :] - lf[None, :, :]
-            d = np.einsum("ijk,ijk->ij", diff, diff)
-            if drop_self:
-                d[qid[s:s + step, None] == lid[None, :]] = np.inf
-            for r in range(d.shape[0]):
-                order = np.lexsort((lid, d[r]))[:kk]
-                order = order[np.isfinite(d[r][order])]
-                out.append(pd.DataFrame({"qid": qid[s + r], "nid": lid[order],
-                                         "lab": lp["_lab"].to_numpy()[order], "d": d[r][order]}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: [] for c in cols})
+        step = max(1, (4 << 20) // len(b))
+        for s in range(0, len(a), step):
+            x = a[s:s + step]
+            near = aa[s:s + step, None] + bb[None, :] - 2 * (x @ b.T)
+            if exclude_self:
+                near[qp["_id"].to_numpy()[s:s + step, None] == lp["_id"].to_numpy()[None, :]] = np.inf
+            near[~np.isfinite(near)] = np.inf
+            cut = np.partition(near, min(k, len(b)) - 1, axis=1)[:, min(k, len(b)) - 1]
+            slack = 1e-9 * (aa[s:s + step] + (bb[np.isfinite(bb)].max() if np.isfinite(bb).any() else 0) + 1)
+            r, c = np.nonzero((near <= (cut + slack)[:, None]) & np.isfinite(near))
+            for p in range(0, len(r), 1 << 16):
+                diff = x[r[p:p + (1 << 16)]] - b[c[p:p + (1 << 16)]]
+                near[r[p:p + (1 << 16)], c[p:p + (1 << 16)]] = np.einsum("ij,ij->i", diff, diff)
+            order = np.lexsort((rank[c], near[r, c], r))
+            r, c = r[order], c[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r)
+            r, c = r[place < k], c[place < k]
+            out.append(pd.DataFrame({"qid": qp["_id"].to_numpy()[s + r], "nid": lp["_id"].to_numpy()[c],
+                                     "lab": lp["_lab"].to_numpy()[c], "d": near[r, c]}))
+        return pd.concat(out, ignore_index=True)
 
     cand = (q.groupBy("_blk", "_tile").cogroup(lab.groupBy("_blk", "_tile"))
-            .applyInPandas(tile_top_k, schema=f"qid long, nid long, lab {lab_type}, d double"))
+            .applyInPandas(best, schema=f"qid {id_type}, nid {n_type}, lab {lab_type}, d double"))
     w = Window.partitionBy("qid").orderBy("d", "nid")
     top = cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= k)
     score = F.col("d") if metric == "distance" else F.lit(1.0) / (F.lit(1.0) + F.sqrt(F.col("d")))
     if k == 1:
-        return top.select(F.col("qid").alias(id_col), F.col("lab").alias(label_col),
-                          F.col("nid").alias("neighbour"), score.alias("score"))
-    votes = top.groupBy("qid", "lab").agg(F.count(F.lit(1)).alias("_v"))
-    win = votes.groupBy("qid").agg(F.max_by("lab", F.struct(F.col("_v"), -F.col("lab"))).alias(label_col))
-    return win.select(F.col("qid").alias(id_col), label_col)
+        out = top.select("qid", F.col("lab").alias(label_col), F.col("nid").alias("neighbour"), score.alias("score"))
+    else:
+        votes = top.groupBy("qid", "lab").agg(F.count(F.lit(1)).alias("_v"))
+        out = votes.groupBy("qid").agg(F.min(F.struct((-F.col("_v")).alias("v"), F.col("lab").alias("l"))).alias("_w")) \
+            .select("qid", F.col("_w.l").alias(label_col))
+    every = queries.select(F.col(id_col).alias("_q"))
+    return every.join(out, every["_q"] == out["qid"], "left").drop("qid").withColumnRenamed("_q", id_col) \
+        .select(id_col, *out.columns[1:])
 
 
 # --- W35 churn model ----------------------------------------------------------
 
 
-def churn_pipeline(feature_cols: Sequence[str], label_col: str = "label", max_iter: int = 100) -> Pipeline:
+def churn_pipeline(feature_cols: Sequence[str], label_col: str = "label", max_iter: int = 1000,
+                   tol: float = 1e-10) -> Pipeline:
     """Vector assembly → min-max scaling → logistic regression (W35)."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(feature_cols), outputCol="vec"),
         MinMaxScaler(inputCol="vec", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter),
+        LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter, tol=tol),
     ])
 
 
-def fit_churn(train: DataFrame, feature_cols: Sequence[str], label_col: str = "label") -> PipelineModel:
-    return churn_pipeline(feature_cols, label_col).fit(train)
+def fit_churn(train: DataFrame, feature_cols: Sequence[str], label_col: str = "label", max_iter: int = 1000) -> PipelineModel:
+    """The fitted pipeline; an optimiser that stopped before it converged raises."""
+    train = train.persist()  # the optimiser reads it once per iteration
+    try:
+        model = churn_pipeline(feature_cols, label_col, max_iter).fit(train)
+    finally:
+        train.unpersist()
+    if model.stages[-1].summary.totalIterations >= max_iter:
+        raise RuntimeError(f"logistic regression did not converge in {max_iter} iterations")
+    return model
+
+
+def churn_gradient(model: PipelineModel, train: DataFrame, feature_cols: Sequence[str],
+                   label_col: str = "label") -> DataFrame:
+    """feature, gradient: the mean loss' derivative for each scaled feature and
+    the intercept. At the optimum all are 0."""
+    from pyspark.ml.functions import vector_to_array
+    p = model.transform(train).select(vector_to_array("features").alias("x"), F.col(label_col).alias("y"),
+                                      vector_to_array("probability")[1].alias("p"))
+    names = [*feature_cols, "intercept"]
+    cells = [F.avg((F.col("p") - F.col("y")) * (F.col("x")[i] if i < len(feature_cols) else F.lit(1.0))).alias(n)
+             for i, n in enumerate(names)]
+    return p.agg(*cells).select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.col(n).alias("gradient")) for n in names])).alias("r")).select("r.*")
 
 
 def predict(model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -145,8 +184,8 @@ def split_by_key(df: DataFrame, key: str, test_fraction: float = 0.2):
 
 # --- W36 text classification --------------------------------------------------
 
-# The reference's stop-word list, in file order.
-DEFAULT_STOP_WORDS = ["哪里", "的", "，", "。", "！", "：", ":", ",", ".", "_", "-", "=", "+", "-", "*", "/"]
+# The tokenizer drops punctuation and one-character tokens; this word is left to drop.
+DEFAULT_STOP_WORDS = ["哪里"]
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -171,24 +210,25 @@ def tfidf(docs: DataFrame, text_col: str = "text", num_features: int = 100_000,
 
 
 def term_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               stop_words: Sequence[str] = DEFAULT_STOP_WORDS) -> DataFrame:
-    """TF-IDF before hashing, per (document, term): tf, df, idf =
-    ln((m + 1) / (df + 1)) as MLlib's IDF computes it. Term counts are
-    partial aggregates; m is one global count."""
-    # Hash-distribute whole documents first: tokenizing is the CPU cost, and
-    # hash partitioning on the id already satisfies the (id, term) grouping,
-    # so the term counts need no second shuffle. Explode, then filter with
-    # plain predicates (codegen) rather than a per-element lambda.
-    spark = docs.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    d = docs.select(id_col, text_col).repartition(n, id_col)
+               stop_words: Sequence[str] = DEFAULT_STOP_WORDS, buckets: int | None = None) -> DataFrame:
+    """TF-IDF per (document, term): tf, df, idf = ln((m + 1) / (df + 1)) as
+    MLlib's IDF computes it. With ``buckets`` a term is its hash bucket (the
+    first 8 hex digits of its md5, modulo), so any engine can repeat it. Term
+    counts are partial aggregates; m is one global count."""
+    # Hash partitioning on the id already satisfies the (id, term) grouping, so
+    # the term counts need no second shuffle. Explode, then filter with plain
+    # predicates (codegen) rather than a per-element lambda.
+    d = docs.select(id_col, text_col).repartition(id_col)
     toks = d.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("term"))
     toks = toks.filter((F.length("term") >= 2) & ~F.col("term").isin(list(stop_words)))
+    if buckets:
+        toks = toks.select(id_col, (F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long") % buckets).alias("term"))
     tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     m = docs.count()
     idf = df_.select("term", "df", F.log(F.lit(float(m + 1)) / (F.col("df") + 1)).alias("idf"))
-    return tf.join(idf, "term").select(id_col, "term", "tf", "df", "idf",
+    # shuffled anew: a term of nearly every document can be split in the join
+    return tf.join(rekeyed(idf, "term"), "term").select(id_col, "term", "tf", "df", "idf",
                                        (F.col("tf") * F.col("idf")).alias("tf_idf"))
 
 
@@ -212,7 +252,8 @@ def code(c: Column | str, mapping: dict) -> Column:
     out = None
     for k, v in mapping.items():
         out = F.when(col == k, F.lit(float(v))) if out is None else out.when(col == k, F.lit(float(v)))
-    return out.cast("double")
+    # a value that the mapping lacks is a category of its own, after the others
+    return out.otherwise(F.lit(float(max(mapping.values()) + 1))).cast("double")
 
 
 def fit_profile_nb(train: DataFrame, feature_cols: Sequence[str], label_col: str = "label",
@@ -277,7 +318,7 @@ def naive_bayes_terms(weights: DataFrame, train: DataFrame, smoothing: float = 1
                     else expr.when(F.col("c") == F.lit(c), F.lit(mapping[c])))
         return expr
 
-    seen = (w.join(s_ct, "term")
+    seen = (w.join(rekeyed(s_ct, "term"), "term")
             .groupBy("_d", "c").agg(F.sum(F.col("w") * (F.log(F.col("s") + lam) - math.log(lam))).alias("_seen")))
     totals = w.groupBy("_d").agg(F.sum("w").alias("_wd"))
     grid = totals.select("_d", "_wd", F.explode(F.array(*[F.lit(c) for c in classes])).alias("c"))

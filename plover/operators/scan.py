@@ -24,21 +24,23 @@ def time_bucket(ts, size: int) -> Column:
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], flag: Column,
-                  bucket: Column, out: str, inclusive: bool = True, total: str | None = None) -> DataFrame:
+                  bucket: Column, out: str, inclusive: bool = True, total: str | None = None,
+                  total_of: Column | None = None) -> DataFrame:
     """Add ``out`` = Σ ``flag`` over the rows of the same ``keys`` that come
     before each row in ``order`` (and the row itself when ``inclusive``).
     ``bucket`` must be non-decreasing in ``order``. With ``total`` set, the
-    key's grand total of ``flag`` is added as that column."""
+    key's grand total of ``flag`` (or of ``total_of``) is added as that column."""
     keys = list(keys)
     d = df.withColumn("_f", flag.cast("long")).withColumn("_bk", bucket)
+    d = d.withColumn("_t", (flag if total_of is None else total_of).cast("long"))
     w = Window.partitionBy(*keys, "_bk").orderBy(*order)
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     d = d.withColumn("_loc", F.coalesce(F.sum("_f").over(frame), F.lit(0).cast("long")))
     wk = Window.partitionBy(*keys).orderBy("_bk")
-    summ = d.groupBy(*keys, "_bk").agg(F.sum("_f").alias("_n"))
+    summ = d.groupBy(*keys, "_bk").agg(F.sum("_f").alias("_n"), F.sum("_t").alias("_nt"))
     cols = [*keys, "_bk",
             F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")]
     if total:
-        cols.append(F.sum("_n").over(Window.partitionBy(*keys)).cast("long").alias(total))
+        cols.append(F.sum("_nt").over(Window.partitionBy(*keys)).cast("long").alias(total))
     d = d.join(summ.select(*cols), [*keys, "_bk"], "left")
-    return d.withColumn(out, (F.col("_loc") + F.col("_off")).cast("long")).drop("_f", "_bk", "_loc", "_off")
+    return d.withColumn(out, (F.col("_loc") + F.col("_off")).cast("long")).drop("_f", "_t", "_bk", "_loc", "_off")

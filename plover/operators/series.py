@@ -57,9 +57,14 @@ def fill_by_range_join(series: DataFrame, date: str, value: str, by: Sequence[st
     """
     by = list(by)
     known = series.filter(F.col(value).isNotNull())
-    w = Window.partitionBy(*by).orderBy(date)
-    iv = known.select(*by, F.col(date).alias("_s"), F.col(value).alias("_v"),
-                      F.coalesce(F.lead(date).over(w), F.col(date)).alias("_e"))
+    # next known date: inside the (key, bucket), else the first of the key's next bucket,
+    # which comes from a summary with one row per (key, bucket)
+    k = known.withColumn("_kb", _bucket(date, bucket_days))
+    firsts = k.groupBy(*by, "_kb").agg(F.min(date).alias("_d"))
+    after = firsts.select(*by, "_kb", F.lead("_d").over(Window.partitionBy(*by).orderBy("_kb")).alias("_n"))
+    inside = F.lead(date).over(Window.partitionBy(*by, "_kb").orderBy(date))
+    iv = (k.withColumn("_in", inside).join(after, [*by, "_kb"])
+          .select(*by, F.col(date).alias("_s"), F.col(value).alias("_v"), F.coalesce("_in", "_n", date).alias("_e")))
     iv = iv.withColumn("_bk", F.explode(F.sequence(_bucket("_s", bucket_days), _bucket("_e", bucket_days))))
     unknown = series.filter(F.col(value).isNull()).withColumn("_bk", _bucket(date, bucket_days))
     filled = (unknown.join(iv, [*by, "_bk"])

@@ -93,17 +93,16 @@ GROUP BY GROUPING SETS ((dy), (dy, province), (dy, province, city), (dy, provinc
   (dy, os_name, app_version))"""
 
 Q["w19_funnel_depth"] = ctes(EV, APPLOG, DETAIL) + """,
-steps AS (
-  SELECT dy, guid, "timestamp", eventid, event_id FROM detail
-  WHERE (eventid = 'pageView' AND k < 60) OR (eventid = 'share' AND k < 60) OR (eventid = 'addCart' AND k < 60)),
-paths AS (
-  SELECT dy, guid, string_agg(eventid, ',' ORDER BY "timestamp", eventid, event_id) AS p
-  FROM steps GROUP BY dy, guid)
-SELECT 'view_share_cart' AS funnel_name, dy, guid,
-  CAST(CASE WHEN regexp_matches(p, 'pageView.*share.*addCart') THEN 3
-            WHEN regexp_matches(p, 'pageView.*share') THEN 2
-            WHEN regexp_matches(p, 'pageView') THEN 1 ELSE 0 END AS INTEGER) AS comp_step
-FROM paths"""
+e AS (SELECT dy, guid, eventid, struct_pack(t := "timestamp", n := eventid, i := event_id) AS pos FROM detail
+      WHERE eventid IN ('pageView', 'share', 'addCart')),
+one AS (SELECT dy, guid, min(pos) AS pos FROM e WHERE eventid = 'pageView' GROUP BY dy, guid),
+two AS (SELECT e.dy, e.guid, min(e.pos) AS pos FROM e JOIN one USING (dy, guid)
+        WHERE eventid = 'share' AND e.pos > one.pos GROUP BY e.dy, e.guid),
+three AS (SELECT DISTINCT e.dy, e.guid FROM e JOIN two USING (dy, guid) WHERE eventid = 'addCart' AND e.pos > two.pos)
+SELECT 'view_share_cart' AS funnel_name, g.dy, g.guid,
+  CAST((one.guid IS NOT NULL)::INT + (two.guid IS NOT NULL)::INT + (three.guid IS NOT NULL)::INT AS INTEGER) AS comp_step
+FROM (SELECT DISTINCT dy, guid FROM e) g LEFT JOIN one USING (dy, guid) LEFT JOIN two USING (dy, guid)
+LEFT JOIN three USING (dy, guid)"""
 
 # --- detail layer -----------------------------------------------------------
 
@@ -119,11 +118,19 @@ SCORES = """scores AS (
          CAST(max("timestamp") AS DOUBLE) AS "timestamp"
   FROM clean GROUP BY dy, deviceid, account)"""
 
-BEST = """best AS (
-  SELECT dy, deviceid, account FROM (
-    SELECT *, row_number() OVER (PARTITION BY dy, deviceid ORDER BY score DESC, "timestamp" DESC, account DESC) AS rn
-    FROM scores WHERE account IS NOT NULL AND trim(account) <> '') t
-  WHERE rn = 1)"""
+# Scores rolled pair by pair from day to day: today's are added, a day without events halves them.
+BEST = """named AS (SELECT * FROM scores WHERE account IS NOT NULL AND trim(account) <> ''),
+rolled_pairs AS (SELECT * FROM (
+  WITH RECURSIVE st(deviceid, account, dy, score, ts) AS (
+    SELECT deviceid, account, min(dy), arg_min(score, dy), arg_min("timestamp", dy) FROM named GROUP BY deviceid, account
+    UNION ALL
+    SELECT st.deviceid, st.account, st.dy + 1, CASE WHEN n.score IS NULL THEN st.score * 0.5 ELSE st.score + n.score END,
+           coalesce(n."timestamp", st.ts)
+    FROM st LEFT JOIN named n ON n.deviceid = st.deviceid AND n.account = st.account AND n.dy = st.dy + 1
+    WHERE st.dy < (SELECT max(dy) FROM scores))
+  SELECT * FROM st) q),
+best AS (SELECT dy, deviceid, arg_max(account, struct_pack(s := score, t := ts, a := account)) AS account
+         FROM rolled_pairs GROUP BY dy, deviceid)"""
 
 Q["w01_clean_events"] = ctes(EV, APPLOG, CLEAN) + """
 SELECT event_id, account, deviceid, eventid, sessionid, latitude, longitude, "timestamp", dy FROM clean"""
@@ -186,17 +193,15 @@ snaps AS (
     CASE WHEN t < dy THEN t ELSE DATE '9999-12-31' END AS range_end, dy
   FROM snap0)"""
 
-CLIPPED = """clipped AS (
-  SELECT dy, guid,
-    CASE WHEN datediff('day', range_start, dy) >= 30 THEN dy - 30 ELSE range_start END AS rng_start,
-    CASE WHEN range_end = DATE '9999-12-31' THEN dy ELSE range_end END AS rng_end
-  FROM snaps WHERE datediff('day', range_end, dy) <= 30),
+# Intervals of each day from its last 30 days' active days one by one.
+DAYS30 = """seen AS (
+  SELECT s.dy, s.guid, a.dy AS d, lag(a.dy) OVER (PARTITION BY s.dy, s.guid ORDER BY a.dy) AS before
+  FROM (SELECT DISTINCT dy, guid FROM snaps) s JOIN act a ON a.guid = s.guid AND a.dy BETWEEN s.dy - 30 AND s.dy),
+runs30 AS (SELECT *, sum(CASE WHEN d - before = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY dy, guid ORDER BY d) AS run FROM seen),
 detail27 AS (
-  SELECT dy, guid, 0 AS "interval", datediff('day', rng_start, rng_end) AS times FROM clipped
+  SELECT dy, guid, 0 AS "interval", count(*) - 1 AS times FROM runs30 GROUP BY dy, guid, run
   UNION ALL
-  SELECT dy, guid, datediff('day', rng_end, nxt) AS "interval", 1 AS times FROM (
-    SELECT dy, guid, rng_end, lead(rng_start) OVER (PARTITION BY dy, guid ORDER BY rng_end) AS nxt FROM clipped) o
-  WHERE nxt IS NOT NULL)"""
+  SELECT dy, guid, d - before, 1 FROM seen WHERE d - before > 1)"""
 
 OPENRUNS = """runs AS (
   SELECT dy, guid, datediff('day', range_start, dy) + 1 AS n FROM snaps
@@ -205,10 +210,10 @@ members AS (SELECT dy AS dt, CAST(unnest(generate_series(1, n)) AS INTEGER) AS d
 
 Q["w26_rollover_ranges"] = ctes(EV, APPLOG, DETAIL, SNAPS) + "SELECT * FROM snaps"
 
-Q["w27_visit_interval_detail"] = ctes(EV, APPLOG, DETAIL, SNAPS, CLIPPED) + """
+Q["w27_visit_interval_detail"] = ctes(EV, APPLOG, DETAIL, SNAPS, DAYS30) + """
 SELECT dy, guid, CAST("interval" AS INTEGER) AS "interval", CAST(times AS INTEGER) AS times FROM detail27"""
 
-Q["w28_visit_intervals"] = ctes(EV, APPLOG, DETAIL, SNAPS, CLIPPED) + """
+Q["w28_visit_intervals"] = ctes(EV, APPLOG, DETAIL, SNAPS, DAYS30) + """
 SELECT dy, guid, CAST("interval" AS INTEGER) AS "interval", CAST(sum(times) AS BIGINT) AS times
 FROM detail27 GROUP BY dy, guid, "interval\""""
 
@@ -291,29 +296,22 @@ SELECT user_id, dy, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id OR
 FROM series"""
 
 Q["w31_fill_by_range_join"] = ctes(SERIES) + """,
-known AS (SELECT user_id, dy, value, lead(dy, 1, dy) OVER (PARTITION BY user_id ORDER BY dy) AS nxt
-          FROM series WHERE value IS NOT NULL)
-SELECT s.user_id, s.dy, k.value FROM series s JOIN known k
-  ON s.user_id = k.user_id AND s.value IS NULL AND s.dy BETWEEN k.dy AND k.nxt
-UNION ALL
-SELECT user_id, dy, value FROM series WHERE value IS NOT NULL"""
-
-Q["w33_sales_report"] = """WITH sales AS (
-  SELECT c.c_nationkey AS shop, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
-         CAST(o.o_totalprice AS DECIMAL(18,2)) AS sale
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-prov AS (SELECT n.n_nationkey AS shop, r.r_name AS province FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
-x AS (SELECT s.shop, max(p.province) AS province, s.month, sum(s.sale) AS sale_cnt
-      FROM sales s JOIN prov p ON s.shop = p.shop GROUP BY s.shop, s.month),
-y AS (SELECT shop, province, month, sale_cnt,
-        sum(sale_cnt) OVER (PARTITION BY shop ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-          AS shop_account_cnt FROM x),
-z AS (SELECT p.province, s.month, sum(s.sale) AS province_sale FROM sales s JOIN prov p ON s.shop = p.shop
-      GROUP BY s.month, p.province)
-SELECT y.shop, y.month, y.province, CAST(y.sale_cnt AS DECIMAL(18,2)) AS sale_cnt,
-       CAST(z.province_sale AS DECIMAL(18,2)) AS province_sale,
-       CAST(y.shop_account_cnt AS DECIMAL(18,2)) AS shop_account_cnt
-FROM z JOIN y ON z.province = y.province AND z.month = y.month"""
+around AS (
+  SELECT *, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY dy ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v,
+         count(value) OVER (PARTITION BY user_id ORDER BY dy ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ahead
+  FROM series)
+SELECT user_id, dy, v AS value FROM around WHERE v IS NOT NULL AND ahead > 0"""
+
+Q["w33_sales_report"] = """WITH s AS (
+  SELECT c_nationkey AS shop, r_name AS province, date_trunc('month', o_orderdate)::DATE AS month,
+         o_totalprice::DECIMAL(18,2) AS sale
+  FROM orders, customer, nation, region
+  WHERE o_custkey = c_custkey AND c_nationkey = n_nationkey AND n_regionkey = r_regionkey)
+SELECT k.shop, k.month, k.province,
+  (SELECT sum(sale) FROM s WHERE s.shop = k.shop AND s.month = k.month)::DECIMAL(18,2) AS sale_cnt,
+  (SELECT sum(sale) FROM s WHERE s.province = k.province AND s.month = k.month)::DECIMAL(18,2) AS province_sale,
+  (SELECT sum(sale) FROM s WHERE s.shop = k.shop AND s.month <= k.month)::DECIMAL(18,2) AS shop_account_cnt
+FROM (SELECT DISTINCT shop, month, province FROM s) k"""
 
 # --- identity graph ---------------------------------------------------------
 
@@ -348,6 +346,11 @@ _NEW = _graph_ctes("n", "dy >= DATE '2024-01-16'")
 
 Q["w11_identity_edges"] = ctes(EV, APPLOG, _ALL) + "SELECT * FROM g_e"
 
+Q["w11_chain_edges"] = ctes(EV, APPLOG) + """,
+r AS (SELECT [x FOR x IN [sessionid, account, deviceid] IF x IS NOT NULL AND trim(x) <> ''] AS ids FROM applog
+      WHERE sessionid IS NOT NULL AND trim(sessionid) <> '')
+SELECT DISTINCT ids[i] AS src, ids[i + 1] AS dst FROM r, range(1, 3) t(i) WHERE i < len(ids)"""
+
 Q["w12_connected_components"] = ctes(EV, APPLOG, _ALL, _cc("g", "g_v", "g_e")) + "SELECT * FROM g_reach"
 
 Q["w13_incremental_components"] = ctes(
@@ -451,21 +454,41 @@ SELECT vec_id, label, neighbour FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS rn FROM pairs) t
 WHERE rn = 1"""
 
+_HELD = """WITH e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS f,
+         CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8)) AS BIGINT) % 1000 >= 200 AS train FROM embeddings),
+near AS (
+  SELECT a.vec_id, b.vec_id AS neighbour, b.label, list_distance(a.f, b.f) AS d,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.f, b.f), b.vec_id) AS rn
+  FROM e a JOIN e b ON NOT a.train AND b.train)
+"""
+
+Q["w34_knn_vote"] = _HELD + """SELECT vec_id, label FROM (
+  SELECT vec_id, label, row_number() OVER (PARTITION BY vec_id ORDER BY count(*) DESC, label) AS place
+  FROM near WHERE rn <= 3 GROUP BY vec_id, label) v WHERE place = 1"""
+
+Q["w34_knn_similarity"] = _HELD + """SELECT vec_id, label, neighbour, round(1 / (1 + d), 6) AS score FROM near WHERE rn = 1"""
+
 _CHURN = """feats AS (
   SELECT o_custkey AS c_custkey, CAST(count(*) AS DOUBLE) AS n_orders, sum(o_totalprice) AS total_price,
     avg(o_totalprice) AS avg_price, max(o_totalprice) AS max_price,
     CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS DOUBLE) AS n_urgent,
     CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) AS n_open
   FROM orders GROUP BY o_custkey),
-churn AS (SELECT f.* FROM feats f JOIN customer c ON f.c_custkey = c.c_custkey)"""
+churn AS (SELECT c.c_custkey, coalesce(n_orders, 0) AS n_orders, coalesce(total_price, 0) AS total_price,
+            coalesce(avg_price, 0) AS avg_price, coalesce(max_price, 0) AS max_price, coalesce(n_urgent, 0) AS n_urgent,
+            coalesce(n_open, 0) AS n_open FROM customer c LEFT JOIN feats f ON f.c_custkey = c.c_custkey)"""
+
+# a maximum-likelihood fit has no gradient in any feature
+Q["w35_churn_optimality"] = """SELECT unnest(['n_orders', 'total_price', 'avg_price', 'max_price', 'n_urgent', 'n_open',
+  'intercept']) AS feature, 0.0::DOUBLE AS gradient"""
 
 Q["w35_minmax_scale"] = "WITH " + _CHURN + "\nSELECT c_custkey, " + ", ".join(
     f"round(CASE WHEN max({c}) OVER () = min({c}) OVER () THEN 0.5 "
     f"ELSE ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END, 6) AS {c}"
     for c in ["n_orders", "total_price", "avg_price", "max_price", "n_urgent", "n_open"]) + " FROM churn"
 
-_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in
-                  ["哪里", "的", "，", "。", "！", "：", ":", ",", ".", "_", "-", "=", "+", "-", "*", "/"])
+_STOP = "'哪里'"
 
 Q["w36_tfidf_terms"] = f"""WITH toks AS (
   SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM documents),
@@ -519,11 +542,15 @@ WHERE rn = 1"""
 
 Q["w32_update_bitmap_text"] = Q["w32_update_bitmap"]
 
-Q["w36_text_nb_terms"] = f"""WITH lab AS (SELECT doc_id, CAST(quality AS DOUBLE) AS label FROM labels),
-docs AS (SELECT d.doc_id, d.text FROM documents d JOIN lab USING (doc_id)),
+
+
+def _text_nb(term: str) -> str:
+    """Naive Bayes over ``term`` of each token, trained on the md5 split."""
+    return f"""WITH lab AS (SELECT doc_id, CAST(quality AS DOUBLE) AS label FROM labels),
+docs AS (SELECT doc_id, text FROM documents),
 toks AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM docs),
-tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE length(term) >= 2 AND term NOT IN ({_STOP})
-       GROUP BY doc_id, term),
+tf AS (SELECT doc_id, {term} AS term, count(*) AS tf FROM toks WHERE length(term) >= 2 AND term NOT IN ({_STOP})
+       GROUP BY ALL),
 dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 m AS (SELECT count(*) AS m FROM docs),
 w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((m.m + 1.0) / (dfs.df + 1)) AS w
@@ -544,6 +571,11 @@ scored AS (
   GROUP BY w.doc_id, d.c, d.pi),
 best AS (SELECT doc_id, c AS prediction FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c) AS rn FROM scored) t WHERE rn = 1)
-SELECT lab.doc_id, lab.label, best.prediction FROM lab LEFT JOIN best ON lab.doc_id = best.doc_id"""
+SELECT docs.doc_id, lab.label, best.prediction FROM docs LEFT JOIN lab USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+Q["w36_text_nb_terms"] = _text_nb("term")
+Q["w36_text_nb_predict"] = _text_nb("CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % 100000")
+
 
 Q["w17_session_aggregate_windowed"] = Q["w17_session_aggregate"]

@@ -51,8 +51,8 @@ def q_session_aggregate(spark, sf_dir):
 
 @register("w17_session_aggregate_windowed")
 def q_session_aggregate_windowed(spark, sf_dir):
-    """The reference's full-frame window form of W17 (cross-check)."""
-    return S.session_aggregate_windowed(_detail(spark, sf_dir))
+    """W17 merged from per-hour parts."""
+    return S.session_aggregate_bucketed(_detail(spark, sf_dir))
 
 
 @register("w18_traffic_cube")
@@ -63,9 +63,8 @@ def q_traffic_cube(spark, sf_dir):
 FUNNEL_STEPS_EVENTS = ("pageView", "share", "addCart")
 
 
-def _funnel_steps(max_page: int = 60):
-    page = F.col("properties").getItem("pageId").cast("int")
-    return [(F.col("eventid") == e) & (page < max_page) for e in FUNNEL_STEPS_EVENTS]
+def _funnel_steps():
+    return [F.col("eventid") == e for e in FUNNEL_STEPS_EVENTS]
 
 
 @register("w19_funnel_depth")
@@ -116,14 +115,21 @@ def q_rollover(spark, sf_dir):
     return D.rollover_scores(_scores(spark, sf_dir), _clean(spark, sf_dir), day="dy")
 
 
+def _rolled(spark, sf_dir):
+    """W08's score table at the end of each day of the log."""
+    daily = _scores(spark, sf_dir)
+    last = daily.agg(F.max("dy")).first()[0]  # one date
+    return D.rolled_scores(daily, last)
+
+
 @register("w09_best_account")
 def q_best(spark, sf_dir):
-    return D.best_account(_scores(spark, sf_dir), by=["dy"])
+    return D.best_account(_rolled(spark, sf_dir), by=["dy"]).select("dy", "deviceid", "account")
 
 
 @register("w10_assign_guid")
 def q_guid(spark, sf_dir):
-    best = D.best_account(_scores(spark, sf_dir), by=["dy"])
+    best = D.best_account(_rolled(spark, sf_dir), by=["dy"])
     return (D.assign_guid(_clean(spark, sf_dir), best, day="dy")
             .select("event_id", "deviceid", "account", "guid", "dy"))
 
@@ -183,10 +189,9 @@ def q_bitmap(spark, sf_dir):
 
 @register("w32_update_bitmap_text")
 def q_bitmap_text(spark, sf_dir):
+    """W32's bitmaps as sums of day values instead of yesterday's bitmap."""
     act = _active(spark, sf_dir)
-    last = _last_day(act)
-    prev = A.bitmap_snapshots(act, last_day=last - _dt.timedelta(days=1))
-    return A.update_bitmap_text(prev, act, day="dy")
+    return A.bitmap_snapshots(act, last_day=_last_day(act))
 
 
 # --- attribution ------------------------------------------------------------
@@ -291,6 +296,11 @@ def q_edges(spark, sf_dir):
     return _graph(_log(spark, sf_dir))[1]
 
 
+@register("w11_chain_edges")
+def q_chain_edges(spark, sf_dir):
+    return G.identity_edges(_log(spark, sf_dir), ("sessionid", "account", "deviceid"), "chain")
+
+
 @register("w12_connected_components")
 def q_components(spark, sf_dir):
     return G.connected_components(*_graph(_log(spark, sf_dir)))
@@ -405,6 +415,27 @@ def q_knn(spark, sf_dir):
     return r.select(F.col("id").alias("vec_id"), "label", "neighbour")
 
 
+def _held_out(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label",
+                                                  F.col("embedding").alias("features"))
+    train, test = M.split_by_key(e, "id")
+    return test, train
+
+
+@register("w34_knn_vote")
+def q_knn_vote(spark, sf_dir):
+    """Majority label of the three nearest vectors of the training part."""
+    test, train = _held_out(spark, sf_dir)
+    return M.knn_classify(test, train, k=3).select(F.col("id").alias("vec_id"), "label")
+
+
+@register("w34_knn_similarity")
+def q_knn_similarity(spark, sf_dir):
+    test, train = _held_out(spark, sf_dir)
+    r = M.knn_classify(test, train, metric="similarity")
+    return r.select(F.col("id").alias("vec_id"), "label", "neighbour", F.round("score", 6).alias("score"))
+
+
 CHURN_FEATURES = ["n_orders", "total_price", "avg_price", "max_price", "n_urgent", "n_open"]
 
 
@@ -419,7 +450,7 @@ def _churn_frame(spark, sf_dir):
         F.sum(F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)).cast("double").alias("n_open"))
     c = table(spark, sf_dir, "customer").select(
         "c_custkey", F.when(F.col("c_acctbal") < 0, 1.0).otherwise(0.0).alias("label"))
-    return feats.join(c, "c_custkey")
+    return c.join(feats, "c_custkey", "left").na.fill(0.0, CHURN_FEATURES)
 
 
 @register("w35_minmax_scale")
@@ -436,6 +467,14 @@ def q_churn(spark, sf_dir):
     return M.predict(model, df, keep=["c_custkey", "label"])
 
 
+@register("w35_churn_optimality")
+def q_churn_optimality(spark, sf_dir):
+    """The fitted model's mean gradient per scaled feature; 0 at the optimum."""
+    train, _ = M.split_by_key(_churn_frame(spark, sf_dir), "c_custkey")
+    g = M.churn_gradient(M.fit_churn(train, CHURN_FEATURES), train, CHURN_FEATURES)
+    return g.select("feature", (F.round("gradient", 5) + F.lit(0.0)).alias("gradient"))
+
+
 def _docs(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
@@ -446,26 +485,31 @@ def q_tfidf_terms(spark, sf_dir):
     return t.select("doc_id", "term", "tf", "df", F.round("idf", 6).alias("idf"), F.round("tf_idf", 6).alias("tf_idf"))
 
 
+TERM_BUCKETS = 100_000
+
+
+def _text_nb(spark, sf_dir, buckets):
+    """Labels from the md5 split train; all documents give the inverse document
+    frequencies and get a prediction."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    docs = _docs(spark, sf_dir)
+    weights = M.term_stats(docs, buckets=buckets).select("doc_id", "term", F.col("tf_idf").alias("w"))
+    train, _ = M.split_by_key(lab, "doc_id")
+    pred = M.naive_bayes_terms(weights, train)
+    return (docs.select("doc_id").join(lab, "doc_id", "left").join(pred, "doc_id", "left")
+            .select("doc_id", "label", "prediction"))
+
+
 @register("w36_text_nb_predict")
 def q_text_nb(spark, sf_dir):
-    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    docs = _docs(spark, sf_dir).join(lab, "doc_id")
-    vec, _ = M.tfidf(docs)
-    train, _ = M.split_by_key(vec, "doc_id")
-    model = M.fit_text_nb(train)
-    return model.transform(vec).select("doc_id", "label", "prediction")
+    """Naive Bayes on TF-IDF of terms hashed into a fixed number of buckets."""
+    return _text_nb(spark, sf_dir, TERM_BUCKETS)
 
 
 @register("w36_text_nb_terms")
 def q_text_nb_terms(spark, sf_dir):
-    """Naive Bayes on term-level TF-IDF weights of the labelled documents,
-    trained on the md5 split, predicting every labelled document."""
-    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    weights = M.term_stats(_docs(spark, sf_dir).join(lab.select("doc_id"), "doc_id")) \
-        .select("doc_id", "term", F.col("tf_idf").alias("w"))
-    train, _ = M.split_by_key(lab, "doc_id")
-    pred = M.naive_bayes_terms(weights, train)
-    return lab.join(pred, "doc_id", "left").select("doc_id", "label", "prediction")
+    """Naive Bayes on term-level TF-IDF weights."""
+    return _text_nb(spark, sf_dir, None)
 
 
 # Fixed coding of the market segment (stands in for the profile's job).

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Partition counts are left to AQE: it
 # coalesces small shuffles and splits skewed join partitions at runtime.
@@ -85,6 +85,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return d
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a scratch path and read it back."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of one's own, on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

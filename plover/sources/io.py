@@ -68,6 +68,13 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] = (
      .partitionBy(*partition_cols).format(fmt).save(path))
 
 
+def write_day(df: DataFrame, path: str, day: str, day_col: str = "dy") -> None:
+    """Replace one day's partition of a day-partitioned folder, also by nothing:
+    the folder of that day is overwritten as a whole, so an empty result
+    leaves no rows of an earlier run."""
+    df.drop(day_col).hint("rebalance").write.mode("overwrite").parquet(f"{path.rstrip('/')}/{day_col}={day}")
+
+
 def save_table(df: DataFrame, name: str, partition_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Catalog table (CTAS / INSERT)."""
     w = df.write.mode(mode)

@@ -2,46 +2,6 @@
 
 from pyspark.sql import types as T
 
-APP_LOG = T.StructType([
-    T.StructField("account", T.StringType()),
-    T.StructField("appid", T.StringType()),
-    T.StructField("appversion", T.StringType()),
-    T.StructField("carrier", T.StringType()),
-    T.StructField("deviceid", T.StringType()),
-    T.StructField("devicetype", T.StringType()),
-    T.StructField("eventid", T.StringType()),
-    T.StructField("ip", T.StringType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("nettype", T.StringType()),
-    T.StructField("osname", T.StringType()),
-    T.StructField("osversion", T.StringType()),
-    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("releasechannel", T.StringType()),
-    T.StructField("resolution", T.StringType()),
-    T.StructField("sessionid", T.StringType()),
-    T.StructField("timestamp", T.LongType()),
-])
-
-SESSION_AGG = T.StructType([
-    T.StructField("guid", T.StringType()),
-    T.StructField("sessionId", T.StringType()),
-    T.StructField("start_time", T.LongType()),
-    T.StructField("end_time", T.LongType()),
-    T.StructField("in_page", T.StringType()),
-    T.StructField("out_page", T.StringType()),
-    T.StructField("pv_cnt", T.LongType()),
-    T.StructField("isnew", T.IntegerType()),
-    T.StructField("hour_segment", T.IntegerType()),
-    T.StructField("province", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("district", T.StringType()),
-    T.StructField("device_type", T.StringType()),
-    T.StructField("release_channel", T.StringType()),
-    T.StructField("app_version", T.StringType()),
-    T.StructField("os_name", T.StringType()),
-])
-
 ACTIVITY_RANGES = T.StructType([
     T.StructField("first_dt", T.DateType()),
     T.StructField("guid", T.StringType()),
@@ -55,20 +15,3 @@ SCORES = T.StructType([
     T.StructField("timestamp", T.DoubleType()),
     T.StructField("score", T.DoubleType()),
 ])
-
-GEO_DICT = T.StructType([
-    T.StructField("geo", T.StringType()),
-    T.StructField("province", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("district", T.StringType()),
-])
-
-IP_RANGES = T.StructType([
-    T.StructField("ip_start", T.LongType()),
-    T.StructField("ip_end", T.LongType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("province", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("isp", T.StringType()),
-])

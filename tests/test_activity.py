@@ -78,8 +78,6 @@ def test_update_bitmap_golden(spark):
     today = spark.createDataFrame([("u1",), ("new",), ("u3",)], "guid string")
     got = dict(rows(A.update_bitmap(prev, today), "guid", "bitmap"))
     assert got == {"u1": 11, "u2": 10, "new": 1, "u3": 3}
-    text = dict(rows(A.update_bitmap_text(prev, today), "guid", "bitmap"))
-    assert text == got
 
 
 def test_bitmap_snapshots_from_scratch(spark):

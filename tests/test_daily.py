@@ -75,3 +75,26 @@ def test_identity_and_score_days(spark):
         return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
     assert collect(day3) == collect(want)
+
+
+def test_empty_day_replaces_the_day(spark, tmp_path):
+    from plover.sources.io import read_table, write_day
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    for day in ("2024-01-01", "2024-01-02"):
+        write_day(df, str(tmp_path / "t"), day)
+    write_day(df.limit(0), str(tmp_path / "t"), "2024-01-02")
+    assert read_table(spark, str(tmp_path / "t"), day="2024-01-02").count() == 0
+    assert read_table(spark, str(tmp_path / "t"), day="2024-01-01").count() == 2
+
+
+def test_idle_device_keeps_its_account(spark):
+    import datetime as dt
+    from plover.operators import detail as D
+    days = [dt.date(2024, 1, d) for d in range(1, 6)]
+    daily = spark.createDataFrame([("d", "a", 100.0, 1.0, days[0]), ("d", "b", 100.0, 9.0, days[3]), ("d", None, 900.0, 9.0, days[1])],
+                                  "deviceid string, account string, score double, timestamp double, dy date")
+    state = {(r["account"], r["dy"]): r["score"] for r in D.rolled_scores(daily, days[4]).collect()}
+    assert state == {("a", days[0]): 100.0, ("a", days[1]): 50.0, ("a", days[2]): 25.0, ("a", days[3]): 12.5,
+                     ("a", days[4]): 6.25, ("b", days[3]): 100.0, ("b", days[4]): 50.0}
+    best = {r["dy"]: r["account"] for r in D.best_account(D.rolled_scores(daily, days[4]), by=["dy"]).collect()}
+    assert best == {days[0]: "a", days[1]: "a", days[2]: "a", days[3]: "b", days[4]: "b"}

@@ -26,3 +26,15 @@ def test_geo_dictionary_unique_cells(spark):
                                    ("a b 500 10 X:Y:Z",), ("a b -5.603 42.605 Q:R:S T",)], "value string")
     d = rows(GEO.build_geo_dictionary(lines), "geo", "province", "city", "district")
     assert d == [("ezs42s", "Q", "R", "S T"), ("wx4g0b", "P", "C", "D1")]
+
+
+def test_overlapping_ranges_keep_one_row_per_event(spark):
+    from plover.operators import geo as GEO
+    log = spark.createDataFrame([(1, "0.0.0.5", None, None), (2, "0.0.0.50", None, None), (3, "0.0.0.5", "P", "C"),
+                                 (4, "bad", None, None), (5, "0.1.0.3", None, None)],
+                                "id int, ip string, province string, city string")
+    ranges = spark.createDataFrame([(0, 99, "CN", "wide", "w"), (3, 9, "CN", "narrow", "n"), (50, 70000, "CN", "long", "l"),
+                                    (0, 9, "0", "no", "no")],
+                                   "ip_start long, ip_end long, country string, province string, city string")
+    got = {r["id"]: (r["province"], r["city"]) for r in GEO.ip_region_enrich(log, ranges).collect()}
+    assert got == {1: ("narrow", "n"), 2: ("wide", "w"), 3: ("P", "C"), 4: (None, None), 5: ("long", "l")}

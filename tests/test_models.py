@@ -22,25 +22,19 @@ def _vec(spark, data, key):
                      F.array("f1", "f2", "f3", "f4", "f5").alias("features"))
 
 
-@pytest.mark.parametrize("tile_rows", [2048, 5, 2])
-def test_knn_golden(spark, tile_rows):
+@pytest.mark.parametrize("block_bytes", [1 << 24, 200, 80])
+def test_knn_golden(spark, block_bytes):
     lab = _vec(spark, SIMPLE, "label").withColumn("id", F.monotonically_increasing_id())
     q = _vec(spark, TEST, "id")
-    out = rows(M.knn_classify(q, lab, k=1, tile_rows=tile_rows, block_rows=tile_rows), "id", "label", "score")
+    out = rows(M.knn_classify(q, lab, k=1, block_bytes=block_bytes), "id", "label", "score")
     assert [(i, lbl) for i, lbl, _ in out] == [(1, 0.0), (2, 0.0), (3, 1.0), (4, 1.0), (5, 1.0)]
     assert [s for _, _, s in out] == [10.0, 33.0, 10.0, 13.0, 13.0]
-    sim = rows(M.knn_classify(q, lab, k=1, metric="similarity", tile_rows=tile_rows), "id", "score")
+    sim = rows(M.knn_classify(q, lab, k=1, metric="similarity", block_bytes=block_bytes), "id", "score")
     assert [round(s, 6) for _, s in sim] == [0.240253, 0.148268, 0.240253, 0.217129, 0.217129]
-    vote = rows(M.knn_classify(q, lab, k=3, tile_rows=tile_rows), "id", "label")
+    vote = rows(M.knn_classify(q, lab, k=3, block_bytes=block_bytes), "id", "label")
     assert vote == [(1, 0.0), (2, 0.0), (3, 1.0), (4, 1.0), (5, 1.0)]
 
 
-LOSS = [  # label, gid, then the 12 features of the first three fixture rows
-    (0, 1, 6, 30, 3, 10, 0, 1, 10, 15, 1, 2, 1, 1),
-    (0, 2, 7, 31, 4, 10, 1, 2, 11, 16, 2, 3, 1, 1),
-]
-
-
 def test_min_max_scale_constant_and_range(spark):
     df = spark.createDataFrame([(1, 0.0, 5.0), (2, 5.0, 5.0), (3, 10.0, 5.0)], "k int, a double, b double")
     got = rows(M.min_max_scale(df, ["a", "b"]), "k", "a", "b")
@@ -120,3 +114,22 @@ def test_naive_bayes_terms_matches_mllib(spark):
                .groupBy("doc_id", "term").agg(F.count(F.lit(1)).cast("double").alias("w")))
     got = dict(rows(M.naive_bayes_terms(weights, train.select("doc_id", "label"), smoothing=1.0)))
     assert got == want
+
+
+def test_knn_keeps_every_query_and_any_type(spark):
+    nan = float("nan")
+    q = spark.createDataFrame([("q1", [0.0, 0.0]), ("q2", [nan, 1.0]), ("q3", None), ("q4", [5.0, 5.0])],
+                              "id string, features array<double>")
+    lab = spark.createDataFrame([("n1", "red", [0.0, 1.0]), ("n2", "blue", [1.0, 0.0]), ("n3", "blue", [9.0, 9.0]),
+                                 ("n4", "red", [nan, 0.0])], "id string, label string, features array<double>")
+    one = {r["id"]: (r["label"], r["neighbour"]) for r in M.knn_classify(q, lab).collect()}
+    assert one == {"q1": ("red", "n1"), "q2": (None, None), "q3": (None, None), "q4": ("blue", "n3")}
+    vote = {r["id"]: r["label"] for r in M.knn_classify(q, lab, k=3).collect()}
+    assert vote == {"q1": "blue", "q2": None, "q3": None, "q4": "blue"}
+    alone = M.knn_classify(lab.limit(1), lab.limit(1), exclude_self=True).collect()
+    assert len(alone) == 1 and alone[0]["label"] is None
+
+
+def test_unknown_category_has_a_code(spark):
+    df = spark.createDataFrame([("a",), ("z",), (None,)], "c string").select(M.code("c", {"a": 0, "b": 1}).alias("n"))
+    assert [r["n"] for r in df.collect()] == [0.0, 2.0, 2.0]
