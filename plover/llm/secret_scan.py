@@ -100,11 +100,12 @@ def with_features(candidates: DataFrame) -> DataFrame:
 def rule_labels(features: DataFrame) -> DataFrame:
     """Findings labelled by rules that need no model: 1 for an issuer's format or
     a mixed value assigned to a credential, 0 for plain numbers, parts of
-    addresses and paths, words, and placeholders. Others have no label."""
+    addresses and paths, words, hexadecimal digests that no credential word
+    stands before, and placeholders. Others have no label."""
     yes = (F.col("issued") == 1) | (F.col("assigned") == 1) & (F.col("digits").between(0.05, 0.95)) \
         & (F.col("variety") * F.col("length") >= 8)
     no = (F.col("digits") == 1) | (F.col("address") == 1) | (F.col("in_path") == 1) | (F.col("dictionary") > 0.5) \
-        | (F.col("credential") == 0) & (F.col("lower") + F.col("upper") > 0.9)
+        | (F.col("credential") == 0) & ((F.col("lower") + F.col("upper") > 0.9) | (F.col("hex") == 1))
     return features.withColumn("label", F.when((F.col("placeholder") == 1) & (F.col("issued") == 0), 0.0)
                                .when(yes, 1.0).when(no, 0.0))
 

@@ -1,0 +1,102 @@
+import datetime as dt
+import hashlib
+import re
+
+from plover.llm import pii, queries
+
+KEY = "k1"
+
+
+def keyed(kind, i, v):
+    return int(hashlib.sha256(f"{KEY}|{kind}|{i}|{v}".encode()).hexdigest()[:15], 16)
+
+
+def feistel(x, a, b, kind):
+    l, r = divmod(x, b)
+    for i in range(1, pii.ROUNDS + 1):
+        if i % 2:
+            l = (l + keyed(kind, i, r) % a) % a
+        else:
+            r = (r + keyed(kind, i, l) % b) % b
+    return l * b + r
+
+
+def luhn(d):
+    s = sum(x if k % 2 == 0 else 2 * x - 9 * (x > 4) for k, x in enumerate(int(c) for c in reversed(d)))
+    return s % 10 == 0
+
+
+def digits(d, kind):
+    m = len(d)
+    return f"{feistel(int(d), 10 ** (m // 2), 10 ** (m - m // 2), kind):0{m}d}"
+
+
+def run(spark, texts):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, _note string")
+    out = pii.pseudonymise(df, KEY)
+    assert out.columns == [*df.columns, "pii"]
+    return [r["text"] for r in out.orderBy("doc_id").collect()]
+
+
+def test_values_match_a_plain_feistel_network(spark):
+    card = "4929348385146330"
+    card = next(card[:-1] + str(k) for k in range(10) if luhn(card[:-1] + str(k)))
+    body = digits(card[:-1], "card")
+    new_card = next(body + str(k) for k in range(10) if luhn(body + str(k)))
+    spaced = " ".join(card[i:i + 4] for i in range(0, 16, 4))
+    phone = digits("0175557713", "phone")
+    day = (dt.date(1984, 2, 29) - dt.date(1900, 1, 1)).days
+    new_day = dt.date(1900, 1, 1) + dt.timedelta(feistel(day, 17, 4297, "date"))
+    ip = feistel(97 << 24 | 51 << 16 | 17 << 8 | 173, 65536, 65536, "ip")
+    ssn = feistel(((123 - 1) * 99 + 45 - 1) * 9999 + 6789 - 1, 88902, 9999, "ssn")
+    area, group, serial = ssn // 989901, ssn // 9999 % 99, ssn % 9999
+    want = {card: new_card, spaced: " ".join(new_card[i:i + 4] for i in range(0, 16, 4)),
+            "+1 (017) 555-7713": f"+1 ({phone[:3]}) {phone[3:6]}-{phone[6:]}", "017-555-7713": f"{phone[:3]}-{phone[3:6]}-{phone[6:]}",
+            "1984-02-29": new_day.isoformat(), "29.02.1984": new_day.strftime("%d.%m.%Y"), "02/29/1984": new_day.strftime("%m/%d/%Y"),
+            "97.51.17.173": ".".join(str(ip >> s & 255) for s in (24, 16, 8, 0)),
+            "123-45-6789": f"{area + (2 if area >= 665 else 1):03d}-{group + 1:02d}-{serial + 1:04d}"}
+    shown = [f"a {v}, b {v}." for v in want]
+    assert run(spark, shown) == [f"a {v}, b {v}." for v in want.values()]
+
+
+def test_what_is_no_value_stays(spark):
+    texts = [None, "", "no digits", "4929348385146331", "2024-02-30", "99/99/2000", "256.1.1.1", "000-12-3456", "666-12-3456",
+             'token = "cb1a9fee807a05366fcb8b6c95c7c565ede51a72"', "x4929348385146330", "version 2.0 of 3.4.5", "1899-12-31",
+             "1" * 40, "a@b", "@", "é 12 ö 34"]
+    assert run(spark, texts) == texts
+
+
+def test_mail_keeps_its_shape(spark):
+    mails = ["of.55@mail4.example.com", "Of.55@mail4.example.com", "a@x.org", "ñé.90@mail2.example.com", "z" * 90 + "@x.org"]
+    got = run(spark, [f"to {m}: {m}" for m in mails])
+    for m, g in zip(mails, got):
+        first, second = re.fullmatch(r"to (\S+): (\S+)", g).groups()
+        assert first == second != m and first.split("@")[1] == m.split("@")[1]
+        for a, b in zip(m.split("@")[0], first.split("@")[0]):
+            assert (a.isdigit(), a.islower(), a.isupper()) == (b.isdigit(), b.islower(), b.isupper())
+
+
+def test_pseudonyms_are_distinct_valid_and_linked(spark):
+    ips = [f"10.{i // 250}.{i % 250}.7" for i in range(1500)]
+    days = [(dt.date(1990, 1, 1) + dt.timedelta(i)).isoformat() for i in range(1500)]
+    got = run(spark, [" ; ".join(p) for p in zip(ips, days)] + [" ".join(ips)])
+    pairs = [g.split(" ; ") for g in got[:-1]]
+    assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == 1500
+    assert got[-1].split(" ") == [a for a, _ in pairs]  # the same value has one pseudonym in all texts
+    assert all(dt.date.fromisoformat(b).year in range(1900, 2100) for _, b in pairs)
+
+
+def test_query_replaces_the_tables_values(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    out = {r["doc_id"]: r for r in queries.op7_pii(spark, sf).collect()}
+    assert set(out) == set(rows)
+    found = 0
+    for i, t in rows.items():
+        values = re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}|[a-z]+\.\d\d@mail\d\.example\.com", t)
+        values += [c for c in re.findall(r"(?<!\w)\d{16}(?!\w)", t) if luhn(c)]
+        found += len(values)
+        assert not any(v in out[i]["text"] for v in values)
+        if not re.search(r"\d.*\d|@", t, re.S):
+            assert out[i]["text"] == t
+    assert found > 20
