@@ -67,17 +67,17 @@ def tokenizer(path: str, pattern: str):
         merges = [(text[t[:k]], text[t[k:]]) for t in tokens for k in range(1, len(t))
                   if t[:k] in known and t[k:] in known]
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        t = Tokenizer(models.BPE(vocab={text[x]: i for i, x in enumerate(tokens) if x}, merges=merges,
-                                 ignore_merges=True))
+        model = models.BPE(vocab={text[x]: i for i, x in enumerate(tokens) if x}, merges=merges, ignore_merges=True)
+        t = Tokenizer(model)
         t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), byte_level])
-        alone = Tokenizer.from_str(t.to_str())  # for pieces that are cut already
+        alone = Tokenizer(model)  # for pieces that are cut already
         alone.pre_tokenizer = byte_level
         _CACHE[key] = (t, alone, np.array([len(x) for x in tokens], np.int64), _Seen())
     return _CACHE[key]
 
 
 LATIN = 0x24F  # last character of the Latin blocks, whose classes are the same in all Unicode versions
-SEEN_PIECES = 1_000_000  # pieces a worker remembers; beyond that it starts anew
+SEEN_PIECES = 250_000  # pieces a worker remembers; beyond that it starts anew
 
 
 def _ranges(keep) -> str:

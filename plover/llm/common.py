@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plover.session import scratch_path
 
-TEXT_CHUNK = 4 << 20  # bytes of text that one vectorised step looks at
+TEXT_CHUNK = 2 << 20  # bytes of text that one vectorised step looks at
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
