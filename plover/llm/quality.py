@@ -153,30 +153,25 @@ def _logit(p: Column) -> Column:
     return F.log(p / (F.lit(1.0) - p))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "quality", meta_cols: tuple[str, ...] = ("lang", "source"),
-                    size_col: str | None = "n_chars", rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
-    """One row per input row: id, t (64-bit text hash), label (the given one or
-    null), part (train, calibrate, test or null), p_text, p_meta, score and
-    accepted (score >= keep).
+def _views(text_col: str, docs: DataFrame, meta_cols: tuple[str, ...], size_col: str | None) -> dict[str, list[Column]]:
+    return {"text_view": text_bins(text_col), "meta_view": meta_bins(docs, meta_cols, size_col)}
 
-    Labelled documents fall into the parts by a hash of their id (half, a
-    quarter, a quarter); rounds see the first, calibration the second, and
-    the third is for measuring. Several labels of an id count by majority
-    (ties: good); null ids and labels are ignored. Null and empty texts are
-    scored by their (empty) features, so are missing metadata columns. With
-    no labels the score is 0.5 and everything is accepted."""
+
+def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, meta_cols: tuple[str, ...],
+         size_col: str | None, rounds: int) -> tuple[DataFrame, dict[str, Column]]:
+    """The documents' views with label and part, and the columns p_text, p_meta
+    and score as expressions over the view columns."""
     said = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
             .filter("id is not null and y is not null").groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("label")))
     said = stage(said, "quality-labels")
-    tb, mb = text_bins(text_col), meta_bins(docs, meta_cols, size_col)
-    d = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"), F.array(*tb).alias("text_view"),
-                    F.array(*mb).alias("meta_view"))
+    bins = _views(text_col, docs, meta_cols, size_col)
+    d = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"),
+                    *[F.array(*b).alias(v) for v, b in bins.items()])
     fold = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("part")), F.lit(4))
     part = F.when(F.col("label").isNotNull(), F.when(fold < 2, "train").when(fold == 2, "calibrate").otherwise("test"))
     rows = stage(d.join(said, "id", "left").withColumn("part", part), "quality-views")
     own = F.when(F.col("part") == "train", F.col("label"))
-    views = {"text_view": len(tb), "meta_view": len(mb)}
+    views = {v: len(b) for v, b in bins.items()}
     taught = {v: own for v in views}
     scores, tables = {}, {}
     for r in range(rounds + 1):
@@ -191,15 +186,38 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     prior = ((totals[0] or 0) + 1) / (totals[1] + 2)
     p_text, p_meta = (_probability(tables[v], scores[v]) for v in views)
     odds = _logit(p_text) + _logit(p_meta) - F.lit(math.log(prior / (1 - prior)))
-    out = rows.withColumn("p_text", p_text).withColumn("p_meta", p_meta) \
-        .withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-odds)))
-    return out.select(F.col("id").alias(id_col), "t", "label", "part", "p_text", "p_meta", "score",
-                      (F.round("score", 9) >= keep).alias("accepted"))
-
-
-def accepted_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, columns unchanged."""
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    bad = score_documents(docs, labels, **options).filter("not accepted")
-    bad = stage(bad.select(F.col(id_col).alias("_bad_id"), F.col("t").alias("_bad_t")).distinct(), "quality-rejected")
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]) & (text_key(text_col) == bad["_bad_t"]), "left_anti")
+    return rows, {"p_text": p_text, "p_meta": p_meta, "score": F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))}
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    label_col: str = "quality", meta_cols: tuple[str, ...] = ("lang", "source"),
+                    size_col: str | None = "n_chars", rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
+    """One row per input row: id, t (64-bit text hash), label (the given one or
+    null), part (train, calibrate, test or null), p_text, p_meta, score and
+    accepted (score >= keep).
+
+    Labelled documents fall into the parts by a hash of their id (half, a
+    quarter, a quarter); rounds see the first, calibration the second, and
+    the third is for measuring. Several labels of an id count by majority
+    (ties: good); null ids and labels are ignored. Null and empty texts are
+    scored by their (empty) features, so are missing metadata columns. With
+    no labels the score is 0.5 and everything is accepted."""
+    rows, out = _fit(docs, labels, id_col, text_col, label_col, meta_cols, size_col, rounds)
+    return rows.withColumns(out).select(F.col("id").alias(id_col), "t", "label", "part", *out,
+                                        _accepts(F.col("score"), keep).alias("accepted"))
+
+
+def _accepts(score: Column, keep: float) -> Column:
+    return F.round(score, 9) >= keep
+
+
+def accepted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       label_col: str = "quality", meta_cols: tuple[str, ...] = ("lang", "source"),
+                       size_col: str | None = "n_chars", rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts, columns unchanged. The
+    fitted score is an expression over a row, so nothing is joined or
+    shuffled to apply it."""
+    _, out = _fit(docs, labels, id_col, text_col, label_col, meta_cols, size_col, rounds)
+    bins = _views(text_col, docs, meta_cols, size_col)
+    seen = docs.select(*docs.columns, *[F.array(*b).alias(v) for v, b in bins.items()])
+    return seen.filter(_accepts(out["score"], keep)).select(*docs.columns)
