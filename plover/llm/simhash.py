@@ -179,8 +179,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
     # the class' first id names it; classes without any id are told apart by their fingerprints
     first = (classes.groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("nameless"))
              .agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "t")).alias("m"))
-             .select(F.col("m.id").alias("_keep_id"), F.col("m.t").alias("_keep_t")))
+             .select(F.struct(F.col("m.id").alias("id"), F.col("m.t").alias("t")).alias("_row")))
     first = stage(first, "simhash-kept")
-    d = docs.withColumn("_own_t", text_key(text_col))
-    kept = d.join(first, d[id_col].eqNullSafe(first["_keep_id"]) & (d["_own_t"] == first["_keep_t"]))
-    return kept.dropDuplicates([id_col, "_own_t"]).select(*docs.columns)
+    # one key column (null ids are equal inside it), so that the join's shuffle serves the last step too
+    d = docs.withColumn("_row", F.struct(F.col(id_col).alias("id"), text_key(text_col).alias("t")))
+    return d.join(first, "_row").dropDuplicates(["_row"]).select(*docs.columns)
