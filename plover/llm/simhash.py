@@ -182,5 +182,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
              .select(F.struct(F.col("m.id").alias("id"), F.col("m.t").alias("t")).alias("_row")))
     first = stage(first, "simhash-kept")
     # one key column (null ids are equal inside it), so that the join's shuffle serves the last step too
-    d = docs.withColumn("_row", F.struct(F.col(id_col).alias("id"), text_key(text_col).alias("t")))
+    own = F.struct(F.col(id_col).alias("id"), text_key(text_col).alias("t"))
+    d = docs.withColumn("_row", own.cast(first.schema["_row"].dataType))  # no cast inside the join's key
     return d.join(first, "_row").dropDuplicates(["_row"]).select(*docs.columns)
