@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plover.llm.common import row_chunks, text_bytes
+from plover.llm.common import map_batches, row_chunks, text_bytes
 
 _CACHE: dict = {}
 
@@ -77,6 +77,7 @@ def tokenizer(path: str, pattern: str):
 
 
 LATIN = 0x24F  # last character of the Latin blocks, whose classes are the same in all Unicode versions
+FOREIGN_CHUNK = 1 << 16  # characters that one call of the library gets; a longer text is one call
 SEEN_PIECES = 250_000  # pieces a worker remembers; beyond that it starts anew
 
 
@@ -154,8 +155,10 @@ def _ids(key: tuple, texts: list[str], latin) -> list[np.ndarray]:
         _learn(alone, seen)
         for k, pieces in cut.items():
             out[k] = b"".join(map(find, pieces))
-    for k, e in zip(rest, whole.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
-        out[k] = np.array(e.ids, np.int32).tobytes()
+    # the library's encodings are many times larger than the text, so a few texts at a time
+    for i, j in row_chunks(np.cumsum([0, *(len(texts[k]) for k in rest)]), FOREIGN_CHUNK):
+        for k, e in zip(rest[i:j], whole.encode_batch_fast([texts[k] for k in rest[i:j]], add_special_tokens=False)):
+            out[k] = np.array(e.ids, np.int32).tobytes()
     return [np.frombuffer(x, np.int32) for x in out]
 
 
@@ -202,7 +205,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", off
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     more = ", starts array<int>, ends array<int>" if offsets else ""
     return (docs.select(*keep, F.col(text_col).alias("text"))
-            .mapInArrow(_encode(path, pattern, offsets), f"{kinds}, ids array<int>{more}"))
+            .transform(map_batches, _encode(path, pattern, offsets), f"{kinds}, ids array<int>{more}"))
 
 
 def _decode(path: str, ids_col: str):
@@ -233,4 +236,4 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """Adds decoded binary: the bytes of each row's ids (null ids: none). For a
     whole text's ids these are its UTF-8 bytes."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(_decode(path, ids_col), f"{kinds}, decoded binary")
+    return encoded.transform(map_batches, _decode(path, ids_col), f"{kinds}, decoded binary")

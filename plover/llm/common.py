@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plover.session import scratch_path
 
-TEXT_CHUNK = 2 << 20  # bytes of text that one vectorised step looks at
+TEXT_CHUNK = 1 << 19  # bytes of text that one vectorised step looks at
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -23,6 +23,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` whose tasks hand back Arrow's unused memory when they end;
+    their Python workers live on and would keep it."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return df.mapInArrow(task, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plover.llm.common import (Prefix, as_int64, mix64, row_chunks, sliding_argmin, stage, text_bytes, text_key,
+from plover.llm.common import (Prefix, as_int64, map_batches, mix64, row_chunks, sliding_argmin, stage, text_bytes, text_key,
                                word_codes, word_spans)
 
 WINDOW = 13
@@ -212,7 +212,7 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, window: int = WI
     one row."""
     kind, ikind = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
     items = (benchmark.select(F.col(item_col).alias("id"), F.col(item_text).alias("text"))
-             .mapInArrow(_item_rows(window), f"id {ikind}, size int, a long, w long, x long"))
+             .transform(map_batches, _item_rows(window), f"id {ikind}, size int, a long, w long, x long"))
     items = stage(items, "bench-windows")
     # at most ``window`` sizes
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [window]
@@ -221,11 +221,11 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, window: int = WI
     keys = stage(items.groupBy("w").agg(F.min("id").alias("item")), "bench-keys")
     exact = stage(items.select("w", "x").distinct().withColumn("same", F.lit(True)), "bench-exact")
     d = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"), F.col(text_col).alias("text"))
-    near = (d.mapInArrow(_picked_rows(sizes), f"id {kind}, t long, a long")
+    near = (d.transform(map_batches, _picked_rows(sizes), f"id {kind}, t long, a long")
             .join(grams, "a", "left_semi").select("id", "t").distinct())
     near = stage(near, "bench-candidates")
     some = d.join(near, d["id"].eqNullSafe(near["id"]) & (d["t"] == near["t"]), "left_semi")
-    found = (some.mapInArrow(_window_rows(sizes), f"id {kind}, t long, w long, x long, s long, size int")
+    found = (some.transform(map_batches, _window_rows(sizes), f"id {kind}, t long, w long, x long, s long, size int")
              .join(keys, "w").distinct().join(exact, ["w", "x"], "left"))
     return found.select("id", "t", "s", "size", "item", F.coalesce("same", F.lit(False)).alias("verbatim"))
 

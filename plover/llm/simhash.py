@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plover.llm.common import row_chunks, stage, text_bytes, text_key
+from plover.llm.common import map_batches, row_chunks, stage, text_bytes, text_key
 from plover.operators.graph import connected_components
 
 SHINGLE = 3
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     input row. ASCII letters are lower-cased; null texts have no words."""
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"), F.col(text_col).alias("text"))
-            .mapInArrow(_fingerprints(shingle), f"id {kind}, t long, fp long"))
+            .transform(map_batches, _fingerprints(shingle), f"id {kind}, t long, fp long"))
 
 
 def _forest(keys: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +147,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         keys.append(F.struct(F.lit(c).alias("c"), F.col("fp").bitwiseAND(F.lit(mask)).alias("key")))
     listed = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.c", "k.key", "fp")
     shared = listed.groupBy("c", "key").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
-    return shared.select("c", "fps").mapInArrow(_links(max_bits), "src long, dst long").distinct()
+    return shared.select("c", "fps").transform(map_batches, _links(max_bits), "src long, dst long").distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plover.llm.common import Prefix, row_chunks, text_bytes, word_codes, word_spans
+from plover.llm.common import Prefix, map_batches, row_chunks, text_bytes, word_codes, word_spans
 
 SIZE = 128
 SHINGLE = 5
@@ -69,7 +69,7 @@ def with_sketches(df: DataFrame, columns: dict[str, str], size: int = SIZE, shin
     empty texts have the empty sketch; rows stay as they are."""
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields
              if not (drop and f.name in columns)]
-    return df.mapInArrow(_add(columns, size, shingle, drop),
+    return df.transform(map_batches, _add(columns, size, shingle, drop),
                          ", ".join([*kinds, *(f"`{s}` array<bigint>" for s in columns.values())]))
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plover.llm.common import (Prefix, as_int64, row_chunks, sliding_argmin, stage, text_bytes, text_key, word_codes,
+from plover.llm.common import (Prefix, as_int64, map_batches, row_chunks, sliding_argmin, stage, text_bytes, text_key, word_codes,
                                word_spans)
 
 WINDOW = 35
@@ -140,19 +140,19 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     if not 1 <= gram < window:
         raise ValueError("the anchor must be shorter than the window")
     d = _keyed(docs, id_col, text_col)
-    index = (d.select("text").mapInArrow(_index_rows(window, gram), "a long, b long")
+    index = (d.select("text").transform(map_batches, _index_rows(window, gram), "a long, b long")
              .groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("lo"), F.max("b").alias("hi"))
              .filter("n > 1").select("a", (F.col("lo") != F.col("hi")).alias("open")))
     index = stage(index, "rlz-index")
     kind = d.schema["id"].dataType.simpleString()
-    blocks = d.mapInArrow(_block_rows(window, gram), f"id {kind}, t long, a long, s int, n int")
+    blocks = d.transform(map_batches, _block_rows(window, gram), f"id {kind}, t long, a long, s int, n int")
     hit = (blocks.join(index, "a").groupBy("id", "t")
            .agg(F.array_sort(F.collect_set(F.when(~F.col("open"), F.struct("s", "n")))).alias("whole"),
                 F.array_sort(F.collect_set(F.when(F.col("open"), F.struct("s", "n", "a")))).alias("open")))
     hit = stage(hit, "rlz-factors")
     ends = hit.filter(F.size("open") > 0).select("id", "t", "open")
     windows = (d.join(ends, _same_row(d, ends)).select(d["id"], d["t"], "text", "open")
-               .mapInArrow(_window_rows(window), f"id {kind}, t long, a long, w long, s int"))
+               .transform(map_batches, _window_rows(window), f"id {kind}, t long, a long, w long, s int"))
     windows = stage(windows, "rlz-windows")
     twice = stage(windows.groupBy("a", "w").count().filter("count > 1").select("a", "w"), "rlz-repeated")
     found = (windows.join(twice, ["a", "w"]).groupBy("id", "t")
@@ -216,6 +216,6 @@ def remove_duplicate_spans(docs: DataFrame, window: int = WINDOW, id_col: str =
     found = stage(duplicate_spans(docs, window, id_col, text_col), "rlz-spans")
     both = d.join(found, _same_row(d, found), "left").select(d["id"], d["text"], found["spans"])
     kind = d.schema["id"].dataType.simpleString()
-    out = both.mapInArrow(_cut, f"id {kind}, spans array<struct<s:int,e:int>>, n_words long, n_removed long, "
+    out = both.transform(map_batches, _cut, f"id {kind}, spans array<struct<s:int,e:int>>, n_words long, n_removed long, "
                                 "kept_text string")
     return out.withColumnRenamed("id", id_col)
