@@ -31,15 +31,15 @@ _RATIOS = (0.0, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.4, 0.8)
 _SIZES = (0, 2, 5, 10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10000, 50000)
 
 
-def _bin(x: Column, edges) -> Column:
-    """Number of edges that x is above."""
-    out = F.lit(0)
-    for e in edges:
-        out = out + (x > F.lit(float(e))).cast("int")
-    return F.coalesce(out, F.lit(0))
+def _bins(values: Column, edges) -> Column:
+    """For each value of an array the number of edges that it is above. The
+    values stand once in the expression, so it stays small."""
+    ends = F.lit([float(e) for e in edges])
+    return F.transform(values, lambda x: F.size(F.filter(ends, lambda e: x > e)))
 
 
-def text_bins(text: str) -> list[Column]:
+def text_shape(text: str) -> Column:
+    """Eight ratios, the word length and the number of words."""
     t = F.coalesce(F.col(text), F.lit(""))
     chars = F.greatest(F.length(t), F.lit(1)).cast("double")
     words = F.split(F.trim(t), "[ \\t\\r\\n]+")
@@ -59,26 +59,36 @@ def text_bins(text: str) -> list[Column]:
         F.lit(1.0) - F.size(F.array_distinct(lines)) / F.size(lines),
         F.size(lines) / n_words,
     ]
-    return [_bin(r, _RATIOS) for r in ratios] + [_bin(chars / n_words, range(1, 14)), _bin(n_words, _SIZES)]
+    return F.array(*ratios, chars / n_words, n_words)
 
 
-def meta_bins(docs: DataFrame, columns: tuple[str, ...], size_col: str | None) -> list[Column]:
-    out = [F.pmod(F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit(META_BUCKETS)).cast("int")
-           for c in columns if c in docs.columns]
-    if size_col in docs.columns:
-        out.append(_bin(F.coalesce(F.col(size_col).cast("double"), F.lit(0.0)), _SIZES))
-    return out or [F.lit(0)]
+def text_bins(shape: Column) -> Column:
+    return F.concat(_bins(F.slice(shape, 1, 8), _RATIOS), _bins(F.slice(shape, 9, 1), range(1, 14)),
+                    _bins(F.slice(shape, 10, 1), _SIZES))
 
 
-def _counts(rows: DataFrame, view: str) -> dict:
-    """{(feature, bin): {(label, is pseudo): rows}} and totals at (-1, 0)."""
-    bins = F.concat(F.transform(view, lambda b, i: F.struct(i.alias("f"), b.alias("b"))),
-                    F.array(F.struct(F.lit(-1).alias("f"), F.lit(0).alias("b"))))
-    got = (rows.filter("y is not null").select("y", "pseudo", F.explode(bins).alias("x"))
-           .groupBy("x.f", "x.b", "y", "pseudo").count().collect())
-    out: dict = {}
+def meta_bins(docs: DataFrame, columns: tuple[str, ...], size_col: str | None) -> Column:
+    hashed = [F.pmod(F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit(META_BUCKETS)).cast("int")
+              for c in columns if c in docs.columns]
+    sized = [_bins(F.array(F.coalesce(F.col(size_col).cast("double"), F.lit(0.0))), _SIZES)] if size_col in docs.columns else []
+    return F.concat(F.array(*hashed or [F.lit(0)]), *sized)
+
+
+def _counts(rows: DataFrame, taught: dict[str, Column]) -> dict[str, dict]:
+    """For each view {(feature, bin): {(label, is pseudo): rows}}, with totals at
+    (-1, 0). One count serves all views."""
+    def cells(view):
+        bins = F.transform(view, lambda b, f: F.struct(F.lit(view).alias("v"), f.alias("f"), b.alias("b"),
+                                                       F.col("y_" + view).alias("y")))
+        return F.concat(F.array(F.struct(F.lit(view).alias("v"), F.lit(-1).alias("f"), F.lit(0).alias("b"),
+                                         F.col("y_" + view).alias("y"))), bins)
+
+    got = (rows.select(*taught, F.col("label").isNull().alias("pseudo"), *[y.alias("y_" + v) for v, y in taught.items()])
+           .select("pseudo", F.explode(F.concat(*[cells(v) for v in taught])).alias("x")).filter("x.y is not null")
+           .groupBy("x.v", "x.f", "x.b", "x.y", "pseudo").count().collect())
+    out: dict = {v: {} for v in taught}
     for r in got:
-        out.setdefault((r["f"], r["b"]), {})[(r["y"], r["pseudo"])] = r["count"]
+        out[r["v"]].setdefault((r["f"], r["b"]), {})[(r["y"], r["pseudo"])] = r["count"]
     return out
 
 
@@ -94,14 +104,13 @@ def _log_odds(counts: dict) -> dict:
     return out | {(-1, 0): math.log(good / bad)}
 
 
-def _score(odds: dict, view: str, features: int) -> Column:
+def _score(odds: dict, view: str) -> Column:
     """Log-odds of a view's bins; bins that no label has count nothing."""
-    out = F.lit(odds.get((-1, 0), 0.0))
-    for f in range(features):
-        known = {b: v for (g, b), v in odds.items() if g == f}
-        table = F.array(*[F.lit(known.get(b, 0.0)) for b in range(max(known, default=0) + 1)])
-        out = out + F.coalesce(F.get(table, F.get(view, F.lit(f))), F.lit(0.0))
-    return out
+    last = max((f for f, _ in odds), default=-1)
+    known = [{b: v for (g, b), v in odds.items() if g == f} for f in range(last + 1)]
+    tables = F.lit([[k.get(b, 0.0) for b in range(max(k, default=0) + 1)] for k in known] or [[0.0]])
+    return F.aggregate(F.transform(view, lambda b, f: F.coalesce(F.get(F.get(tables, f), b), F.lit(0.0))),
+                       F.lit(odds.get((-1, 0), 0.0)), lambda total, x: total + x)
 
 
 def _step(score: Column) -> Column:
@@ -145,16 +154,16 @@ def _calibrations(rows: DataFrame, scores: dict[str, Column]) -> dict[str, list[
     return out
 
 
-def _probability(table: list[float], score: Column) -> Column:
-    return F.get(F.array(*[F.lit(p) for p in table]), _step(score))
+def _by_step(values: list, score: Column) -> Column:
+    return F.get(F.array(*[F.lit(x) for x in values]), _step(score))
 
 
-def _logit(p: Column) -> Column:
-    return F.log(p / (F.lit(1.0) - p))
+def _pseudo_label(p: float) -> int | None:
+    return 1 if p >= CONFIDENT else 0 if p <= 1 - CONFIDENT else None
 
 
-def _views(text_col: str, docs: DataFrame, meta_cols: tuple[str, ...], size_col: str | None) -> dict[str, list[Column]]:
-    return {"text_view": text_bins(text_col), "meta_view": meta_bins(docs, meta_cols, size_col)}
+def _logit(p: float) -> float:
+    return math.log(p / (1 - p))
 
 
 def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, meta_cols: tuple[str, ...],
@@ -164,28 +173,27 @@ def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
     said = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
             .filter("id is not null and y is not null").groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("label")))
     said = stage(said, "quality-labels")
-    bins = _views(text_col, docs, meta_cols, size_col)
-    d = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"),
-                    *[F.array(*b).alias(v) for v, b in bins.items()])
+    d = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"), text_shape(text_col).alias("shape"),
+                    meta_bins(docs, meta_cols, size_col).alias("meta_view"))
     fold = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("part")), F.lit(4))
     part = F.when(F.col("label").isNotNull(), F.when(fold < 2, "train").when(fold == 2, "calibrate").otherwise("test"))
-    rows = stage(d.join(said, "id", "left").withColumn("part", part), "quality-views")
+    rows = stage(d.join(said, "id", "left").withColumns({"text_view": text_bins(F.col("shape")), "part": part})
+                 .drop("shape"), "quality-views")
     own = F.when(F.col("part") == "train", F.col("label"))
-    views = {v: len(b) for v, b in bins.items()}
-    taught = {v: own for v in views}
+    other = {"text_view": "meta_view", "meta_view": "text_view"}
+    taught = {v: own for v in other}
     scores, tables = {}, {}
-    for r in range(rounds + 1):
-        for v, n in views.items():
-            learn = rows.select(v, taught[v].alias("y"), F.col("label").isNull().alias("pseudo"))
-            scores[v] = _score(_log_odds(_counts(learn, v)), v, n)
+    for _ in range(rounds + 1):
+        counts = _counts(rows, taught)
+        scores = {v: _score(_log_odds(counts[v]), v) for v in other}
         tables = _calibrations(rows, scores)
-        for v, other in (("text_view", "meta_view"), ("meta_view", "text_view")):
-            p = _probability(tables[other], scores[other])
-            taught[v] = F.when(F.col("label").isNull(), F.when(p >= CONFIDENT, 1).when(p <= 1 - CONFIDENT, 0)).otherwise(own)
+        taught = {v: F.when(F.col("label").isNull(), _by_step([_pseudo_label(p) for p in tables[o]], scores[o])).otherwise(own)
+                  for v, o in other.items()}
     totals = rows.filter("part = 'calibrate'").agg(F.sum("label"), F.count("label")).first()
     prior = ((totals[0] or 0) + 1) / (totals[1] + 2)
-    p_text, p_meta = (_probability(tables[v], scores[v]) for v in views)
-    odds = _logit(p_text) + _logit(p_meta) - F.lit(math.log(prior / (1 - prior)))
+    p_text, p_meta = (_by_step(tables[v], scores[v]) for v in other)
+    l_text, l_meta = (_by_step([_logit(p) for p in tables[v]], scores[v]) for v in other)
+    odds = l_text + l_meta - F.lit(_logit(prior))
     return rows, {"p_text": p_text, "p_meta": p_meta, "score": F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))}
 
 
@@ -218,6 +226,9 @@ def accepted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
     fitted score is an expression over a row, so nothing is joined or
     shuffled to apply it."""
     _, out = _fit(docs, labels, id_col, text_col, label_col, meta_cols, size_col, rounds)
-    bins = _views(text_col, docs, meta_cols, size_col)
-    seen = docs.select(*docs.columns, *[F.array(*b).alias(v) for v, b in bins.items()])
-    return seen.filter(_accepts(out["score"], keep)).select(*docs.columns)
+    seen = docs.select(F.struct(*docs.columns).alias("doc"), text_shape(text_col).alias("shape"),
+                       meta_bins(docs, meta_cols, size_col).alias("meta_view"))
+    # One row each; a filter isn't pushed below it, where it would compute the shape several times for a row.
+    seen = seen.select("doc", "meta_view", F.explode(F.array("shape")).alias("shape"))
+    seen = seen.withColumn("text_view", text_bins(F.col("shape")))
+    return seen.filter(_accepts(out["score"], keep)).select("doc.*")
