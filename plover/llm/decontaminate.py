@@ -2,7 +2,12 @@
 
 A text becomes a sequence of template tokens: lower-cased words, with typed
 placeholders for numbers, for units after a number, and for names
-(capitalised words inside a sentence; a run of them is one name). A window
+(capitalised words; a run of them is one name). Whether a capitalised word
+at the start of a sentence is a name can't be told from its place, so every
+text is read three ways, on both sides: ``_INSIDE`` takes names inside
+sentences only, ``_ANYWHERE`` every capitalised word but ``FUNCTION_WORDS``,
+wherever a sentence or line begins, and ``_LITERAL`` no placeholders at all,
+so that a verbatim copy matches whatever stands around it. A window
 is ``WINDOW`` consecutive tokens (a shorter item is one window), half of
 them words at least. Windows of documents are hash-joined with those of the
 benchmark. Their slots are consistent if the values can be mapped one to
@@ -33,6 +38,14 @@ GRAM = 4
 UNITS = ("km kilometers kilometres m meters metres cm mm miles mile feet foot inches inch kg kilograms grams g mg lb "
          "pounds ounces liters litres ml seconds second minutes minute hours hour days day weeks week months month "
          "years year percent dollars dollar euros euro cents cent degrees mph kmh").split()
+#: Begin sentences without being names; in _ANYWHERE they are words.
+FUNCTION_WORDS = ("a about after all also although an and another any are as at because before both but by did do does "
+                  "each either every few find five for four from given has have he her his how however if in into is it its let "
+                  "many more most my next no not now of on once one or our she since so some that the their then there these "
+                  "they this those three to two under until we were what when where which while who whose why with "
+                  "would you your").split()
+_INSIDE, _ANYWHERE, _LITERAL = range(3)
+READINGS = 3
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (0x6E756D, 0x756E6974, 0x6E616D65))
 _NO_GRAM = np.uint64(2 ** 64 - 1)
 
@@ -55,7 +68,11 @@ def _codes_of(words: list[str]) -> np.ndarray:
     return word_codes(raw, s, e)
 
 
-_UNIT_CODES = np.sort(_codes_of(UNITS))
+_UNIT_CODES, _FUNCTION_CODES = np.sort(_codes_of(UNITS)), np.sort(_codes_of(FUNCTION_WORDS))
+
+
+def _among(codes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, codes), len(known) - 1)] == codes
 
 
 def _shift(x: np.ndarray, by: int) -> np.ndarray:
@@ -68,8 +85,9 @@ def _shift(x: np.ndarray, by: int) -> np.ndarray:
 
 
 def template(raw: np.ndarray, offs: np.ndarray):
-    """Template codes, value codes and slot flags of the tokens of some rows,
-    and the rows' n + 1 token offsets."""
+    """Template codes, value codes, slot flags and word numbers in the row of the
+    tokens of n rows, in each reading, and the token offsets: row r in reading
+    k is sequence k * n + r."""
     word, digit = _WORD[raw], _DIGIT[raw]
     if len(raw) > 1:
         point = (raw == 0x2E) | (raw == 0x2C)
@@ -82,7 +100,8 @@ def template(raw: np.ndarray, offs: np.ndarray):
     low[big] += 0x20
     s, e, rows = word_spans(raw, offs, ~word)
     if not len(s):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool), rows
+        return (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64),
+                np.zeros(READINGS * (len(rows) - 1) + 1, np.int64))
     value = word_codes(low, s, e)
     first = np.zeros(len(s) + 1, bool)
     first[rows] = True
@@ -92,18 +111,24 @@ def template(raw: np.ndarray, offs: np.ndarray):
     number = _DIGIT[raw[s]]
     unit = np.zeros(len(s), bool)
     unit[1:] = number[:-1] & ~first[1:-1]
-    at = np.minimum(np.searchsorted(_UNIT_CODES, value), len(_UNIT_CODES) - 1)
-    unit &= (_UNIT_CODES[at] == value) & ~number
+    unit &= _among(value, _UNIT_CODES) & ~number
     second = np.minimum(s + 1, len(raw) - 1)
     wide = np.append(big, False)[s + 1]  # an accented capital has two bytes
     capital = _CAPITAL[raw[s]] | wide
     cased = (e - s > 1 + wide) & ~_CAPITAL[raw[np.minimum(second + wide, len(raw) - 1)]]
-    name = capital & cased & ~begins & ~number & ~unit
-    code = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, value)))
-    again = np.zeros(len(s), bool)
-    again[1:] = name[1:] & name[:-1] & ~first[1:-1]
-    keep = ~again
-    return code[keep], value[keep], (number | unit | name)[keep], np.concatenate(([0], np.cumsum(keep)))[rows]
+    named = capital & cased & ~number & ~unit
+    place = np.arange(len(s)) - np.repeat(rows[:-1], np.diff(rows))
+    parts, ends = [], [np.zeros(1, np.int64)]
+    for name in (named & ~begins, named & ~_among(value, _FUNCTION_CODES)):
+        again = np.zeros(len(s), bool)
+        again[1:] = name[1:] & name[:-1] & ~first[1:-1]
+        keep = ~again
+        code = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, value)))
+        parts.append((code[keep], value[keep], (number | unit | name)[keep], place[keep]))
+        ends.append(ends[-1][-1] + np.concatenate(([0], np.cumsum(keep)))[rows[1:]])
+    parts.append((value, value, number, place))
+    ends.append(ends[-1][-1] + rows[1:])
+    return *(np.concatenate(x) for x in zip(*parts)), np.concatenate(ends)
 
 
 def _grams(codes: np.ndarray, slots: np.ndarray, sums: Prefix) -> np.ndarray:
@@ -114,7 +139,7 @@ def _grams(codes: np.ndarray, slots: np.ndarray, sums: Prefix) -> np.ndarray:
 
 
 def _windows(codes, values, slots, rows, size: int, sums: Prefix):
-    """Windows of ``size`` tokens: row, start, joined key (template and slot
+    """Windows of ``size`` tokens: sequence, start, joined key (template and slot
     pattern) and exact key (values too)."""
     n = len(codes) - size + 1
     row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
@@ -138,16 +163,17 @@ def _windows(codes, values, slots, rows, size: int, sums: Prefix):
 
 
 def _chunks(batches):
+    """Batch, its first row and number of rows, and their template."""
     for b in batches:
         raw, offs = text_bytes(b.column("text"))
         for i, j in row_chunks(offs):
-            yield b, i, template(raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+            yield b, i, j - i, template(raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
 
 
 def _picked_rows(sizes: list[int]):
     """id, t, a: the grams that the windows of each size pick."""
     def run(batches):
-        for b, i, (codes, _, slots, rows) in _chunks(batches):
+        for b, i, n_rows, (codes, _, slots, _, rows) in _chunks(batches):
             grams = _grams(codes, slots, Prefix(codes))
             row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
             row, gram = [], []
@@ -161,6 +187,12 @@ def _picked_rows(sizes: list[int]):
                 row.append(row_of[use])
                 gram.append(grams[pick[use]] if n else np.zeros(0, np.uint64))
             row, gram = np.concatenate(row), np.concatenate(gram)
+            row %= n_rows
+            order = np.lexsort((gram, row))  # the readings agree on most grams
+            row, gram = row[order], gram[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
+            row, gram = row[new], gram[new]
             take = pa.array(row + i)
             yield pa.RecordBatch.from_arrays([b.column("id").take(take), b.column("t").take(take), as_int64(gram)],
                                              ["id", "t", "a"])
@@ -170,7 +202,7 @@ def _picked_rows(sizes: list[int]):
 def _item_rows(window: int):
     """id, size, a, w, x of the items' windows."""
     def run(batches):
-        for b, i, (codes, values, slots, rows) in _chunks(batches):
+        for b, i, n_rows, (codes, values, slots, _, rows) in _chunks(batches):
             sums = Prefix(codes)
             grams = _grams(codes, slots, sums)
             length = np.diff(rows)
@@ -183,21 +215,21 @@ def _item_rows(window: int):
                     continue
                 gram = grams[sliding_argmin(grams, size - GRAM + 1)[start]]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(pa.array(row + i)), pa.array(np.full(len(row), size, np.int32)),
+                    [b.column("id").take(pa.array(row % n_rows + i)), pa.array(np.full(len(row), size, np.int32)),
                      as_int64(gram), as_int64(key), as_int64(exact)], ["id", "size", "a", "w", "x"])
     return run
 
 
 def _window_rows(sizes: list[int]):
     def run(batches):
-        for b, i, (codes, values, slots, rows) in _chunks(batches):
+        for b, i, n_rows, (codes, values, slots, place, rows) in _chunks(batches):
             sums = Prefix(codes)
             for size in sizes:
                 row, start, key, exact = _windows(codes, values, slots, rows, size, sums)
-                take = pa.array(row + i)
+                take = pa.array(row % n_rows + i)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").take(take), b.column("t").take(take), as_int64(key), as_int64(exact),
-                     pa.array(start - rows[row], pa.int64()), pa.array(np.full(len(row), size, np.int32))],
+                     pa.array(place[start], pa.int64()), pa.array(np.full(len(row), size, np.int32))],
                     ["id", "t", "w", "x", "s", "size"])
     return run
 
@@ -205,9 +237,9 @@ def _window_rows(sizes: list[int]):
 def contaminated_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                          text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Every window of a document that matches the benchmark consistently:
-    id, t (64-bit text hash), s and size (first template token, tokens), item
+    id, t (64-bit text hash), s and size (number of the first word, tokens), item
     (the smallest item id that has the window), verbatim (its slot values
-    agree with an item's). Null or empty texts on either side match nothing;
+    agree with an item's). A place that matches in several readings is one. Null or empty texts on either side match nothing;
     repeated rows of a document are one; many items that share a window give
     one row."""
     kind, ikind = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
@@ -226,8 +258,9 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, window: int = WI
     near = stage(near, "bench-candidates")
     some = d.join(near, d["id"].eqNullSafe(near["id"]) & (d["t"] == near["t"]), "left_semi")
     found = (some.transform(map_batches, _window_rows(sizes), f"id {kind}, t long, w long, x long, s long, size int")
-             .join(keys, "w").distinct().join(exact, ["w", "x"], "left"))
-    return found.select("id", "t", "s", "size", "item", F.coalesce("same", F.lit(False)).alias("verbatim"))
+             .join(keys, "w").join(exact, ["w", "x"], "left"))
+    return found.groupBy("id", "t", "s", "size").agg(
+        F.min("item").alias("item"), F.max(F.coalesce("same", F.lit(False))).alias("verbatim"))
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",

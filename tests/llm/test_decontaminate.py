@@ -24,6 +24,19 @@ def test_verbatim_and_reparameterised(spark):
     assert got[0] == (100, True) and got[1][0] == 100 and not got[1][1]
 
 
+def test_names_that_begin_sentences(spark):
+    item = "Tom has 12 apples. Tom buys 30 more apples. How many apples does Tom have now?"
+    other = item.replace("Tom", "Anna").replace("12", "5")
+    mixed = item.replace("Tom buys", "Anna buys")  # one of three equal names differs
+    got = found(spark, ["So it goes. " + other, "please solve " + item, "Question " + item, item.replace(" Tom", "\nTom"),
+                        item.replace("does Tom", "does\nTom"), mixed, "Tom has many apples now."], [item])
+    assert set(got) == {0, 1, 2, 3, 4} and not got[0][1] and got[2][1]
+    short = "Maria walks 5 km every day to school"
+    got = found(spark, ["I know that " + short.replace("Maria", "Peter"), short.replace("Maria", "Peter Pan"), short.lower(),
+                        "the teacher " + short], [short])
+    assert set(got) == {0, 1, 2, 3} and got[2][1] and got[3][1]
+
+
 def test_slots_must_be_consistent(spark):
     item = "start with 5 then add 5 to the sum and take 7 from it before you say 5 again"
     same = item.replace("5", "8").replace("7", "3")
