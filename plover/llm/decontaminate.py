@@ -9,8 +9,9 @@ sentences only, ``_ANYWHERE`` every capitalised word but ``FUNCTION_WORDS``,
 wherever a sentence or line begins, and ``_LITERAL`` no placeholders at all,
 so that a verbatim copy matches whatever stands around it. A window
 is ``WINDOW`` consecutive tokens (a shorter item is one window), half of
-them words at least. Windows of documents are hash-joined with those of the
-benchmark. Their slots are consistent if the values can be mapped one to
+them words at least; a literal window needs one word, so that verbatim copies
+of arithmetic, tables and lists of names are found with their values. Windows
+of documents are hash-joined with those of the benchmark. Their slots are consistent if the values can be mapped one to
 one, which is so exactly when both windows repeat their values at the same
 places; that pattern is part of the joined key. A document with one
 consistent window is contaminated, verbatim if the slot values agree too,
@@ -33,7 +34,7 @@ from plover.llm.common import (Prefix, as_int64, map_batches, mix64, row_chunks,
                                word_codes, word_spans)
 
 WINDOW = 13
-SHORTEST = 5  # shorter items are no evidence and match nothing
+SHORTEST = 5  # shorter items are no evidence and match nothing (numbers alone neither)
 GRAM = 4
 UNITS = ("km kilometers kilometres m meters metres cm mm miles mile feet foot inches inch kg kilograms grams g mg lb "
          "pounds ounces liters litres ml seconds second minutes minute hours hour days day weeks week months month "
@@ -146,7 +147,9 @@ def _windows(codes, values, slots, rows, size: int, sums: Prefix):
     if n <= 0:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
     many = np.concatenate(([0], np.cumsum(slots)))
-    start = np.flatnonzero((row_of[:n] == row_of[size - 1:]) & ((many[size:] - many[:n]) * 2 <= size))
+    held = many[size:] - many[:n]
+    literal = np.arange(n) >= rows[_LITERAL * ((len(rows) - 1) // READINGS)]
+    start = np.flatnonzero((row_of[:n] == row_of[size - 1:]) & np.where(literal, held < size, held * 2 <= size))
     # distance of each slot to the one before with its value, in the same row
     at = np.flatnonzero(slots)
     order = at[np.lexsort((at, values[at], codes[at], row_of[at]))]

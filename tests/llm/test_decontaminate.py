@@ -57,6 +57,14 @@ def test_placeholders_alone_are_no_evidence(spark):
     assert found(spark, [numbers, " ".join(str(k * 7) for k in range(60))], [numbers]) == {}
 
 
+def test_slot_heavy_items_match_verbatim(spark):
+    items = ["Compute 12 + 7 * 3 - 4 / 2", "row " + " ".join(str(k * k) for k in range(12)) + " row 5 6 7",
+             "guests: Anna, Bob, Carl, Dora, Emil, Fritz, Gus"]
+    docs = [f"Please say: {t} (and so on)" for t in items] + [
+        items[0].replace("12", "13"), items[1].replace("16", "17"), items[2].replace("Dora", "Doris")]
+    assert found(spark, docs, items) == {0: (100, True), 1: (101, True), 2: (102, True)}
+
+
 def test_empty_tables(spark):
     assert found(spark, [], [ITEM]) == {} == found(spark, [ITEM], [])
 
