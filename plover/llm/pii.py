@@ -14,7 +14,11 @@ pseudonyms in every document and partition, and unequal ones never collide:
 * e-mail local parts: letters and digits shift within their class by keyed
   hashes of the other half; the domain stays.
 
-A look-alike that fails validation (check digit, calendar, ranges) stays.
+A look-alike that fails validation (check digit, calendar, ranges) stays. A
+card's digits may run on into a neighbour's (a year, an expiry date, a check
+value, a phone), so cards are searched first, from every place, in the usual
+layouts and then in any other; those whose check digit is right are matched
+as they stand, and digits of failed readings are left to the other formats.
 """
 
 from __future__ import annotations
@@ -25,20 +29,37 @@ from pyspark.sql import functions as F
 ROUNDS = 12
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 BEFORE, AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
-#: Formats by kind, in the order they are tried.
+
+
+def _phone_format(stop: str = "") -> str:
+    """North American, then international numbers; ``stop``: a lookahead after
+    each separator."""
+    s = f"[ .-]{stop}"
+    return (rf"(?<![\p{{L}}\p{{N}}_+])(?:(?:\+?1(?:{s})?)?(?:\([0-9]{{3}}\) ?|[0-9]{{3}}{s})[0-9]{{3}}{s}[0-9]{{4}}"
+            rf"|\+[1-9](?:(?:{s}\(?|\(|\)(?:{s})?)?[0-9]){{7,14}}){AFTER}")
+
+
+#: Formats by kind, in the order a value's kind is told.
 FORMATS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": rf"(?<![\p{{L}}\p{{N}}_.]){OCTET}(?:\.{OCTET}){{3}}(?![\p{{L}}\p{{N}}_]|\.[0-9])",
     "date": rf"{BEFORE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}"
             rf"|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}){AFTER}",
     "ssn": rf"{BEFORE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{AFTER}",
-    "phone": r"(?<![\p{L}\p{N}_+])(?:(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
-             rf"|\+[1-9][0-9]{{7,14}}){AFTER}",
+    "phone": _phone_format(),
     "card": rf"(?<![\p{{L}}\p{{N}}_.-])[0-9](?:[ -]?[0-9]){{12,18}}{AFTER}",
 }
 KINDS = tuple(FORMATS)
-NUMBERS = "|".join(f"(?:{p})" for k, p in FORMATS.items() if k != "email")
+#: Usual layouts of cards, searched from every place; then any layout, one after the other.
+CARD_LAYOUTS = [rf"(?<![\p{{L}}\p{{N}}_.])(?:{p}){AFTER}" for p in (
+    "[0-9]{13,19}", "[0-9]{4}(?:[ -][0-9]{4}){3}", "[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}",
+    "[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}")]
+CARDS = "@cards@"  # the valid cards of a text, in its pattern
+STOP = f"(?!(?:{CARDS}){AFTER})"
+NUMBERS = "|".join(f"(?:{p})" for k, p in FORMATS.items() if k not in ("email", "card"))
 ALL = f"(?:{FORMATS['email']})|{NUMBERS}"
+_WITH_CARDS = "|".join([rf"(?:(?<![\p{{L}}\p{{N}}_.])(?:{CARDS}){AFTER})"] + [
+    f"(?:{_phone_format(STOP) if k == 'phone' else p})" for k, p in FORMATS.items() if k not in ("email", "card")])
 
 
 def _lit(s: str) -> str:
@@ -122,9 +143,8 @@ def _ssn(key: str) -> str:
 
 def _phone(key: str) -> str:
     """All digits but the country code (a leading 1 before ten digits; two
-    digits of an international number without spaces)."""
-    skip = "(length(d) - if(v like '+%' and length(v) = length(d) + 1 and not (d like '1%' and length(d) = 11), " \
-           "length(d) - 2, 10))"
+    digits of an international number)."""
+    skip = "(length(d) - if(v like '+%' and not (d like '1%' and length(d) = 11), length(d) - 2, 10))"
     new = _number(f"substr(d, {skip} + 1)", f"(length(d) - {skip})", key, "phone")
     return f"transform(array({_digits('v')}), d -> {_refill('v', f'concat(substr(d, 1, {skip}), {new})')})[0]"
 
@@ -157,11 +177,41 @@ def _kind(value: str) -> str:
     return "case " + " ".join(f"when {value} rlike {_lit('^(?:' + p + ')$')} then '{k}'" for k, p in FORMATS.items()) + " end"
 
 
-def find_values(text: Column) -> Column:
-    """Matched strings of a text, in order; texts without a digit or @ are not
-    searched for what they can't hold."""
+def valid_cards(text: Column) -> Column:
+    """The text's cards with a right check digit, joined by |; empty if none.
+    Other layouts that hold a card in a usual one are no cards."""
+    t = F.coalesce(text, F.lit(""))
+
+    def right(values):
+        return F.array_distinct(F.filter(values, lambda v: luhn_sum(v) % 10 == 0))
+
+    usual = right(F.concat(*(F.regexp_extract_all(t, F.lit(f"(?=({p}))"), F.lit(1)) for p in CARD_LAYOUTS)))
+    loose = right(F.regexp_extract_all(t, F.lit(FORMATS["card"]), F.lit(0)))
+    both = F.transform(F.array(usual), lambda u: F.concat(u, F.filter(
+        loose, lambda v: ~F.exists(u, lambda c: F.contains(v, c)))))[0]
+    return F.when(t.rlike("[0-9](?:[ -]?[0-9]){12}"), F.array_join(both, "|")).otherwise(F.lit(""))
+
+
+def luhn_sum(value: Column) -> Column:
+    digits = F.split(F.reverse(F.regexp_replace(value, "[^0-9]", "")), "")
+    doubled = F.transform(digits, lambda c, k: F.when(k % 2 == 0, c.cast("int")).otherwise(
+        2 * c.cast("int") - F.when(c > "4", 9).otherwise(0)))
+    return F.aggregate(doubled, F.lit(0), lambda s, x: s + x)
+
+
+def _pattern(with_mail: bool, cards: Column) -> Column:
+    mail = f"(?:{FORMATS['email']})|" if with_mail else ""
+    return F.replace(F.lit(mail + _WITH_CARDS), F.lit(CARDS), cards)
+
+
+def find_values(text: Column, cards: Column) -> Column:
+    """Matched strings of a text, in order, given its ``valid_cards``; texts
+    without a digit or @ are not searched for what they can't hold."""
     t = F.coalesce(text, F.lit(""))
-    return (F.when(F.contains(t, F.lit("@")), F.regexp_extract_all(t, F.lit(ALL), F.lit(0)))
+    mail = F.contains(t, F.lit("@"))
+    return (F.when(mail & (cards != ""), F.regexp_extract_all(t, _pattern(True, cards), F.lit(0)))
+            .when(cards != "", F.regexp_extract_all(t, _pattern(False, cards), F.lit(0)))
+            .when(mail, F.regexp_extract_all(t, F.lit(ALL), F.lit(0)))
             .when(t.rlike("[0-9][^\\p{L}]*[0-9]"), F.regexp_extract_all(t, F.lit(NUMBERS), F.lit(0)))
             .otherwise(F.expr("cast(array() as array<string>)")))
 
@@ -174,16 +224,19 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: s
     Values, ties and very long texts are handled row by row, without a
     shuffle. A pseudonym has as many code points as its value but for IPv4
     addresses, whose octets have one to three digits."""
-    t, hit = F.col(text_col), "_matches"
+    t, hit, cards = F.col(text_col), "_matches", "_cards"
     cases = " ".join(f"when x.kind = '{k}' then {pseudonym('x.value', k, key)}" for k in KINDS)
-    out = docs.withColumn(hit, find_values(t))
+    out = docs.withColumn(cards, valid_cards(t))
+    out = out.withColumn(hit, find_values(t, F.col(cards)))
     out = out.withColumn(found_col, F.expr(
         f"transform(transform({hit}, m -> named_struct('kind', {_kind('m')}, 'value', m)), "
         f"x -> named_struct('kind', x.kind, 'value', x.value, 'pseudonym', case {cases} else x.value end))"))
-    pieces = (F.when(F.contains(t, F.lit("@")), F.split(t, ALL, -1)).otherwise(F.split(t, NUMBERS, -1)))
+    mail, plain = F.contains(t, F.lit("@")), F.col(cards) == ""
+    pieces = (F.when(mail & plain, F.split(t, ALL, -1)).when(plain, F.split(t, NUMBERS, -1))
+              .when(mail, F.split(t, _pattern(True, F.col(cards)), -1)).otherwise(F.split(t, _pattern(False, F.col(cards)), -1)))
     joined = F.array_join(F.zip_with(pieces, F.col(found_col), lambda p, x: F.concat(
         p, F.coalesce(x["pseudonym"], F.lit("")))), "")
     out = out.withColumn(text_col, F.when(F.size(hit) > 0, joined).otherwise(t))
     return out.withColumn(found_col, F.transform(found_col, lambda x: F.struct(
         x["kind"].alias("kind"), x["pseudonym"].alias("pseudonym"),
-        (x["value"] != x["pseudonym"]).alias("changed")))).drop(hit)
+        (x["value"] != x["pseudonym"]).alias("changed")))).drop(hit, cards)

@@ -59,6 +59,34 @@ def test_values_match_a_plain_feistel_network(spark):
     assert run(spark, shown) == [f"a {v}, b {v}." for v in want.values()]
 
 
+def test_cards_beside_other_numbers(spark):
+    card, amex = "4111111111111111", "378282246310005"
+
+    def other(c):
+        body = digits(c[:-1], "card")
+        return next(body + str(k) for k in range(10) if luhn(body + str(k)))
+
+    def spaced(c, mark=" "):
+        return mark.join(c[i:i + 4] for i in range(0, 16, 4))
+
+    def four_six(c):
+        return f"{c[:4]} {c[4:10]} {c[10:]}"
+
+    new, new_amex = other(card), other(amex)
+    phone = digits("5551234567", "phone")
+    new_phone = f"{phone[:3]}-{phone[3:6]}-{phone[6:]}"
+    berlin = digits("301234567", "phone")
+    shapes = ["{0} 12/26 123", "{1} 12/26", "{1} 123", "{2} 123", "42 {0}", "2024 {1}", "2024-{2}", "{3} 1234", "7 {3}",
+              "{0} {0}", "{1} {2}", "no. {1}: a.b@x"]
+    texts = [s.format(card, spaced(card), spaced(card, "-"), four_six(amex)) for s in shapes]
+    want = [s.format(new, spaced(new), spaced(new, "-"), four_six(new_amex)) for s in shapes]
+    texts += ["123 555-123-4567", f"555-123-4567 {spaced(card)}", "call +49 30 1234567.", "+49 (30) 123-4567", "+49301234567",
+              f"+49 30 1234567 {spaced(card)}"]
+    want += [f"123 {new_phone}", f"{new_phone} {spaced(new)}", f"call +49 {berlin[:2]} {berlin[2:]}.",
+             f"+49 ({berlin[:2]}) {berlin[2:5]}-{berlin[5:]}", f"+49{berlin}", f"+49 {berlin[:2]} {berlin[2:]} {spaced(new)}"]
+    assert run(spark, texts) == want
+
+
 def test_what_is_no_value_stays(spark):
     texts = [None, "", "no digits", "4929348385146331", "2024-02-30", "99/99/2000", "256.1.1.1", "000-12-3456", "666-12-3456",
              'token = "cb1a9fee807a05366fcb8b6c95c7c565ede51a72"', "x4929348385146330", "version 2.0 of 3.4.5", "1899-12-31",
