@@ -2,7 +2,8 @@
 forest. DataFrame and SQL functions only.
 
 A candidate is a run of at least ``SHORTEST`` key characters with a digit in
-it. Its features are length, character classes and the transitions between
+it, or of ``SHORTEST_ASSIGNED`` after an assignment to a credential word; ``=``
+belongs to it as padding at its end only. Its features are length, character classes and the transitions between
 them, dictionary coverage, path marks, and the neighbouring words. The
 forest is fitted on a bounded sample of labelled findings.
 """
@@ -19,13 +20,19 @@ from pyspark.sql import functions as F
 from plover.llm.common import stage
 
 SHORTEST = 16
+SHORTEST_ASSIGNED = 4
 NEIGHBOURS = 40  # characters on either side
 SAMPLE_ROWS = 10_000  # labelled findings of each class that the forest is fitted on
 TREES, DEPTH, SEED = 20, 6, 7
-CANDIDATE = rf"(?<![A-Za-z0-9_+/=~-])(?=[A-Za-z_+/=~-]*[0-9])[A-Za-z0-9_+/=~-]{{{SHORTEST},}}"
 CREDENTIAL = r"(?i)(?:token|secret|passwd|password|passphrase|pwd|credential|bearer|auth|api[ _-]?key|access[ _-]?key|private[ _-]?key)"
-ASSIGNED = CREDENTIAL + r"[A-Za-z0-9_-]{0,20}[\"']?\s{0,3}(?::=|=>|[:=]|\s)\s{0,3}[\"'`]?$"
-ISSUED = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
+NAMED = CREDENTIAL + r"[A-Za-z0-9_-]{0,20}[\"']?\s{0,3}"
+ASSIGNED = NAMED + r"(?::=|=>|[:=]|\s)\s{0,3}[\"'`]?$"
+RUN = "[A-Za-z0-9_+/~-]"
+CANDIDATE = (rf"(?<!{RUN})(?:(?=[A-Za-z_+/~-]*[0-9]){RUN}{{{SHORTEST},}}"
+             rf"|(?<=[:=>]\s{{0,3}}[\"'`]?)(?<={NAMED}(?::=|=>|[:=])\s{{0,3}}[\"'`]?){RUN}{{{SHORTEST_ASSIGNED},}})"
+             rf"(?:={{1,2}}(?!{RUN}|=))?")
+ISSUED = (r"(?:^|/)(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+          r"|AIza[A-Za-z0-9_-]{35})(?:$|[/=])")
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your|xxxx|test|0123456789|1234567890"
 DICTIONARY = ("access account admin alpha app auth base beta build cache class client cloud code config content count "
               "data date debug default demo device doc document download email error event example field file folder "
@@ -50,7 +57,7 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     d = d.withColumn("values", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).filter(F.size("values") > 0)
     d = d.withColumn("pieces", F.split("text", CANDIDATE, -1)).drop("text")
     each = d.select("id", "path", F.posexplode(F.arrays_zip(
-        F.col("values").alias("value"), F.slice("pieces", 1, F.size("values")).alias("left"),
+        F.col("values").alias("value"), _lefts(F.col("pieces"), F.col("values")).alias("left"),
         F.slice("pieces", 2, F.size("values")).alias("right"),
         _starts(F.col("pieces"), F.col("values")).alias("start"))).alias("n", "x"))
     return each.select("id", "n", F.col("x.start").alias("start"), F.col("x.value").alias("value"),
@@ -58,6 +65,13 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.expr(f"left(x.right, {NEIGHBOURS})").alias("after"), "path")
 
 
+def _lefts(pieces: Column, values: Column) -> Column:
+    """Text before each value back to the value before; that one too if it is
+    the name to which this one is assigned."""
+    return F.transform(F.slice(pieces, 1, F.size(values)), lambda p, i: F.when(
+        (i > 0) & p.rlike("^\\s{0,3}(?::=|=>|[:=])"), F.concat(F.get(values, i - 1), p)).otherwise(p))
+
+
 def _starts(pieces: Column, values: Column) -> Column:
     """Code points before each value."""
     both = F.zip_with(F.slice(pieces, 1, F.size(values)), values,
