@@ -34,6 +34,9 @@ CANDIDATE = (rf"(?<!{RUN})(?:(?=[A-Za-z_+/~-]*[0-9]){RUN}{{{SHORTEST},}}"
 ISSUED = (r"(?:^|/)(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}"
           r"|AIza[A-Za-z0-9_-]{35})(?:$|[/=])")
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your|xxxx|test|0123456789|1234567890"
+#: A placeholder word, whole and outside addresses, directly before the value or its assignment.
+HINT = (r"(?i)(?<![A-Za-z0-9@._-])(?:example|sample|dummy|placeholder|changeme|your|test)(?:[ _-][A-Za-z0-9_-]{1,30}){0,2}"
+        r"[\"']?\s{0,3}(?::=|=>|[:=]|\s)\s{0,3}[\"'`]?$")
 DICTIONARY = ("access account admin alpha app auth base beta build cache class client cloud code config content count "
               "data date debug default demo device doc document download email error event example field file folder "
               "group hash header home html http image index info item json key label language level license line link "
@@ -43,7 +46,7 @@ DICTIONARY = ("access account admin alpha app auth base beta build cache class c
               "source start state status string style table tag target template test text theme time title token "
               "type update url user value version video view web window word world").split()
 FEATURES = ("length", "digits", "lower", "upper", "hex", "runs", "variety", "vowels", "dictionary", "separators",
-            "in_path", "credential", "assigned", "quoted", "address", "issued", "placeholder")
+            "in_path", "credential", "assigned", "quoted", "address", "issued", "placeholder", "hint")
 
 
 def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -106,7 +109,8 @@ def with_features(candidates: DataFrame) -> DataFrame:
         "quoted": F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]"),
         "address": F.col("before").rlike("[@.]$") | F.col("after").rlike(r"^(?:@|\.[A-Za-z])"),
         "issued": v.rlike(ISSUED),
-        "placeholder": v.rlike(PLACEHOLDER) | F.col("before").rlike(PLACEHOLDER),
+        "placeholder": v.rlike(PLACEHOLDER),
+        "hint": F.col("before").rlike(HINT),
     }
     return candidates.withColumns({k: F.coalesce(made[k].cast("double"), F.lit(0.0)) for k in FEATURES})
 
@@ -115,13 +119,15 @@ def rule_labels(features: DataFrame) -> DataFrame:
     """Findings labelled by rules that need no model: 1 for an issuer's format or
     a mixed value assigned to a credential, 0 for plain numbers, parts of
     addresses and paths, words, hexadecimal digests that no credential word
-    stands before, and placeholders. Others have no label."""
+    stands before, and placeholders: by a word in the value itself, or by one
+    directly before it unless the value is a mixed one assigned to a
+    credential. Others have no label."""
     yes = (F.col("issued") == 1) | (F.col("assigned") == 1) & (F.col("digits").between(0.05, 0.95)) \
         & (F.col("variety") * F.col("length") >= 8)
     no = (F.col("digits") == 1) | (F.col("address") == 1) | (F.col("in_path") == 1) | (F.col("dictionary") > 0.5) \
         | (F.col("credential") == 0) & ((F.col("lower") + F.col("upper") > 0.9) | (F.col("hex") == 1))
     return features.withColumn("label", F.when((F.col("placeholder") == 1) & (F.col("issued") == 0), 0.0)
-                               .when(yes, 1.0).when(no, 0.0))
+                               .when(yes, 1.0).when(no | (F.col("hint") == 1), 0.0))
 
 
 def fit_forest(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = TREES, depth: int = DEPTH):

@@ -36,6 +36,15 @@ def test_key_names_are_no_part_of_values(spark):
                 assert r["label"] == 1 and (r["assigned"] == 1 or r["value"] == gh)
 
 
+def test_placeholder_words_nearby_do_not_hide_a_secret(spark):
+    h = "cb1a9fee807a05366fcb8b6c95c7c565ede51a72"
+    texts = [f'mail to of.55@mail6.example.com token = "{h}"', f'Asanstestion token = "{h}"', f"Your password: {h}",
+             f"the latest token {h}", f"see example.com {h[:30]}Z", "a sample key: abcdefghijklmnop1Z", 'token = "example1234567890ab"']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = SS.rule_labels(SS.with_features(SS.find_candidates(docs))).orderBy("id").collect()
+    assert [(r["id"], r["label"]) for r in rows] == [(0, 1), (1, 1), (2, 1), (3, 1), (4, None), (5, 0), (6, 0)]
+
+
 def test_forest_on_held_out_findings(spark):
     """Fitted on generated findings, it must tell new ones apart."""
     rnd = random.Random(6)
