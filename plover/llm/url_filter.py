@@ -5,7 +5,7 @@ pattern on the list from that day on and a ``remove`` takes it off. Entries
 become validity intervals [valid_from, valid_to) per pattern. A capture
 (URL and fetch time) is evaluated against the entries active when it was
 fetched: its host, every parent domain, and host plus each leading path
-segment are looked up.
+segment are looked up, as deep as the list's deepest pattern.
 
 Intervals are cut at the borders of fixed time slots and joined on (pattern,
 slot), so a pattern whose captures or changes are a large share of all rows
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from plover.llm.common import stage
 
 SLOT_DAYS = 30
-PATH_SEGMENTS = 2
 
 
 def host_of(url) -> Column:
@@ -36,17 +35,17 @@ def path_of(url) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
 
 
-def lookup_keys(url, segments: int = PATH_SEGMENTS) -> Column:
+def lookup_keys(url, segments: int) -> Column:
     """Patterns that would match a URL: the host, its parent domains of two
-    labels and more, and the host with its first path segments."""
+    labels and more, and the host with its leading path segments, at most
+    ``segments`` of them."""
     labels = F.split(host_of(url), r"\.")
     n = F.size(labels)
     parents = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
                           lambda i: F.array_join(F.slice(labels, i, n), "."))
     parts = F.slice(F.filter(F.split(path_of(url), "/"), lambda p: p != ""), 1, segments)
-    paths = F.transform(F.sequence(F.lit(1), F.lit(segments)), lambda i: F.when(
-        F.size(parts) >= i, F.concat(host_of(url), F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))))
-    return F.when(host_of(url) != "", F.array_distinct(F.filter(F.concat(parents, paths), lambda k: k.isNotNull())))
+    paths = F.transform(parts, lambda _, i: F.concat(host_of(url), F.lit("/"), F.array_join(F.slice(parts, 1, i + 1), "/")))
+    return F.when(host_of(url) != "", F.array_distinct(F.concat(parents, paths)))
 
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
@@ -87,7 +86,8 @@ def filter_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page
     since = F.greatest("valid_from", first)
     lists = lists.filter(since <= till).withColumn("slot", F.explode(F.sequence(_slot(since), _slot(till))))
     lists = stage(lists, "url-intervals")
-    asked = c.withColumn("key", F.explode(lookup_keys("url"))).withColumn("slot", _slot(F.col("day")))
+    deepest = lists.agg(F.max(F.regexp_count("pattern", F.lit("/")))).first()[0] or 0  # one number
+    asked = c.withColumn("key", F.explode(lookup_keys("url", deepest))).withColumn("slot", _slot(F.col("day")))
     met = asked.join(lists, (asked["key"] == lists["pattern"]) & (asked["slot"] == lists["slot"])
                      & (asked["day"] >= lists["valid_from"])
                      & (lists["valid_to"].isNull() | (asked["day"] < lists["valid_to"])))

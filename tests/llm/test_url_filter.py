@@ -47,6 +47,18 @@ def test_random_lists_match_brute_force(spark):
         assert (r["category"], r["pattern"], r["valid_from"]) == (min(active)[1:] if active else (None, None, None))
 
 
+def test_patterns_of_any_depth(spark):
+    deep = "a.com/" + "/".join(f"s{k}" for k in range(30))
+    patterns = ["a.com/p/q/r", "a.com/p/q/r/s/t", deep]
+    urls = {"http://a.com/p/q": None, "http://a.com/p/q/r?x": patterns[0], "http://a.com/p/q/r/s": patterns[0],
+            "http://A.com//p/q/r/s/t/u#z": patterns[1], f"http://{deep}/more": deep, "http://a.com": None,
+            f"http://{deep.rsplit('/', 1)[0]}": None}
+    c = spark.createDataFrame([(i, u, DAY) for i, u in enumerate(urls)], "page_id long, url string, fetched date")
+    e = spark.createDataFrame([(p, "m", "add", day(-1)) for p in patterns], "pattern string, category string, action string, day date")
+    got = {r["url"]: (r["pattern"], r["n_entries"]) for r in U.filter_captures(c, e).collect()}
+    assert got == {u: (p, 0 if p is None else 1 + (p == patterns[1])) for u, p in urls.items()}
+
+
 def test_empty_tables(spark):
     c = spark.createDataFrame([(1, "http://a.com", DAY)], "page_id long, url string, fetched date")
     e = spark.createDataFrame([("a.com", "m", "add", DAY)], "pattern string, category string, action string, day date")
