@@ -1,4 +1,5 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by counting anchored windows, in place of a greedy relative
+Lempel-Ziv parse: a factor here is a block or run of windows that repeats.
 
 The corpus is its own reference. Every text is cut into content-defined
 reference blocks: each window of ``window`` words picks the anchor k-gram
