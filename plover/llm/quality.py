@@ -9,7 +9,9 @@ their calibrated odds are combined to score every document.
 
 Both classifiers are naive Bayes over binned features, so a round is one
 grouped count over all documents: nothing is sampled, and what reaches the
-driver is a table of (feature, bin, label) counts.
+driver is a table of (feature, bin, label) counts. Languages and sources are
+counted by value (64-bit hashes); there may be many, so the odds of a value
+are a stored table that is joined, and rare values have odds near the prior.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from plover.llm.common import stage, text_key
 ROUNDS = 3
 CONFIDENT = 0.95  # calibrated probability that a view needs to label a document
 PSEUDO_WEIGHT = 0.2  # of a pseudo-label, as a share of a label
-META_BUCKETS = 64
+RARE = 2.0  # labels at the prior that each metadata value has besides its own
 KEEP = 0.5
 STEPS = 40  # calibration bins over log-odds from -10 to 10
 _RATIOS = (0.0, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.4, 0.8)
@@ -67,11 +69,15 @@ def text_bins(shape: Column) -> Column:
                     _bins(F.slice(shape, 10, 1), _SIZES))
 
 
-def meta_bins(docs: DataFrame, columns: tuple[str, ...], size_col: str | None) -> Column:
-    hashed = [F.pmod(F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit(META_BUCKETS)).cast("int")
-              for c in columns if c in docs.columns]
+def meta_keys(docs: DataFrame, columns: tuple[str, ...]) -> Column:
+    """Hashes of the values of the metadata columns that the documents have."""
+    return F.array(*[F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns if c in docs.columns]) \
+        .cast("array<bigint>")
+
+
+def meta_bins(docs: DataFrame, size_col: str | None) -> Column:
     sized = [_bins(F.array(F.coalesce(F.col(size_col).cast("double"), F.lit(0.0))), _SIZES)] if size_col in docs.columns else []
-    return F.concat(F.array(*hashed or [F.lit(0)]), *sized)
+    return F.concat(F.array(F.lit(0)), *sized)
 
 
 def _counts(rows: DataFrame, taught: dict[str, Column]) -> dict[str, dict]:
@@ -104,6 +110,34 @@ def _log_odds(counts: dict) -> dict:
     return out | {(-1, 0): math.log(good / bad)}
 
 
+def _value_odds(rows: DataFrame, y: Column, counts: dict) -> DataFrame:
+    """f, b, odds: the smoothed log-odds of every taught value of ``meta_keys``."""
+    total = counts.get((-1, 0), {})
+    good, bad = (total.get((k, False), 0) + PSEUDO_WEIGHT * total.get((k, True), 0) + 1 for k in (1, 0))
+
+    def weight(k):
+        own, pseudo = (F.sum(((F.col("y") == k) & (F.col("pseudo") == p)).cast("long")) for p in (False, True))
+        return own + PSEUDO_WEIGHT * pseudo
+
+    said = rows.select(F.col("label").isNull().alias("pseudo"), y.alias("y"), F.posexplode("meta_keys").alias("f", "b"))
+    said = said.filter("y is not null").groupBy("f", "b").agg(
+        (F.log((weight(1) + RARE * good / (good + bad)) / good)
+         - F.log((weight(0) + RARE * bad / (good + bad)) / bad)).alias("odds"))
+    return stage(said, "quality-value-odds")
+
+
+def _with_value_odds(rows: DataFrame, odds: DataFrame, n: int) -> DataFrame:
+    """Adds value_odds, the sum over the n metadata values of a row (0 for values
+    that no label has)."""
+    for k in range(n):
+        t = odds.filter(F.col("f") == k).select(F.col("b").alias(f"_b{k}"), F.col("odds").alias(f"_o{k}"))
+        rows = rows.join(t, F.get("meta_keys", F.lit(k)) == t[f"_b{k}"], "left")
+    total = F.lit(0.0)
+    for k in range(n):
+        total = total + F.coalesce(f"_o{k}", F.lit(0.0))
+    return rows.withColumn("value_odds", total).drop(*[f"_{c}{k}" for k in range(n) for c in "bo"])
+
+
 def _score(odds: dict, view: str) -> Column:
     """Log-odds of a view's bins; bins that no label has count nothing."""
     last = max((f for f, _ in odds), default=-1)
@@ -167,25 +201,30 @@ def _logit(p: float) -> float:
 
 
 def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, meta_cols: tuple[str, ...],
-         size_col: str | None, rounds: int) -> tuple[DataFrame, dict[str, Column]]:
-    """The documents' views with label and part, and the columns p_text, p_meta
-    and score as expressions over the view columns."""
+         size_col: str | None, rounds: int) -> tuple[DataFrame, dict[str, Column], DataFrame]:
+    """The documents' views with label and part, the columns p_text, p_meta
+    and score as expressions over the view columns, and the odds of metadata
+    values."""
     said = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
             .filter("id is not null and y is not null").groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("label")))
     said = stage(said, "quality-labels")
     d = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"), text_shape(text_col).alias("shape"),
-                    meta_bins(docs, meta_cols, size_col).alias("meta_view"))
+                    meta_bins(docs, size_col).alias("meta_view"), meta_keys(docs, meta_cols).alias("meta_keys"))
+    n_keys = sum(c in docs.columns for c in meta_cols)
     fold = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("part")), F.lit(4))
     part = F.when(F.col("label").isNotNull(), F.when(fold < 2, "train").when(fold == 2, "calibrate").otherwise("test"))
-    rows = stage(d.join(said, "id", "left").withColumns({"text_view": text_bins(F.col("shape")), "part": part})
+    views = stage(d.join(said, "id", "left").withColumns({"text_view": text_bins(F.col("shape")), "part": part})
                  .drop("shape"), "quality-views")
     own = F.when(F.col("part") == "train", F.col("label"))
     other = {"text_view": "meta_view", "meta_view": "text_view"}
     taught = {v: own for v in other}
-    scores, tables = {}, {}
+    rows, scores, tables = views, {}, {}
     for _ in range(rounds + 1):
         counts = _counts(rows, taught)
+        values = _value_odds(rows, taught["meta_view"], counts["meta_view"])
+        rows = _with_value_odds(views, values, n_keys)
         scores = {v: _score(_log_odds(counts[v]), v) for v in other}
+        scores["meta_view"] = scores["meta_view"] + F.col("value_odds")
         tables = _calibrations(rows, scores)
         taught = {v: F.when(F.col("label").isNull(), _by_step([_pseudo_label(p) for p in tables[o]], scores[o])).otherwise(own)
                   for v, o in other.items()}
@@ -194,7 +233,7 @@ def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
     p_text, p_meta = (_by_step(tables[v], scores[v]) for v in other)
     l_text, l_meta = (_by_step([_logit(p) for p in tables[v]], scores[v]) for v in other)
     odds = l_text + l_meta - F.lit(_logit(prior))
-    return rows, {"p_text": p_text, "p_meta": p_meta, "score": F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))}
+    return rows, {"p_text": p_text, "p_meta": p_meta, "score": F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))}, values
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -210,7 +249,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     (ties: good); null ids and labels are ignored. Null and empty texts are
     scored by their (empty) features, so are missing metadata columns. With
     no labels the score is 0.5 and everything is accepted."""
-    rows, out = _fit(docs, labels, id_col, text_col, label_col, meta_cols, size_col, rounds)
+    rows, out, _ = _fit(docs, labels, id_col, text_col, label_col, meta_cols, size_col, rounds)
     return rows.withColumns(out).select(F.col("id").alias(id_col), "t", "label", "part", *out,
                                         _accepts(F.col("score"), keep).alias("accepted"))
 
@@ -223,12 +262,13 @@ def accepted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
                        label_col: str = "quality", meta_cols: tuple[str, ...] = ("lang", "source"),
                        size_col: str | None = "n_chars", rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, columns unchanged. The
-    fitted score is an expression over a row, so nothing is joined or
-    shuffled to apply it."""
-    _, out = _fit(docs, labels, id_col, text_col, label_col, meta_cols, size_col, rounds)
+    fitted score is an expression over a row and the odds of its metadata
+    values, a table that Spark broadcasts unless there are very many."""
+    _, out, values = _fit(docs, labels, id_col, text_col, label_col, meta_cols, size_col, rounds)
     seen = docs.select(F.struct(*docs.columns).alias("doc"), text_shape(text_col).alias("shape"),
-                       meta_bins(docs, meta_cols, size_col).alias("meta_view"))
+                       meta_bins(docs, size_col).alias("meta_view"), meta_keys(docs, meta_cols).alias("meta_keys"))
+    seen = _with_value_odds(seen, values, sum(c in docs.columns for c in meta_cols))
     # One row each; a filter isn't pushed below it, where it would compute the shape several times for a row.
-    seen = seen.select("doc", "meta_view", F.explode(F.array("shape")).alias("shape"))
+    seen = seen.select("doc", "meta_view", "value_odds", F.explode(F.array("shape")).alias("shape"))
     seen = seen.withColumn("text_view", text_bins(F.col("shape")))
     return seen.filter(_accepts(out["score"], keep)).select("doc.*")

@@ -30,6 +30,18 @@ def test_metadata_teaches_the_text_view(spark):
     assert max(pipes) < 0.5
 
 
+def test_many_sources_keep_apart(spark):
+    """Nothing but the source tells junk; 200 sources would share 64 bins."""
+    n = 200 * 24
+    docs = spark.createDataFrame([(i, "some plain words", "en", f"s{i % 200}", 16) for i in range(n)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(n) if i // 200 < 20], "doc_id long, quality int")
+    got = quality.score_documents(docs, labels).select("doc_id", "accepted").collect()
+    assert len(got) == n and all(r["accepted"] == (r["doc_id"] % 5 > 0) for r in got)
+    kept = quality.accepted_documents(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == n * 4 // 5
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, None), (1, None, None), (None, "", "s"), (2, "x" * 100_000, "s"), (3, "| " * 50, "t")],
                                  "doc_id long, text string, source string")
