@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plover.llm import byte_bpe, chat, decontaminate, pii, quality, secret_scan, simhash, sketch, substring_dedup, url_filter
+from plover.llm import (byte_bpe, chat, decontaminate, pii, quality, secret_scan, simhash, sketch, substring_dedup,
+                        token_counts, url_filter)
 from plover.llm.common import table, text_key
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -208,5 +209,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round("score", 6).alias("score"), F.col("accepted"))
 
 
+WORD_FILE = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table_of = token_counts.prefix_counts(table(spark, sf_dir, "documents"), tokenizer_files(WORD_FILE)[0])
+    out = token_counts.with_truncation(table_of.withColumn("token_limit", F.lit(TOKEN_LIMIT)), "token_limit")
+    return (token_counts.with_budget(out, TOKEN_LIMIT)
+            .select("doc_id", "n_bytes", "n_tokens", "over_limit", "n_chars", "fit_chars"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op3_substring_dedup, op4_simhash_dedup, op5_sketch,
-                                   op6_byte_bpe, op7_pii, op8_secret_scan, op9_decontaminate, op10_quality)}
+                                   op6_byte_bpe, op7_pii, op8_secret_scan, op9_decontaminate, op10_quality,
+                                   op13_token_counts)}
