@@ -243,8 +243,8 @@ TOKEN_LIMIT = 2048
 
 
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table_of = token_counts.prefix_counts(table(spark, sf_dir, "documents"), tokenizer_files(WORD_FILE)[0])
-    out = token_counts.with_truncation(table_of.withColumn("token_limit", F.lit(TOKEN_LIMIT)), "token_limit")
+    out = token_counts.prefix_counts(table(spark, sf_dir, "documents"), tokenizer_files(WORD_FILE)[0],
+                                     limits={"fit_chars": TOKEN_LIMIT}, stored=False)
     return (token_counts.with_budget(out, TOKEN_LIMIT)
             .select("doc_id", "n_bytes", "n_tokens", "over_limit", "n_chars", "fit_chars"))
 

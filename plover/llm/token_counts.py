@@ -36,11 +36,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plover.llm.byte_bpe import byte_characters
+from plover.llm.byte_bpe import LATIN, byte_characters, latin_pattern
 from plover.llm.common import map_batches, row_chunks, text_bytes
 
 MARK = 1024  # characters between stored counts
-SEEN_PIECES = 250_000  # pieces a worker remembers; beyond that it starts anew
+SEEN_PIECES = 300_000  # pieces a worker remembers, and as many that it saw before those
 SEEN_PAIRS = 1_000_000  # the same for neighbour tokens
 LONG_PIECE = 256  # characters; longer pieces are not remembered and are walked in blocks
 BLOCK = 1 << 14
@@ -185,14 +185,26 @@ class PrefixCounter:
                 or split.get("type") != "Split" or not split.get("invert")):
             raise ValueError(f"{path}: not a lower-casing BPE tokenizer with word ends")
         self.merges = Merges(model)
-        pattern = split["pattern"]["Regex"].replace(r"\s", _SPACES)
-        self.find = regex.compile(f"{pattern}|[{_SPACES}]+").findall
-        self.fixed = [p for p in split["pattern"]["Regex"].split("|") if regex.fullmatch(r"'\w+", p)]
+        pattern = split["pattern"]["Regex"]
+        self.fixed = [p for p in pattern.split("|") if regex.fullmatch(r"'\w+", p)]
+        letters = r"[\p{L}]+"
+        if letters in pattern.split("|"):  # alternatives that begin with different characters commute
+            pattern = "|".join([letters, r"\s+", *(p for p in pattern.split("|") if p != letters)])
+        else:
+            pattern += r"|\s+"
+        self.find = regex.compile(pattern.replace(r"\s+", f"[{_SPACES}]+").replace(r"\s", _SPACES)).findall
+        latin = latin_pattern(pattern)  # the same for Python's re, which is faster
+        self.find_latin = latin and latin.findall
+        self.foreign = regex.compile(f"[^\\x00-\\u{LATIN:04x}]").search
         special = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.chars = dict(enumerate(byte_characters()))
         self.space = regex.compile(f"[{_SPACES}]")
         self.seen: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _pieces(self, text: str) -> list[str]:
+        return self.find(text) if self.find_latin is None or self.foreign(text) else self.find_latin(text)
 
     def _symbols(self, piece: str) -> tuple[str, list[int]]:
         """The piece's bytes as the vocabulary's characters, and where its code points end."""
@@ -269,9 +281,12 @@ class PrefixCounter:
         """Steps of NFC texts without special strings."""
         low = [self._small(t) for t in texts]
         if len(self.seen) > SEEN_PIECES:
-            self.seen.clear()
-        pieces = [self.find(t) for t in low]
-        new = {p for ps in pieces for p in ps if p not in self.seen}
+            self.before, self.seen = self.seen, {}
+        pieces = [self._pieces(t) for t in low]
+        new = set().union(*pieces).difference(self.seen)
+        known = new.intersection(self.before)
+        self.seen.update((p, self.before[p]) for p in known)
+        new -= known
         if new:
             self.learn(new)
         seen = self.seen.__getitem__
@@ -334,7 +349,7 @@ def _lists(values: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*values, np.zeros(0, np.int64)]), kind))
 
 
-def _count(path: str):
+def _count(path: str, limits: dict[str, int], stored: bool):
     def run(batches):
         c = counter(path)
         for b in batches:
@@ -342,28 +357,34 @@ def _count(path: str):
             names = [n for n in b.schema.names if n != "text"]
             for i, j in row_chunks(offs):
                 rows = b.slice(i, j - i)
-                texts = [c.normal(x or "") for x in rows.column("text").to_pylist()]
-                steps = c.steps(texts)
-                marks = []
-                for s in steps:
-                    whole = np.add.reduceat(s, np.arange(0, len(s), MARK), dtype=np.int64) if len(s) else np.zeros(0, np.int64)
-                    marks.append(np.cumsum(whole) - whole)
+                steps = c.steps([c.normal(x or "") for x in rows.column("text").to_pylist()])
+                marks = [_marks(s) for s in steps]
                 cols = [rows.column(n) for n in names]
                 cols += [pa.array(np.diff(offs[i:j + 1])), pa.array([len(s) for s in steps], pa.int64()),
-                         pa.array([int(s.sum(dtype=np.int64)) for s in steps], pa.int64()), _lists(marks, pa.int64()),
-                         pa.array([s.tobytes() for s in steps], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, [*names, "n_bytes", "n_chars", "n_tokens", "marks", "steps"])
+                         pa.array([count_at(s, m, len(s)) for s, m in zip(steps, marks)], pa.int64())]
+                cols += [pa.array([longest_within(s, m, limit) for s, m in zip(steps, marks)], pa.int64())
+                         for limit in limits.values()]
+                if stored:
+                    cols += [_lists(marks, pa.int64()), pa.array([s.tobytes() for s in steps], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, [*names, "n_bytes", "n_chars", "n_tokens", *limits,
+                                                        *(["marks", "steps"] if stored else [])])
     return run
 
 
-def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+                  limits: dict[str, int] | None = None, stored: bool = True) -> DataFrame:
     """The prefix table: the ``keep`` columns, n_bytes (UTF-8, of the text as
     given), n_chars and n_tokens long (of its NFC form), marks array<long>
     (tokens of the first 0, MARK, 2 MARK, ... characters) and steps binary
-    (little-endian 16-bit change of the count at each character)."""
+    (little-endian 16-bit change of the count at each character). Limits that
+    are known beforehand are answered as the table is made: a column for each
+    name in ``limits``, as by ``with_truncation``. ``stored=False`` leaves
+    marks and steps out, where only these answers are wanted."""
+    limits = limits or {}
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    more = "".join(f", `{c}` long" for c in limits) + (", marks array<bigint>, steps binary" if stored else "")
     return (docs.select(*keep, F.col(text_col).alias("text")).transform(
-        map_batches, _count(path), f"{kinds}, n_bytes long, n_chars long, n_tokens long, marks array<bigint>, steps binary"))
+        map_batches, _count(path, limits, stored), f"{kinds}, n_bytes long, n_chars long, n_tokens long{more}"))
 
 
 def _answers(answer, ask: str, out: str):
@@ -384,6 +405,13 @@ def _ask(table: DataFrame, answer, ask: str, out: str) -> DataFrame:
     return table.transform(map_batches, _answers(answer, ask, out), f"{kinds}, `{out}` long")
 
 
+def _marks(steps: np.ndarray) -> np.ndarray:
+    if not len(steps):
+        return np.zeros(0, np.int64)
+    whole = np.add.reduceat(steps, np.arange(0, len(steps), MARK), dtype=np.int64)
+    return np.cumsum(whole) - whole
+
+
 def count_at(steps: np.ndarray, marks: np.ndarray, k: int) -> int:
     k = min(max(int(k), 0), len(steps))
     if k == 0:

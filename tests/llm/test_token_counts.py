@@ -55,7 +55,7 @@ def test_questions_are_answered_from_the_table(spark, library):
     c = T.counter(PATH)
     texts = [None, *samples(), "the long story " * 900]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, steps string").repartition(3)
-    table = T.prefix_counts(docs, PATH).withColumn("k", F.col("doc_id") * 37 % 3000).withColumn("limit", F.col("doc_id") % 9)
+    table = T.prefix_counts(docs, PATH, limits={"fit 4": 4}).withColumn("k", F.col("doc_id") * 37 % 3000).withColumn("limit", F.col("doc_id") % 9)
     rows = {r["doc_id"]: r for r in T.with_budget(T.with_truncation(T.with_count_at(table, "k"), "limit"), 7).collect()}
     assert len(rows) == len(texts)
     for i, t in enumerate(texts):
@@ -64,6 +64,7 @@ def test_questions_are_answered_from_the_table(spark, library):
         assert r["n_bytes"] == len((texts[i] or "").encode()) and r["n_chars"] == len(t)
         assert r["n_tokens"] == counts[-1] and r["over_limit"] == (counts[-1] > 7)
         assert r["tokens_at"] == counts[min(i * 37 % 3000, len(t))]
+        assert r["fit 4"] == max(k for k, n in enumerate(counts) if n <= 4)
         assert r["fit_chars"] == max(k for k, n in enumerate(counts) if n <= i % 9)
 
 
