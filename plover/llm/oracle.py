@@ -118,4 +118,24 @@ FROM node JOIN below USING (path) LEFT JOIN kids USING (path) LEFT JOIN ended US
 LEFT JOIN node up ON up.d = node.d - 1 AND up.path = left(node.path, 32 * (node.d - 1))
 """
 
-Q = {"op1_url_filter": OP1, "op2_chat_format": OP2, "op3_substring_dedup": OP3, "op11_prefix_trie": OP11}
+OP12 = """
+WITH e AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND (a.vec_id <> b.vec_id OR a.label <> b.label OR a.v <> b.v)),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+Q = {"op1_url_filter": OP1, "op2_chat_format": OP2, "op3_substring_dedup": OP3, "op11_prefix_trie": OP11,
+     "op12_hard_negatives": OP12}

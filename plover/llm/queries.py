@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plover.llm import (byte_bpe, chat, decontaminate, pii, prefix_trie, quality, secret_scan, simhash, sketch,
-                        substring_dedup, token_counts, url_filter)
+from plover.llm import (byte_bpe, chat, decontaminate, hard_negatives, pii, prefix_trie, quality, secret_scan, simhash,
+                        sketch, substring_dedup, token_counts, url_filter)
 from plover.llm.common import stage, table, text_key
 from plover.operators.joins import rekeyed
 
@@ -238,6 +238,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build_trie(*shared_openings(turns))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding")
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 WORD_FILE = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 
@@ -251,4 +258,4 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_chat_format, op3_substring_dedup, op4_simhash_dedup, op5_sketch,
                                    op6_byte_bpe, op7_pii, op8_secret_scan, op9_decontaminate, op10_quality,
-                                   op11_prefix_trie, op13_token_counts)}
+                                   op11_prefix_trie, op12_hard_negatives, op13_token_counts)}
