@@ -3,6 +3,8 @@ device–account identity binding (W07–W10)."""
 
 from __future__ import annotations
 
+import datetime as _dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plover.functions.columns import is_blank, not_blank
 from plover.operators.joins import rekeyed, spread_key
+from plover.operators.scan import affine_scan
 
 
 def clean_events(log: DataFrame) -> DataFrame:
@@ -136,30 +139,58 @@ def rollover_scores(prev: DataFrame, today_log: DataFrame, day: str | None = Non
     return rolled.unionByName(new_dev.select(*keys, "deviceid", "account", "timestamp", "score"))
 
 
-def rolled_scores(daily: DataFrame, last_day, day: str = "dy", decay: float = 0.5) -> DataFrame:
+def rolled_scores(daily: DataFrame, last_day, day: str = "dy", decay: float = 0.5, first_day=None) -> DataFrame:
     """The score table at the end of every day up to ``last_day``, as W08's
     roll from day to day leaves it for the named pairs: deviceid, account,
-    timestamp, score, ``day``. ``daily``: W07 by day. A pair's days are one
-    bounded map (a row per calendar day at most), rolled in order."""
-    d = daily.filter(not_blank("account") & (F.col(day) <= F.lit(last_day).cast("date")))
-    per = d.groupBy("deviceid", "account").agg(
-        F.min(day).alias("_a"),
-        F.map_from_entries(F.collect_list(F.struct(F.col(day), F.struct("score", "timestamp")))).alias("_m"))
-    days = F.sequence("_a", F.lit(last_day).cast("date"))
-    start = F.struct(F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("timestamp"),
-                     F.expr("cast(array() as array<struct<d:date,score:double,timestamp:double>>)").alias("rows"))
-
-    def roll(acc, x):
-        hit = F.try_element_at("_m", x)
-        score = F.when(hit.isNotNull(), acc["score"] + hit["score"]).otherwise(acc["score"] * F.lit(decay))
-        ts = F.coalesce(hit["timestamp"], acc["timestamp"])
-        return F.struct(score.alias("score"), ts.alias("timestamp"), F.concat(acc["rows"], F.array(
-            F.struct(x.alias("d"), score.alias("score"), ts.alias("timestamp")))).alias("rows"))
-
-    rows = F.explode(F.aggregate(days, start, roll, lambda acc: acc["rows"])).alias("_r")
-    return per.select("deviceid", "account", rows).select(
-        "deviceid", "account", F.col("_r.timestamp").alias("timestamp"), F.col("_r.score").alias("score"),
-        F.col("_r.d").alias(day))
+    timestamp, score, ``day``. ``daily``: W07 by day.
+
+    A day turns a score s into s + the day's score, or into ``decay`` * s: an
+    affine map. Days are cut into buckets. Inside a bucket a hit's score is a
+    running sum of the hits, each weighted by the days missed since the
+    bucket's start; the bucket as a whole is one affine map, and what enters a
+    bucket is the scan over the maps of the buckets before it (one row per pair
+    and bucket). The rows between two hits follow from the first one. No pair's
+    days are gathered, and the work is linear in the hits and the rows returned.
+    ``first_day``, if known, bounds the number of scan steps.
+    """
+    if not 0 < decay <= 1:
+        raise ValueError("decay must be above 0 and at most 1")
+    # weights of a bucket stay below decay^-size, far inside the range of doubles
+    size = 400 if decay == 1 else max(1, min(400, int(300 / -math.log(decay))))
+    last = F.lit(last_day).cast("date")
+    pair = ["deviceid", "account"]
+    at = F.unix_date(F.col(day))
+    d = daily.filter(not_blank("account") & (F.col(day) <= last)).select(
+        *pair, F.col(day).alias("_d"), "score", "timestamp", F.floor(at / size).cast("long").alias("_b"),
+        F.pmod(at, F.lit(size)).alias("_in"))
+    w = Window.partitionBy(*pair, "_b").orderBy("_d")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_miss", F.col("_in") - F.row_number().over(w) + 1)  # days without a hit since the bucket's start
+    d = d.select("*", F.sum(F.col("score") * F.pow(F.lit(1.0 / decay), "_miss")).over(upto).alias("_sum"),
+                 F.last("timestamp", ignorenulls=True).over(upto).alias("_ts"), F.lead("_d").over(w).alias("_next"))
+    # one row per pair and bucket: misses, what its hits leave at its end, last timestamp, first day
+    buckets = d.groupBy(*pair, "_b").agg(
+        (F.lit(size) - F.count(F.lit(1))).alias("_m"), F.max_by("_sum", "_d").alias("_end"),
+        F.max_by("_ts", "_d").alias("_end_ts"), F.min("_d").alias("_first"))
+    wb = Window.partitionBy(*pair).orderBy("_b")
+    empty = (F.coalesce(F.lead("_b").over(wb), F.col("_b") + 1) - F.col("_b") - 1) * size
+    buckets = buckets.select(
+        "*", F.pow(F.lit(decay), F.col("_m") + empty).alias("_f"), F.lead("_first").over(wb).alias("_after"),
+        F.last("_end_ts", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_ts_in"))
+    first = _dt.date.min if first_day is None else first_day
+    n = (_as_date(last_day) - _as_date(first)).days // size + 2
+    buckets = affine_scan(buckets, pair, "_b", F.col("_f"), F.col("_f") * F.col("_end"), n, "_in_score")
+    buckets = rekeyed(buckets.select(*pair, "_b", "_in_score", "_ts_in", "_after"), *pair, "_b")
+    d = d.join(buckets, [*pair, "_b"]).select(
+        *pair, "_d", (F.pow(F.lit(decay), "_miss") * (F.col("_in_score") + F.col("_sum"))).alias("_s"),
+        F.coalesce("_ts", "_ts_in").alias("timestamp"),
+        F.coalesce(F.date_sub(F.coalesce("_next", "_after"), 1), last).alias("_until"))
+    return d.select("*", F.explode(F.sequence("_d", "_until")).alias(day)).select(
+        *pair, "timestamp", (F.col("_s") * F.pow(F.lit(decay), F.datediff(day, "_d"))).alias("score"), day)
+
+
+def _as_date(d) -> _dt.date:
+    return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))
 
 
 def best_account(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -44,3 +44,25 @@ def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
         cols.append(F.sum("_nt").over(Window.partitionBy(*keys)).cast("long").alias(total))
     d = d.join(summ.select(*cols), [*keys, "_bk"], "left")
     return d.withColumn(out, (F.col("_loc") + F.col("_off")).cast("long")).drop("_f", "_t", "_bk", "_loc", "_off")
+
+
+def affine_scan(df: DataFrame, keys: Sequence[str], order: str, factor: Column, offset: Column, rows: int, out: str) -> DataFrame:
+    """Adds ``out`` = the value that enters each row when every earlier row of
+    the same ``keys`` turned x into factor * x + offset, starting from 0.
+
+    Affine maps compose to affine maps, so the composition of all earlier rows
+    is a prefix scan by doubling: after k steps a row holds the composition of
+    its last 2^k maps. ``rows`` bounds the rows of a key; ceil(log2(rows))
+    windows of one partitioning and order follow, so it is for summaries (a
+    row per key and bucket), not for events."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    d = df.withColumn("_a", factor.cast("double")).withColumn("_c", offset.cast("double"))
+    step = 1
+    while step < rows:
+        a, c = F.lag("_a", step).over(w), F.lag("_c", step).over(w)
+        d = d.select("*", a.alias("_pa"), c.alias("_pc"))
+        # no map that far back: what is there already is the whole composition
+        d = (d.withColumn("_c", F.col("_a") * F.coalesce("_pc", F.lit(0.0)) + F.col("_c"))
+             .withColumn("_a", F.col("_a") * F.coalesce("_pa", F.lit(1.0))).drop("_pa", "_pc"))
+        step *= 2
+    return d.withColumn(out, F.coalesce(F.lag("_c").over(w), F.lit(0.0))).drop("_a", "_c")

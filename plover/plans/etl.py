@@ -33,10 +33,10 @@ def _enrich(clean, geo_dict, ip_ranges, gap_ms=30 * 60 * 1000, tiebreak=None, da
     flagged = (D.flag_new_users(g, history) if history is not None
                else D.flag_new_users_by_day(g, day=day, seen=clean))
     if prev_best is None:
-        last = clean.agg(F.max(day)).first()[0]  # one date
+        first, last = clean.agg(F.min(day), F.max(day)).first()  # two dates
         if last is None:
             return D.assign_guid(flagged, clean.select("deviceid", "account", day).limit(0), day=day)
-        rolled = D.rolled_scores(D.device_account_scores(clean, by=[day]), last, day)
+        rolled = D.rolled_scores(D.device_account_scores(clean, by=[day]), last, day, first_day=first)
         prev_best = D.best_account(rolled, by=[day])
         return D.assign_guid(flagged, prev_best, day=day)
     return D.assign_guid(flagged, prev_best)

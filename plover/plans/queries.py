@@ -118,8 +118,8 @@ def q_rollover(spark, sf_dir):
 def _rolled(spark, sf_dir):
     """W08's score table at the end of each day of the log."""
     daily = _scores(spark, sf_dir)
-    last = daily.agg(F.max("dy")).first()[0]  # one date
-    return D.rolled_scores(daily, last)
+    first, last = daily.agg(F.min("dy"), F.max("dy")).first()  # two dates
+    return D.rolled_scores(daily, last or _dt.date.min, first_day=first)
 
 
 @register("w09_best_account")

@@ -103,3 +103,50 @@ def test_sessionize_matches_brute_force(spark):
 def test_sessionize_null_key(spark):
     df = spark.createDataFrame([(1, None, 10), (2, "s", 10)], "id int, sessionid string, timestamp long")
     assert rows(D.sessionize(df), "id", "newsession") == [(1, None), (2, "s-1")]
+
+
+def _roll(days, last, decay):
+    """Plain day-by-day roll of one pair: {day: (score, timestamp)}."""
+    import datetime as dt
+    out, score, ts, d = {}, 0.0, None, min(days)
+    while d <= last:
+        if d in days:
+            score, ts = score + days[d][0], days[d][1] if days[d][1] is not None else ts
+        else:
+            score *= decay
+        out[d] = (score, ts)
+        d += dt.timedelta(days=1)
+    return out
+
+
+def test_rolled_scores_match_a_plain_roll(spark):
+    import datetime as dt
+    import random
+    rnd = random.Random(11)
+    start, last = dt.date(2019, 12, 1), dt.date(2024, 3, 9)
+    span = (last - start).days
+    for decay in (0.5, 0.9, 1.0, 0.001):
+        want, data = {}, []
+        for k in range(12):
+            share = rnd.choice((0.001, 0.01, 0.3, 0.9, 1))
+            days = {start + dt.timedelta(days=i): (100.0 * rnd.randint(1, 4), rnd.choice((None, float(i))))
+                    for i in range(rnd.randrange(span), span + 40) if rnd.random() < share}
+            data += [(f"d{k}", "a", d, s, t) for d, (s, t) in days.items()]
+            seen = {d: x for d, x in days.items() if d <= last}
+            if seen:
+                want.update({(f"d{k}", d): x for d, x in _roll(seen, last, decay).items()})
+        data.append(("d0", " ", start, 100.0, 1.0))
+        daily = spark.createDataFrame(data, "deviceid string, account string, dy date, score double, timestamp double")
+        got = {(r["deviceid"], r["dy"]): (r["score"], r["timestamp"]) for r in
+               D.rolled_scores(daily, last, decay=decay, first_day=start if decay < 1 else None).collect()}
+        assert got.keys() == want.keys()
+        for key, (score, ts) in want.items():
+            assert abs(got[key][0] - score) <= 1e-9 * max(1.0, score) and got[key][1] == ts
+
+
+def test_rolled_scores_do_not_depend_on_the_number_of_days_per_pair(spark):
+    import datetime as dt
+    last = dt.date(2024, 1, 31)
+    daily = spark.range(3).selectExpr("'d' as deviceid", "'a' as account", "date'2024-01-01' as dy", "1.0D as score", "1.0D as timestamp")
+    plan = D.rolled_scores(daily, last)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "lambda" not in plan
