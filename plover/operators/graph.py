@@ -7,10 +7,10 @@ Components use the large-star / small-star alternation (Kiveris et al.,
 DataFrame. Each step is a grouped ``min`` (partial aggregation, so a hub
 vertex with millions of neighbours is combined map-side) and a join to the
 one-row-per-vertex minima, which are shuffled anew (``joins.rekeyed``) so
-that AQE can split a hub's edges. The edge set is
-reliably checkpointed into the shared checkpoint folder every round, which
-cuts lineage and survives executor loss; the loop ends when a round leaves
-the edge set unchanged. Vertex ids may be strings or longs; the label of a
+that AQE can split a hub's edges. A round is one job that writes its edges to
+the shared folder, which cuts lineage and survives executor loss, and observes
+whether an edge moved; the loop ends with the first round without one. New
+edges join old labels by contraction (W13). Vertex ids may be strings or longs; the label of a
 component is its smallest id.
 """
 
@@ -18,12 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plover.functions.columns import not_blank
 from plover.operators.joins import rekeyed, spread_key
-from plover.session import ensure_checkpoint_dir
+from plover.session import remove_path, scratch_path, stored
 
 
 def _ids_array(cols: Sequence[str]):
@@ -66,61 +66,86 @@ def _canon(e: DataFrame) -> DataFrame:
             .filter(F.col("u") != F.col("v")).distinct())
 
 
-def _orient(e: DataFrame) -> DataFrame:
-    return (e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-            .filter(F.col("u") != F.col("v")))
+def _lowest(e: DataFrame, *aggs) -> DataFrame:
+    """Each upper end's smallest lower neighbour, combined map-side."""
+    return e.groupBy(F.col("v").alias("x")).agg(F.min("u").alias("low"), *aggs)
 
 
 def _large_star(e: DataFrame) -> DataFrame:
-    # duplicates are harmless to the next step's minima; the round ends with a distinct
-    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return _orient(both.join(rekeyed(m, "u"), "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")))
+    """Every vertex hands its larger neighbours to its smallest neighbour. In
+    edges with u < v the smallest neighbour of u is a lower one, if it has any."""
+    j = e.join(rekeyed(_lowest(e), "x"), F.col("u") == F.col("x"), "left")
+    return j.select(F.coalesce("low", "u").alias("u"), "v", F.col("low").isNotNull().alias("moved"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    # canonical edges have u < v: for node v, its smaller neighbours are the u's
-    m = e.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("m"))
-    m = rekeyed(m, "node")
-    j = e.join(m, e["v"] == m["node"])
-    return _canon(j.select(F.col("u").alias("u"), F.col("m").alias("v"))
-                  .unionByName(j.select(F.col("m").alias("u"), F.col("v").alias("v"))))
-
-
-def _is_min_star_forest(e: DataFrame) -> bool:
-    """True when the canonical edges (u < v) form stars centred on their
-    smallest vertex – the fixed point of the large-star / small-star
-    alternation: no vertex is both a centre and a leaf and no leaf has two
-    centres. One aggregate over the vertices (one shuffle)."""
-    roles = (e.select(F.col("u").alias("x"), F.lit(0).alias("leaf"))
-             .unionByName(e.select(F.col("v").alias("x"), F.lit(1).alias("leaf"))))
-    bad = (roles.groupBy("x").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"),
-                                  F.sum("leaf").alias("n_centres"))
-           .filter((F.col("lo") != F.col("hi")) | (F.col("n_centres") > 1)))
-    return bad.limit(1).count() == 0
+    """Every vertex hands itself and its smaller neighbours to the smallest of
+    them. A vertex's own edge comes from the grouped minima, so edges never
+    become more, and duplicates vanish as the stars form."""
+    if "moved" not in e.columns:
+        e = e.withColumn("moved", F.lit(False))
+    low = _lowest(e, F.max("moved").alias("any_moved"))
+    others = e.join(rekeyed(low, "x"), F.col("v") == F.col("x")).filter(F.col("u") != F.col("low"))
+    return (low.select(F.col("low").alias("u"), F.col("x").alias("v"), F.col("any_moved").alias("moved"))
+            .unionByName(others.select(F.col("low").alias("u"), F.col("u").alias("v"), F.lit(True).alias("moved"))))
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """(id, component) of every vertex that is not its component's smallest.
+    A round is one job: it writes the next edges and observes, on the way,
+    whether any edge moved; none did when the edges are stars around their
+    smallest vertices."""
+    spark = edges.sparkSession
+    path = scratch_path(spark, "edges")
+    e = stored(_canon(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))), path)
+    while True:
+        seen, after = Observation(), scratch_path(spark, "edges")
+        out = _small_star(_large_star(e)).observe(seen, F.count_if("moved").alias("n")).select("u", "v")
+        e = stored(out, after)
+        remove_path(spark, path)
+        path = after
+        if not seen.get["n"]:
+            return e.select(F.col("v").alias("id"), F.col("u").alias("component"))
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Label every vertex with the smallest id of its component (W12):
     id, component. Isolated vertices label themselves. Rounds go on until
     the edges are stars, however long the longest chain is."""
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = _canon(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))).checkpoint()
-    while not _is_min_star_forest(e):
-        e = _small_star(_large_star(e)).checkpoint()
-    # converged: every component is a star around its minimum
-    leaf = e.select(F.col("v").alias("id"), F.col("u").alias("component"))
-    return (vertices.select("id").distinct().join(leaf, "id", "left")
+    return (vertices.select("id").distinct().join(_stars(edges), "id", "left")
             .select("id", F.coalesce(F.col("component"), F.col("id")).alias("component")))
 
 
 def incremental_components(vertices: DataFrame, edges: DataFrame, prev: DataFrame) -> DataFrame:
-    """Today's graph united with yesterday's labels taken as edges
-    (identifier → guid), then components (W13)."""
-    pv = prev.select(F.col("id"))
-    pe = prev.select(F.col("id").alias("src"), F.col("guid").alias("dst"))
-    return connected_components(vertices.select("id").unionByName(pv), edges.select("src", "dst").unionByName(pe))
+    """Today's graph united with yesterday's labels (W13): id, component for
+    every identifier of either. ``prev``: id, guid, where a guid names its class.
+
+    Yesterday's classes are contracted: the ends of today's edges that
+    yesterday knew are replaced by their guids, components are found on those
+    edges alone, and the names of merged classes are replaced. Yesterday's edges
+    are never looked at; its labels are read for the lookup and for the result,
+    and the rounds depend on today's edges only. A class is named by the
+    smallest of yesterday's guids and new ids in it – its smallest id, if
+    that is what yesterday's labels were.
+    """
+    spark = edges.sparkSession
+    ends = edges.select("src", "dst")
+    today = (vertices.select(F.col("id").alias("t_id")).unionByName(
+        ends.select(F.explode(F.array("src", "dst")).alias("t_id"))).distinct())
+    known = prev.select(F.col("id").alias("k_id"), F.col("guid").alias("k_guid"))
+    path = scratch_path(spark, "ends")
+    # one row per identifier of today, with yesterday's class
+    today = stored(today.join(known, F.col("t_id") == F.col("k_id"), "left").select("t_id", "k_guid"), path)
+    name = today.filter("k_guid IS NOT NULL")
+    src = rekeyed(name.select(F.col("t_id").alias("s_id"), F.col("k_guid").alias("s_guid")), "s_id")
+    dst = rekeyed(name.select(F.col("t_id").alias("d_id"), F.col("k_guid").alias("d_guid")), "d_id")
+    contracted = (ends.join(src, F.col("src") == F.col("s_id"), "left").join(dst, F.col("dst") == F.col("d_id"), "left")
+                  .select(F.coalesce("s_guid", "src").alias("src"), F.coalesce("d_guid", "dst").alias("dst")))
+    moved = rekeyed(_stars(contracted).select(F.col("id").alias("m_id"), F.col("component").alias("m_to")), "m_id")
+    named = known.select(F.col("k_id").alias("id"), F.col("k_guid").alias("name")).unionByName(
+        today.filter("k_guid IS NULL").select(F.col("t_id").alias("id"), F.col("t_id").alias("name")))
+    return (named.join(moved, F.col("name") == F.col("m_id"), "left")
+            .select("id", F.coalesce("m_to", "name").alias("component")))
 
 
 def carry_over_guid(today: DataFrame, prev: DataFrame) -> DataFrame:

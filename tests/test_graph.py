@@ -73,3 +73,50 @@ def test_components_match_union_find(spark):
     v = spark.createDataFrame([(x,) for x in ids], "id string")
     e = spark.createDataFrame(edges, "src string, dst string")
     assert dict(rows(G.connected_components(v, e))) == expect
+
+
+def _classes(vertices, edges):
+    """Smallest member of every vertex's class, by plain propagation."""
+    label = {x: x for x in vertices} | {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(label[a], label[b])
+            for x in (a, b):
+                if label[x] != low:
+                    label[x], changed = low, True
+    return label
+
+
+def test_incremental_equals_components_of_everything(spark):
+    import random
+    for seed in range(3):
+        rnd = random.Random(seed)
+        ids = [f"n{i:03d}" for i in range(120)]
+        old = [(rnd.choice(ids[:90]), rnd.choice(ids[:90])) for _ in range(50)]
+        new = [(rnd.choice(ids[40:]), rnd.choice(ids[40:])) for _ in range(40)] + [("n050", "n050")]
+        new_v = [x for e in new for x in e] + ["n118", "n119"]
+        prev = _classes(ids[:90], old)
+        got = dict(rows(G.incremental_components(
+            spark.createDataFrame([(x,) for x in new_v], "id string"), spark.createDataFrame(new, "src string, dst string"),
+            spark.createDataFrame(list(prev.items()), "id string, guid string"))))
+        assert got == _classes([*ids[:90], *new_v], old + new)
+
+
+def test_incremental_without_edges_or_labels(spark):
+    v, none = spark.createDataFrame([("b",), ("z",)], "id string"), spark.createDataFrame([], "src string, dst string")
+    prev = spark.createDataFrame([("b", "a"), ("a", "a")], "id string, guid string")
+    assert rows(G.incremental_components(v, none, prev)) == [("a", "a"), ("b", "a"), ("z", "z")]
+    e = spark.createDataFrame([("z", "b")], "src string, dst string")
+    assert rows(G.incremental_components(v, e, prev.limit(0))) == [("b", "b"), ("z", "b")]
+
+
+def test_a_round_is_one_write_and_rounds_are_few(spark, monkeypatch):
+    n, written = 600, []
+    real = G.stored
+    monkeypatch.setattr(G, "stored", lambda df, path: written.append(path) or real(df, path))
+    e = spark.createDataFrame([(i, i + 1) for i in range(n)], "src long, dst long")
+    got = G._stars(e)
+    assert got.count() == n and {r["component"] for r in got.distinct().collect()} == {0}
+    assert len(written) <= 10 + 3  # the edges, log2(600) rounds, one without change

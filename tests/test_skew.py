@@ -93,3 +93,22 @@ def test_blank_accounts_are_new_and_match_nothing(spark):
     x = spark.createDataFrame([(None,), ("",), (" ",), ("\u00000",), ("a",)], "account string")
     got = {r["account"]: r["newuser"] for r in D.flag_new_users(x, x.filter("account = 'a'")).collect()}
     assert got == {None: 1, "": 1, " ": 1, "\u00000": 1, "a": 0}
+
+
+def test_incremental_join_splits(skewed):
+    # yesterday one guid held half of the identifiers; a new edge merges it
+    i = F.col("id")
+    prev = skewed.range(0, 40_000, 1, 8).select(F.format_string("i%06d", i).alias("id"), F.when(i % 2 == 0, "g1").otherwise(
+        F.format_string("i%06d", i)).alias("guid"))
+    v = skewed.createDataFrame([("a",)], "id string")
+    e = skewed.createDataFrame([("a", "i000002")], "src string, dst string")
+    out = G.incremental_components(v, e, prev)
+    assert split(out)
+    assert out.filter("component = 'a'").count() == 20_001
+
+
+def test_carry_over_join_splits(skewed):
+    i = F.col("id")
+    today = skewed.range(0, 40_000, 1, 8).select(F.format_string("i%06d", i).alias("id"), F.when(i % 2 == 0, "g1").otherwise(
+        F.format_string("i%06d", i)).alias("guid"))
+    assert split(G.carry_over_guid(today, today.filter("id < 'i000900'")))
