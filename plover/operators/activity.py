@@ -28,39 +28,36 @@ def active_users(sessions_or_log: DataFrame, day: str = "dy") -> DataFrame:
 
 def rollover_ranges(prev: DataFrame, today: DataFrame, cur_dy=None, day: str | None = None,
                     new_user_open: bool = True) -> DataFrame:
-    """Roll the activity-range (zipper) table from yesterday to today (W26).
-
-    ``prev``: first_dt, guid, range_start, range_end (+ ``day``); ``today``:
-    guid (+ ``day``) of today's active users. Open ranges of absent users are
-    closed at yesterday, closed ranges stay, new users get a first range,
-    and users whose ranges are all closed but who came today get a new open
-    range. ``new_user_open=False`` reproduces the reference's literal first
-    range that ends today (SURVEY Q29).
+    """Roll the activity-range (zipper) table by one day (W26): first_dt, guid,
+    range_start, range_end (+ ``day``). ``prev`` has these columns, ``today``
+    the guids (+ ``day``) of the day's active users.
+
+    Ranges are islands of active days, and one day can only touch the island
+    that reaches the day before it. So finished ranges pass through as they
+    are, without a shuffle, and each guid has one small summary, combined
+    map-side: when it was first seen, where its island begins and whether it
+    came. An island grows by the day or ends the day before; a guid without
+    one that came begins a new island. Open ranges of one guid are one island,
+    from the earliest start. ``new_user_open=False`` gives unknown users the
+    literal first range that ends today (SURVEY Q29).
     """
     keys = [day] if day else []
     p = prev.select(*keys, "first_dt", "guid", "range_start", "range_end")
     if day:
         p = p.withColumn(day, F.date_add(F.col(day), 1))
-        prev_day = F.date_sub(F.col(day), 1)
-        cur_time = F.col(day)
-    else:
-        prev_day = F.date_sub(F.lit(cur_dy).cast("date"), 1)
-        cur_time = F.lit(cur_dy).cast("date")
-    cur = today.select(*keys, "guid").distinct().withColumn("_cur", F.lit(1))
-    j = p.join(cur, keys + ["guid"], "full")
-    pre_present = F.col("range_start").isNotNull()
-    range_end = (F.when((F.col("range_end") == _open()) & F.col("_cur").isNull(), prev_day)
-                 .when(~pre_present, _open() if new_user_open else cur_time)
-                 .otherwise(F.col("range_end")))
-    part_a = j.select(*keys, F.coalesce(F.col("first_dt"), cur_time).alias("first_dt"), "guid",
-                      F.coalesce(F.col("range_start"), cur_time).alias("range_start"),
-                      range_end.alias("range_end"))
-    closed = (p.groupBy(*keys, "guid", "first_dt").agg(F.max("range_end").alias("_mx"))
-              .filter(F.col("_mx") != _open()).drop("_mx"))
-    part_b = (closed.join(cur, keys + ["guid"], "left_semi")
-              .select(*keys, "first_dt", "guid", cur_time.alias("range_start"), _open().alias("range_end")))
-    out = part_a.unionByName(part_b)
-    return out.select("first_dt", "guid", "range_start", "range_end", *keys)
+    now = F.col(day) if day else F.lit(cur_dy).cast("date")
+    finished = p.filter(F.col("range_end") != _open())
+    facts = p.select(*keys, "guid", "first_dt", F.when(F.col("range_end") == _open(), F.col("range_start")).alias("island"),
+                     F.lit(False).alias("came"))
+    visits = today.select(*keys, "guid", F.lit(None).cast("date").alias("first_dt"), F.lit(None).cast("date").alias("island"),
+                          F.lit(True).alias("came"))
+    per = facts.unionByName(visits).groupBy(*keys, "guid").agg(
+        F.min("first_dt").alias("first_dt"), F.min("island").alias("island"), F.max("came").alias("came"))
+    per = per.filter("came OR island IS NOT NULL")
+    grows = _open() if new_user_open else F.when(F.col("first_dt").isNull(), now).otherwise(_open())
+    live = per.select(F.coalesce("first_dt", now).alias("first_dt"), "guid", F.coalesce("island", now).alias("range_start"),
+                      F.when(F.col("came"), grows).otherwise(F.date_sub(now, 1)).alias("range_end"), *keys)
+    return finished.select("first_dt", "guid", "range_start", "range_end", *keys).unionByName(live)
 
 
 def range_snapshots(active: DataFrame, first_day=None, last_day=None) -> DataFrame:
@@ -83,31 +80,30 @@ def range_snapshots(active: DataFrame, first_day=None, last_day=None) -> DataFra
                        F.when(F.col("t") < F.col("dy"), F.col("t")).otherwise(_open()).alias("range_end"), "dy")
 
 
-def _clip_ranges(ranges: DataFrame, as_of, window_days: int, keys) -> DataFrame:
-    a = as_of
-    start = F.when(F.datediff(a, F.col("range_start")) >= window_days, F.date_sub(a, window_days)) \
-        .otherwise(F.col("range_start"))
-    end = F.when(F.col("range_end") == _open(), a).otherwise(F.col("range_end"))
-    return (ranges.filter(F.datediff(a, F.col("range_end")) <= window_days)
-            .select(*keys, "guid", start.alias("rng_start"), end.alias("rng_end")))
-
-
 def visit_interval_detail(ranges: DataFrame, as_of=None, window_days: int = 30,
                           day: str | None = None) -> DataFrame:
-    """Per range inside the last ``window_days``: (guid, 0, days inside), and
-    per pair of consecutive ranges: (guid, gap in days, 1) (W27).
-    ``as_of`` is a date, or with ``day`` set each row's own day is its as-of."""
+    """Lengths of visits and of the gaps between them (W27): (guid, 0, days) per
+    range inside the last ``window_days`` and (guid, gap in days, 1) per pair
+    of neighbouring ranges. ``as_of`` is a date, or with ``day`` set each row's
+    own day is its as-of.
+
+    Each range puts its two ends on the guid's time line, cut to the window;
+    along the line every step is a visit or a gap, by the kind of end it leads to.
+    """
     keys = [day] if day else []
-    a = F.col(day) if day else F.lit(as_of).cast("date")
-    x = _clip_ranges(ranges, a, window_days, keys)
-    stay = x.select(*keys, "guid", F.lit(0).alias("interval"),
-                    F.datediff(F.col("rng_end"), F.col("rng_start")).alias("times"))
-    w = Window.partitionBy(*keys, "guid").orderBy("rng_end")
-    gaps = (x.select(*keys, "guid", "rng_end", F.lead("rng_start").over(w).alias("_next"))
-            .filter(F.col("_next").isNotNull())
-            .select(*keys, "guid", F.datediff(F.col("_next"), F.col("rng_end")).alias("interval"),
-                    F.lit(1).alias("times")))
-    return stay.unionByName(gaps)
+    now = F.col(day) if day else F.lit(as_of).cast("date")
+    oldest = F.date_sub(now, window_days)
+    ends = ranges.filter(F.col("range_end") >= oldest).select(
+        *keys, "guid", F.greatest("range_start", oldest).alias("a"), F.least("range_end", now).alias("z"))
+    line = ends.select(*keys, "guid", F.col("z").alias("of"), F.col("a").alias("from"), F.explode(F.array(
+        F.struct(F.lit(0).alias("leaves"), F.col("a").alias("at")), F.struct(F.lit(1).alias("leaves"), F.col("z").alias("at"))))
+        .alias("end"))
+    along = Window.partitionBy(*keys, "guid").orderBy("of", "from", "end.leaves")
+    step = F.datediff("end.at", F.lag("end.at").over(along))
+    leaves = F.col("end.leaves") == 1
+    return (line.select(*keys, "guid", leaves.alias("leaves"), step.alias("step")).filter("step IS NOT NULL")
+            .select(*keys, "guid", F.when(F.col("leaves"), 0).otherwise(F.col("step")).alias("interval"),
+                    F.when(F.col("leaves"), F.col("step")).otherwise(1).alias("times")))
 
 
 def visit_intervals(ranges: DataFrame, as_of=None, window_days: int = 30, day: str | None = None) -> DataFrame:

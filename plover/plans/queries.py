@@ -73,6 +73,15 @@ def q_funnel_depth(spark, sf_dir):
                           group_cols=("dy", "guid"))
 
 
+FUNNEL_STEPS_PAGES = (("pageView", "77"), ("share", "91"), ("addCart", "72"))
+
+
+@register("w19_funnel_pages")
+def q_funnel_pages(spark, sf_dir):
+    """Steps of an event on a page, over the whole log of a guid."""
+    return S.funnel_depth(_detail(spark, sf_dir), S.page_steps(FUNNEL_STEPS_PAGES), "view_share_cart")
+
+
 # --- detail layer -----------------------------------------------------------
 
 

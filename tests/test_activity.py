@@ -86,3 +86,42 @@ def test_bitmap_snapshots_from_scratch(spark):
     got = rows(A.bitmap_snapshots(act, last_day=D(2024, 1, 4)), "guid", "dy", "bitmap")
     assert got == [("u", D(2024, 1, 1), 1), ("u", D(2024, 1, 2), 2), ("u", D(2024, 1, 3), 5),
                    ("u", D(2024, 1, 4), 10)]
+
+
+def test_ranges_rolled_day_by_day_match_the_islands(spark):
+    import random
+    rnd = random.Random(4)
+    first, last = D(2024, 1, 1), D(2024, 1, 12)
+    span = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    act = {(f"u{k}", d) for k in range(12) for d in span if rnd.random() < rnd.choice((0.1, 0.5, 0.9))}
+    state = spark.createDataFrame([], "first_dt date, guid string, range_start date, range_end date")
+    for d in span[:6]:
+        today = spark.createDataFrame([(g,) for g, x in act if x == d] * 2, "guid string")
+        state = spark.createDataFrame(A.rollover_ranges(state, today, cur_dy=str(d)).collect(), state.schema)
+    want = set()
+    for g in {g for g, x in act if x <= span[5]}:
+        days = sorted(x for u, x in act if u == g and x <= span[5])
+        run = [days[0], days[0]]
+        for x in [*days[1:], None]:
+            if x is not None and (x - run[1]).days == 1:
+                run[1] = x
+                continue
+            want.add((days[0], g, run[0], OPEN if run[1] == span[5] else run[1]))
+            run = [x, x]
+    assert set(rows(state)) == want
+
+
+def test_finished_ranges_are_not_shuffled(spark):
+    prev = spark.createDataFrame([(D(2020, 1, 1), "g", D(2020, 1, 1), D(2020, 1, 2))], A_SCHEMA)
+    plan = A.rollover_ranges(prev, prev.select("guid"), cur_dy="2020-02-01")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_interval_detail_on_single_days_and_clipped_ranges(spark):
+    r = spark.createDataFrame([(D(2019, 1, 1), "g", D(2019, 1, 1), D(2020, 3, 1)), (D(2019, 1, 1), "g", D(2020, 3, 3), D(2020, 3, 3)),
+                               (D(2019, 1, 1), "g", D(2019, 1, 1), D(2019, 2, 1)), (D(2019, 1, 1), "h", D(2020, 3, 14), OPEN)], A_SCHEMA)
+    got = rows(A.visit_interval_detail(r, "2020-03-14"), "guid", "interval", "times")
+    assert got == [("g", 0, 0), ("g", 0, 17), ("g", 2, 1), ("h", 0, 0)]
+
+
+A_SCHEMA = "first_dt date, guid string, range_start date, range_end date"

@@ -75,3 +75,27 @@ def test_funnel_matches_brute_force(spark):
     preds = [F.col("eventid") == s for s in steps]
     got = dict(rows(S.funnel_depth(det, preds, "f"), "guid", "comp_step"))
     assert got == expect
+
+
+def test_funnel_of_pages_in_small_parts(spark):
+    import random
+    rnd = random.Random(2)
+    steps = [("pageView", "1"), ("share", "2"), ("pageView", "1"), ("addCart", "3")]
+    day = 24 * 3_600_000
+    data, seqs = [], {}
+    for i in range(1500):
+        g = "hot" if rnd.random() < 0.4 else f"g{rnd.randrange(60)}"
+        at = rnd.choice((None, 5, 5, rnd.randrange(3 * day), rnd.randrange(3 * day), -rnd.randrange(day)))
+        ev, page = rnd.choice((("pageView", "1"), ("share", "2"), ("addCart", "3"), ("pageView", "9"), ("other", "1")))
+        data.append((i, g, "s", at, ev, page, "P", "C", "D", "t", "c", "v", "o", 0, "2024-01-01"))
+        seqs.setdefault(g, []).append((at is not None, at or 0, ev, i, page))
+    expect = {}
+    for g, seq in seqs.items():
+        seq = [(ev, page) for _, _, ev, _, page in sorted(seq) if (ev, page) in steps]
+        if seq:
+            expect[g] = _brute_depth(seq, steps)
+    det = _detail(spark, data)
+    for bucket, chunk in ((3_600_000, 256), (60_000, 3), (5 * day, 2)):
+        out = S.funnel_depth(det, S.page_steps(steps), "f", bucket_ms=bucket, chunk=chunk)
+        assert dict(rows(out, "guid", "comp_step")) == expect
+    assert set(expect.values()) == {0, 1, 2, 3, 4} or len(set(expect.values())) >= 4
