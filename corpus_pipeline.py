@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plover.llm import byte_bpe, decontaminate, pii, quality, simhash
-from plover.llm.common import stage, table
+from plover.llm.common import fresh, stage, table
 from plover.llm.queries import pii_key, tokenizer_files
 
 
@@ -32,7 +32,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = pii.pseudonymise(docs, pii_key(spark), found_col="_pii")
+    out = pii.pseudonymise(docs, pii_key(spark), found_col=fresh(docs, "pii"))
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plover.llm.common import fresh
+
 ROUNDS = 12
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 BEFORE, AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
@@ -41,7 +43,8 @@ def _phone_format(stop: str = "") -> str:
 
 #: Formats by kind, in the order a value's kind is told.
 FORMATS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    # a repeated group that may give back would recurse once per label in Java; this one keeps what it has
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": rf"(?<![\p{{L}}\p{{N}}_.]){OCTET}(?:\.{OCTET}){{3}}(?![\p{{L}}\p{{N}}_]|\.[0-9])",
     "date": rf"{BEFORE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}"
             rf"|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}){AFTER}",
@@ -151,14 +154,19 @@ def _phone(key: str) -> str:
 
 def _email(key: str) -> str:
     """In-place rounds over the two halves of the local part."""
+    def pieces(x, size):
+        return f"transform(sequence(0, greatest((length({x}) - 1) div {size}, 0)), c -> substr({x}, c * {size} + 1, {size}))"
+
     def shift(part, other):
+        # characters of long parts are reached by pieces (of a multiple of 32), since substr counts from the start
         h = f"sha2(concat({_lit(key + '|email|')}, i, '|', length({part}), '|', {other}), 256)"
-        by = f"cast(conv(substr({h}, 2 * ((p - 1) % 32) + 1, 2), 16, 10) as int)"
-        c = f"ascii(substr({part}, p, 1))"
-        moved = " ".join(f"when substr({part}, p, 1) between '{lo}' and '{hi}' then chr({ord(lo)} + ({c} - {ord(lo)} + {by}) % {n})"
+        by = "cast(conv(substr(h, 2 * ((p - 1) % 32) + 1, 2), 16, 10) as int)"
+        c = "ascii(substr(u, p, 1))"
+        moved = " ".join(f"when substr(u, p, 1) between '{lo}' and '{hi}' then chr({ord(lo)} + ({c} - {ord(lo)} + {by}) % {n})"
                          for lo, hi, n in (("0", "9", 10), ("a", "z", 26), ("A", "Z", 26)))
-        return (f"array_join(transform(sequence(1, greatest(length({part}), 1)), "
-                f"p -> case {moved} else substr({part}, p, 1) end), '')")
+        one = f"array_join(transform(sequence(1, greatest(length(u), 1)), p -> case {moved} else substr(u, p, 1) end), '')"
+        return (f"transform(array({h}), h -> array_join(transform({pieces(part, 4096)}, "
+                f"q -> array_join(transform({pieces('q', 64)}, u -> {one}), '')), ''))[0]")
     local = "split_part(v, '@', 1)"
     half = f"(length({local}) + 1) div 2"
     return (f"aggregate(sequence(1, {ROUNDS // 2}), named_struct('l', substr({local}, 1, {half}), "
@@ -222,9 +230,11 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: s
     order (changed: it was valid). All other columns and rows, repeated ones
     included, stay; null stays null, texts without a match stay as they are.
     Values, ties and very long texts are handled row by row, without a
-    shuffle. A pseudonym has as many code points as its value but for IPv4
-    addresses, whose octets have one to three digits."""
-    t, hit, cards = F.col(text_col), "_matches", "_cards"
+    shuffle; no pattern gives back a repeated group, so a text's length does not
+    deepen the matcher's stack. Input columns keep their names and values, but
+    one called ``found_col`` is replaced. A pseudonym has as many code points as
+    its value but for IPv4 addresses, whose octets have one to three digits."""
+    t, hit, cards = F.col(text_col), fresh(docs, "matches"), fresh(docs, "cards")
     cases = " ".join(f"when x.kind = '{k}' then {pseudonym('x.value', k, key)}" for k in KINDS)
     out = docs.withColumn(cards, valid_cards(t))
     out = out.withColumn(hit, find_values(t, F.col(cards)))

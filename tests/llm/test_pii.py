@@ -128,3 +128,22 @@ def test_query_replaces_the_tables_values(spark):
         if not re.search(r"\d.*\d|@", t, re.S):
             assert out[i]["text"] == t
     assert found > 20
+
+
+def test_very_long_texts_and_clashing_names(spark):
+    """Patterns neither recurse per repetition nor slow down with the square of a text."""
+    import time
+    texts = ["a@" + "b." * 20_000 + "com", "a" * 500_000 + "@b.c", "a@b.c " * 20_000, "1.2.3.4." * 60_000, "1 2-" * 200_000,
+             "+1 " * 200_000, "4111 1111 1111 1111 " * 20_000, "2024-01-02, " * 40_000, "123-45-6789, " * 40_000,
+             "(555) " * 100_000, "1" * 500_000, "é" * 300_000, "@" * 300_000, "a." * 200_000 + "@"]
+    docs = spark.createDataFrame([(i, t, "c", "m", "p") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, cards string, matches string, _pii string")
+    t0 = time.time()
+    out = {r["doc_id"]: r for r in pii.pseudonymise(docs, "k").collect()}
+    assert time.time() - t0 < 120
+    assert all((r["cards"], r["matches"], r["_pii"]) == ("c", "m", "p") for r in out.values())
+    assert out[0]["text"].endswith("com") and len(out[0]["pii"]) == 1 and out[0]["text"][0] != "@"
+    assert out[1]["text"].endswith("@b.c") and len(out[1]["text"]) == len(texts[1]) and out[1]["text"] != texts[1]
+    assert len(out[2]["pii"]) == 20_000 and len(set(out[2]["text"].split())) == 1
+    assert len(out[7]["pii"]) == 40_000 and len(set(out[7]["text"].split())) == 1
+    assert out[11]["text"] == texts[11] and out[12]["text"] == texts[12]
