@@ -3,8 +3,8 @@
 A record is a JSON object of any layout. Its nested field paths (list
 elements as ``[]``) are hashed to a fingerprint, and the fingerprint selects
 a declarative mapping that turns the record into canonical turns (role,
-text). Unknown fields beside a known layout are left out of a second
-fingerprint, so metadata does not hide a layout.
+text). Fields that a layout does not know are left out of a second fingerprint
+for that layout, so neither metadata nor another layout's field hides it.
 
 Template: each turn is ``### role: text</turn>`` and a line feed. Inside
 roles and texts a backslash goes before every backslash and control string
@@ -28,7 +28,7 @@ HEAD, END = "### ", "</turn>"
 _TEXT_CONTROL = re.compile(r"\\|###|</turn>")
 _ROLE_CONTROL = re.compile(r"\\|###|</turn>|:")
 _ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.S)
+_LONE = re.compile("[\ud800-\udfff]")  # JSON escapes can name half a character
 LOSS_ROLE = "assistant"
 
 
@@ -66,15 +66,20 @@ LAYOUTS = (
 
 def field_paths(value, at: str = "") -> set[str]:
     """Paths of a JSON value's leaves; an empty list or object is a leaf."""
-    if isinstance(value, dict) and value:
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items()))
-    if isinstance(value, list) and any(isinstance(v, (dict, list)) for v in value):
-        return set().union(*(field_paths(v, f"{at}[]") for v in value))
-    return {at}
+    out, todo = set(), [(value, at)]
+    while todo:
+        value, at = todo.pop()
+        if isinstance(value, dict) and value:
+            todo += [(v, f"{at}.{k}" if at else k) for k, v in value.items()]
+        elif isinstance(value, list) and any(isinstance(v, (dict, list)) for v in value):
+            todo += [(v, f"{at}[]") for v in value]
+        else:
+            out.add(at)
+    return out
 
 
 def fingerprint(paths) -> str:
-    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(paths)).encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
 def mappings(layouts=LAYOUTS) -> dict[str, Layout]:
@@ -107,10 +112,17 @@ def canonical_turns(record: dict, layout: Layout) -> list[tuple[str, str]]:
             for role, names in layout.fields if any(f in record for f in names)]
 
 
-def layout_of(record, known: dict[str, Layout], vocabulary: set[str]) -> tuple[str, Layout | None]:
+def layout_of(record, known: dict[str, Layout], layouts=LAYOUTS) -> tuple[str, Layout | None]:
+    """Fingerprint of the record, and the layout it selects: by all its paths, or
+    by those of them that a layout knows. Of several layouts that fit so, the
+    one with most known paths is taken, then the first."""
     paths = field_paths(record) if isinstance(record, dict) else {""}
     key = fingerprint(paths)
-    return key, known.get(key) or known.get(fingerprint(paths & vocabulary))
+    if key in known:
+        return key, known[key]
+    fits = [(len(own), -k, x) for k, x in enumerate(layouts) for own in [paths & {*x.paths, *x.optional}]
+            if known.get(fingerprint(own)) is x]
+    return key, max(fits, key=lambda f: f[:2])[2] if fits else None
 
 
 def format_turns(turns: list[tuple[str, str]]) -> tuple[str, list[int], list[int]]:
@@ -131,16 +143,29 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+def _unescaped(text: str, mark: str, at: int) -> int:
+    """Place of the next ``mark`` that no backslash escapes, or -1."""
+    while (k := text.find(mark, at)) >= 0:
+        lead = k
+        while lead > 0 and text[lead - 1] == "\\":
+            lead -= 1
+        if (k - lead) % 2 == 0:
+            return k
+        at = k + 1
+    return -1
+
+
 def read_turns(formatted: str) -> list[tuple[str, str]]:
     """The turns of a formatted text; one that the template can't have made
     raises ValueError."""
     out, at = [], 0
     while at < len(formatted):
-        m = _TURN.match(formatted, at)
-        if m is None:
+        colon = _unescaped(formatted, ":", at + len(HEAD)) if formatted.startswith(HEAD, at) else -1
+        end = _unescaped(formatted, END, colon + 2) if colon >= 0 and formatted.startswith(": ", colon) else -1
+        if end < 0 or not formatted.startswith(END + "\n", end):
             raise ValueError(f"not a turn at {at}")
-        out.append((unescape(m[1]), unescape(m[2])))
-        at = m.end()
+        out.append((unescape(formatted[at + len(HEAD):colon]), unescape(formatted[colon + 2:end])))
+        at = end + len(END) + 1
     return out
 
 
@@ -150,17 +175,20 @@ def _strings(values):
 
 def _format(payload: str, layouts):
     known = mappings(layouts)
-    vocabulary = {p for x in layouts for p in (*x.paths, *x.optional)}
 
     def one(text):
         try:
             record = json.loads(text) if text is not None else None
-        except ValueError:
+        except (ValueError, RecursionError):
             record = None
-        key, layout = layout_of(record, known, vocabulary)
+        key, layout = layout_of(record, known, layouts)
         if layout is None:
             return key, None, None, None, None, None
-        return key, layout.name, *format_turns(turns := canonical_turns(record, layout)), len(turns)
+        try:
+            turns = [(_LONE.sub("\ufffd", r), _LONE.sub("\ufffd", t)) for r, t in canonical_turns(record, layout)]
+        except RecursionError:  # parts within parts, too deep to read
+            return key, None, None, None, None, None
+        return key, layout.name, *format_turns(turns), len(turns)
 
     def run(batches):
         for b in batches:
@@ -178,9 +206,11 @@ def format_records(records: DataFrame, payload: str = "payload", keep: tuple[str
     """The ``keep`` columns with fingerprint, layout, formatted, loss_starts,
     loss_ends and n_turns, one row per record.
 
-    A record of unknown layout, broken JSON or null keeps its row with
-    everything but the fingerprint null. Null texts and roles are empty; a
-    record without messages is formatted as the empty text."""
+    A record of unknown layout, broken or too deeply nested JSON or null keeps
+    its row with everything but the fingerprint null. Null texts and roles are
+    empty; a record without messages is formatted as the empty text. Half a
+    character from an escape becomes U+FFFD. Very long texts are formatted and
+    read in time linear in their length; repeated rows are formatted each."""
     kinds = ", ".join(f"`{c}` {records.schema[c].dataType.simpleString()}" for c in keep)
     return records.select(*keep, payload).mapInArrow(
         _format(payload, layouts), f"{kinds}, fingerprint string, layout string, formatted string, "

@@ -72,3 +72,38 @@ def test_query_matches_brute_force(spark, tmp_path):
         loss = "".join(x for r, x in turns if r == "assistant")
         assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), brute.sha(loss))
         assert got[c]["formatted_chars"] == len(chat.format_turns(turns)[0])
+
+
+def test_halves_of_characters_and_deep_records(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    parts = '{"messages": [{"role": "user", "content": ' + "[" * 400 + '"x"' + "]" * 400 + "}]}"
+    payloads = ['{"prompt": "a\\ud800b", "response": "\\udc00"}', '{"messages": [{"role": "\\ud83d", "content": "\\ud83d\\ude42"}]}',
+                '{"\\ud800": 1}', deep, '{"prompt": ' + deep + ', "response": "x"}', parts]
+    df = spark.createDataFrame(list(enumerate(payloads)), "conv_id long, payload string")
+    out = chat.format_records(df)
+    rows = {r["conv_id"]: r for r in chat.read_back(out).collect()}
+    assert rows[0]["texts"] == ["a�b", "�"] and rows[1]["roles"] == ["�"] and rows[1]["texts"] == ["🙂"]
+    assert all(rows[i]["formatted"] is None for i in (2, 3, 4)) and rows[5]["texts"] in (["x"], None)
+    assert all(r["fingerprint"] for r in out.collect())
+
+
+def test_fields_of_another_layout_hide_nothing(spark):
+    records = [({"prompt": "q", "response": "a", "input": "i"}, "prompt_response", [("user", "q"), ("assistant", "a")]),
+               ({"question": "q", "answer": "a", "system": "s"}, "question_answer", [("user", "q"), ("assistant", "a")]),
+               ({"messages": [{"role": "user", "content": "q"}, {"role": "user", "content": [{"type": "t", "text": "r"}]}]},
+                "message_parts", [("user", "q"), ("user", "r")])]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, (r, _, _) in enumerate(records)], "conv_id long, payload string")
+    out = chat.format_records(df)
+    back = {r["conv_id"]: r for r in chat.read_back(out).collect()}
+    for r in out.collect():
+        assert r["layout"] == records[r["conv_id"]][1]
+        assert list(zip(back[r["conv_id"]]["roles"], back[r["conv_id"]]["texts"])) == records[r["conv_id"]][2]
+
+
+def test_very_long_texts_are_read_back():
+    for text in ("word " * 400_000, "\\" * 300_001, "</turn>" * 50_000, "###:" * 100_000, "<" * 500_000):
+        shown, _, _ = chat.format_turns([("user", text), ("a:b\\", "x")])
+        assert chat.read_turns(shown) == [("user", text), ("a:b\\", "x")]
+    for bad in ("### user: x</turn>", "### user: x\\</turn>\n", "### user x</turn>\n", "## user: x</turn>\n", "### u:x</turn>\n"):
+        with pytest.raises(ValueError):
+            chat.read_turns(bad)
