@@ -53,7 +53,9 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     path_col: str | None = "source") -> DataFrame:
     """id, n (ordinal in the text), start (code points before it), value,
     before, after (neighbouring characters), path. Null and empty texts have
-    none; repeated rows have theirs each."""
+    none; repeated rows have theirs each. Very long texts: the work grows with
+    the text, but for the places, which grow with the 1.5th power of the
+    number of candidates (about a second for 100,000)."""
     t = F.coalesce(F.col(text_col), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in docs.columns else F.lit("")
     d = docs.select(F.col(id_col).alias("id"), path.alias("path"), t.alias("text"))
@@ -76,14 +78,29 @@ def _lefts(pieces: Column, values: Column) -> Column:
 
 
 def _starts(pieces: Column, values: Column) -> Column:
-    """Code points before each value."""
+    """Code points before each value: sums within blocks of about the square
+    root of all, plus the sums of the blocks before, as an array grows by copying."""
+    nothing = F.expr("cast(array() as array<bigint>)")
+    zero = F.lit(0).cast("long")
     both = F.zip_with(F.slice(pieces, 1, F.size(values)), values,
                       lambda p, v: F.struct(F.length(p).cast("long").alias("p"), F.length(v).cast("long").alias("v")))
-    return F.aggregate(
-        both, F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<bigint>)").alias("out")),
-        lambda a, x: F.struct((a["at"] + x["p"] + x["v"]).alias("at"),
-                              F.concat(a["out"], F.array(a["at"] + x["p"])).alias("out")),
-        lambda a: a["out"])
+    n = F.greatest(F.size(values), F.lit(1))
+    block = F.ceil(F.sqrt(n)).cast("int")
+
+    def sums(parts):
+        """Total and running starts of an array of lengths."""
+        return F.aggregate(parts, F.struct(zero.alias("at"), nothing.alias("out")), lambda a, x: F.struct(
+            (a["at"] + x["p"] + x["v"]).alias("at"), F.concat(a["out"], F.array(a["at"] + x["p"])).alias("out")))
+
+    def joined(blocks):
+        before = F.aggregate(blocks, F.struct(zero.alias("at"), nothing.alias("out")), lambda a, x: F.struct(
+            (a["at"] + x["at"]).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        return F.flatten(F.zip_with(blocks, before, lambda x, at: F.transform(x["out"], lambda s: s + at)))
+
+    # an array of one element binds its value, so that it is worked out once
+    blocks = F.transform(F.array(both), lambda x: F.transform(
+        F.sequence(F.lit(0), F.ceil(n / block).cast("int") - 1), lambda k: sums(F.slice(x, k * block + 1, block))))
+    return F.transform(blocks, joined)[0]
 
 
 def with_features(candidates: DataFrame) -> DataFrame:

@@ -83,3 +83,21 @@ def test_query_finds_the_tables_tokens(spark):
     rows = queries.op8_secret_scan(spark, sf).collect()
     got = {(r["doc_id"], r["value"]) for r in rows if r["is_secret"]}
     assert got == want and len(rows) > len(got) > 5
+
+
+def test_many_candidates_in_one_text(spark):
+    import time
+    rnd = random.Random(1)
+    parts, want, at = [], [], 0
+    for _ in range(60_000):
+        gap, value = "é " * rnd.randrange(1, 4), "".join(rnd.choices("abcdef0123456789", k=15)) + "7"
+        want.append(at + len(gap))
+        parts.append(gap + value)
+        at += len(parts[-1])
+    docs = spark.createDataFrame([(1, "".join(parts)), (2, "x " + "a1" * 200_000), (3, "a" * 400_000), (4, "token=" * 60_000)],
+                                 "doc_id long, text string")
+    t0 = time.time()
+    got = SS.find_candidates(docs).filter("id < 3").select("id", "n", "start").collect()
+    assert time.time() - t0 < 60
+    assert [r["start"] for r in sorted(got, key=lambda r: r["n"]) if r["id"] == 1] == want
+    assert [r["start"] for r in got if r["id"] == 2] == [2]
