@@ -9,8 +9,10 @@ sentences only, ``_ANYWHERE`` every capitalised word but ``FUNCTION_WORDS``,
 wherever a sentence or line begins, and ``_LITERAL`` no placeholders at all,
 so that a verbatim copy matches whatever stands around it. A window
 is ``WINDOW`` consecutive tokens (a shorter item is one window), half of
-them words at least; a literal window needs one word, so that verbatim copies
-of arithmetic, tables and lists of names are found with their values. Windows
+them words at least. Literal windows may hold anything, so verbatim copies
+of arithmetic, tables, lists of names and series of numbers are found with
+their values; an item of under ``SHORTEST`` tokens is compared literally
+alone, as too little for a template. Windows
 of documents are hash-joined with those of the benchmark. Their slots are consistent if the values can be mapped one to
 one, which is so exactly when both windows repeat their values at the same
 places; that pattern is part of the joined key. A document with one
@@ -20,7 +22,8 @@ else re-parameterised.
 The join has two steps so that few rows leave the text scan: every window
 picks the 4-gram of smallest hash in it, equal windows pick equal ones, and
 only documents that share a picked gram with the benchmark list all their
-windows.
+windows. Grams without a word are picked last, and by literal windows alone; a window of fewer
+tokens than a gram picks itself.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from plover.llm.common import (Prefix, as_int64, map_batches, mix64, row_chunks,
                                word_codes, word_spans)
 
 WINDOW = 13
-SHORTEST = 5  # shorter items are no evidence and match nothing (numbers alone neither)
+SHORTEST = 5  # shorter items match by their exact words only
 GRAM = 4
 UNITS = ("km kilometers kilometres m meters metres cm mm miles mile feet foot inches inch kg kilograms grams g mg lb "
          "pounds ounces liters litres ml seconds second minutes minute hours hour days day weeks week months month "
@@ -132,11 +135,23 @@ def template(raw: np.ndarray, offs: np.ndarray):
     return *(np.concatenate(x) for x in zip(*parts)), np.concatenate(ends)
 
 
-def _grams(codes: np.ndarray, slots: np.ndarray, sums: Prefix) -> np.ndarray:
-    """Gram hashes; grams without a word are never picked before others."""
+def _literal_from(rows: np.ndarray) -> int:
+    """First token of the literal reading."""
+    return int(rows[_LITERAL * ((len(rows) - 1) // READINGS)])
+
+
+def _grams(codes: np.ndarray, slots: np.ndarray, sums: Prefix, rows: np.ndarray) -> np.ndarray:
+    """Gram hashes. Grams without a word are larger than all others, and none
+    where slots are placeholders."""
     at = np.arange(max(len(codes) - GRAM + 1, 0))
     many = np.concatenate(([0], np.cumsum(slots)))
-    return np.where(many[at + GRAM] - many[at] == GRAM, _NO_GRAM, sums.ranges(at, at + GRAM))
+    gram = sums.ranges(at, at + GRAM) >> np.uint64(1)
+    bare = np.where(at >= _literal_from(rows), gram | np.uint64(1 << 63), _NO_GRAM)
+    return np.where(many[at + GRAM] - many[at] == GRAM, bare, gram)
+
+
+def _own_gram(sums: Prefix, start: np.ndarray, size: int) -> np.ndarray:
+    return sums.ranges(start, start + size) >> np.uint64(1)
 
 
 def _windows(codes, values, slots, rows, size: int, sums: Prefix):
@@ -148,8 +163,8 @@ def _windows(codes, values, slots, rows, size: int, sums: Prefix):
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
     many = np.concatenate(([0], np.cumsum(slots)))
     held = many[size:] - many[:n]
-    literal = np.arange(n) >= rows[_LITERAL * ((len(rows) - 1) // READINGS)]
-    start = np.flatnonzero((row_of[:n] == row_of[size - 1:]) & np.where(literal, held < size, held * 2 <= size))
+    literal = np.arange(n) >= _literal_from(rows)
+    start = np.flatnonzero((row_of[:n] == row_of[size - 1:]) & (literal | ((held * 2 <= size) & (size >= SHORTEST))))
     # distance of each slot to the one before with its value, in the same row
     at = np.flatnonzero(slots)
     order = at[np.lexsort((at, values[at], codes[at], row_of[at]))]
@@ -177,10 +192,17 @@ def _picked_rows(sizes: list[int]):
     """id, t, a: the grams that the windows of each size pick."""
     def run(batches):
         for b, i, n_rows, (codes, _, slots, _, rows) in _chunks(batches):
-            grams = _grams(codes, slots, Prefix(codes))
+            sums = Prefix(codes)
+            grams = _grams(codes, slots, sums, rows)
             row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
             row, gram = [], []
             for size in sizes:
+                if size < GRAM:
+                    start = np.arange(_literal_from(rows), max(len(codes) - size + 1, 0))
+                    start = start[row_of[start] == row_of[start + size - 1]]
+                    row.append(row_of[start])
+                    gram.append(_own_gram(sums, start, size))
+                    continue
                 pick = sliding_argmin(grams, size - GRAM + 1)
                 n = len(pick)
                 ok = row_of[:n] == row_of[size - 1:size - 1 + n]
@@ -207,16 +229,16 @@ def _item_rows(window: int):
     def run(batches):
         for b, i, n_rows, (codes, values, slots, _, rows) in _chunks(batches):
             sums = Prefix(codes)
-            grams = _grams(codes, slots, sums)
+            grams = _grams(codes, slots, sums, rows)
             length = np.diff(rows)
-            for size in sorted({int(x) for x in length if SHORTEST <= x < window} | {window}):
+            for size in sorted({int(x) for x in length if 0 < x < window} | {window}):
                 row, start, key, exact = _windows(codes, values, slots, rows, size, sums)
                 if size < window:  # only items that are no longer
                     own = length[row] == size
                     row, start, key, exact = row[own], start[own], key[own], exact[own]
                 if not len(start):
                     continue
-                gram = grams[sliding_argmin(grams, size - GRAM + 1)[start]]
+                gram = _own_gram(sums, start, size) if size < GRAM else grams[sliding_argmin(grams, size - GRAM + 1)[start]]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").take(pa.array(row % n_rows + i)), pa.array(np.full(len(row), size, np.int32)),
                      as_int64(gram), as_int64(key), as_int64(exact)], ["id", "size", "a", "w", "x"])
@@ -242,9 +264,11 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, window: int = WI
     """Every window of a document that matches the benchmark consistently:
     id, t (64-bit text hash), s and size (number of the first word, tokens), item
     (the smallest item id that has the window), verbatim (its slot values
-    agree with an item's). A place that matches in several readings is one. Null or empty texts on either side match nothing;
-    repeated rows of a document are one; many items that share a window give
-    one row."""
+    agree with an item's). A place that matches in several readings is one. Null
+    or empty texts on either side match nothing; an item of one word matches
+    wherever that word stands; repeated rows of a document are one; many items
+    that share a window give one row. Very long texts are read whole, in memory
+    of a multiple of the text. Further columns are not looked at."""
     kind, ikind = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
     items = (benchmark.select(F.col(item_col).alias("id"), F.col(item_text).alias("text"))
              .transform(map_batches, _item_rows(window), f"id {ikind}, size int, a long, w long, x long"))
