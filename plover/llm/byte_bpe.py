@@ -3,7 +3,8 @@
 Pieces repeat a lot, so each worker keeps the ids of the pieces it has seen
 and asks the library for the others. Texts of Latin letters are cut into
 pieces by Python's own regular expressions (see ``latin_pattern``), any
-other text goes through the library as a whole.
+other text goes through the library, long ones in parts that end where
+pieces do.
 
 ``encode`` splits a text by the vocabulary's pattern and merges the UTF-8
 bytes of each piece by the ranks of a rank file (base64 token, rank). Bytes
@@ -77,7 +78,10 @@ def tokenizer(path: str, pattern: str):
 
 
 LATIN = 0x24F  # last character of the Latin blocks, whose classes are the same in all Unicode versions
-FOREIGN_CHUNK = 1 << 16  # characters that one call of the library gets; a longer text is one call
+FOREIGN_CHUNK = 1 << 16  # characters that one call of the library gets, about
+#: Between a letter or digit and a space or mark there is always a border of the patterns
+#: that this module serves: each alternative takes letters, digits, or neither.
+_BORDER = re.compile(r"(?<=[^\W_])(?=[\s!-&(-/:-@\[-`{-~\u3001\u3002\uff01\uff0c\uff1f])")
 SEEN_PIECES = 250_000  # pieces a worker remembers; beyond that it starts anew
 
 
@@ -137,6 +141,16 @@ def _learn(alone, seen: _Seen) -> None:
     seen.new.clear()
 
 
+def _parts(text: str) -> list[str]:
+    """A text in parts of about FOREIGN_CHUNK characters, cut where pieces end; a
+    longer run without a border stays whole."""
+    out, at = [], 0
+    while len(text) - at > FOREIGN_CHUNK and (m := _BORDER.search(text, at + FOREIGN_CHUNK)):
+        out.append(text[at:m.start()])
+        at = m.start()
+    return [*out, text[at:]]
+
+
 def _ids(key: tuple, texts: list[str], latin) -> list[np.ndarray]:
     whole, alone, _, seen = tokenizer(*key)
     if len(seen) > SEEN_PIECES:
@@ -155,10 +169,11 @@ def _ids(key: tuple, texts: list[str], latin) -> list[np.ndarray]:
         _learn(alone, seen)
         for k, pieces in cut.items():
             out[k] = b"".join(map(find, pieces))
-    # the library's encodings are many times larger than the text, so a few texts at a time
-    for i, j in row_chunks(np.cumsum([0, *(len(texts[k]) for k in rest)]), FOREIGN_CHUNK):
-        for k, e in zip(rest[i:j], whole.encode_batch_fast([texts[k] for k in rest[i:j]], add_special_tokens=False)):
-            out[k] = np.array(e.ids, np.int32).tobytes()
+    # the library's encodings are many times larger than the text, so a few texts, or a part of one, at a time
+    parts = [(k, part) for k in rest for part in _parts(texts[k])]
+    for i, j in row_chunks(np.cumsum([0, *(len(part) for _, part in parts)]), FOREIGN_CHUNK):
+        for (k, _), e in zip(parts[i:j], whole.encode_batch_fast([part for _, part in parts[i:j]], add_special_tokens=False)):
+            out[k] += np.array(e.ids, np.int32).tobytes()
     return [np.frombuffer(x, np.int32) for x in out]
 
 
@@ -201,7 +216,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", off
     """The ``keep`` columns with ids array<int> and, if asked for, starts and
     ends array<int>: each token's first character and one past its last, in
     code points. One row per input row, repeated rows included; a null or
-    empty text has no tokens. Special-token strings are ordinary text."""
+    empty text has no tokens. Special-token strings are ordinary text. A very
+    long text is encoded whole, in memory of a small multiple of it."""
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     more = ", starts array<int>, ends array<int>" if offsets else ""
     return (docs.select(*keep, F.col(text_col).alias("text"))

@@ -70,3 +70,13 @@ def test_query_matches_the_library(spark, reference):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert B.decode(B.encode(docs, PATH, PATTERN), PATH).count() == 0
+
+
+def test_long_foreign_texts_in_parts(monkeypatch, reference):
+    monkeypatch.setattr(B, "FOREIGN_CHUNK", 7)
+    key, latin = (PATH, PATTERN), B.latin_pattern(PATTERN)
+    texts = [t + "\u65e5" for t in samples()] + ["\u65e5\u672c\u8a9e\u3002 it's\u3001we've  \xa0b. 12,3 a_b" * 20, "\u65e5" * 5000]
+    assert any(len(B._parts(t)) > 3 for t in texts) and all("".join(B._parts(t)) == t for t in texts)
+    for i in range(0, len(texts), 100):
+        got = B._ids(key, texts[i:i + 100], latin)
+        assert [x.tolist() for x in got] == [reference.encode_ordinary(t) for t in texts[i:i + 100]]
