@@ -5,8 +5,14 @@ as a check of the ids).
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet to the shared folder and read again for the next one, so a lost
-executor repeats at most one stage. Stages keep the columns of their input;
-the last adds ids and n_tokens.
+executor repeats at most one stage. Stages keep the columns of their input,
+whatever further ones there are; the last adds ids and n_tokens.
+
+A null text counts as empty and leaves the last stage empty; null ids,
+languages and sources are values like any other. Repeated rows are near
+duplicates of each other, so one stays; of equal ids with different texts all
+stay that are no near duplicates. Very long texts are handled whole by every
+stage. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,11 +43,15 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns, with the decoded text, and the ids and their number (under
+    longer names if the documents have such columns)."""
     path, pattern = tokenizer_files()
-    ids = byte_bpe.encode(docs, path, pattern, offsets=False, keep=("doc_id", "lang", "source"))
-    out = byte_bpe.decode(ids, path)
-    return out.select("doc_id", "lang", "source", F.decode("decoded", "UTF-8").alias("text"), "ids",
-                      F.size("ids").cast("long").alias("n_tokens"))
+    others = {c: f"c{k}" for k, c in enumerate(docs.columns) if c != "text"}
+    plain = docs.select("text", *[F.col(c).alias(a) for c, a in others.items()])
+    out = byte_bpe.decode(byte_bpe.encode(plain, path, pattern, offsets=False, keep=tuple(others.values())), path)
+    back = [F.decode("decoded", "UTF-8").alias(c) if c == "text" else F.col(others[c]).alias(c) for c in docs.columns]
+    return out.select(*back, F.col("ids").alias(fresh(docs, "ids")),
+                      F.size("ids").cast("long").alias(fresh(docs, "n_tokens")))
 
 
 STAGES = [

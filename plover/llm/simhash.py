@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plover.llm.common import map_batches, row_chunks, stage, text_bytes, text_key
+from plover.llm.common import fresh, map_batches, row_chunks, stage, text_bytes, text_key
 from plover.operators.graph import connected_components
 
 SHINGLE = 3
@@ -174,14 +174,16 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = SHINGLE, max_bits: in
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class left: the smallest id's, of equal ids
-    the one with the smallest text hash. Columns are unchanged."""
+    the one with the smallest text hash; of rows that agree in both, any one.
+    Columns are unchanged, whatever their names."""
     classes = near_duplicate_classes(docs, shingle, max_bits, id_col, text_col)
+    row = fresh(docs, "row")
     # the class' first id names it; classes without any id are told apart by their fingerprints
     first = (classes.groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("nameless"))
              .agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "t")).alias("m"))
-             .select(F.struct(F.col("m.id").alias("id"), F.col("m.t").alias("t")).alias("_row")))
+             .select(F.struct(F.col("m.id").alias("id"), F.col("m.t").alias("t")).alias(row)))
     first = stage(first, "simhash-kept")
     # one key column (null ids are equal inside it), so that the join's shuffle serves the last step too
     own = F.struct(F.col(id_col).alias("id"), text_key(text_col).alias("t"))
-    d = docs.withColumn("_row", own.cast(first.schema["_row"].dataType))  # no cast inside the join's key
-    return d.join(first, "_row").dropDuplicates(["_row"]).select(*docs.columns)
+    d = docs.withColumn(row, own.cast(first.schema[row].dataType))  # no cast inside the join's key
+    return d.join(first, row).dropDuplicates([row]).select(*docs.columns)

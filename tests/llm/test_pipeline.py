@@ -41,3 +41,17 @@ def test_stages_on_odd_rows(spark, tmp_path):
         for k, (_, f) in enumerate(P.STAGES):
             docs = stage(f(spark, docs, str(tmp_path)), f"odd-{k}")
         assert docs.count() <= len(part)
+
+
+def test_columns_with_the_operators_own_names_stay(spark):
+    names = "row ids n_tokens pii cards matches decoded starts ends id t a w x s size item label score p_text _row _bad_id fp component".split()
+    docs = spark.createDataFrame([(i, f"word{i} " * 40, "en", "s", 9, *names) for i in range(5)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"{n} string" for n in names))
+    for k, (name, f) in enumerate(P.STAGES):
+        out = stage(f(spark, docs, SF), f"names-{k}")
+        assert out.columns[:len(docs.columns)] == docs.columns, name
+        got = out.collect()
+        assert all(r[n] == n for r in got for n in names), name
+        docs = docs if k == 0 else out
+    assert {"ids_", "n_tokens_"} <= set(docs.columns) and docs.count() == 5
