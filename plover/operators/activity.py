@@ -13,6 +13,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plover.operators.usersets import user_sets, with_numbers
+
 # Fixed value: the open end of a validity range.
 OPEN_END = _dt.date(9999, 12, 31)
 
@@ -143,6 +145,21 @@ def active_days_members(ranges: DataFrame, as_of=None, day: str | None = None) -
     return runs.select(dt.alias("dt"), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("days"), "guid")
 
 
+def active_days_sets(ranges: DataFrame, dictionary: DataFrame, as_of=None, day: str | None = None) -> DataFrame:
+    """The user sets of W29 as bitmaps: dt, days, bucket, users for every N. A
+    user is one row, in the set of the own run length; the set for N is the
+    union of those for N and more, so the rows are run lengths times buckets."""
+    runs, keys, a = _open_days(ranges, as_of, day)
+    dt = F.col(day) if day else F.lit(as_of).cast("date")
+    own = user_sets(with_numbers(runs, dictionary).select(dt.alias("dt"), F.col("_n").alias("days"), "num"), ["dt", "days"])
+    # every N up to the longest run of the bucket, then the union from the longest down
+    longest = Window.partitionBy("dt", "bucket").orderBy("days")
+    own = own.withColumn("_before", F.coalesce(F.lag("days").over(longest), F.lit(0)))
+    down = Window.partitionBy("dt", "bucket").orderBy(F.col("days").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    own = own.withColumn("users", F.bitmap_or_agg("users").over(down))
+    return own.select("dt", F.explode(F.sequence(F.col("_before") + 1, F.col("days"))).alias("days"), "bucket", "users")
+
+
 def update_bitmap(prev: DataFrame, today: DataFrame, n_days: int = 31, day: str | None = None) -> DataFrame:
     """Shift yesterday's activity bitmap by one day and set today's bit
     (W32): ((prev << 1) | active) & (2^n_days − 1); unknown users start at

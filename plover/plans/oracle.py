@@ -92,6 +92,16 @@ GROUP BY GROUPING SETS ((dy), (dy, province), (dy, province, city), (dy, provinc
   (dy, device_type), (dy, release_channel), (dy, device_type, app_version), (dy, hour_segment),
   (dy, os_name, app_version))"""
 
+Q["w18_traffic_cube_span"] = ctes(EV, APPLOG, DETAIL, SESSIONS) + """
+SELECT province, city, district, device_type, release_channel, app_version, os_name, hour_segment,
+  count(*) AS session_cnt, CAST(sum(pv_cnt) AS BIGINT) AS pv_cnt, CAST(sum(end_time - start_time) AS BIGINT) AS time_long,
+  count(DISTINCT guid) AS uv_cnt,
+  CAST(GROUPING(province, city, district, device_type, release_channel, app_version, os_name, hour_segment) AS BIGINT)
+    AS grouping_id
+FROM sessions
+GROUP BY GROUPING SETS ((), (province), (province, city), (province, city, district), (device_type), (release_channel),
+  (device_type, app_version), (hour_segment), (os_name, app_version))"""
+
 Q["w19_funnel_depth"] = ctes(EV, APPLOG, DETAIL) + """,
 e AS (SELECT dy, guid, eventid, struct_pack(t := "timestamp", n := eventid, i := event_id) AS pos FROM detail
       WHERE eventid IN ('pageView', 'share', 'addCart')),
@@ -231,6 +241,8 @@ FROM detail27 GROUP BY dy, guid, "interval\""""
 Q["w29_active_days"] = ctes(EV, APPLOG, DETAIL, SNAPS, OPENRUNS) + """
 SELECT dt, days, count(*) AS user_cnt FROM members GROUP BY dt, days"""
 
+Q["w29_active_days_sets"] = Q["w29_active_days"]
+
 Q["w29_active_days_members"] = ctes(EV, APPLOG, DETAIL, SNAPS, OPENRUNS) + "SELECT * FROM members"
 
 Q["w32_update_bitmap"] = ctes(EV, APPLOG, DETAIL) + """,

@@ -22,8 +22,9 @@ from plover.operators import models as M
 from plover.operators import report as RP
 from plover.operators import series as SR
 from plover.operators import sessions as S
+from plover.operators import usersets as U
 from plover.plans import etl as ETL
-from plover.session import scratch_path
+from plover.session import scratch_path, stored
 from plover.sources.applog import app_log, detail_log
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +61,14 @@ def q_traffic_cube(spark, sf_dir):
     return S.traffic_cube(S.session_aggregate(_detail(spark, sf_dir)))
 
 
+@register("w18_traffic_cube_span")
+def q_traffic_cube_span(spark, sf_dir):
+    """One cube over all days, from the days' stored measures and user sets."""
+    sessions = S.session_aggregate(_detail(spark, sf_dir))
+    state = S.cube_state(sessions, U.extend_dictionary(sessions))
+    return S.cube_of_span(*(stored(part, scratch_path(spark, "cube")) for part in state))
+
+
 FUNNEL_STEPS_EVENTS = ("pageView", "share", "addCart")
 
 
@@ -183,6 +192,14 @@ def q_active_days(spark, sf_dir):
     return A.active_days(_range_snaps(spark, sf_dir), day="dy")
 
 
+@register("w29_active_days_sets")
+def q_active_days_sets(spark, sf_dir):
+    """W29's counts from its member sets as bitmaps."""
+    snaps = _range_snaps(spark, sf_dir)
+    sets = A.active_days_sets(snaps, U.extend_dictionary(snaps), day="dy")
+    return U.set_sizes(sets, ["dt", "days"], "user_cnt")
+
+
 @register("w29_active_days_members")
 def q_active_days_members(spark, sf_dir):
     return A.active_days_members(_range_snaps(spark, sf_dir), day="dy")
