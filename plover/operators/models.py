@@ -199,12 +199,19 @@ def tokenize(text: Column | str, stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
     return F.filter(toks, lambda w: (F.length(w) >= min_len) & ~F.array_contains(stops, w))
 
 
+def hashed_tf(docs: DataFrame, text_col: str = "text", num_features: int = 100_000,
+              stop_words: Sequence[str] = DEFAULT_STOP_WORDS) -> DataFrame:
+    """Adds ``words`` and ``tf_vec``, the counts of the words' hash buckets (W36);
+    a null text has no words."""
+    w = docs.withColumn("words", F.coalesce(tokenize(text_col, stop_words), F.array().cast("array<string>")))
+    return HashingTF(inputCol="words", outputCol="tf_vec", numFeatures=num_features).transform(w)
+
+
 def tfidf(docs: DataFrame, text_col: str = "text", num_features: int = 100_000,
           stop_words: Sequence[str] = DEFAULT_STOP_WORDS):
     """Hashed term frequencies and IDF weights (W36): adds ``words``,
     ``tf_vec`` and ``tf_idf_vec``; returns (DataFrame, IDF model)."""
-    w = docs.withColumn("words", tokenize(text_col, stop_words))
-    tf = HashingTF(inputCol="words", outputCol="tf_vec", numFeatures=num_features).transform(w)
+    tf = hashed_tf(docs, text_col, num_features, stop_words)
     model = IDF(inputCol="tf_vec", outputCol="tf_idf_vec").fit(tf)
     return model.transform(tf), model
 
@@ -237,6 +244,26 @@ def fit_text_nb(train: DataFrame, label_col: str = "label", smoothing: float = 1
                       modelType="multinomial").fit(train)
 
 
+def fit_text_model(docs: DataFrame, train: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                   label_col: str = "label", num_features: int = 100_000, smoothing: float = 1.0) -> PipelineModel:
+    """The whole chain of W36: hashed term counts, inverse document frequencies
+    over all ``docs``, naive Bayes on the labelled ``train`` (id, label) – saved
+    to ``path`` as one model and read back. Labels are 0, 1, 2, ...; the model
+    holds a number per class and bucket, whatever the corpus."""
+    weighted, idf = tfidf(docs.select(id_col, text_col), text_col, num_features)
+    t = train.select(F.col(id_col).alias("_t"), F.col(label_col).cast("double").alias(label_col))
+    nb = fit_text_nb(weighted.join(t, F.col(id_col) == F.col("_t")).select("tf_idf_vec", label_col), label_col, smoothing)
+    chain = PipelineModel([HashingTF(inputCol="words", outputCol="tf_vec", numFeatures=num_features), idf, nb])
+    chain.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
+def classify_texts(model: PipelineModel, docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The ``keep`` columns with the prediction of a model of :func:`fit_text_model`."""
+    words = docs.withColumn("words", F.coalesce(tokenize(text_col), F.array().cast("array<string>")))
+    return model.transform(words).select(*keep, "prediction")
+
+
 # --- W37 profile model --------------------------------------------------------
 
 

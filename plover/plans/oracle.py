@@ -567,13 +567,15 @@ Q["w32_update_bitmap_text"] = Q["w32_update_bitmap"]
 
 
 
-def _text_nb(term: str) -> str:
+def _text_nb(term: str, vocabulary: str = "count(DISTINCT term)") -> str:
     """Naive Bayes over ``term`` of each token, trained on the md5 split."""
     return f"""WITH lab AS (SELECT doc_id, CAST(quality AS DOUBLE) AS label FROM labels),
 docs AS (SELECT doc_id, text FROM documents),
 toks AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM docs),
-tf AS (SELECT doc_id, {term} AS term, count(*) AS tf FROM toks WHERE length(term) >= 2 AND term NOT IN ({_STOP})
-       GROUP BY ALL),
+counted AS (SELECT doc_id, term AS word, count(*) AS n FROM toks WHERE length(term) >= 2 AND term NOT IN ({_STOP})
+            GROUP BY ALL),
+words AS (SELECT word, {term} AS term FROM (SELECT DISTINCT word, word AS term FROM counted) t),
+tf AS (SELECT doc_id, term, sum(n) AS tf FROM counted JOIN words USING (word) GROUP BY ALL),
 dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 m AS (SELECT count(*) AS m FROM docs),
 w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((m.m + 1.0) / (dfs.df + 1)) AS w
@@ -583,7 +585,7 @@ train AS (SELECT * FROM lab
 cls AS (SELECT label AS c, count(*) AS n FROM train GROUP BY label),
 s AS (SELECT t.label AS c, w.term, sum(w.w) AS s FROM w JOIN train t ON w.doc_id = t.doc_id GROUP BY t.label, w.term),
 tc AS (SELECT c, sum(s) AS t FROM s GROUP BY c),
-v AS (SELECT count(DISTINCT term) AS v FROM w),
+v AS (SELECT {vocabulary} AS v FROM w),
 k AS (SELECT count(*) AS k, sum(n) AS total FROM cls),
 theta_den AS (SELECT cls.c, ln(COALESCE(tc.t, 0) + v.v * 1.0) AS den,
                      ln(cls.n + 1.0) - ln(k.total + k.k * 1.0) AS pi
@@ -597,6 +599,39 @@ best AS (SELECT doc_id, c AS prediction FROM (
 SELECT docs.doc_id, lab.label, best.prediction FROM docs LEFT JOIN lab USING (doc_id) LEFT JOIN best USING (doc_id)"""
 
 
+def _murmur3(text: str) -> str:
+    """32-bit MurmurHash3 (public algorithm, seed 42) of the UTF-8 bytes, as a signed number."""
+    def let(value, body):  # binds x to a value
+        return f"[{body} FOR x IN [{value}]][1]"
+
+    def mul(a, c):
+        return f"((({a})::HUGEINT * {c}) % 4294967296)::BIGINT"
+
+    def rotl(bits):
+        return f"((x << {bits}) | (x >> {32 - bits})) & 4294967295"
+
+    def word(at, n):
+        return " | ".join(f"(b[{at} + {i + 1}] << {8 * i})" for i in range(n))
+
+    def scramble(k):
+        return let(mul(k, 3432918353), mul(rotl(15), 461845907))
+    data = f"[('0x' || substr(h, 2 * i + 1, 2))::BIGINT FOR i IN range(length(h) // 2)]"
+    rounds = (f"list_reduce(list_concat([42::BIGINT], [{scramble(word('4 * i', 4))} FOR i IN range(len(b) // 4)]), "
+              f"lambda s, k: {let('xor(s, k)', mul(rotl(13), 5) + ' + 3864292196')} % 4294967296)")
+    tail = " ".join(f"WHEN {n} THEN {scramble(word('len(b) // 4 * 4', n))}" for n in (1, 2, 3))
+    mixed = f"xor(xor({rounds}, CASE len(b) % 4 {tail} ELSE 0 END), len(b))"
+    for c, shift in ((None, 16), (2246822507, 13), (3266489909, 16)):
+        mixed = let(mixed if c is None else mul(mixed, c), f"xor(x, x >> {shift})")
+    signed = let(mixed, "CASE WHEN x >= 2147483648 THEN x - 4294967296 ELSE x END")
+    return f"[[{signed} FOR b IN [{data}]][1] FOR h IN [hex(encode({text}))]][1]"
+
+
+Q["w36_text_pipeline_predict"] = _text_nb(
+    f"(({_murmur3('term')}) % 100000 + 100000) % 100000", "max(100000)").replace(
+    "SELECT docs.doc_id, lab.label, best.prediction FROM docs LEFT JOIN lab USING (doc_id) LEFT JOIN best USING (doc_id)",
+    """SELECT docs.doc_id, coalesce(best.prediction, (SELECT c FROM theta_den ORDER BY pi DESC, c LIMIT 1)) AS prediction
+FROM docs LEFT JOIN best USING (doc_id)""")
+
 Q["w36_text_nb_terms"] = _text_nb("term")
 Q["w36_text_nb_predict"] = _text_nb("CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % 100000")
 

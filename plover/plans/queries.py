@@ -538,6 +538,17 @@ def q_text_nb_terms(spark, sf_dir):
     return _text_nb(spark, sf_dir, None)
 
 
+@register("w36_text_pipeline_predict")
+def q_text_pipeline(spark, sf_dir):
+    """The library's chain (hashed counts, IDF, naive Bayes), fitted on the md5
+    split, saved, read back and applied to all documents."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    train, _ = M.split_by_key(lab, "doc_id")
+    docs = _docs(spark, sf_dir)
+    model = M.fit_text_model(docs, train, scratch_path(spark, "text-model"), num_features=TERM_BUCKETS)
+    return M.classify_texts(model, docs)
+
+
 # Fixed coding of the market segment (stands in for the profile's job).
 SEGMENT_CODE = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
 PROFILE_FEATURES = ["job", "income", "age", "sex"]

@@ -133,3 +133,19 @@ def test_knn_keeps_every_query_and_any_type(spark):
 def test_unknown_category_has_a_code(spark):
     df = spark.createDataFrame([("a",), ("z",), (None,)], "c string").select(M.code("c", {"a": 0, "b": 1}).alias("n"))
     assert [r["n"] for r in df.collect()] == [0.0, 2.0, 2.0]
+
+
+def test_text_model_learns_saves_and_takes_any_text(spark, tmp_path):
+    good, poor = "good great fine nice", "bad poor awful cheap"
+    docs = spark.createDataFrame([(i, " ".join((good if i % 2 else poor).split()[i % 3:] + ["common", f"w{i}"])) for i in range(20)]
+                                 + [(20, None), (21, ""), (22, "great great"), (23, "awful " * 50_000)], "doc_id long, text string")
+    train = spark.createDataFrame([(i, float(i % 2)) for i in range(20)] + [(99, 1.0)], "doc_id long, label double")
+    model = M.fit_text_model(docs, train, str(tmp_path / "m"), num_features=1000)
+    again = type(model).load(str(tmp_path / "m"))
+    got = dict(rows(M.classify_texts(again, docs)))
+    assert got == dict(rows(M.classify_texts(model, docs))) and len(got) == 24
+    assert all(got[i] == i % 2 for i in range(20)) and got[22] == 1 and got[23] == 0
+    # one IDF number per bucket: ln((documents + 1) / (documents with it + 1))
+    index = M.hashed_tf(docs.filter("doc_id = 22"), num_features=1000).first()["tf_vec"].indices[0]
+    n = sum(index in r["tf_vec"].indices for r in M.hashed_tf(docs, num_features=1000).collect())
+    assert abs(model.stages[1].idf[int(index)] - math.log(25 / (n + 1))) < 1e-12
