@@ -3,7 +3,10 @@ IP-range fallback (W05)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import heapq
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plover.functions.columns import geohash, ip_to_long
@@ -50,24 +53,72 @@ def parse_ip_regions(lines: DataFrame, col: str = "value") -> DataFrame:
                         F.size(reg).alias("_nf")).filter(F.col("_nf") == 5).drop("_nf")
 
 
+_PIECES = "_blk long, _s long, _e long, _ip_p string, _ip_c string"
+
+
+def _sweep(batches):
+    """Pieces of the blocks' ranges, which come sorted by block and start. A heap
+    holds the open ranges, the best one on top; it answers until it ends or the
+    next range starts. Each range enters and leaves the heap once."""
+    out, heap, blk, at, last = [], [], None, 0, None
+
+    def until(stop):
+        """Pieces of the open ranges from ``at`` up to ``stop`` (None: to their ends)."""
+        nonlocal at, last
+        while heap and (stop is None or at < stop):
+            _, end, names = heap[0]
+            if end < at:
+                heapq.heappop(heap)
+                continue
+            end = end if stop is None else min(end, stop - 1)
+            if last is not None and last[0] == blk and last[2] == at - 1 and last[3:] == names:
+                last = (*last[:2], end, *names)
+            else:
+                if last is not None:
+                    out.append(last)
+                last = (blk, at, end, *names)
+            at = end + 1
+
+    def batch():
+        cols = [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 3 + [pa.string()] * 2)]
+        out.clear()
+        return pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _PIECES.split(", ")])
+
+    for b in batches:
+        for k, a, z, w, start, *names in zip(*[c.to_pylist() for c in b.columns]):
+            if k != blk:
+                until(None)
+                blk, at = k, a
+            until(a)
+            at = max(at, a)
+            rank = (w, -start, *[x for n in names for x in (n is not None, n or "")])  # a null name is the smallest
+            heapq.heappush(heap, (rank, z, tuple(names)))
+        if len(out) >= 8192:
+            yield batch()
+    until(None)
+    if last is not None:
+        out.append(last)
+    if out:
+        yield batch()
+
+
 def disjoint_ranges(ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
     """_blk, _s, _e, _ip_p, _ip_c: the ranges cut at block borders and at each
     other's ends, each piece with the answer of its narrowest range (then the
-    latest start, then the smallest names). Work is per block of
-    2^bucket_bits addresses."""
+    latest start, then the smallest names); neighbours with one answer are one
+    piece. A block of 2^bucket_bits addresses is swept once in the order of the
+    starts, so the work grows with its ranges, however they overlap."""
     r = ranges.filter((F.col("country") != "0") & (F.col("ip_start") <= F.col("ip_end"))).select(
-        F.struct((F.col("ip_end") - F.col("ip_start")).alias("w"), (-F.col("ip_start")).alias("s"), "province", "city")
-        .alias("_best"), F.col("ip_start").alias("_a"), F.col("ip_end").alias("_z"))
+        (F.col("ip_end") - F.col("ip_start")).alias("_w"), F.col("ip_start").alias("_from"), "province", "city",
+        F.col("ip_start").alias("_a"), F.col("ip_end").alias("_z"))
     r = r.withColumn("_blk", F.explode(F.sequence(F.shiftright("_a", bucket_bits), F.shiftright("_z", bucket_bits))))
     first = F.shiftleft("_blk", bucket_bits)
-    r = r.select("_blk", "_best", F.greatest("_a", first).alias("_a"),
-                 F.least("_z", first + F.lit((1 << bucket_bits) - 1)).alias("_z"))
-    ends = r.select("_blk", F.explode(F.array("_a", F.col("_z") + 1)).alias("_s")).distinct()
-    piece = (ends.withColumn("_e", F.lead("_s").over(Window.partitionBy("_blk").orderBy("_s")) - 1)
-             .filter(F.col("_e").isNotNull()))
-    c = piece.join(r, "_blk").filter((F.col("_a") <= F.col("_s")) & (F.col("_z") >= F.col("_e")))
-    return (c.groupBy("_blk", "_s", "_e").agg(F.min("_best").alias("_b"))
-            .select("_blk", "_s", "_e", F.col("_b.province").alias("_ip_p"), F.col("_b.city").alias("_ip_c")))
+    r = r.select("_blk", F.greatest("_a", first).alias("_a"), F.least("_z", first + F.lit((1 << bucket_bits) - 1)).alias("_z"),
+                 "_w", "_from", "province", "city")
+    # equal spans of a block keep their best range, before the shuffle
+    r = r.groupBy("_blk", "_a", "_z").agg(F.min(F.struct("_w", (-F.col("_from")).alias("s"), "province", "city")).alias("b"))
+    r = r.select("_blk", "_a", "_z", F.col("b._w").alias("_w"), (-F.col("b.s")).alias("_from"), "b.province", "b.city")
+    return r.repartition("_blk").sortWithinPartitions("_blk", "_a").mapInArrow(_sweep, _PIECES)
 
 
 def ip_region_enrich(log: DataFrame, ip_ranges: DataFrame, bucket_bits: int = 16,

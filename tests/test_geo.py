@@ -38,3 +38,38 @@ def test_overlapping_ranges_keep_one_row_per_event(spark):
                                    "ip_start long, ip_end long, country string, province string, city string")
     got = {r["id"]: (r["province"], r["city"]) for r in GEO.ip_region_enrich(log, ranges).collect()}
     assert got == {1: ("narrow", "n"), 2: ("wide", "w"), 3: ("P", "C"), 4: (None, None), 5: ("long", "l")}
+
+
+def test_swept_pieces_match_brute_force(spark):
+    import random
+    rnd = random.Random(9)
+    for bits, top in ((16, 1 << 18), (4, 200), (6, 1000)):
+        data = []
+        for i in range(150):
+            a = rnd.randrange(top)
+            z = a + int(rnd.choice((0, 3, 20, top / 3)) * rnd.random())
+            data.append((a, z, rnd.choice(("CN", "CN", "0")), "x", rnd.choice(("p", "q", None)), rnd.choice(("c", "d", None)), "i"))
+        data += data[:20] + [(5, 4, "CN", "x", "p", "c", "i")]
+        df = spark.createDataFrame(data, "ip_start long, ip_end long, country string, area string, province string, city string, isp string")
+        pieces = GEO.disjoint_ranges(df, bits).collect()
+        taken = sorted((r["_s"], r["_e"]) for r in pieces)
+        assert all(a[1] < b[0] for a, b in zip(taken, taken[1:]))
+        assert all(r["_s"] >> bits == r["_e"] >> bits == r["_blk"] for r in pieces)
+
+        def answer(ip):
+            hits = [(z - a, -a, (p is not None, p or ""), (c is not None, c or ""), p, c) for a, z, k, _, p, c, _ in data
+                    if k != "0" and a <= ip <= z]
+            return min(hits)[4:] if hits else None
+        for ip in {rnd.randrange(top) for _ in range(300)} | {e for a, z, *_ in data for e in (a - 1, a, z, z + 1) if e >= 0}:
+            got = [(r["_ip_p"], r["_ip_c"]) for r in pieces if r["_s"] <= ip <= r["_e"]]
+            assert got == ([] if answer(ip) is None else [answer(ip)]), ip
+
+
+def test_a_block_of_nested_ranges_costs_its_ranges(spark):
+    import time
+    n = 30_000
+    df = spark.range(n).selectExpr("id as ip_start", f"{2 * n} - id as ip_end", "'CN' as country", "'a' as area",
+                                   "concat('p', id) as province", "'c' as city", "'i' as isp")
+    t0 = time.time()
+    pieces = GEO.disjoint_ranges(df)
+    assert pieces.count() >= 2 * n - 1 and time.time() - t0 < 30
