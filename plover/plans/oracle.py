@@ -511,6 +511,38 @@ Q["w35_minmax_scale"] = "WITH " + _CHURN + "\nSELECT c_custkey, " + ", ".join(
     f"ELSE ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END, 6) AS {c}"
     for c in ["n_orders", "total_price", "avg_price", "max_price", "n_urgent", "n_open"]) + " FROM churn"
 
+_CHURN_FEATURES = ["n_orders", "total_price", "avg_price", "max_price", "n_urgent", "n_open"]
+
+
+def _logistic(features: list[str], steps: int = 12) -> str:
+    """CTEs that end in ``fit`` (one row, w: weights and intercept): logistic
+    regression of ``train`` (x: list, y) by Newton steps, each solved by
+    Gauss-Jordan elimination."""
+    n = len(features) + 1
+    out = [f"fit0 AS (SELECT [{', '.join(['0.0::DOUBLE'] * n)}] AS w)"]
+    for k in range(steps):
+        rows = ", ".join("[" + ", ".join([f"sum(p * (1 - p) * x[{i}] * x[{j}])" for j in range(1, n + 1)]
+                                         + [f"sum((y - p) * x[{i}])"]) + "]" for i in range(1, n + 1))
+        out.append(f"s{k}_0 AS (SELECT any_value(w) AS w, [{rows}] AS a FROM "
+                   f"(SELECT w, x, y, 1 / (1 + exp(-list_inner_product(w, x))) AS p FROM train CROSS JOIN fit{k}) t)")
+        for c in range(1, n + 1):
+            out.append(f"s{k}_{c} AS (SELECT w, [CASE WHEN i = {c} THEN a[i] ELSE [a[i][j] - a[i][{c}] / a[{c}][{c}] * a[{c}][j] "
+                       f"FOR j IN range(1, {n + 2})] END FOR i IN range(1, {n + 1})] AS a FROM s{k}_{c - 1})")
+        out.append(f"fit{k + 1} AS MATERIALIZED (SELECT [w[i] + a[i][{n + 1}] / a[i][i] FOR i IN range(1, {n + 1})] AS w FROM s{k}_{n})")
+    return ",\n".join([*out, f"fit AS (SELECT w FROM fit{steps})"])
+
+
+_SCALED = ", ".join(f"CASE WHEN b.hi_{c} = b.lo_{c} THEN 0.5 ELSE ({c} - b.lo_{c}) / (b.hi_{c} - b.lo_{c}) END" for c in _CHURN_FEATURES)
+Q["w35_churn_predict"] = "WITH " + _CHURN + f""",
+part AS (SELECT *, CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8)) AS BIGINT) % 1000 >= 200 AS used,
+                CASE WHEN c_acctbal < 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM churn JOIN customer USING (c_custkey)),
+b AS (SELECT {', '.join(f'min({c}) AS lo_{c}, max({c}) AS hi_{c}' for c in _CHURN_FEATURES)} FROM part WHERE used),
+scaled AS MATERIALIZED (SELECT c_custkey, y, used, [{_SCALED}, 1.0]::DOUBLE[] AS x FROM part CROSS JOIN b),
+train AS MATERIALIZED (SELECT x, y FROM scaled WHERE used),
+{_logistic(_CHURN_FEATURES)}
+SELECT c_custkey, y AS label, CASE WHEN list_inner_product(w, x) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM scaled CROSS JOIN fit"""
+
 _STOP = "'哪里'"
 
 Q["w36_tfidf_terms"] = f"""WITH toks AS (

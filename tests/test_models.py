@@ -149,3 +149,45 @@ def test_text_model_learns_saves_and_takes_any_text(spark, tmp_path):
     index = M.hashed_tf(docs.filter("doc_id = 22"), num_features=1000).first()["tf_vec"].indices[0]
     n = sum(index in r["tf_vec"].indices for r in M.hashed_tf(docs, num_features=1000).collect())
     assert abs(model.stages[1].idf[int(index)] - math.log(25 / (n + 1))) < 1e-12
+
+
+# The churn fixture, label, gid and 12 features; the last four rows have no label.
+CHURN = """0 1 6 30 3 10 0 1 10 15 1 2 1 1
+0 2 7 31 4 10 1 2 11 16 2 3 1 1
+0 3 8 29 6 11 2 2 12 17 1 1 1 2
+0 4 7 27 6 13 1 2 13 18 2 3 2 3
+0 5 8 26 7 10 2 3 14 19 3 4 3 4
+0 6 6 30 3 9 0 1 10 15 1 2 1 1
+0 7 7 32 2 10 1 2 11 16 2 3 1 1
+0 8 7 26 1 8 2 2 12 17 1 1 1 2
+0 9 9 24 8 12 1 2 13 18 2 3 2 3
+0 10 9 25 9 10 2 3 14 19 3 4 3 4
+1 11 0 1 0 1 0 1 0 0 0 1 14 14
+1 12 0 2 0 2 0 2 0 0 0 2 13 14
+1 13 0 1 0 0 0 0 0 0 0 0 14 14
+1 14 0 3 0 2 0 0 0 0 0 2 14 14
+1 15 0 1 0 2 0 0 0 0 0 0 14 14
+1 16 0 1 0 1 0 1 0 0 0 1 14 14
+1 17 0 2 0 2 0 2 0 0 0 2 13 14
+1 18 0 1 0 1 0 0 0 0 0 0 13 14
+1 19 0 3 0 2 0 0 0 0 0 2 12 13
+1 20 0 1 0 0 0 0 0 0 0 0 10 11
+- 21 0 1 0 0 0 0 0 0 0 0 14 14
+- 22 8 29 3 10 2 2 12 17 1 1 1 2
+- 23 0 2 0 1 1 2 3 1 2 0 8 6
+- 24 4 10 15 2 2 2 1 2 1 1 1 2"""
+CHURN_COLUMNS = [f"f{i}" for i in range(12)]
+
+
+def test_churn_golden(spark):
+    data = [[None if x == "-" else float(x) for x in line.split()] for line in CHURN.split("\n")]
+    df = spark.createDataFrame(data, "label double, gid double, " + ", ".join(f"{c} double" for c in CHURN_COLUMNS))
+    train = df.filter("label is not null")
+    scaled = M.min_max_scale(train, CHURN_COLUMNS).orderBy("gid").first()
+    assert [round(scaled[c], 4) for c in CHURN_COLUMNS[:4]] == [0.6667, 0.9355, 0.3333, 0.7692]
+    model = M.fit_churn(train, CHURN_COLUMNS)
+    got = dict(rows(M.predict(model, df, keep=["gid"])))
+    assert [got[float(i)] for i in range(1, 21)] == [0.0] * 10 + [1.0] * 10
+    assert got[21.0] == 1.0 and got[22.0] == 0.0
+    vector = model.transform(train).orderBy("gid").first()["features"]
+    assert [round(x, 4) for x in vector[:4]] == [0.6667, 0.9355, 0.3333, 0.7692]
