@@ -492,6 +492,21 @@ Q["w34_knn_vote"] = _HELD + """SELECT vec_id, label FROM (
 
 Q["w34_knn_similarity"] = _HELD + """SELECT vec_id, label, neighbour, round(1 / (1 + d), 6) AS score FROM near WHERE rn = 1"""
 
+_LINES = """lines AS (
+  SELECT *, concat_ws(',', c_custkey, c_name, CASE WHEN c_custkey % 11 = 0 THEN 'n/a'
+                      ELSE CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS VARCHAR) END,
+                      CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END,
+                      CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 13 = 0 THEN 'x' END) AS line,
+         c_custkey % 7 = 0 OR c_custkey % 11 = 0 OR c_custkey % 13 = 0 AS broken
+  FROM customer)"""
+Q["b_csv_quarantine"] = "WITH " + _LINES + """
+SELECT CASE WHEN NOT broken THEN c_custkey END AS c_custkey, CASE WHEN NOT broken THEN c_name END AS c_name,
+  CASE WHEN NOT broken THEN c_acctbal END AS c_acctbal, CASE WHEN NOT broken THEN c_mktsegment END AS c_mktsegment,
+  CASE WHEN broken THEN line END AS broken_line FROM lines"""
+Q["b_text_table"] = "WITH " + _LINES + """
+SELECT CAST(len(string_split(line, ',')) AS INTEGER) AS n_fields, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
+FROM lines GROUP BY 1"""
+
 _CHURN = """feats AS (
   SELECT o_custkey AS c_custkey, CAST(count(*) AS DOUBLE) AS n_orders, sum(o_totalprice) AS total_price,
     avg(o_totalprice) AS avg_price, max(o_totalprice) AS max_price,

@@ -7,6 +7,7 @@ matching DuckDB SQL is in ``plover.plans.oracle``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from plover.operators import sessions as S
 from plover.operators import usersets as U
 from plover.plans import etl as ETL
 from plover.session import scratch_path, stored
+from plover.sources import io as IO
 from plover.sources.applog import app_log, detail_log
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -428,6 +430,45 @@ def q_detail_etl(spark, sf_dir):
                        F.col("dy").cast("date").alias("dy"))
 
 
+# --- sources ------------------------------------------------------------------
+
+
+def customer_lines(spark, sf_dir):
+    """Customers as comma-separated lines; one in seven lacks its last field, one
+    in eleven has a balance that is no number, one in thirteen a field too many."""
+    k = F.col("c_custkey")
+    balance = F.when(k % 11 == 0, "n/a").otherwise(F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
+    fields = F.concat_ws(",", k.cast("string"), "c_name", balance)
+    line = (F.when(k % 7 == 0, fields).when(k % 13 == 0, F.concat_ws(",", fields, "c_mktsegment", F.lit("x")))
+            .otherwise(F.concat_ws(",", fields, "c_mktsegment")))
+    return table(spark, sf_dir, "customer").select(line.alias("value"))
+
+
+@register("b_csv_quarantine")
+def q_csv_quarantine(spark, sf_dir):
+    """A load of text lines: rows that fit the schema, and the broken lines."""
+    path = scratch_path(spark, "customer-lines")
+    customer_lines(spark, sf_dir).write.text(path)
+    rows, broken = IO.read_csv_quarantine(spark, path, "c_custkey long, c_name string, c_acctbal double, c_mktsegment string")
+    return rows.withColumn("broken_line", F.lit(None).cast("string")).unionByName(
+        broken.select(F.col("line").alias("broken_line")), allowMissingColumns=True)
+
+
+@register("b_text_table")
+def q_text_table(spark, sf_dir):
+    """Lines written as text, scanned, counted by segment into a catalog table
+    and read from there."""
+    path, name = scratch_path(spark, "lines"), f"plover_lines_{uuid.uuid4().hex[:12]}"
+    customer_lines(spark, sf_dir).write.text(path)
+    parts = F.split("value", ",")
+    counted = IO.read_text(spark, path).groupBy(F.size(parts).alias("n_fields")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).cast("long").alias("n_chars"))
+    IO.save_table(counted, name)
+    out = stored(IO.read_table(spark, name), scratch_path(spark, "lines-back"))
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 # --- profile models -----------------------------------------------------------
 
 

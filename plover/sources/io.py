@@ -21,6 +21,33 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
     return r.csv(path)
 
 
+def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = False,
+                        null_value: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, broken): the lines that fit the schema, and file, line of those that
+    don't – too few or too many fields, or a value of another type. Nothing is
+    lost or guessed: every line but a header or a blank one is in one of the two."""
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    line = "_broken_line"
+    full = T.StructType([*schema.fields, T.StructField(line, T.StringType())])
+    # without pruning a line is judged by all its fields, whatever a query selects
+    r = (spark.read.schema(full).option("header", str(header).lower()).option("mode", "PERMISSIVE")
+         .option("columnNameOfCorruptRecord", line).option("columnPruning", "false").option("enforceSchema", "true"))
+    if null_value is not None:
+        r = r.option("nullValue", null_value)
+    df = r.csv(path).select("*", F.col("_metadata.file_path").alias("file"))
+    # Spark refuses a plan that reads the broken lines alone, so a test that always holds names the fields
+    fields = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in schema.names])) >= 0
+    rows = df.filter(F.col(line).isNull() & fields).select(*schema.names)
+    return rows, df.filter(F.col(line).isNotNull() & fields).select("file", F.col(line).alias("line"))
+
+
+def line_counts(rows_by_file: DataFrame, broken: DataFrame) -> DataFrame:
+    """file, n_lines, n_broken of a load: ``rows_by_file`` has a row (file) per good line."""
+    both = rows_by_file.select("file", F.lit(0).alias("b")).unionByName(broken.select("file", F.lit(1).alias("b")))
+    return both.groupBy("file").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("b").cast("long").alias("n_broken"))
+
+
 def read_csv_named(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
     """Headerless CSV, all strings, columns renamed by position (``toDF``)."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])

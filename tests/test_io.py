@@ -50,3 +50,28 @@ def test_catalog_partitioned_table(spark):
         assert "default" in catalog.databases(spark)
     finally:
         spark.sql("DROP TABLE IF EXISTS plover_test_bitmap")
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,x,s\n1,1.5,a\n2,oops,b\n3,2.5\n4,3.5,d,e\n,,\n5,,\"q,r\"\n")
+    (tmp_path / "b.csv").write_text("k,x,s\nnine,1,a\n")
+    good, bad = io.read_csv_quarantine(spark, str(tmp_path), "k long, x double, s string", header=True)
+    assert {tuple(r) for r in good.collect()} == {(1, 1.5, "a"), (None, None, None), (5, None, "q,r")}
+    assert sorted(r["line"] for r in bad.collect()) == ["2,oops,b", "3,2.5", "4,3.5,d,e", "nine,1,a"]
+    assert good.select("k").count() == 3 and good.filter("k > 1").count() == 1  # judged by all fields
+    by_file = spark.createDataFrame([("x",), ("x",), ("y",)], "file string")
+    broken = spark.createDataFrame([("y", "l"), ("z", "l")], "file string, line string")
+    assert rows(io.line_counts(by_file, broken)) == [("x", 2, 0), ("y", 2, 1), ("z", 1, 1)]
+
+
+def test_text_scan_and_catalog_table(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("one\n\ntwo words\n")
+    assert rows(io.read_text(spark, str(tmp_path / "t.txt"))) == [("",), ("one",), ("two words",)]
+    name = "plover_test_saved"
+    try:
+        df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, p string")
+        io.save_table(df, name, ["p"])
+        io.save_table(df.filter("x = 2"), name, ["p"], mode="append")
+        assert rows(io.read_table(spark, name), "x", "p") == [(1, "a"), (2, "b"), (2, "b")]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
