@@ -29,7 +29,7 @@ k AS (
     [array_to_string(list_slice(string_split(host, '.'), i, 99), '.')
      FOR i IN range(1, greatest(len(string_split(host, '.')), 2))],
     [host || '/' || array_to_string(list_slice([p FOR p IN string_split(path, '/') IF p <> ''], 1, i), '/')
-     FOR i IN range(1, 3) IF len([p FOR p IN string_split(path, '/') IF p <> '']) >= i]))) AS key
+     FOR i IN range(1, len([p FOR p IN string_split(path, '/') IF p <> '']) + 1)]))) AS key
   FROM c WHERE host <> ''),
 -- the state of each list pattern is what its latest entry up to the fetch day says
 state AS (

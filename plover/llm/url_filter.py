@@ -35,6 +35,16 @@ def path_of(url) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
 
 
+def normal_pattern(pattern) -> Column:
+    """A list pattern as captures are looked up: host without scheme, user, port
+    and closing dot in lower case, then its path segments as they are, without
+    empty ones and what follows ? or #. Null if there is no host."""
+    p = F.col(pattern) if isinstance(pattern, str) else pattern
+    url = F.concat(F.lit("x://"), F.regexp_replace(F.trim(p), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//", ""))
+    segments = F.filter(F.split(path_of(url), "/"), lambda s: s != "")
+    return F.when(host_of(url) != "", F.array_join(F.concat(F.array(host_of(url)), segments), "/"))
+
+
 def lookup_keys(url, segments: int) -> Column:
     """Patterns that would match a URL: the host, its parent domains of two
     labels and more, and the host with its leading path segments, at most
@@ -53,8 +63,10 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     entries (pattern, category, action, day). The same pattern may be in many
     categories; each is a list of its own. Of several entries on one day a
     removal wins; a repeated add or a remove without an add changes nothing.
-    Entries with a null pattern, day or action are ignored."""
-    e = (entries.filter("pattern is not null and day is not null and action in ('add', 'remove')")
+    Patterns are compared and returned as ``normal_pattern`` writes them.
+    Entries with a null day or action or a pattern without a host are ignored."""
+    e = entries.select(normal_pattern("pattern").alias("pattern"), "category", "action", "day")
+    e = (e.filter("pattern is not null and day is not null and action in ('add', 'remove')")
          .groupBy("pattern", "category", "day").agg(F.max(F.col("action") == "remove").alias("gone")))
     w = Window.partitionBy("pattern", "category").orderBy("day")
     e = e.withColumn("was", F.lag("gone").over(w)).filter(F.coalesce("was", F.lit(True)) != F.col("gone"))
@@ -74,7 +86,8 @@ def filter_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page
 
     One row per distinct (id, url, fetch day). A null or malformed URL and a
     null fetch day match nothing and are not blocked; an empty list blocks
-    nothing."""
+    nothing. A very long URL has a key per label and listed depth of its path.
+    Further columns of either side are not looked at."""
     c = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                         F.col(fetched_col).cast("date").alias("day")).distinct()
     span = c.agg(F.min("day"), F.max("day")).first()  # two dates

@@ -14,7 +14,7 @@ def keys(url):
     rest = url.split("://", 1)[1].split("?")[0].split("#")[0]
     host, _, path = rest.partition("/")
     labels = host.lower().split(".")
-    parts = [p for p in path.split("/") if p][:2]
+    parts = [p for p in path.split("/") if p]
     return {".".join(labels[i:]) for i in range(max(len(labels) - 1, 1))} | {
         f"{host.lower()}/{'/'.join(parts[:i + 1])}" for i in range(len(parts))}
 
@@ -59,6 +59,20 @@ def test_patterns_of_any_depth(spark):
     assert got == {u: (p, 0 if p is None else 1 + (p == patterns[1])) for u, p in urls.items()}
 
 
+def test_patterns_are_normalised(spark):
+    written = ["Example.com", "http://b.org/A/", "https://user@c.net:8080/x//y?q=1#z", "//d.io./p", "e.com.", " f.com ", "/only/path", "", "ftp://"]
+    e = spark.createDataFrame([(p, "m", "add", day(-1)) for p in written] + [("EXAMPLE.com/", "m", "remove", day(5))],
+                              "pattern string, category string, action string, day date")
+    urls = {"http://example.com/q": "example.com", "http://www.EXAMPLE.com": "example.com", "http://b.org/A/b": "b.org/A",
+            "http://b.org/a": None, "http://c.net/x/y/z": "c.net/x/y", "http://d.io/p": "d.io/p", "http://e.com": "e.com",
+            "http://f.com": "f.com", "http://g.com/only/path": None}
+    c = spark.createDataFrame([(i, u, DAY) for i, u in enumerate(urls)] + [(99, "http://example.com", day(6))],
+                              "page_id long, url string, fetched date")
+    got = {r["url"]: r["pattern"] for r in U.filter_captures(c, e).collect()}
+    assert got == {**urls, "http://example.com": None}  # taken off by another spelling
+    assert U.filter_captures(spark.createDataFrame([(1, "http://a.com/" + "s/" * 20_000, DAY)], c.schema), e).count() == 1
+
+
 def test_empty_tables(spark):
     c = spark.createDataFrame([(1, "http://a.com", DAY)], "page_id long, url string, fetched date")
     e = spark.createDataFrame([("a.com", "m", "add", DAY)], "pattern string, category string, action string, day date")
