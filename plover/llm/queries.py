@@ -119,46 +119,55 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("component").alias("component_id"))
 
 
-BUCKET_ROWS = 256
-MOST_BUCKETS = 10_000  # border ids that the driver holds; beyond, buckets grow and sort with spilling
+RANGE_ROWS = 256  # rows of a range
+MOST_RANGES = 1 << 20  # borders of 16 bytes that tasks get; with more rows, ranges have more of them
+
+
+def _ranges(keys: DataFrame, rows: int):
+    """Ids and text hashes of the first row of each range of about ``rows`` rows
+    of ``keys`` (id, t), in order: two arrays."""
+    import numpy as np
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # in its partition
+    in_order = keys.repartitionByRange("id", "t").sortWithinPartitions("id", "t").withColumn("place", place)
+    first = stage(in_order.filter(F.col("place") % rows == 0).select("id", "t"), "sketch-borders").distinct().toPandas()
+    first = first.sort_values(["id", "t"])
+    return first["id"].to_numpy(np.int64), first["t"].to_numpy(np.int64)
 
 
 def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, text and next_text, that of the row with the next id (of equal ids,
-    the next text hash), after the last one the first. Rows are cut into id
-    ranges by quantiles; each range's first row is listed at the end of the
-    range before as well, so no task sees more than a range."""
-    d = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"),
-                    F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = d.count()
-    buckets = max(1, min(MOST_BUCKETS, -(-n // BUCKET_ROWS)))
-    cuts = [] if buckets == 1 else d.agg(F.percentile_approx(
-        "id", [i / buckets for i in range(1, buckets)], max(10_000, 10 * buckets)).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-
-    @F.pandas_udf("int")
-    def bucket(ids):
+    """id, text and next_text, that of the row with the next id (null ids first;
+    of equal ids, the next text hash), after the last one the first. Rows are
+    cut into ranges of (id, text hash), as many as the rows ask for; each
+    range's first row is listed at the end of the range before as well, so
+    no task sees more than a range. Ids are whole numbers."""
+    lowest = -(1 << 63)
+    d = docs.select(F.col(id_col).alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(lowest)).alias("id"),
+                    text_key(text_col).alias("t"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    ids, hashes = _ranges(d.select("id", "t"), max(RANGE_ROWS, -(-d.count() // MOST_RANGES)))
+
+    @F.pandas_udf("range int, before int")
+    def place(i, t):
+        """The row's range, and the range before if it is the range's first row."""
         import numpy as np
         import pandas as pd
-        return pd.Series(np.searchsorted(np.array(cuts, np.float64), ids.astype("float64").fillna(-np.inf), "right")
-                         .astype("int32"))
-
-    d = d.withColumn("bucket", bucket("id"))
-    # one row per range, at most MOST_BUCKETS
-    firsts = sorted(((r["bucket"], r["m"]) for r in d.groupBy("bucket").agg(F.min(F.struct("id", "t")).alias("m")).collect()),
-                    key=lambda x: x[0])
-    border = [(m["id"], m["t"], firsts[k - 1][0]) for k, (_, m) in enumerate(firsts)]
-    kind = d.schema["id"].dataType.simpleString()
-    # at most MOST_BUCKETS rows of 20 bytes, so they may go to every executor
-    b = docs.sparkSession.createDataFrame(border, f"b_id {kind}, b_t long, before int")
-    d = d.join(F.broadcast(b), d["id"].eqNullSafe(b["b_id"]) & (d["t"] == b["b_t"]), "left")
-    d = d.select("id", "t", "text", F.explode(F.filter(F.array(
-        F.struct(F.lit(False).alias("extra"), F.col("bucket").alias("bucket")),
-        F.struct(F.lit(True).alias("extra"), F.col("before").alias("bucket"))),
-        lambda x: x["bucket"].isNotNull())).alias("x")).select("id", "t", "text", "x.extra", "x.bucket")
-    w = Window.partitionBy("bucket").orderBy("extra", F.col("id").asc_nulls_first(), "t")
+        i, t = i.to_numpy(np.int64), t.to_numpy(np.int64)
+        k = np.searchsorted(ids, i, "right") - 1
+        for r in np.flatnonzero(ids[np.maximum(k, 0)] == i):  # a border has this id: its hash decides
+            lo = np.searchsorted(ids, i[r], "left")
+            k[r] = lo + np.searchsorted(hashes[lo:k[r] + 1], t[r], "right") - 1
+        k = np.maximum(k, 0)
+        first = (ids[k] == i) & (hashes[k] == t)
+        return pd.DataFrame({"range": k.astype(np.int32), "before": pd.Series(
+            np.where(first, (k - 1) % len(ids), -1).astype(np.int32))})
+
+    d = d.withColumn("at", place("id", "t"))
+    d = d.select("own", "id", "t", "text", F.explode(F.filter(F.array(
+        F.struct(F.lit(False).alias("extra"), F.col("at.range").alias("range")),
+        F.struct(F.lit(True).alias("extra"), F.col("at.before").alias("range"))),
+        lambda x: x["range"] >= 0)).alias("x")).select("own", "id", "t", "text", "x.extra", "x.range")
+    w = Window.partitionBy("range").orderBy("extra", "id", "t")
     return (d.withColumn("next_text", F.lead("text").over(w)).filter(~F.col("extra"))
-            .select(F.col("id").alias(id_col), F.col("text").alias(text_col), "next_text"))
+            .select(F.col("own").alias(id_col), F.col("text").alias(text_col), "next_text"))
 
 
 def op5_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,3 +75,26 @@ def test_one_row_and_none(spark, tmp_path):
     for name, rows in (("one", [(5, "a b c d")]), ("none", []), ("ties", [(1, "a"), (1, "b"), (None, "c"), (1, "b")])):
         spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / name / "documents.parquet"))
         assert queries.op5_sketch(spark, str(tmp_path / name)).count() == len(rows)
+
+
+def test_next_texts_over_many_ranges_ties_and_large_ids(spark, monkeypatch):
+    monkeypatch.setattr(queries, "RANGE_ROWS", 3)
+    rnd = random.Random(5)
+    rows = [(rnd.choice((None, 7, 7, 7, (1 << 53) + rnd.randrange(40), rnd.randrange(-50, 50))), rnd.choice("abcdefgh") * rnd.randrange(1, 4))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = queries.with_next_text(df).select("doc_id", "text", "next_text", F.xxhash64("text").alias("t"),
+                                            F.xxhash64("next_text").alias("n")).collect()
+
+    def key(i, t):
+        return (i is not None, i or 0, t)
+    assert sorted(key(r["doc_id"], r["text"]) for r in got) == sorted(key(*r) for r in rows)
+    order = sorted(got, key=lambda r: key(r["doc_id"], r["t"]))
+    texts = [r["text"] for r in order]
+    for part in {key(r["doc_id"], r["t"]) for r in order}:
+        at = [k for k, r in enumerate(order) if key(r["doc_id"], r["t"]) == part]
+        want = sorted(texts[(k + 1) % len(texts)] for k in at)  # equal rows: in any order
+        assert sorted(order[k]["next_text"] for k in at) == want
+    monkeypatch.setattr(queries, "MOST_RANGES", 4)  # longer ranges, the same texts
+    again = queries.with_next_text(df).select("doc_id", "text", "next_text").collect()
+    assert sorted(map(repr, again)) == sorted(repr(r) for r in queries.with_next_text(df).collect())
