@@ -1,27 +1,34 @@
-"""Substring dedup by counting anchored windows, in place of a greedy relative
-Lempel-Ziv parse: a factor here is a block or run of windows that repeats.
+"""Substring dedup by a relative Lempel-Ziv parse of every document.
 
 The corpus is its own reference. Every text is cut into content-defined
 reference blocks: each window of ``window`` words picks the anchor k-gram
 with the smallest hash inside it, and neighbouring windows that pick the
 same anchor form one block, so equal windows lie in blocks of equal anchors
-wherever they stand. The index of the reference is one row per anchor, built
-by a grouped aggregate: how often it occurs and whether all its blocks are
-equal. A document is then factored against the index:
-
-* anchor seen once: no window of the block occurs elsewhere;
-* anchor repeated and all its blocks equal: the whole block is a factor;
-* anchor repeated with different blocks: a factor ends inside the block.
-  Only these factor boundaries are checked word by word, by counting the
-  hashes of their windows over the corpus.
-
-Neighbouring factors overlap by ``window`` - 1 words and merge into the
-longest factors; each is at least ``window`` words long and is a duplicate
-span. No pair of documents is ever formed, every count is aggregated before
-its shuffle, and joins that carry a hot anchor have a stored one-row-per-key
-side, so the hot partition can be split.
-
-Windows are compared by two 64-bit hashes (anchor and window).
+wherever they stand. Every block whose anchor repeats is indexed: by anchor
+and content, with its number of occurrences and the first and last place
+(row, word) where it stands. A document is parsed against the index from
+left to right:
+
+* a block that occurs again is copied from its first place (from the last
+  one, if it is that place itself), and the factor is extended, block by
+  block, as long as the next block's copy goes on at the same distance in the
+  same row: factors are (position, length, reference row, reference position);
+* a block that occurs once, but whose anchor has other blocks, is the border
+  of a factor. Its windows are checked one by one: hashes of the windows of
+  every *different* block of that anchor are counted, each with the number of
+  the block's occurrences, and a window that counts twice or more is a
+  duplicate too, as a factor without a reference;
+* an anchor that stands once has no window that occurs elsewhere.
+
+Factors are at least ``window`` words long; overlapping ones merge into
+duplicate spans. No pair of documents is ever formed. Equal blocks are
+aggregated before their windows are looked at, so a large group of copies costs its
+blocks once; every count is aggregated before its shuffle, and joins that
+carry a hot anchor or block have a stored one-row-per-key side, so the hot
+partition can be split.
+
+Windows and blocks are compared by two 64-bit hashes (anchor and content),
+rows are named by a 64-bit hash of id and text.
 """
 
 from __future__ import annotations
@@ -62,121 +69,151 @@ def _blocks(codes: np.ndarray, rows: np.ndarray, window: int, gram: int):
     return row_of[start[lo]], start[lo], start[hi], grams[pick[lo]], sums
 
 
-def _index_rows(window: int, gram: int):
+def _each_block(batches, window: int, gram: int):
+    """Batch, row, first window start in the row, further windows, anchor and content of its blocks."""
+    for b in batches:
+        raw, offs = text_bytes(b.column("text"))
+        for i, j in row_chunks(offs):
+            part, o = raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
+            s, e, rows = word_spans(part, o)
+            row, first, last, anchor, sums = _blocks(word_codes(part, s, e), rows, window, gram)
+            yield b, row + i, first - rows[row], last - first, anchor, sums.ranges(first, last + window)
+
+
+def _anchor_rows(window: int, gram: int):
     def run(batches):
-        for b in batches:
-            raw, offs = text_bytes(b.column("text"))
-            for i, j in row_chunks(offs):
-                part, o = raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
-                s, e, rows = word_spans(part, o)
-                _, first, last, anchor, sums = _blocks(word_codes(part, s, e), rows, window, gram)
-                yield pa.RecordBatch.from_arrays([as_int64(anchor), as_int64(sums.ranges(first, last + window))],
-                                                 ["a", "b"])
+        for _, _, _, _, anchor, _ in _each_block(batches, window, gram):
+            yield pa.RecordBatch.from_arrays([as_int64(anchor)], ["a"])
     return run
 
 
 def _block_rows(window: int, gram: int):
     def run(batches):
-        for b in batches:
-            raw, offs = text_bytes(b.column("text"))
-            for i, j in row_chunks(offs):
-                part, o = raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
-                s, e, rows = word_spans(part, o)
-                row, first, last, anchor, _ = _blocks(word_codes(part, s, e), rows, window, gram)
-                take = pa.array(row + i)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(take), b.column("t").take(take), as_int64(anchor),
-                     pa.array((first - rows[row]).astype(np.int32)), pa.array((last - first).astype(np.int32))],
-                    ["id", "t", "a", "s", "n"])
+        for b, row, s, n, anchor, content in _each_block(batches, window, gram):
+            yield pa.RecordBatch.from_arrays(
+                [b.column("k").take(pa.array(row)), as_int64(anchor), as_int64(content),
+                 pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32))], ["k", "a", "b", "s", "n"])
     return run
 
 
 def _window_rows(window: int):
-    """Windows of the blocks at factor boundaries: anchor and window hash."""
+    """Windows of the blocks in ``open``: row, anchor, window hash, start, the block's occurrences."""
     def run(batches):
         for b in batches:
             raw, offs = text_bytes(b.column("text"))
             lists = b.column("open")
-            firsts, counts = lists.flatten().field("s").to_numpy(), lists.flatten().field("n").to_numpy()
-            anchors = lists.flatten().field("a").to_numpy()
+            firsts, counts, anchors, times = (lists.flatten().field(c).to_numpy() for c in "snac")
             at = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
             for i, j in row_chunks(offs):
                 part, o = raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
                 s, e, rows = word_spans(part, o)
                 sums = Prefix(word_codes(part, s, e))
-                f, c, a = (x[at[i]:at[j]] for x in (firsts, counts, anchors))
+                f, c, a, m = (x[at[i]:at[j]] for x in (firsts, counts, anchors, times))
                 row = np.repeat(np.arange(j - i), np.diff(at[i:j + 1]))
                 c = c.astype(np.int64) + 1
                 begin = np.repeat(f - (np.cumsum(c) - c), c) + np.arange(c.sum())  # window starts within the text
-                row, a = np.repeat(row, c), np.repeat(a, c)
+                row, a, m = np.repeat(row, c), np.repeat(a, c), np.repeat(m, c)
                 p = begin + rows[row]
-                take = pa.array(row + i)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(take), b.column("t").take(take), pa.array(a, pa.int64()),
-                     as_int64(sums.ranges(p, p + window)), pa.array(begin.astype(np.int32))],
-                    ["id", "t", "a", "w", "s"])
+                    [b.column("k").take(pa.array(row + i)), pa.array(a, pa.int64()), as_int64(sums.ranges(p, p + window)),
+                     pa.array(begin.astype(np.int32)), pa.array(m, pa.int64())], ["k", "a", "w", "s", "c"])
     return run
 
 
-def _same_row(left: DataFrame, right: DataFrame):
-    return left["id"].eqNullSafe(right["id"]) & (left["t"] == right["t"])
+def parse(pieces, window: int) -> tuple[list, list]:
+    """Factors (s, e, ref, ref_s) and merged spans (s, e) of a row from its copied
+    pieces (s, n, ref, ref_s): windows from s to s + n, and the row and word
+    that they are copied from (None: not known)."""
+    factors, spans = [], []
+    for s, n, ref, ref_s in sorted(pieces, key=lambda p: (p[0], -p[1])):
+        e = s + n + window
+        last = factors[-1] if factors else None
+        if (last and s <= last[1] and ref == last[2]
+                and (ref is None or ref_s - s == last[3] - last[0])):
+            last[1] = max(last[1], e)  # the copy goes on
+        else:
+            factors.append([s, e, ref, ref_s])
+        if spans and s <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], e)
+        else:
+            spans.append([s, e])
+    return factors, spans
+
+
+_FACTORS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("ref", pa.int64()), ("ref_s", pa.int32())]))
+_SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+
+
+def _parse_rows(window: int):
+    def run(batches):
+        for b in batches:
+            factors, spans = [], []
+            for pieces in b.column("pieces").to_pylist():
+                f, x = parse([(p["s"], p["n"], p["ref"], p["ref_s"]) for p in pieces], window)
+                factors.append([dict(zip(("s", "e", "ref", "ref_s"), y)) for y in f])
+                spans.append([dict(zip("se", y)) for y in x])
+            yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(factors, _FACTORS), pa.array(spans, _SPANS)],
+                                             ["k", "factors", "spans"])
+    return run
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"), F.col(text_col).alias("text"))
+    """id, t (text hash), k (row hash), text."""
+    d = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"), F.col(text_col).alias("text"))
+    return d.select("id", "t", F.xxhash64(F.col("id").isNull(), "id", "t").alias("k"), "text")
+
+
+def _parsed(d: DataFrame, window: int, gram: int) -> DataFrame:
+    """k, factors, spans of the rows that have any."""
+    if not 1 <= gram < window:
+        raise ValueError("the anchor must be shorter than the window")
+    anchors = d.select("text").transform(map_batches, _anchor_rows(window, gram), "a long").groupBy("a").count()
+    anchors = stage(anchors.filter("count > 1").select("a"), "rlz-anchors")
+    blocks = d.select("k", "text").transform(map_batches, _block_rows(window, gram), "k long, a long, b long, s int, n int")
+    blocks = stage(blocks.join(anchors, "a", "left_semi"), "rlz-blocks")
+    place = F.struct("k", "s")
+    index = stage(blocks.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"),
+                                               F.min(place).alias("first"), F.max(place).alias("last")), "rlz-index")
+    known = index.filter("c > 1").select(F.col("a").alias("ia"), F.col("b").alias("ib"), "first", "last")
+    here = F.col("first.k") == F.col("k")
+    source = F.when(here & (F.col("first.s") == F.col("s")), F.col("last")).otherwise(F.col("first"))
+    copied = (blocks.join(known, (F.col("a") == F.col("ia")) & (F.col("b") == F.col("ib")))
+              .withColumn("from", source).select("k", "s", "n", F.col("from.k").alias("ref"), F.col("from.s").alias("ref_s")))
+    # factor borders: anchors with several different blocks; one place of each block is enough
+    several = stage(index.groupBy("a").count().filter("count > 1").select("a"), "rlz-borders")
+    ends = index.join(several, "a", "left_semi").select(
+        F.col("first.k").alias("o"), F.struct(F.col("first.s").alias("s"), "n", "a", "c").alias("x"))
+    ends = stage(ends.groupBy("o").agg(F.collect_list("x").alias("open")), "rlz-ends")
+    windows = (d.select("k", "text").join(ends, F.col("k") == F.col("o")).select("k", "text", "open")
+               .transform(map_batches, _window_rows(window), "k long, a long, w long, s int, c long"))
+    windows = stage(windows, "rlz-windows")
+    twice = stage(windows.groupBy("a", "w").agg(F.sum("c").alias("n")).filter("n > 1").select("a", "w"), "rlz-repeated")
+    checked = windows.filter("c = 1").join(twice, ["a", "w"]).select(
+        "k", "s", F.lit(0).alias("n"), F.lit(None).cast("long").alias("ref"), F.lit(None).cast("int").alias("ref_s"))
+    pieces = copied.unionByName(checked).groupBy("k").agg(F.collect_list(F.struct("s", "n", "ref", "ref_s")).alias("pieces"))
+    return pieces.transform(map_batches, _parse_rows(window),
+                            "k long, factors array<struct<s:int,e:int,ref:bigint,ref_s:int>>, spans array<struct<s:int,e:int>>")
 
 
 def duplicate_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
                     gram: int = GRAM) -> DataFrame:
     """One row per document that has duplicate spans: id, t (64-bit hash of
-    the text, so a repeated id with another text is another document), spans
-    array<struct<s int, e int>>: first and one-past-last word, ascending,
-    apart from each other.
+    the text, so a repeated id with another text is another document), k (hash
+    of both), spans array<struct<s int, e int>>: first and one-past-last word,
+    ascending, apart from each other, and factors array<struct<s, e, ref, ref_s>>:
+    words s to e are copied from word ref_s on of the row whose k is ref (null:
+    found by the check at a border).
 
     A span is covered by windows of ``window`` words that start at least
     twice in the corpus. Null and empty texts, and texts shorter than the
     window, have none. Two rows with the same id and text are two occurrences
     of all their windows (both rows get the same spans). A null id is an id
-    like any other."""
-    if not 1 <= gram < window:
-        raise ValueError("the anchor must be shorter than the window")
+    like any other. Very long texts are parsed whole; a row's blocks come
+    together in one row of memory that grows with the text."""
     d = _keyed(docs, id_col, text_col)
-    index = (d.select("text").transform(map_batches, _index_rows(window, gram), "a long, b long")
-             .groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("lo"), F.max("b").alias("hi"))
-             .filter("n > 1").select("a", (F.col("lo") != F.col("hi")).alias("open")))
-    index = stage(index, "rlz-index")
-    kind = d.schema["id"].dataType.simpleString()
-    blocks = d.transform(map_batches, _block_rows(window, gram), f"id {kind}, t long, a long, s int, n int")
-    hit = (blocks.join(index, "a").groupBy("id", "t")
-           .agg(F.array_sort(F.collect_set(F.when(~F.col("open"), F.struct("s", "n")))).alias("whole"),
-                F.array_sort(F.collect_set(F.when(F.col("open"), F.struct("s", "n", "a")))).alias("open")))
-    hit = stage(hit, "rlz-factors")
-    ends = hit.filter(F.size("open") > 0).select("id", "t", "open")
-    windows = (d.join(ends, _same_row(d, ends)).select(d["id"], d["t"], "text", "open")
-               .transform(map_batches, _window_rows(window), f"id {kind}, t long, a long, w long, s int"))
-    windows = stage(windows, "rlz-windows")
-    twice = stage(windows.groupBy("a", "w").count().filter("count > 1").select("a", "w"), "rlz-repeated")
-    found = (windows.join(twice, ["a", "w"]).groupBy("id", "t")
-             .agg(F.transform(F.array_sort(F.collect_set("s")),
-                              lambda s: F.struct(s.alias("s"), F.lit(0).alias("n"))).alias("at")))
-    return _merge(hit.select("id", "t", F.col("whole").alias("at")).unionByName(found), window)
-
-
-def _merge(parts: DataFrame, window: int) -> DataFrame:
-    """Window starts (first, further ones) to merged word spans."""
-    every = parts.groupBy("id", "t").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
-    spans = F.aggregate(
-        "at", F.struct(F.expr("cast(array() as array<struct<s:int,e:int>>)").alias("done"),
-                       F.lit(-1).alias("s"), F.lit(-1).alias("e")),
-        lambda acc, x: F.when(x["s"] <= acc["e"], F.struct(
-            acc["done"].alias("done"), acc["s"].alias("s"),
-            F.greatest(acc["e"], x["s"] + x["n"] + window).alias("e")))
-        .otherwise(F.struct(F.when(acc["e"] > 0, F.concat(acc["done"], F.array(F.struct(
-            acc["s"].alias("s"), acc["e"].alias("e"))))).otherwise(acc["done"]).alias("done"),
-            x["s"].alias("s"), (x["s"] + x["n"] + window).alias("e"))),
-        lambda acc: F.when(acc["e"] > 0, F.concat(acc["done"], F.array(F.struct(
-            acc["s"].alias("s"), acc["e"].alias("e"))))).otherwise(acc["done"]))
-    return every.select("id", "t", spans.alias("spans")).filter(F.size("spans") > 0)
+    found = stage(_parsed(d, window, gram), "rlz-spans")
+    rows = d.select("id", "t", "k").distinct()
+    return rows.join(found, "k").select("id", "t", "k", "spans", "factors")
 
 
 def _cut(batches):
@@ -214,8 +251,8 @@ def remove_duplicate_spans(docs: DataFrame, window: int = WINDOW, id_col: str =
     and kept_text, the words left joined by one space. See
     ``duplicate_spans`` for what is removed; null texts have no words."""
     d = _keyed(docs, id_col, text_col)
-    found = stage(duplicate_spans(docs, window, id_col, text_col), "rlz-spans")
-    both = d.join(found, _same_row(d, found), "left").select(d["id"], d["text"], found["spans"])
+    found = stage(_parsed(d, window, GRAM).select(F.col("k").alias("fk"), "spans"), "rlz-spans")
+    both = d.join(found, F.col("k") == F.col("fk"), "left").select("id", "text", "spans")
     kind = d.schema["id"].dataType.simpleString()
     out = both.transform(map_batches, _cut, f"id {kind}, spans array<struct<s:int,e:int>>, n_words long, n_removed long, "
                                 "kept_text string")

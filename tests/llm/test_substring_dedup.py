@@ -58,3 +58,33 @@ def test_query_matches_brute_force(spark):
     got = {r["doc_id"]: tuple(r)[1:] for r in queries.op3_substring_dedup(spark, sf).select(
         "doc_id", "n_words", "n_removed", "kept_sha256").collect()}
     assert got == {r["doc_id"]: w for r, w in zip(docs, want)}
+
+
+def test_factors_spell_the_text(spark):
+    rnd = random.Random(7)
+    vocabulary = [f"w{k}" for k in range(400)]
+    passages = [rnd.choices(vocabulary, k=rnd.randrange(30, 200)) for _ in range(6)]
+    texts = []
+    for _ in range(40):
+        w = []
+        for _ in range(rnd.randrange(1, 4)):
+            p = rnd.choice(passages)
+            w += rnd.choices(vocabulary, k=rnd.randrange(60)) + p[rnd.randrange(10):len(p) - rnd.randrange(10)]
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = duplicate_spans(docs, 12, gram=4).collect()
+    words = {r["k"]: brute.WORD.findall(texts[r["id"]]) for r in rows}
+    copied = longest = 0
+    for r in rows:
+        own = words[r["k"]]
+        covered = set()
+        for f in r["factors"]:
+            assert f["e"] - f["s"] >= 12
+            covered |= set(range(f["s"], f["e"]))
+            if f["ref"] is not None:
+                assert (f["ref"], f["ref_s"]) != (r["k"], f["s"])  # copied from another place
+                assert words[f["ref"]][f["ref_s"]:f["ref_s"] + f["e"] - f["s"]] == own[f["s"]:f["e"]]
+                copied += f["e"] - f["s"]
+                longest = max(longest, f["e"] - f["s"])
+        assert covered == {i for x in r["spans"] for i in range(x["s"], x["e"])}
+    assert longest > 100 and copied > sum(map(len, words.values())) / 2
