@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plover.operators.joins import rekeyed
+from plover.session import scratch_path, stored
 
 
 # --- W34 nearest neighbours --------------------------------------------------
@@ -116,6 +117,123 @@ def knn_classify(queries: DataFrame, labelled: DataFrame, k: int = 1, metric: st
         .select(id_col, *out.columns[1:])
 
 
+def _pivot_distances(pivots):
+    """Distances of an array of vectors to the pivots; rows that are no finite
+    vector of the pivots' width are NaN."""
+    import numpy as np
+
+    def distances(vectors):
+        width = pivots.shape[1]
+        x = np.array([v if v is not None and len(v) == width else [np.nan] * width for v in vectors], np.float64).reshape(-1, width)
+        x[~np.isfinite(x).all(1)] = np.nan
+        # by differences, not by a product: bounds must not suffer from cancellation
+        return np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in pivots], 1) if len(pivots) else np.zeros((len(x), 0))
+    return distances
+
+
+def knn_pruned(queries: DataFrame, labelled: DataFrame, k: int = 1, id_col: str = "id", label_col: str = "label",
+               features: str = "features", n_pivots: int = 64, tile_rows: int = 4096, block_rows: int = 4096,
+               exclude_self: bool = False, counted: dict | None = None) -> DataFrame:
+    """W34's exact nearest neighbours with tiles left out by the triangle
+    inequality: query id, neighbour, label, score (squared distance), rank (from 1).
+
+    ``n_pivots`` labelled rows (those of smallest hash) are pivots; every labelled
+    row is in the cell of its nearest one, cut into tiles. A cell knows its
+    radius and the distances of its first k + 1 rows. A query's distances to the
+    pivots then bound its k-th neighbour from above (a pivot's distance plus
+    that of the pivot's k-th row) and every row of a cell from below (a pivot's
+    distance less the radius); cells that cannot hold a neighbour are never
+    paired with it. Pairs of pieces are computed as in :func:`knn_classify`'s
+    blocks. Ties go to the smaller neighbour id. Queries and labelled rows
+    without a finite vector of the pivots' width have no neighbours. ``counted``, if
+    given, receives the (query, cell) pairs listed and possible.
+    """
+    import numpy as np
+    import pandas as pd
+
+    id_type, lab_type = (labelled.schema[c].dataType.simpleString() for c in (id_col, label_col))
+    q_type = queries.schema[id_col].dataType.simpleString()
+    vector = F.col(features).cast("array<double>")
+    whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = labelled.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_lab"), vector.alias("_f")).filter(whole & (F.size("_f") > 0))
+    # at most n_pivots vectors
+    some = rows.orderBy(F.xxhash64("_id"), "_id").limit(n_pivots).select("_f").collect()
+    if not some:
+        return labelled.sparkSession.createDataFrame([], f"`{id_col}` {q_type}, neighbour {id_type}, `{label_col}` {lab_type}, score double, rank int")
+    width = len(some[0]["_f"])
+    pivots = np.unique(np.array([r["_f"] for r in some if len(r["_f"]) == width]), axis=0)
+    distances = _pivot_distances(pivots)
+
+    @F.pandas_udf("cell int, d double")
+    def nearest(f):
+        d = distances(f)
+        at = np.where(np.isnan(d).any(1), -1, np.argmin(np.nan_to_num(d, nan=np.inf), 1))
+        return pd.DataFrame({"cell": at.astype("int32"), "d": d[np.arange(len(d)), np.maximum(at, 0)]})
+
+    rows = rows.withColumn("_at", nearest("_f")).filter("_at.cell >= 0").select(
+        "_id", "_lab", "_f", F.col("_at.cell").alias("_cell"), F.col("_at.d").alias("_d"))
+    path = scratch_path(labelled.sparkSession, "knn-cells")
+    rows = stored(rows, path)
+    need = k + (1 if exclude_self else 0)
+    w = Window.partitionBy("_cell").orderBy("_d")
+    near = (rows.select("_cell", "_d").withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= need)
+            .groupBy("_cell").agg(F.max("_d").alias("near"), F.max("_r").alias("n_near")))
+    # a row per pivot
+    cells = {r["_cell"]: r for r in rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_d").alias("radius"))
+             .join(near, "_cell").collect()}
+    radius = np.array([cells[c]["radius"] if c in cells else -np.inf for c in range(len(pivots))])
+    reach = np.array([cells[c]["near"] if c in cells and cells[c]["n_near"] >= need else np.inf for c in range(len(pivots))])
+    tiles = np.array([math.ceil(cells[c]["n"] / tile_rows) if c in cells else 0 for c in range(len(pivots))])
+
+    @F.pandas_udf("array<int>")
+    def worth(f):
+        d = distances(f)
+        slack = 1e-9 * (1 + np.nan_to_num(d).max(initial=0))
+        upper = (d + reach).min(1, keepdims=True) if len(d) else np.zeros((0, 1))
+        with np.errstate(invalid="ignore"):
+            keep = (d - radius <= upper + slack) & (tiles > 0)
+        return pd.Series([np.flatnonzero(r).astype("int32") for r in keep])
+
+    asked = queries.select(F.col(id_col).alias("_q"), vector.alias("_qf")).filter(
+        F.forall("_qf", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & (F.size("_qf") == width))
+    asked = asked.select("_q", "_qf", F.explode(worth("_qf")).alias("_cell"))
+    asked = stored(asked, scratch_path(labelled.sparkSession, "knn-asked"))
+    listed = {r["_cell"]: r["n"] for r in asked.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per pivot
+    if counted is not None:
+        counted["pairs"], counted["possible"] = sum(listed.values()), queries.count() * int((tiles > 0).sum())
+    spark = labelled.sparkSession
+    sizes = spark.createDataFrame([(c, int(tiles[c]), math.ceil(n / block_rows)) for c, n in listed.items()], "_c int, _tiles int, _blocks int")
+    sizes = F.broadcast(sizes)  # a row per pivot
+
+    def upto(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = (asked.join(sizes, F.col("_cell") == F.col("_c")).withColumn("_tile", upto("_tiles"))
+            .withColumn("_blk", F.pmod(F.xxhash64("_q"), F.col("_blocks").cast("long")).cast("int")).select("_q", "_qf", "_cell", "_tile", "_blk"))
+    right = (rows.join(sizes, F.col("_cell") == F.col("_c")).withColumn("_blk", upto("_blocks"))
+             .withColumn("_tile", F.pmod(F.xxhash64("_id"), F.col("_tiles").cast("long")).cast("int")).select("_id", "_lab", "_f", "_cell", "_tile", "_blk"))
+    kind = f"_q {q_type}, neighbour {id_type}, _lab {lab_type}, score double"
+
+    def best(a, b):
+        out = []
+        if len(a) and len(b):
+            y, rank = np.stack(b["_f"].to_list()), b["_id"].rank(method="first").to_numpy()
+            for q, f in zip(a["_q"], a["_qf"]):
+                d = ((y - np.asarray(f)) ** 2).sum(1)
+                if exclude_self:
+                    d[b["_id"].to_numpy() == q] = np.inf
+                at = np.lexsort((rank, d))[:k]
+                at = at[np.isfinite(d[at])]
+                out.append(pd.DataFrame({"_q": [q] * len(at), "neighbour": b["_id"].to_numpy()[at], "_lab": b["_lab"].to_numpy()[at], "score": d[at]}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
+            {"_q": a["_q"][:0], "neighbour": b["_id"][:0], "_lab": b["_lab"][:0], "score": np.zeros(0)})
+
+    keys = ["_cell", "_tile", "_blk"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(best, kind)
+    rank = F.row_number().over(Window.partitionBy("_q").orderBy("score", "neighbour"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(
+        F.col("_q").alias(id_col), "neighbour", F.col("_lab").alias(label_col), "score", "rank")
+
+
 # --- W35 churn model ----------------------------------------------------------
 
 
@@ -305,6 +423,9 @@ def predict_profile(model: NaiveBayesModel, df: DataFrame, feature_cols: Sequenc
     return model.transform(v).select(*keep, "cheat")
 
 
+MOST_CLASSES = 1000  # every document is scored for every class
+
+
 def naive_bayes_terms(weights: DataFrame, train: DataFrame, smoothing: float = 1.0,
                       id_col: str = "doc_id", label_col: str = "label") -> DataFrame:
     """Multinomial naive Bayes on (document, term, weight) rows, as joins
@@ -332,7 +453,9 @@ def naive_bayes_terms(weights: DataFrame, train: DataFrame, smoothing: float = 1
     s_ct = w.join(tr, "_d").groupBy("c", "term").agg(F.sum("w").alias("s")).checkpoint()
     t_c = s_ct.groupBy("c").agg(F.sum("s").alias("t"))
     vocab = w.select("term").distinct().count()
-    stats = n_c.join(t_c, "c", "left").collect()          # one row per class
+    stats = n_c.join(t_c, "c", "left").limit(MOST_CLASSES + 1).collect()  # one row per class
+    if len(stats) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes")
     n_total, k = sum(r["n"] for r in stats), len(stats)
     classes = sorted(r["c"] for r in stats)
     prior = {r["c"]: math.log(r["n"] + lam) - math.log(n_total + k * lam) for r in stats}

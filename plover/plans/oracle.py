@@ -477,6 +477,13 @@ SELECT vec_id, label, neighbour FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS rn FROM pairs) t
 WHERE rn = 1"""
 
+Q["w34_knn_pruned"] = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+pairs AS (SELECT a.vec_id, b.vec_id AS neighbour, b.label, list_distance(a.f, b.f) ** 2 AS d
+          FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, neighbour, label, round(d, 6) AS score, CAST(rn AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS rn FROM pairs) t
+WHERE rn <= 3"""
+
 _HELD = """WITH e AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS f,
          CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8)) AS BIGINT) % 1000 >= 200 AS train FROM embeddings),

@@ -482,6 +482,16 @@ def q_knn(spark, sf_dir):
     return r.select(F.col("id").alias("vec_id"), "label", "neighbour")
 
 
+@register("w34_knn_pruned")
+def q_knn_pruned(spark, sf_dir):
+    """Leave-one-out 3-NN over the whole embeddings table, cells left out by the
+    triangle inequality."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label",
+                                                  F.col("embedding").alias("features"))
+    r = M.knn_pruned(e, e, k=3, exclude_self=True)
+    return r.select(F.col("id").alias("vec_id"), "neighbour", "label", F.round("score", 6).alias("score"), "rank")
+
+
 def _held_out(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label",
                                                   F.col("embedding").alias("features"))

@@ -191,3 +191,28 @@ def test_churn_golden(spark):
     assert got[21.0] == 1.0 and got[22.0] == 0.0
     vector = model.transform(train).orderBy("gid").first()["features"]
     assert [round(x, 4) for x in vector[:4]] == [0.6667, 0.9355, 0.3333, 0.7692]
+
+
+@pytest.mark.parametrize("tile_rows, n_pivots", [(4096, 64), (20, 9)])
+def test_pruned_neighbours_equal_brute_force(spark, tile_rows, n_pivots):
+    import random
+    rnd = random.Random(tile_rows)
+    centres = [[rnd.uniform(-100, 100) for _ in range(6)] for _ in range(8)]
+    data = [(i, "ab"[i % 2], [float(round(x + rnd.gauss(0, 2))) for x in rnd.choice(centres)]) for i in range(160)]
+    data += [(400 + i, "t", data[i][2]) for i in range(20)]  # ties
+    odd = [(900, "n", None), (901, "n", []), (902, "n", [float("nan")] * 6), (903, "n", [1.0] * 5), (904, "n", [1.0, None, 1.0, 1.0, 1.0, 1.0])]
+    lab = spark.createDataFrame(data + odd, "id long, label string, features array<double>").repartition(3)
+    for self_out in (False, True):
+        counted = {}
+        out = M.knn_pruned(lab, lab, k=3, tile_rows=tile_rows, block_rows=50, n_pivots=n_pivots, exclude_self=self_out, counted=counted)
+        got = {}
+        for r in out.collect():
+            got.setdefault(r["id"], []).append((r["rank"], r["neighbour"], r["label"], r["score"]))
+        assert set(got) == {i for i, _, _ in data}
+        for i, _, f in data:
+            want = sorted((sum((a - b) ** 2 for a, b in zip(f, g)), j, y) for j, y, g in data if not (self_out and i == j))[:3]
+            assert sorted(got[i]) == [(n, j, y, d) for n, (d, j, y) in enumerate(want, 1)]
+        assert counted["pairs"] <= counted["possible"]
+        if n_pivots == 64:  # clusters apart from each other: most cells are never paired
+            assert counted["pairs"] < counted["possible"] / 4
+    assert M.knn_pruned(lab.limit(0), lab).count() == 0 and M.knn_pruned(lab, lab.limit(0)).count() == 0

@@ -11,7 +11,8 @@ import __spark_entry__ as E
 from scripts.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
+#: The training-data queries have tests of their own.
+QUERIES = {k: f for k, f in E.queries().items() if not k.startswith("op") and k != "pipeline"}
 ORACLES = E.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
