@@ -112,3 +112,22 @@ def test_carry_over_join_splits(skewed):
     today = skewed.range(0, 40_000, 1, 8).select(F.format_string("i%06d", i).alias("id"), F.when(i % 2 == 0, "g1").otherwise(
         F.format_string("i%06d", i)).alias("guid"))
     assert split(G.carry_over_guid(today, today.filter("id < 'i000900'")))
+
+
+def test_a_hot_guids_funnel_is_spread(skewed):
+    """No task gets all events of the guid that has most of them."""
+    from plover.operators import sessions as S
+    n = 60_000
+    i = F.col("id")
+    detail = skewed.range(0, n, 1, 8).select(
+        F.when(i % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), (i % 500).cast("string"))).alias("guid"),
+        (i * 60_000).alias("timestamp"), i.alias("event_id"), F.when(i % 2 == 0, "pageView").otherwise("share").alias("eventid"),
+        F.current_date().alias("dy"))
+    steps = [F.col("eventid") == "pageView", F.col("eventid") == "share"]
+    out = S.funnel_depth(detail, steps, "f")
+    assert {r["comp_step"] for r in out.filter("guid = 'hot'").collect()} == {2}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(guid" in plan and "_b#" in plan  # events are dealt by guid and bucket
+    events = detail.withColumn("_b", F.floor(F.col("timestamp") / 3_600_000))
+    most = max(r["n"] for r in events.repartition(8, "guid", "_b").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+    assert most < n / 4
