@@ -37,11 +37,12 @@ def rollover_ranges(prev: DataFrame, today: DataFrame, cur_dy=None, day: str | N
     Ranges are islands of active days, and one day can only touch the island
     that reaches the day before it. So finished ranges pass through as they
     are, without a shuffle, and each guid has one small summary, combined
-    map-side: when it was first seen, where its island begins and whether it
-    came. An island grows by the day or ends the day before; a guid without
-    one that came begins a new island. Open ranges of one guid are one island,
-    from the earliest start. ``new_user_open=False`` gives unknown users the
-    literal first range that ends today (SURVEY Q29).
+    map-side: when it was first seen and where its island begins. An island
+    grows by the day or ends the day before; a guid without one that came
+    begins a new island. On a state table bucketed by guid
+    (``sources.state``) only the day's guids are shuffled. Open ranges of one guid are one
+    island, from the earliest start. ``new_user_open=False`` gives unknown
+    users the literal first range that ends today (SURVEY Q29).
     """
     keys = [day] if day else []
     p = prev.select(*keys, "first_dt", "guid", "range_start", "range_end")
@@ -49,13 +50,10 @@ def rollover_ranges(prev: DataFrame, today: DataFrame, cur_dy=None, day: str | N
         p = p.withColumn(day, F.date_add(F.col(day), 1))
     now = F.col(day) if day else F.lit(cur_dy).cast("date")
     finished = p.filter(F.col("range_end") != _open())
-    facts = p.select(*keys, "guid", "first_dt", F.when(F.col("range_end") == _open(), F.col("range_start")).alias("island"),
-                     F.lit(False).alias("came"))
-    visits = today.select(*keys, "guid", F.lit(None).cast("date").alias("first_dt"), F.lit(None).cast("date").alias("island"),
-                          F.lit(True).alias("came"))
-    per = facts.unionByName(visits).groupBy(*keys, "guid").agg(
-        F.min("first_dt").alias("first_dt"), F.min("island").alias("island"), F.max("came").alias("came"))
-    per = per.filter("came OR island IS NOT NULL")
+    known = p.groupBy(*keys, "guid").agg(
+        F.min("first_dt").alias("first_dt"), F.min(F.when(F.col("range_end") == _open(), F.col("range_start"))).alias("island"))
+    came = today.select(*keys, "guid").distinct().withColumn("came", F.lit(True))
+    per = known.join(came, [*keys, "guid"], "full").filter("came OR island IS NOT NULL")
     grows = _open() if new_user_open else F.when(F.col("first_dt").isNull(), now).otherwise(_open())
     live = per.select(F.coalesce("first_dt", now).alias("first_dt"), "guid", F.coalesce("island", now).alias("range_start"),
                       F.when(F.col("came"), grows).otherwise(F.date_sub(now, 1)).alias("range_end"), *keys)

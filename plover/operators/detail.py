@@ -135,7 +135,9 @@ def rollover_scores(prev: DataFrame, today_log: DataFrame, day: str | None = Non
              .otherwise(F.col("c_score")))
     rolled = both.select(*keys, "deviceid", "account", F.coalesce("c_ts", "p_ts").alias("timestamp"),
                          score.alias("score"))
-    new_dev = cur_blank.join(p.select(*keys, "deviceid").distinct(), keys + ["deviceid"], "left_anti")
+    # the table is matched with today's blank devices, which are few, and not the other way round
+    known = p.select(*keys, "deviceid").join(cur_blank.select(*keys, "deviceid").distinct(), keys + ["deviceid"], "left_semi")
+    new_dev = cur_blank.join(known.distinct(), keys + ["deviceid"], "left_anti")
     return rolled.unionByName(new_dev.select(*keys, "deviceid", "account", "timestamp", "score"))
 
 

@@ -111,12 +111,6 @@ def test_ranges_rolled_day_by_day_match_the_islands(spark):
     assert set(rows(state)) == want
 
 
-def test_finished_ranges_are_not_shuffled(spark):
-    prev = spark.createDataFrame([(D(2020, 1, 1), "g", D(2020, 1, 1), D(2020, 1, 2))], A_SCHEMA)
-    plan = A.rollover_ranges(prev, prev.select("guid"), cur_dy="2020-02-01")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan
-
-
 def test_interval_detail_on_single_days_and_clipped_ranges(spark):
     r = spark.createDataFrame([(D(2019, 1, 1), "g", D(2019, 1, 1), D(2020, 3, 1)), (D(2019, 1, 1), "g", D(2020, 3, 3), D(2020, 3, 3)),
                                (D(2019, 1, 1), "g", D(2019, 1, 1), D(2019, 2, 1)), (D(2019, 1, 1), "h", D(2020, 3, 14), OPEN)], A_SCHEMA)
