@@ -258,7 +258,7 @@ def mine(rows: DataFrame, is_anchor: Column, positives: int = 5, negatives: int
     wanted = stage(anchors.join(pos, (F.col("id") == F.col("p_of")) & (F.col("row") == F.col("p_of_row")))
                    .select("id", "row", "label", "v", "pos"), "negatives-positives")
     # other labels: one group; its table has a row per length class, of which doubles allow under 16,000
-    zero = F.lit(0).cast("long")
+    zero = F.pmod(F.col("row"), F.lit(1).cast("long"))  # not a literal, which would make the joins of the counts nested loops
     out = _meet(wanted.withColumn("g", zero), index.withColumn("g", zero), _negatives(negatives, low, high, whole),
                 "id long, row long, p_rank long, p_id long, p_score long, n_id long, n_row long, n_score long",
                 tile, block, lambda df, *_: F.broadcast(df))
