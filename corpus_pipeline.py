@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plover.llm import byte_bpe, decontaminate, pii, quality, simhash
-from plover.llm.common import fresh, stage, table
+from plover.llm.common import STAGED, drop_staged, fresh, stage, table
 from plover.llm.queries import pii_key, tokenizer_files
 
 
@@ -67,7 +67,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other. What a stage has read and staged on its way
+    is removed when its result is written, so one table is left."""
+    docs, first = table(spark, sf_dir, "documents"), len(STAGED)
     for k, (_, function) in enumerate(STAGES):
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{k}")
+        drop_staged(spark, first)
     return docs

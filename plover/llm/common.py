@@ -8,11 +8,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plover.session import scratch_path
+from plover.session import remove_path, scratch_path
 
 TEXT_CHUNK = 1 << 19  # bytes of text that one vectorised step looks at
 
 
+STAGED: list[str] = []  # folders of this session's staged tables, in order
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back. Cuts
     lineage, survives lost executors, and forgets the partitioning, so that
@@ -20,9 +23,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Removes the folders staged after the first ``since`` ones, but for the last
+    ``keep``. For a caller that has written what was made from them."""
+    last = len(STAGED) - keep
+    for path in STAGED[since:last]:
+        remove_path(spark, path)
+    del STAGED[since:last]
+
+
 def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
     """``mapInArrow`` whose tasks hand back Arrow's unused memory when they end;
     their Python workers live on and would keep it."""

@@ -55,3 +55,16 @@ def test_columns_with_the_operators_own_names_stay(spark):
         assert all(r[n] == n for r in got for n in names), name
         docs = docs if k == 0 else out
     assert {"ids_", "n_tokens_"} <= set(docs.columns) and docs.count() == 5
+
+
+def test_a_run_leaves_one_table(spark):
+    import os
+    from plover.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).removeprefix("file://")
+
+    def ours():
+        return {d for d in os.listdir(base) if d.startswith("plover-") and not d.startswith("plover-edges")}
+    before = ours()
+    out = P.run(spark, SF)
+    left = ours() - before
+    assert len(left) == 1 and "pipeline-4" in left.pop() and out.count() > 0
