@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plover.operators.joins import rekeyed
-from plover.session import scratch_path, stored
+from plover.session import remove_path, scratch_path, stored
 
 
 # --- W34 nearest neighbours --------------------------------------------------
@@ -248,7 +248,10 @@ def churn_pipeline(feature_cols: Sequence[str], label_col: str = "label", max_it
 
 
 def fit_churn(train: DataFrame, feature_cols: Sequence[str], label_col: str = "label", max_iter: int = 1000) -> PipelineModel:
-    """The fitted pipeline; an optimiser that stopped before it converged raises."""
+    """The fitted pipeline, as saved and read back; an optimiser that stopped
+    before it converged raises. A model fresh from the fit holds its training
+    summary and with it the session, which tasks cannot take along once the
+    session has observed a query's metrics."""
     train = train.persist()  # the optimiser reads it once per iteration
     try:
         model = churn_pipeline(feature_cols, label_col, max_iter).fit(train)
@@ -256,6 +259,10 @@ def fit_churn(train: DataFrame, feature_cols: Sequence[str], label_col: str = "l
         train.unpersist()
     if model.stages[-1].summary.totalIterations >= max_iter:
         raise RuntimeError(f"logistic regression did not converge in {max_iter} iterations")
+    path = scratch_path(train.sparkSession, "churn-model")
+    model.write().save(path)
+    model = PipelineModel.load(path)
+    remove_path(train.sparkSession, path)
     return model
 
 

@@ -20,7 +20,7 @@ def test_oracles_cover_registered_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     work = {k for k in q if k.startswith("w")}
-    assert work - set(o) == {"w35_churn_predict"}  # its fit is checked by w35_churn_optimality
+    assert work <= set(o)
     assert all(callable(f) for f in q.values())
     # every work item W01..W37 has at least one registered query
     ids = {name.split("_")[0] for name in work}
