@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,14 +38,22 @@ def drop_staged(spark: SparkSession, since: int, keep: int = 1) -> None:
     del STAGED[since:last]
 
 
+def _hand_back() -> None:
+    """Give freed memory back to the system: Arrow's, and the C library's if it can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` whose tasks hand back Arrow's unused memory when they end;
-    their Python workers live on and would keep it."""
+    """``mapInArrow`` whose tasks hand back unused memory when they end; their
+    Python workers live on and would keep it."""
     def task(batches):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
+            _hand_back()
     return df.mapInArrow(task, schema)
 
 
