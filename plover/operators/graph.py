@@ -8,8 +8,8 @@ DataFrame. Each step is a grouped ``min`` (partial aggregation, so a hub
 vertex with millions of neighbours is combined map-side) and a join to the
 one-row-per-vertex minima, which are shuffled anew (``joins.rekeyed``) so
 that AQE can split a hub's edges. A round is one job that writes its edges to
-the shared folder, which cuts lineage and survives executor loss, and observes
-whether an edge moved; the loop ends with the first round without one. New
+the shared folder, which cuts lineage and survives executor loss, the moved ones
+apart; the loop ends with the first round without any. New
 edges join old labels by contraction (W13). Vertex ids may be strings or longs; the label of a
 component is its smallest id.
 """
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plover.functions.columns import not_blank
@@ -92,22 +92,28 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 def _stars(edges: DataFrame) -> DataFrame:
     """(id, component) of every vertex that is not its component's smallest.
-    A round is one job: it writes the next edges and observes, on the way,
-    whether any edge moved; none did when the edges are stars around their
-    smallest vertices."""
+    A round is one job: it writes the next edges, those that moved to a folder
+    of their own. Without such a folder the edges are stars around their
+    smallest vertices, and no job is needed to see that."""
     spark = edges.sparkSession
     path = scratch_path(spark, "edges")
     e = stored(_canon(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))), path)
     while True:
-        seen, after = Observation(), scratch_path(spark, "edges")
-        out = _small_star(_large_star(e)).observe(seen, F.count_if("moved").alias("n")).select("u", "v")
-        e = stored(out, after)
+        out, after = _small_star(_large_star(e)), scratch_path(spark, "edges")
+        e, moved = _written(out, after)
         remove_path(spark, path)
         path = after
-        if not seen.get["n"]:
+        if not moved:
             return e.select(F.col("v").alias("id"), F.col("u").alias("component"))
 
 
+def _written(edges: DataFrame, path: str) -> tuple[DataFrame, bool]:
+    """The edges (u, v) as written to ``path``, and whether any had moved."""
+    edges.select("u", "v", "moved").write.partitionBy("moved").parquet(path)
+    back = edges.sparkSession.read.schema(edges.select("u", "v", "moved").schema).parquet(path)
+    return back.select("u", "v"), any("/moved=true/" in f for f in back.inputFiles())
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Label every vertex with the smallest id of its component (W12):
     id, component. Isolated vertices label themselves. Rounds go on until

@@ -251,7 +251,7 @@ def fit_churn(train: DataFrame, feature_cols: Sequence[str], label_col: str = "l
     """The fitted pipeline, as saved and read back; an optimiser that stopped
     before it converged raises. A model fresh from the fit holds its training
     summary and with it the session, which tasks cannot take along once the
-    session has observed a query's metrics."""
+    caller has observed a query's metrics in it."""
     train = train.persist()  # the optimiser reads it once per iteration
     try:
         model = churn_pipeline(feature_cols, label_col, max_iter).fit(train)
