@@ -216,3 +216,41 @@ def test_pruned_neighbours_equal_brute_force(spark, tile_rows, n_pivots):
         if n_pivots == 64:  # clusters apart from each other: most cells are never paired
             assert counted["pairs"] < counted["possible"] / 4
     assert M.knn_pruned(lab.limit(0), lab).count() == 0 and M.knn_pruned(lab, lab.limit(0)).count() == 0
+
+
+def _brute(a, b, k, same):
+    import numpy as np
+    out = []
+    for i, x in enumerate(a):
+        d = [(float(((x.astype(float) - y) ** 2).sum()), j) for j, y in enumerate(b.astype(float)) if (i, j) not in same]
+        out += [(i, j, v) for v, j in sorted(p for p in d if np.isfinite(p[0]))[:k]]
+    return out
+
+
+@pytest.mark.parametrize("far", [0, 1e4, 1e17])
+@pytest.mark.parametrize("kind", ["float32", "float64"])
+@pytest.mark.parametrize("n, k", [(2, 3), (700, 3), (700, 1), (3000, 5)])
+def test_nearest_equals_brute_force(far, kind, n, k):
+    """Also far from the origin, with copies, with odd rows and over several steps."""
+    import numpy as np
+    rng = np.random.default_rng(n + k)
+    b = (rng.integers(-9, 9, (n, 7)) + far).astype(kind)
+    a = np.concatenate([b[:40], (rng.integers(-9, 9, (10, 7)) + far).astype(kind)])
+    a[3], b[1, 2] = np.nan, np.inf
+    same = (np.arange(min(n, 40)), np.arange(min(n, 40)))
+    with np.errstate(invalid="ignore"):
+        want = _brute(a, b, k, set(zip(*map(list, same))))
+    got = M._nearest(a, b, k, np.arange(n), same, step_cells=20_000)
+    assert [tuple(x) for x in zip(*(c.tolist() for c in got))] == want
+
+
+def test_nearest_does_not_sort_whole_rows():
+    """Ranking every distance of 3,000 queries and 30,000 rows took 20 s and more; the bound leaves a few to rank."""
+    import time
+
+    import numpy as np
+    rng = np.random.default_rng(0)
+    b = rng.normal(size=(30_000, 32)).astype("float32")
+    began = time.process_time()
+    r, _, _ = M._nearest(b[:3000], b, 3, np.arange(len(b)), (np.arange(3000), np.arange(3000)))
+    assert len(r) == 9000 and time.process_time() - began < 15
