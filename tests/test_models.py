@@ -254,3 +254,44 @@ def test_nearest_does_not_sort_whole_rows():
     began = time.process_time()
     r, _, _ = M._nearest(b[:3000], b, 3, np.arange(len(b)), (np.arange(3000), np.arange(3000)))
     assert len(r) == 9000 and time.process_time() - began < 15
+
+
+def _wordy(spark):
+    words = [f"w{i}" for i in range(40)]
+    texts = [(i, " ".join(["the", "of"] + [words[(i * j) % 40] for j in range(1, 9)] + [f"only{i}"])) for i in range(60)]
+    texts += [(7, "the again w3 w3"), (None, "the lost w3"), (99, None), (100, "x" * 400 + " the " + "x" * 400)]
+    return spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+
+
+def _counts(docs):
+    import re
+    from collections import Counter
+    tf = Counter((r["doc_id"], t) for r in docs.collect() for t in re.split(r"[^a-z0-9]+", r["text"] or "") if len(t) > 1)
+    return tf, Counter(t for _, t in tf)
+
+
+@pytest.mark.parametrize("most", [0, 2, 30, 200_000])
+def test_term_stats_by_broadcast_and_by_shuffle(spark, monkeypatch, most):
+    """Frequent and rare terms come by different ways, each row once."""
+    monkeypatch.setattr(M, "MOST_FREQUENT", most)
+    docs = _wordy(spark)
+    tf, df = _counts(docs)
+    want = sorted((str(d), t, n, df[t]) for (d, t), n in tf.items())
+    out = M.term_stats(docs)
+    assert sorted((str(r["doc_id"]), r["term"], r["tf"], r["df"]) for r in out.collect()) == want
+    if most == 200_000:  # nearly all rows are neither shuffled nor sorted
+        from plover.session import scratch_path, stored
+        assert stored(out, scratch_path(spark, "t")).count() == len(want)
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_term_counts_of_a_task_are_bounded(spark, monkeypatch):
+    """More text means more tasks, not larger ones: one file of counts each."""
+    monkeypatch.setattr(M, "TASK_TEXT_BYTES", 50)
+    written = []
+    monkeypatch.setattr(M, "stored", lambda df, path, f=M.stored: (written.append(df), f(df, path))[1])
+    docs = _wordy(spark)
+    n_bytes = sum(len(r["text"] or "") for r in docs.collect())
+    M.term_stats(docs)
+    assert "hashpartitioning(doc_id#" in (plan := written[0]._jdf.queryExecution().executedPlan().toString())
+    assert f", {math.ceil(n_bytes / 50)})" in plan
