@@ -295,3 +295,27 @@ def test_term_counts_of_a_task_are_bounded(spark, monkeypatch):
     M.term_stats(docs)
     assert "hashpartitioning(doc_id#" in (plan := written[0]._jdf.queryExecution().executedPlan().toString())
     assert f", {math.ceil(n_bytes / 50)})" in plan
+
+
+@pytest.mark.parametrize("most", [0, 10, 200_000])
+def test_naive_bayes_by_broadcast_and_by_shuffle(spark, monkeypatch, most):
+    monkeypatch.setattr(M, "MOST_FREQUENT", most)
+    docs = _wordy(spark).filter("doc_id is not null")
+    weights = M.term_stats(docs).select("doc_id", "term", F.col("tf_idf").alias("w"))
+    train = [(i, float(i % 3)) for i in range(0, 60, 2)] + [(4, 1.0), (4, 2.0), (500, 0.0)]
+    got = dict(rows(M.naive_bayes_terms(weights, spark.createDataFrame(train, "doc_id long, label double"))))
+    ws = {}
+    for r in weights.collect():
+        ws.setdefault(r["doc_id"], {})[r["term"]] = r["w"]
+    vocab = {t for x in ws.values() for t in x}
+    score = {}
+    for c in (0.0, 1.0, 2.0):
+        mine = [d for d, y in train if y == c]
+        s = {t: sum(ws.get(d, {}).get(t, 0.0) for d in mine) for t in vocab}
+        den = math.log(sum(s.values()) + len(vocab))
+        pi = math.log(len(mine) + 1) - math.log(len(train) + 3)
+        for d, x in ws.items():
+            score[d, c] = pi + sum(w * (math.log(s[t] + 1) - den) for t, w in x.items())
+    assert set(got) == set(ws)
+    for d, c in got.items():
+        assert score[d, c] >= max(score[d, y] for y in (0.0, 1.0, 2.0)) - 1e-9
