@@ -319,3 +319,11 @@ def test_naive_bayes_by_broadcast_and_by_shuffle(spark, monkeypatch, most):
     assert set(got) == set(ws)
     for d, c in got.items():
         assert score[d, c] >= max(score[d, y] for y in (0.0, 1.0, 2.0)) - 1e-9
+
+
+def test_naive_bayes_sorts_no_weights(spark):
+    """The weights meet labels and frequent terms by hashes: sorting them took the task memory."""
+    weights = spark.range(4000).select((F.col("id") % 400).alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 37).alias("term"), F.lit(1.0).alias("w"))
+    out = M.naive_bayes_terms(weights, spark.range(300).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("double").alias("label")))
+    assert out.count() == 400
+    assert "SortMergeJoin [_d" not in out._jdf.queryExecution().executedPlan().toString()
