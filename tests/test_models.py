@@ -327,3 +327,33 @@ def test_naive_bayes_sorts_no_weights(spark):
     out = M.naive_bayes_terms(weights, spark.range(300).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("double").alias("label")))
     assert out.count() == 400
     assert "SortMergeJoin [_d" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_text_nb_does_not_shuffle_weights_to_labels(spark, monkeypatch, tmp_path):
+    """A task held its whole share of the weights while it dealt them out by document; now the labels come to the counts."""
+    from plover.plans import queries as Q
+    docs = _wordy(spark)
+    lab = [(i, i % 2) for i in range(0, 60, 2)] + [(4, 1), (4, 1), (None, 0), (500, 0)]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(lab, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    written = {}
+    monkeypatch.setattr(M, "stored", lambda df, path, f=M.stored: (written.update({path.rsplit("plover-", 1)[1][:-13]: df}), f(df, path))[1])
+    Q.q_text_nb(spark, str(tmp_path))
+    plan = written["nb-weights"]._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_d#" not in plan and "hashpartitioning(doc_id#" not in plan
+    plan = written["term-counts"]._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [doc_id" in plan and "SortMergeJoin" not in plan
+
+
+def test_classes_come_with_the_weights(spark):
+    """The same predictions, whether labels come along with the counts or are joined to the weights."""
+    docs = _wordy(spark)
+    train = spark.createDataFrame([(i, float(i % 3)) for i in range(0, 60, 2)] + [(4, 1.0), (4, 1.0), (4, 2.0), (None, 1.0), (500, 0.0)], "doc_id long, label double")
+    weights = M.term_stats(docs, more=M.classes_by_id(train)).withColumn("w", F.col("tf_idf"))
+    plain = M.term_stats(docs)
+    assert sorted(map(str, weights.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    got = {r["doc_id"]: sorted((x["c"], x["n"]) for x in r["classes"] or []) for r in weights.collect()}
+    assert got[4] == [(1.0, 3), (2.0, 1)]
+    assert got[7] == [] and got[None] == [] and 500 not in got
+    some = weights.filter("doc_id is not null")
+    assert rows(M.naive_bayes_terms(some, train)) == rows(M.naive_bayes_terms(some.drop("classes"), train))
